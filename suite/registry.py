@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from suite import churn
+from suite import churn, relational, sources
 from suite.tables import Check
 
 CHECKS: dict[str, Check] = {}
-for _module in (churn,):
+for _module in (churn, sources, relational):
     CHECKS.update(_module.CHECKS)

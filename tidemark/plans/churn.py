@@ -23,6 +23,8 @@ from tidemark.functions.clean import (
 )
 from tidemark.functions.rules import channel_bucket, game_bucket, sport_bucket, when_channel
 from tidemark.operators.windows import Window, distinct_count, distinct_list, rows_per_date
+from tidemark.sources.export import counted_write
+from tidemark.sources.warehouse import Warehouse
 
 Dates = Sequence[str | date | datetime]
 GROUP = ["statsdate", "idContacto"]
@@ -261,3 +263,25 @@ def customer_window_agg(
         )
     )
     return null_defaults(table, {**CASINO_DEFAULTS, **SPORTS_DEFAULTS}).select(*OUTPUT_COLUMNS)
+
+
+def write_churn_table(
+    house: Warehouse,
+    sources: ChurnSources,
+    dates: Dates,
+    days_back: int = 7,
+    churn_period: int = 7,
+    table: str = "customerWindowAgg",
+) -> int:
+    """Replace the ``(days_back, churn_period)`` slice of the stored table in one job.
+
+    A rerun overwrites its own slice and leaves the others; a run without rows
+    empties it. Returns the number of rows written.
+    """
+    result = customer_window_agg(sources, dates, days_back, churn_period)
+    rows = counted_write(
+        result, lambda df: house.replace_slices(df, table, ["days_back", "churn_period"])
+    )
+    if rows == 0:
+        house.drop_slice(table, days_back=days_back, churn_period=churn_period)
+    return rows
