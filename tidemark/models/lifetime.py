@@ -167,7 +167,7 @@ def _derivatives(values: np.ndarray, n: int, step: float) -> tuple[np.ndarray, n
 def maximise(
     evaluate: Callable[[np.ndarray], np.ndarray],
     start: np.ndarray,
-    tolerance: float = 1e-9,
+    tolerance: float = 1e-7,
     max_rounds: int = 60,
     step: float = 1e-3,
 ) -> np.ndarray:
@@ -197,14 +197,14 @@ def maximise(
     return at
 
 
-def _fit(df, columns, likelihood, start, penalizer) -> np.ndarray:
+def _fit(df, columns, likelihood, start, penalizer) -> list[float]:
     """Parameters (positive, fitted as logarithms) that maximise the penalised mean."""
 
     def evaluate(points: np.ndarray) -> np.ndarray:
         params = np.exp(points)
         return mean_likelihoods(df, columns, likelihood, params) - penalizer * (params**2).sum(axis=1)
 
-    return np.exp(maximise(evaluate, np.log(start)))
+    return np.exp(maximise(evaluate, np.log(start))).tolist()
 
 
 # ---- BG/NBD ---------------------------------------------------------------------
@@ -311,10 +311,15 @@ def fit_gammagamma_summary(summary: DataFrame, penalizer: float = 0.0) -> Fitted
         .agg(F.count(F.lit(1)).alias("weight")),
         "gammagamma-summary",
     )
+    # Without a penalty only ``v`` depends on the currency: fit in units of the mean.
+    unit = 1.0
+    if penalizer == 0:
+        unit = merged.agg(F.avg("monetary_value").alias("m")).first()["m"] or 1.0
+    scaled = merged.withColumn("monetary_value", F.col("monetary_value") / unit)
     p, q, v = _fit(
-        merged, ["frequency", "monetary_value"], gammagamma_log_likelihood, [1.0, 1.0, 1.0], penalizer
+        scaled, ["frequency", "monetary_value"], gammagamma_log_likelihood, [1.0, 1.0, 1.0], penalizer
     )
-    return Fitted("gamma_gamma", None, {"params": {"p": p, "q": q, "v": v}})
+    return Fitted("gamma_gamma", None, {"params": {"p": p, "q": q, "v": v * unit}})
 
 
 def average_profit(params: dict, x: Column, spend: Column) -> Column:

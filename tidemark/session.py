@@ -6,7 +6,9 @@ import tempfile
 import uuid
 from functools import lru_cache
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 # Runtime SQL settings every plan in this package relies on.
 SQL_SETTINGS = {
@@ -77,3 +79,13 @@ def written(df: DataFrame, label: str) -> DataFrame:
     path = new_location(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The parquet table at ``path``, or no rows when nothing was written yet."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
