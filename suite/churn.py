@@ -6,9 +6,12 @@ The stand-ins read customers, nations and events; the same shapes are spelled ou
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from suite.sources import new_warehouse
 from suite.tables import Check, Tables, check, key_number, money
 from tidemark.functions.clean import clean_category, map_codes, null_defaults, weekday_category
 from tidemark.functions.clean import whole_units
@@ -32,8 +35,8 @@ from tidemark.plans.churn import (
     is_eligible,
     sports_totals,
     upcoming_leagues,
+    write_churn_table,
 )
-from datetime import datetime
 
 DATES = ["2024-01-08", "2024-01-15", "2024-01-22"]
 TWENTY_DATES = [f"2024-01-{day:02d}" for day in range(6, 26)]
@@ -389,6 +392,26 @@ def flagship(t: Tables, dates=DATES, back: int = 7, churn: int = 7) -> DataFrame
     return customer_window_agg(sources(t), dates, back, churn)
 
 
+def flagship_stored(t: Tables) -> DataFrame:
+    """Two slices stored, the first one twice; the second run replaces the first."""
+    house = new_warehouse(t)
+    write_churn_table(house, sources(t), DATES[:1], 7, 7, "churn")
+    write_churn_table(house, sources(t), DATES, 1, 1, "churn")
+    write_churn_table(house, sources(t), DATES[1:], 7, 7, "churn")
+    return house.table("churn").groupBy("days_back", "churn_period", "statsdate").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("deposit").alias("deposit")
+    )
+
+
+def _stored_sql() -> str:
+    parts = [
+        f"""SELECT CAST(days_back AS BIGINT) AS days_back, CAST(churn_period AS BIGINT) AS churn_period,
+        statsdate, count(*) AS n, round(sum(deposit), 2) AS deposit FROM ({query}) GROUP BY 1, 2, 3"""
+        for query in (flagship_sql(DATES[1:], 7, 7), flagship_sql(DATES, 1, 1))
+    ]
+    return " UNION ALL ".join(parts)
+
+
 def _sql(tail: str, dates=(DATE,), back: int = 7, churn: int = 7) -> str:
     return SOURCES_SQL + _dates_sql(dates) + _window_ctes(back, churn) + tail
 
@@ -722,6 +745,7 @@ CHECKS: dict[str, Check] = {
     ),
     "sample_dates": check(sampled_dates),
     "customer_window_agg": check(flagship, flagship_sql(DATES, 7, 7)),
+    "customer_window_table": check(flagship_stored, _stored_sql()),
     "customer_window_agg_1_1": check(
         lambda t: flagship(t, TWENTY_DATES, 1, 1), flagship_sql(TWENTY_DATES, 1, 1)
     ),

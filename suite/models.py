@@ -291,6 +291,7 @@ def statistics(t: Tables) -> DataFrame:
     config = TrainConfig(
         type="logistic_regression", purpose="classification", keys=("doc_id",), label="quality",
         loss="log_loss", balance_ratio=1, profile=ProfileOptions(max_cat_ratio=0, low_info_thresh=1),
+        params={"max_iter": 20},
     )
     run_submodel(text_numbers(t), config, store, "quality", "all")
     return store.runs().drop("path")
@@ -410,7 +411,7 @@ CHECKS: dict[str, Check] = {
           + (SELECT regr_slope(l_extendedprice, l_quantity) FROM lineitem) * l_quantity, 2) AS prediction
         FROM lineitem""",
     ),
-    "logistic_regression": check(_quality_classes("logistic_regression")),
+    "logistic_regression": check(_quality_classes("logistic_regression", max_iter=20)),
     "kmeans": check(kmeans),
     "gbt_classification": check(_quality_classes("xgboost_classification", n_estimators=20)),
     "gbt_regression": check(_regression("xgboost_regression", n_estimators=20)),

@@ -27,7 +27,9 @@ class Tables:
         self.sf_dir = sf_dir
 
     def __getattr__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        table = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        setattr(self, name, table)
+        return table
 
 
 def check(build: Callable[[Tables], DataFrame], sql: str | None = None) -> Check:

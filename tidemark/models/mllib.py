@@ -24,13 +24,14 @@ from pyspark.ml.regression import (
     LinearRegression,
     RandomForestRegressor,
 )
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.scoring import proba_normalize
 from tidemark.models.base import FEATURES, PREDICTION, Fitted
 from tidemark.operators.encode import decode
 from tidemark.operators.preparation import label_classes
+from tidemark.session import new_location
 
 LABEL_INDEX = "_label"
 MAX_CLASSES = 1000
@@ -45,13 +46,27 @@ def _head(features: Sequence[str] | Pipeline) -> list:
     return features.getStages() if isinstance(features, Pipeline) else [assembler(features)]
 
 
+def without_summary(model):
+    """The model as stored, without the training summary.
+
+    A summary holds the session itself and cannot travel to the tasks once the
+    session has observed a query.
+    """
+    if not getattr(model, "hasSummary", False):
+        return model
+    spark = SparkSession.getActiveSession()
+    path = new_location(spark, "model")
+    model.write().save(path)
+    return type(model).load(path)
+
+
 def _fit(name: str, df: DataFrame, features, estimator, meta: dict | None = None) -> Fitted:
     """Build the vector once, keep it while the estimator iterates over it."""
     head = Pipeline(stages=_head(features)).fit(df)
     rows = head.transform(df).select(FEATURES, estimator.getLabelCol())
     rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        model = estimator.fit(rows)
+        model = without_summary(estimator.fit(rows))
     finally:
         rows.unpersist()
     return Fitted(name, PipelineModel(stages=[*head.stages, model]), meta or {})
@@ -255,7 +270,8 @@ def fit_kmeans(df, features, label=None, **params) -> Fitted:
         rows.unpersist()
     best = min(runs, key=lambda model: model.summary.trainingCost)
     meta = {"cost": best.summary.trainingCost, "clusters": best.getK()}
-    return Fitted("kmeans_clustering", PipelineModel(stages=[*head.stages, best]), meta)
+    stages = [*head.stages, without_summary(best)]
+    return Fitted("kmeans_clustering", PipelineModel(stages=stages), meta)
 
 
 # ---- dot-product embedding ------------------------------------------------------

@@ -9,6 +9,7 @@ from __future__ import annotations
 import re
 from collections import defaultdict
 from collections.abc import Sequence
+from decimal import Decimal
 from functools import partial
 from typing import NamedTuple
 
@@ -72,11 +73,10 @@ def _first_pass(df: DataFrame, columns: Sequence[str], separator: str) -> dict:
         value = F.col(f"`{name}`")
         if is_numeric(df.schema[name].dataType):
             number = value.cast("double")
-            text = F.coalesce(value.cast("string"), F.lit(NULL_TEXT))
             measures += [
                 F.avg(number).alias(f"mean_{i}"),
                 F.stddev_pop(number).alias(f"std_{i}"),
-                F.approx_count_distinct(text, 0.02).alias(f"about_{i}"),
+                F.approx_count_distinct(value, 0.02).alias(f"about_{i}"),
             ]
         else:
             measures.append(
@@ -85,41 +85,71 @@ def _first_pass(df: DataFrame, columns: Sequence[str], separator: str) -> dict:
     return df.agg(*measures).first().asDict()
 
 
-def value_counts(
-    df: DataFrame, single: Sequence[str], multi: Sequence[str], separator: str, exact_text: bool = False
-) -> DataFrame:
-    """``(column, value, n)`` for all given columns from one scan and one shuffle."""
+# One slot per kind of value, so that numbers are grouped as numbers.
+ITEM = "struct<column: int, whole: bigint, number: double, text: string>"
+
 
-    def item(name: str, value: Column) -> Column:
-        return F.struct(F.lit(name).alias("column"), value.alias("value"))
+def _item(df: DataFrame, columns: Sequence[str], name: str, label: Column | None = None) -> Column:
+    """A value tagged with its column."""
+    kind = df.schema[name].dataType
+    value = F.col(f"`{name}`") if label is None else label
+    whole = number = text = F.lit(None)
+    if label is None and isinstance(kind, T.IntegralType):
+        whole = value
+    elif label is None and isinstance(kind, T.FractionalType) and not isinstance(kind, T.DecimalType):
+        number = value
+    else:
+        text = value.cast("string")
+    place = F.lit(list(columns).index(name))
+    return F.struct(place, whole, number, text).cast(ITEM)
 
-    def text(name: str) -> Column:
-        if exact_text:
-            return F.coalesce(F.col(f"`{name}`").cast("string"), F.lit(NULL_TEXT))
-        return value_text(name, is_numeric(df.schema[name].dataType))
 
-    items = [F.array(*[item(name, text(name)) for name in single])] if single else []
+def value_counts(
+    df: DataFrame, single: Sequence[str], multi: Sequence[str], separator: str
+) -> DataFrame:
+    """Rows per value of the ``single`` columns and per label of the ``multi`` columns.
+
+    One scan and one shuffle for all of them; ``column`` is the place in
+    ``[*single, *multi]``.
+    """
+    columns = [*single, *multi]
+    items = [F.array(*[_item(df, columns, name) for name in single])] if single else []
     items += [
-        F.transform(labels_of(name, separator), partial(item, name)) for name in multi
+        F.transform(labels_of(name, separator), partial(_item, df, columns, name)) for name in multi
     ]
     return (
         df.select(F.explode(F.concat(*items)).alias("i"))
-        .groupBy("i.column", "i.value")
+        .groupBy("i.column", "i.whole", "i.number", "i.text")
         .agg(F.count(F.lit(1)).alias("n"))
     )
 
 
-def _collected_counts(counts: DataFrame) -> dict[str, dict[str, int]]:
-    """Value counts on the driver, refused when they are not a bounded list."""
+def _collected_counts(
+    counts: DataFrame, columns: Sequence[str], numeric: set[str]
+) -> tuple[dict[str, dict[str, int]], dict[str, int]]:
+    """Rows per category text, and exact distinct values, by column.
+
+    The list is refused when it is not a bounded one. Fractions become whole numbers
+    here, after counting.
+    """
     found = counts.limit(MAX_EXPANDED + 1).collect()
     if len(found) > MAX_EXPANDED:
         widest = counts.groupBy("column").count().orderBy(F.desc("count")).limit(3).collect()
-        names = ", ".join(f"{r['column']} ({r['count']})" for r in widest)
+        names = ", ".join(f"{columns[r['column']]} ({r['count']})" for r in widest)
         raise TooManyValues(f"more than {MAX_EXPANDED} category values, most in {names}")
-    by_column: dict[str, dict[str, int]] = defaultdict(dict)
+    by_column: dict[str, dict[str, int]] = {name: defaultdict(int) for name in columns}
+    distinct: dict[str, int] = defaultdict(int)
     for row in found:
-        by_column[row["column"]][row["value"]] = row["n"]
-    return by_column
+        name = columns[row["column"]]
+        whole = row["whole"]
+        if row["number"] is not None and row["number"] == row["number"]:
+            whole = int(row["number"])
+        text = row["text"] if whole is None else str(whole)
+        if name in numeric and text is not None and whole is None:
+            text = str(int(Decimal(text)))
+        by_column[name][NULL_TEXT if text is None else text] += row["n"]
+        distinct[name] += 1
+    return {name: dict(values) for name, values in by_column.items()}, distinct
 
 
 def profile_columns(
@@ -137,38 +167,36 @@ def profile_columns(
     rows = first["rows"]
     numeric = {name: is_numeric(df.schema[name].dataType) for name in columns}
     near = 1.2 * options.max_cat_val + 5
+    near_ratio = 1.2 * options.max_cat_ratio * rows + 5
     maybe = [
         name
         for i, name in enumerate(columns)
-        if numeric[name]
-        and first[f"about_{i}"] <= near
-        and first[f"about_{i}"] / max(rows, 1) < 1.2 * options.max_cat_ratio + 5 / max(rows, 1)
+        if numeric[name] and first[f"about_{i}"] <= min(near, near_ratio)
     ]
-    types: dict[str, str] = {}
-    if maybe:
-        exact = {
-            r["column"]: r["n"]
-            for r in value_counts(df, maybe, [], options.separator, exact_text=True)
-            .groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect()
-        }
-    for i, name in enumerate(columns):
-        if not numeric[name]:
-            types[name] = MULTILABEL if first[f"many_{i}"] else CATEGORIAL
-        elif name in maybe and exact[name] <= options.max_cat_val and (
-            exact[name] / rows < options.max_cat_ratio
-        ):
-            types[name] = CATEGORIAL
-        else:
-            types[name] = REGULAR
-    single = [c for c in columns if types[c] == CATEGORIAL]
-    multi = [c for c in columns if types[c] == MULTILABEL]
-    counts = {}
+    multi = [c for i, c in enumerate(columns) if not numeric[c] and first[f"many_{i}"]]
+    single = [c for c in columns if c in maybe or not (numeric[c] or c in multi)]
+    counts, distinct = {}, {}
     if single or multi:
-        counts = _collected_counts(value_counts(df, single, multi, options.separator))
-    return [
-        ColumnProfile(
-            name, types[name], numeric[name], rows,
-            first.get(f"mean_{i}"), first.get(f"std_{i}"), counts.get(name, {}),
+        listed = value_counts(df, single, multi, options.separator)
+        counts, distinct = _collected_counts(
+            listed, [*single, *multi], {name for name in single if numeric[name]}
         )
-        for i, name in enumerate(columns)
-    ]
+
+    def type_of(name: str) -> str:
+        if name in multi:
+            return MULTILABEL
+        if not numeric[name]:
+            return CATEGORIAL
+        few = name in maybe and distinct[name] <= options.max_cat_val
+        return CATEGORIAL if few and distinct[name] / rows < options.max_cat_ratio else REGULAR
+
+    profiles = []
+    for i, name in enumerate(columns):
+        kind = type_of(name)
+        values = {} if kind == REGULAR else counts[name]
+        profiles.append(
+            ColumnProfile(
+                name, kind, numeric[name], rows, first.get(f"mean_{i}"), first.get(f"std_{i}"), values
+            )
+        )
+    return profiles
