@@ -238,7 +238,7 @@ def score_classes(fitted: Fitted, df: DataFrame) -> DataFrame:
     proba = proba_normalize(proba)
     output = fitted.meta["output"]
     if output == "log_proba":
-        value = F.transform(proba, F.log)
+        value = F.transform(proba, F.ln)
     elif output == "class":
         names = F.array(*[F.lit(c) for c in fitted.meta["classes"]])
         value = F.get(names, F.col(PREDICTION).cast("int"))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.preparation import apply_pca, fit_pca
-from tidemark.session import read_or_empty, written
+from tidemark.session import opened, written
 
 # An embedder turns a series of texts into a series of vectors.
 Embedder = Callable[[pd.Series], pd.Series]
@@ -51,7 +51,7 @@ def text_hash(text: Column) -> Column:
 
 def read_cache(spark: SparkSession, path: str) -> DataFrame:
     """The cache table; an absent one starts empty."""
-    return read_or_empty(spark, path, CACHE_SCHEMA)
+    return opened(spark, path, CACHE_SCHEMA)
 
 
 def embed_cached(

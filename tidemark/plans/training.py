@@ -35,7 +35,7 @@ from tidemark.operators.profile import ProfileOptions
 from tidemark.operators.sampling import train_test_split, undersample
 from tidemark.operators.silhouette import squared_silhouette
 from tidemark.plans.scoring import score_rows
-from tidemark.session import read_or_empty, written
+from tidemark.session import opened, written
 
 # How the predictors reach the model.
 PREPARE_FULL = "False"
@@ -217,7 +217,7 @@ class ModelStore:
         self.log_path = f"{self.folder}/runs"
 
     def runs(self) -> DataFrame:
-        return read_or_empty(self.spark, self.log_path, RUN_SCHEMA)
+        return opened(self.spark, self.log_path, RUN_SCHEMA)
 
     def _newest(self, model: str, submodel: str, promoted_only: bool):
         rows = self.runs().filter(

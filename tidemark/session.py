@@ -6,7 +6,6 @@ import tempfile
 import uuid
 from functools import lru_cache
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -82,11 +81,7 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """The parquet table at ``path``, or no rows when nothing was written yet."""
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
+def opened(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The parquet table at ``path``; an absent one is created without rows."""
+    spark.createDataFrame([], schema).coalesce(1).write.mode("ignore").parquet(path)
+    return spark.read.schema(schema).parquet(path)

@@ -20,12 +20,18 @@ def _ddl(schema: T.StructType) -> str:
 
 
 def _within_limit(parsed: DataFrame, limit: int) -> DataFrame:
-    """Drop unreadable rows, or fail when there are more than ``limit``."""
-    bad = parsed.filter(F.col(CORRUPT).isNotNull())
-    found = bad.limit(limit + 1).count()
+    """Drop unreadable rows, or fail when there are more than ``limit``.
+
+    Spark parses only referenced columns, so both uses of the marker also touch a hash
+    of all others: a record is judged whole.
+    """
+    whole_row = F.xxhash64(*[F.col(f"`{c}`") for c in parsed.columns if c != CORRUPT])
+    marker = F.col(CORRUPT)
+    bad = parsed.filter(marker.isNotNull()).select(whole_row.alias("row")).limit(limit + 1)
+    found = bad.agg(F.count("row").alias("n"), F.bit_xor("row").alias("x")).first()["n"]
     if found > limit:
         raise BadRecords(f"more than {limit} bad records")
-    good = parsed.filter(F.col(CORRUPT).isNull()) if found else parsed
+    good = parsed.filter(F.when(marker.isNull(), whole_row).isNotNull()) if found else parsed
     return good.drop(CORRUPT)
 
 
