@@ -133,7 +133,8 @@ def applied_spec(t: Tables) -> DataFrame:
     """Fitted on the first 20 days, stored, reloaded and applied to the rest."""
     rows = _events(t)
     cut = F.lit("2024-01-21").cast("timestamp_ntz")
-    spec = fit_spec(rows.filter(F.col("ts") < cut), ["event_type", "value", "k"], OPTIONS)
+    options = OPTIONS._replace(max_cat_ratio=0.05)
+    spec = fit_spec(rows.filter(F.col("ts") < cut), ["event_type", "value", "k"], options)
     path = new_location(t.spark, "spec")
     save_spec(t.spark, spec, path)
     later = apply_spec(rows.filter(F.col("ts") >= cut), load_spec(t.spark, path), ["event_id"])

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 CORRUPT = "_corrupt_record"
+SMALLEST_LONG = -(2**63)
 
 
 class BadRecords(ValueError):
@@ -31,7 +32,8 @@ def _within_limit(parsed: DataFrame, limit: int) -> DataFrame:
     found = bad.agg(F.count("row").alias("n"), F.bit_xor("row").alias("x")).first()["n"]
     if found > limit:
         raise BadRecords(f"more than {limit} bad records")
-    good = parsed.filter(F.when(marker.isNull(), whole_row).isNotNull()) if found else parsed
+    any_hash = whole_row >= F.lit(SMALLEST_LONG)
+    good = parsed.filter(marker.isNull() & any_hash) if found else parsed
     return good.drop(CORRUPT)
 
 
