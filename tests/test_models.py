@@ -360,3 +360,24 @@ def test_cache_embeds_each_text_once(spark):
     assert found[1] == found[2] and found[4] is None and len(found[5]) == 8
     _, other_model = embed_cached(df, "text", "m2", path, embed)
     assert other_model == 2
+
+
+def test_configuration_files(tmp_path):
+    import json
+
+    (tmp_path / "model_config_global.json").write_text(json.dumps({
+        "type": "xgboost_regression", "purpose": "regression", "key_list": ["id"],
+        "label_column": "value", "loss_function": "mse", "low_info_thresh": 0.9, "max_depth": 4,
+    }))
+    (tmp_path / "submodel_params.json").write_text(json.dumps({
+        "mx": {"country": "MX", "rank": 1, "max_depth": 2}, "es": {"country": "ES", "train_pct": 0.5},
+    }))
+    from tidemark.plans.training import load_configuration
+
+    base, submodels = load_configuration(str(tmp_path))
+    assert (base.keys, base.label, base.loss) == (("id",), "value", "mse")
+    assert base.profile.low_info_thresh == 0.9 and base.params == {"max_depth": 4}
+    mexico = base.overridden(submodels["mx"])
+    assert mexico.params == {"max_depth": 2, "country": "MX", "rank": 1}
+    assert base.overridden(submodels["es"]).train_pct == 0.5
+    assert list(load_configuration(str(tmp_path), only=["es"])[1]) == ["es"]

@@ -294,3 +294,52 @@ def test_template_folder(spark, tmp_path):
     assert list(templates) == ["a", "b"]
     results = run_templates(spark, templates, {"x": "1; DROP"} | {"x": 4})
     assert results["a"].first()[0] == 5
+
+
+def test_not_a_number_counts_as_null(spark):
+    nan, inf = float("nan"), float("inf")
+    df = spark.createDataFrame([(1.0, 1.0)] * 50 + [(nan, 3.0), (None, nan)], "few double, x double")
+    spec = fit_spec(df, ["few"], ProfileOptions(max_cat_ratio=0.9, low_info_thresh=1))
+    assert spec.expanded == ["few_1", "few_nan"]
+    assert apply_spec(df, spec).agg(F.sum("few_nan").alias("n")).first()["n"] == 2
+    scaled = fit_spec(df, ["x"], ProfileOptions(max_cat_ratio=0)).columns[0]
+    assert scaled.mean == pytest.approx((50 + 3) / 51)
+    odd = spark.createDataFrame([(inf, 0.0)], "few double, x double")
+    assert apply_spec(odd, spec).first()["few_nan"] == 1
+
+
+def test_sparse_features_equal_the_columns(spark):
+    from tidemark.operators.encode import sparse_features
+    from pyspark.ml.functions import vector_to_array
+
+    df = spark.createDataFrame([(i, f"v{i % 5}", float(i)) for i in range(100)], "id int, s string, x double")
+    spec = fit_spec(df, ["s"], ProfileOptions(low_info_thresh=1))
+    narrow = apply_spec(df, spec, ["id"]).select("id", F.array(*spec.expanded).alias("flags"))
+    wide = sparse_features(df, ["s", "x"]).fit(df).transform(df).select(
+        "id", vector_to_array("features").alias("v")
+    )
+    joined = narrow.join(wide, "id").filter(
+        (F.slice("v", 1, 5) != F.col("flags").cast("array<double>")) | (F.get("v", F.size("v") - 1) != F.col("id"))
+    )
+    assert joined.isEmpty()
+
+
+def test_continuous_labels_are_refused_as_classes(spark):
+    with pytest.raises(ValueError, match="classes"):
+        label_classes(spark.range(5000), "id")
+
+
+def test_dominant_key_gives_the_same_rows(spark):
+    """A third of all rows share one key; joins and encoders keep every row."""
+    df = spark.range(30_000).select(
+        "id", F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("key")
+    )
+    encoder = fit_encoder(df, "key")
+    coded = apply_encoder(df, "key", encoder)
+    assert coded.count() == 30_000 and coded.filter("key_code is null").isEmpty()
+    assert coded.filter("key = 7").select("key_code").distinct().count() == 1
+    kept = seen_values_only(df, df.filter("id % 2 = 0"), ["key"])
+    # Row 7 carries the dominant key by itself.
+    assert kept.count() == df.filter("id % 3 = 0 or id % 2 = 0 or id = 7").count()
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan

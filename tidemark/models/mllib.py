@@ -34,7 +34,6 @@ from tidemark.operators.preparation import label_classes
 from tidemark.session import new_location
 
 LABEL_INDEX = "_label"
-MAX_CLASSES = 1000
 
 
 def assembler(features: Sequence[str]) -> VectorAssembler:
@@ -158,8 +157,6 @@ def class_index(label: str, classes: Sequence) -> Column:
 
 def _fit_classes(name: str, df: DataFrame, features, label: str, build, params: dict) -> Fitted:
     classes = label_classes(df, label)
-    if len(classes) > MAX_CLASSES:
-        raise ValueError(f"{len(classes)} classes, at most {MAX_CLASSES}")
     rows = df.filter(F.col(label).isNotNull()).withColumn(LABEL_INDEX, class_index(label, classes))
     meta = {"classes": classes, "output": params.get("output", "proba")}
     return _fit(name, rows, features, build(len(classes)), meta)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline
-from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -67,3 +67,28 @@ def categorical_features(
         )
     stages.append(VectorAssembler(inputCols=inputs, outputCol=output, handleInvalid="keep"))
     return Pipeline(stages=stages)
+
+
+def sparse_features(
+    df: DataFrame, columns: Sequence[str], output: str = "features"
+) -> Pipeline:
+    """0/1 features of text columns with very many values, as one sparse vector.
+
+    The wide form of the spec's category columns: a row stores its own values only, so
+    the width costs nothing per row. Numbers pass through; unseen values share one
+    extra slot per column.
+    """
+    text = [c for c in columns if not is_numeric(df.schema[c].dataType)]
+    indexed, flags = [f"{c}_index" for c in text], [f"{c}_flags" for c in text]
+    stages = []
+    if text:
+        stages = [
+            StringIndexer(
+                inputCols=text, outputCols=indexed, handleInvalid="keep",
+                stringOrderType="alphabetAsc",
+            ),
+            OneHotEncoder(inputCols=indexed, outputCols=flags, dropLast=False, handleInvalid="keep"),
+        ]
+    inputs = [f"{c}_flags" if c in text else c for c in columns]
+    stages.append(VectorAssembler(inputCols=inputs, outputCol=output, handleInvalid="keep"))
+    return Pipeline(stages=stages)

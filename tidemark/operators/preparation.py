@@ -28,6 +28,7 @@ from tidemark.operators.profile import (
 )
 
 ROW_KEY = "row_id"
+MAX_CLASSES = 1000
 
 
 @dataclass(frozen=True)
@@ -99,10 +100,17 @@ def split_roles(
     return df, Roles(tuple(keys), label, predictors)
 
 
+def class_sizes(df: DataFrame, label: str) -> dict:
+    """Rows per class in class order; a label that is no short list of classes is refused."""
+    found = class_counts(df, label).orderBy(label).limit(MAX_CLASSES + 1).collect()
+    if len(found) > MAX_CLASSES:
+        raise ValueError(f"{label} has more than {MAX_CLASSES} classes")
+    return {r[label]: r["n"] for r in found}
+
+
 def label_classes(df: DataFrame, label: str) -> list:
     """Sorted classes of a discrete label."""
-    counts = class_counts(df, label)
-    return [r[label] for r in counts.orderBy(label).collect()]
+    return list(class_sizes(df, label))
 
 
 def class_counts(df: DataFrame, label: str) -> DataFrame:
@@ -166,7 +174,7 @@ def fit_spec(
 
 def _scaled(spec: ColumnSpec) -> Column:
     value = F.col(f"`{spec.column}`").cast("double")
-    if spec.mean is None:
+    if spec.mean is None:  # nothing but nulls in fitting
         return F.lit(None).cast("double")
     if not spec.std:
         return F.when(value.isNotNull(), value - F.lit(spec.mean))

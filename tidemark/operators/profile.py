@@ -6,6 +6,7 @@ means and deviations, one count of the values of the category-like columns.
 
 from __future__ import annotations
 
+import math
 import re
 from collections import defaultdict
 from collections.abc import Sequence
@@ -24,7 +25,7 @@ MULTILABEL = "multilabel"
 NULL_TEXT = "nan"
 
 # Category values end up as columns of one table; beyond this many a text column is
-# an identifier, not a category, and belongs into ``label_encode``.
+# an identifier, not a category: ``sparse_features`` and ``label_encode`` take those.
 MAX_EXPANDED = 20_000
 
 
@@ -56,7 +57,8 @@ def is_numeric(data_type: T.DataType) -> bool:
 def value_text(column: str, numeric: bool) -> Column:
     """A category value as text: numbers as integers, null as ``nan``."""
     value = F.col(f"`{column}`")
-    text = value.cast("long").cast("string") if numeric else value.cast("string")
+    # NaN and infinite numbers have no whole number and count as null.
+    text = value.try_cast("long").cast("string") if numeric else value.cast("string")
     return F.coalesce(text, F.lit(NULL_TEXT))
 
 
@@ -72,7 +74,7 @@ def _first_pass(df: DataFrame, columns: Sequence[str], separator: str) -> dict:
     for i, name in enumerate(columns):
         value = F.col(f"`{name}`")
         if is_numeric(df.schema[name].dataType):
-            number = value.cast("double")
+            number = F.nanvl(value.cast("double"), F.lit(None).cast("double"))
             measures += [
                 F.avg(number).alias(f"mean_{i}"),
                 F.stddev_pop(number).alias(f"std_{i}"),
@@ -142,7 +144,7 @@ def _collected_counts(
     for row in found:
         name = columns[row["column"]]
         whole = row["whole"]
-        if row["number"] is not None and row["number"] == row["number"]:
+        if row["number"] is not None and math.isfinite(row["number"]):
             whole = int(row["number"])
         text = row["text"] if whole is None else str(whole)
         if name in numeric and text is not None and whole is None:

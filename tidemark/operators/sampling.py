@@ -7,10 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.preparation import class_counts
+from tidemark.operators.preparation import class_sizes
 
 SPLIT_STEPS = 1_000_000
-HASH_BUCKETS = 4096
+HASH_BUCKETS = 65_536
 
 
 def row_hash(keys: Sequence[str], seed: int) -> Column:
@@ -32,8 +32,8 @@ def sample_per_class(
     """Exactly ``sizes[class]`` rows of each class, chosen by the hash of their key.
 
     Rows fall into hash buckets. Bucket counts tell which bucket of a class crosses
-    its size: earlier buckets are taken whole, and only the crossing bucket, a few
-    thousandths of the class, is ranked row by row.
+    its size: earlier buckets are taken whole, and only the crossing bucket, one in
+    65,536 of the class, is ranked row by row.
     """
     hashed = df.withColumn("_hash", row_hash(keys, seed)).withColumn(
         "_bucket", F.pmod(F.col("_hash"), F.lit(HASH_BUCKETS)).cast("int")
@@ -73,7 +73,7 @@ def undersample(
     Returns the rows, ``pi`` (share of the second class before) and ``mu`` (share of
     the smallest class after).
     """
-    counts = {r[label]: r["n"] for r in class_counts(df, label).orderBy(label).collect()}
+    counts = class_sizes(df, label)
     if len(counts) < 2:
         raise ValueError("undersampling needs at least two classes")
     smallest = min(counts.values())

@@ -41,7 +41,8 @@ def prediction_records(
         raise ValueError(f"unknown purpose {purpose}")
     current: Column = F.lit(0)
     if target in scored.columns:
-        current = F.coalesce(F.col(target).cast("double"), F.lit(0.0))
+        filled = F.col(target).cast("string") != ""
+        current = F.coalesce(F.when(filled, F.col(target).cast("double")), F.lit(0.0))
     values = {
         "ts": F.lit(execution_id),
         "target_column_current_value": current,

@@ -5,8 +5,9 @@ from __future__ import annotations
 import copy
 import json
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, field, fields, replace
 from datetime import datetime, timezone
+from pathlib import Path
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
@@ -62,11 +63,15 @@ class TrainConfig:
     params: dict = field(default_factory=dict)
 
     def overridden(self, values: Mapping[str, object]) -> "TrainConfig":
-        """A fresh copy: one submodel's overrides never reach the next."""
+        """A fresh copy with some settings changed: no override reaches the next submodel.
+
+        Names of settings replace them, everything else goes to the model's parameters.
+        """
         base = copy.deepcopy(self)
+        known = {f.name for f in fields(self)} - {"params"}
         params = {**base.params, **values.get("params", {})}
-        fields = {k: v for k, v in values.items() if k != "params"}
-        return replace(base, **fields, params=params)
+        params |= {k: v for k, v in values.items() if k not in known and k != "params"}
+        return replace(base, **{k: v for k, v in values.items() if k in known}, params=params)
 
 
 @dataclass
@@ -183,6 +188,36 @@ def _train_embedding(df: DataFrame, config: TrainConfig) -> Trained:
     return Trained(fitted, None, None, _statistics(loss, None, None, df.count(), 0, 2))
 
 
+# ---- configuration files --------------------------------------------------------
+
+# Configuration file names and the settings they spell differently.
+GLOBAL_FILE = "model_config_global.json"
+SUBMODEL_FILE = "submodel_params.json"
+SETTING_NAMES = {"key_list": "keys", "label_column": "label", "loss_function": "loss"}
+
+
+def _settings(values: Mapping[str, object]) -> dict:
+    named = {SETTING_NAMES.get(k, k): v for k, v in values.items()}
+    if "keys" in named:
+        named["keys"] = tuple(named["keys"])
+    if "low_info_thresh" in named:
+        named["profile"] = ProfileOptions(low_info_thresh=float(named.pop("low_info_thresh")))
+    return named
+
+
+def load_configuration(
+    folder: str, only: Sequence[str] = ()
+) -> tuple[TrainConfig, dict[str, dict]]:
+    """A model's settings and the overrides of its (chosen) submodels."""
+    settings = _settings(json.loads((Path(folder) / GLOBAL_FILE).read_text()))
+    submodels = json.loads((Path(folder) / SUBMODEL_FILE).read_text())
+    base = TrainConfig(
+        type=settings.pop("type"), purpose=settings.pop("purpose"), keys=settings.pop("keys", ())
+    )
+    chosen = {k: _settings(v) for k, v in submodels.items() if not only or k in only}
+    return base.overridden(settings), chosen
+
+
 # ---- versions -------------------------------------------------------------------
 
 RUN_SCHEMA = T.StructType(
