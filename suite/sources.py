@@ -15,6 +15,7 @@ from tidemark.operators.position import chunk_rows, kfold, with_position
 from tidemark.session import new_location
 from tidemark.sources.export import export_files, query_to_csv
 from tidemark.sources.files import csv_to_ndjson, read_delimited, read_ndjson, read_text_files
+from tidemark.sources.load import load_files
 from tidemark.sources.messages import delivery_totals, send_batches
 from tidemark.sources.rows import rows_to_json, rows_to_vector
 from tidemark.sources.schema import PREDICTION_SCHEMAS, schema_from_json
@@ -50,7 +51,9 @@ EVENTS_SCHEMA = schema_from_json(
 def csv_round_trip(t: Tables) -> DataFrame:
     path = new_location(t.spark, "orders-csv")
     t.orders.write.csv(path, header=True, sep=";")
-    return read_delimited(t.spark, path, ORDERS_SCHEMA, delimiter=";", skip_leading_rows=1)
+    return load_files(
+        new_warehouse(t), "orders", path, "CSV", ORDERS_SCHEMA, delimiter=";", skip_leading_rows=1
+    )
 
 
 def ndjson_round_trip(t: Tables) -> DataFrame:

@@ -15,6 +15,7 @@ from tidemark.session import new_location
 from tidemark.sources.export import export_files
 from tidemark.sources.files import BadRecords, read_delimited, read_ndjson, text_after_rows
 from tidemark.sources.jdbc import jdbc_options
+from tidemark.sources.load import load_files
 from tidemark.sources.messages import NotAllSent, send_batches, send_rows
 from tidemark.sources.rows import rows_to_json, rows_to_vector
 from tidemark.sources.schema import PREDICTION_SCHEMAS, schema_from_file, schema_from_json
@@ -238,3 +239,19 @@ def test_positions_with_one_leading_value_for_most_rows(spark):
     df = spark.range(3000).select(F.when(F.col("id") % 3 > 0, 5).otherwise(F.col("id")).alias("hot"), "id")
     placed = with_position(df, ["hot", "id"]).collect()
     assert [r["position"] for r in sorted(placed, key=lambda r: (r["hot"], r["id"]))] == list(range(3000))
+
+
+def test_load_files_by_day_with_expiry(spark, folder, house):
+    path = put(folder, "x.csv", "".join(f"{i},2024-01-{i:02d} 05:00:00\n" for i in range(1, 11)))
+    schema = T.StructType().add("id", "integer").add("at", "timestamp")
+    table = load_files(
+        house, "t", path, "CSV", schema, date_partition_column="at", date_partition_expiration_days=2
+    )
+    assert sorted(r["id"] for r in table.collect()) == [8, 9, 10]
+    assert load_files(house, "t", path, "CSV", schema, date_partition_column="at").count() == 13
+    lines = put(folder, "x.json", '{"id": 1}\n')
+    assert load_files(house, "j", lines, "NEWLINE_DELIMITED_JSON", autodetect=True).count() == 1
+    with pytest.raises(ValueError):
+        load_files(house, "j", lines, "AVRO", autodetect=True)
+    with pytest.raises(ValueError):
+        load_files(house, "j", lines, "CSV")

@@ -51,7 +51,11 @@ def _quoted(text: str) -> str:
 
 
 class VersionedTable:
-    """A table of predictions keyed by ``(key, submodel_name)``."""
+    """A table of predictions keyed by ``(key, submodel_name)``.
+
+    One writer at a time. A write that breaks off leaves the view as it was; running it
+    again overwrites the unfinished version.
+    """
 
     def __init__(self, house: Warehouse, table: str, key: str = "id"):
         self.house = house

@@ -68,8 +68,12 @@ def _local_folder(application_id: str) -> str:
 
 
 def new_location(spark: SparkSession, label: str) -> str:
-    """A path in the shared folder that nothing else uses."""
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    """A path in the shared folder that nothing else uses.
+
+    Paths of one application share a folder, which may go when the application is done.
+    """
+    application = spark.sparkContext.applicationId
+    return f"{shared_dir(spark)}/{application}/{label}-{uuid.uuid4().hex}"
 
 
 def written(df: DataFrame, label: str) -> DataFrame:
