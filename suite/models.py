@@ -17,7 +17,6 @@ from tidemark.functions.scoring import (
     rescale_probability,
 )
 from tidemark.models.lifetime import (
-    average_profit,
     fit_bgnbd_summary,
     fit_gammagamma_summary,
     p_alive,

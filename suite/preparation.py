@@ -24,7 +24,6 @@ from tidemark.operators.profile import ProfileOptions, profile_columns
 from tidemark.operators.sampling import train_test_split, undersample
 from tidemark.operators.windows import distinct_list
 from tidemark.session import new_location
-from pyspark.ml.functions import array_to_vector
 
 LINE_KEYS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate"]
 LINE_COLUMNS = [

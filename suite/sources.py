@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from suite.tables import Check, Tables, check, key_number, money
-from tidemark.operators.position import chunk_rows, kfold, with_position
+from suite.tables import Check, Tables, check, money
+from tidemark.operators.position import chunk_rows, kfold
 from tidemark.session import new_location
 from tidemark.sources.export import export_files, query_to_csv
 from tidemark.sources.files import csv_to_ndjson, read_delimited, read_ndjson, read_text_files

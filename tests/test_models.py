@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions.scoring import log_loss, loss_value, proba_normalize, rescale_probability
-from tidemark.models.base import Fitted, load_fitted
+from tidemark.models.base import load_fitted
 from tidemark.models.lifetime import (
     expected_visits,
     fit_bgnbd_summary,

@@ -26,7 +26,6 @@ from tidemark.operators.preparation import (
     apply_spec,
     fit_pca,
     fit_spec,
-    label_classes,
     load_spec,
     pca_names,
     save_spec,
