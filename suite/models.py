@@ -19,7 +19,6 @@ from tidemark.functions.scoring import (
 from tidemark.models.lifetime import (
     fit_bgnbd_summary,
     fit_gammagamma_summary,
-    p_alive,
     rfm_summary,
 )
 from tidemark.models.mllib import item_vectors
