@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import language, quality
+from tidemark.llm import decontaminate, language, quality, sanitise
 from tidemark.llm.common import table
 
 
@@ -13,6 +13,12 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.repetition(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "benchmark", "item_id", "text")
+    found = decontaminate.contamination(docs, items)
+    return found.select("doc_id", "n_words", "n_hit", "n_items", decontaminate.items_digest(F.col("items")).alias("items_sha256"), "contaminated")
+
+
 def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang")
     samples = language.sample_texts(docs.filter(~language.held_out(F.col("doc_id"))))
@@ -20,7 +26,13 @@ def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sanitise.digest(sanitise.findings(table(spark, sf_dir, "documents", "doc_id", "text")))
+
+
 QUERIES = {
     "op1_quality": op1_quality,
+    "op4_decontaminate": op4_decontaminate,
     "op5_language": op5_language,
+    "op10_pii": op10_pii,
 }
