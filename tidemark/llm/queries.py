@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, language, quality, sanitise
+from tidemark.llm import decontaminate, language, packing, quality, sanitise
 from tidemark.llm.common import table
 
 
@@ -26,6 +26,10 @@ def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(table(spark, sf_dir, "documents", "doc_id", "text"), with_ids=False).drop("ids")
+
+
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sanitise.digest(sanitise.findings(table(spark, sf_dir, "documents", "doc_id", "text")))
 
@@ -34,5 +38,6 @@ QUERIES = {
     "op1_quality": op1_quality,
     "op4_decontaminate": op4_decontaminate,
     "op5_language": op5_language,
+    "op9_packing": op9_packing,
     "op10_pii": op10_pii,
 }
