@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, language, packing, quality, sanitise
+from tidemark.llm import decontaminate, html_extract, language, packing, quality, sanitise
 from tidemark.llm.common import table
 
 
@@ -13,6 +13,11 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.repetition(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op3_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages", "page_id", "url", "html")
+    return html_extract.extract(pages).select("page_id", "url", "text", "n_chars")
+
+
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, items = table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "benchmark", "item_id", "text")
     found = decontaminate.contamination(docs, items)
@@ -36,6 +41,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_quality": op1_quality,
+    "op3_html": op3_html,
     "op4_decontaminate": op4_decontaminate,
     "op5_language": op5_language,
     "op9_packing": op9_packing,
