@@ -114,7 +114,6 @@ def features(blocks: list[Block]) -> list[list[str]]:
         block = next((t for t in reversed(b.tags) if t in BLOCK), "none")
         rows += ["bias", f"block:{block}", f"words:{min(6, n.bit_length())}", f"links:{min(4, 4 * b.linked // len(b.text))}"]
         rows.append("ends" if b.text[-1] in ".!?:;。！？…\"”»" else "open")
-        rows += ["sign"] if b.text[0] in "©®→»›|" or b.text[-1] in "→»›|" else []
         rows += ["first"] if i == 0 else []
         rows += ["last"] if i == len(blocks) - 1 else []
         rows += [f"block:{block}+words:{min(6, n.bit_length())}"]

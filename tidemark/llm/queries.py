@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, html_extract, language, packing, quality, sanitise
+from tidemark.llm import decontaminate, html_extract, language, near, packing, quality, sanitise
 from tidemark.llm.common import table
 
 
@@ -13,6 +13,10 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.repetition(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op2_near(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near.jaccard_join(table(spark, sf_dir, "documents", "doc_id", "text")).drop("text_hash")
+
+
 def op3_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages", "page_id", "url", "html")
     return html_extract.extract(pages).select("page_id", "url", "text", "n_chars")
@@ -41,6 +45,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_quality": op1_quality,
+    "op2_near": op2_near,
     "op3_html": op3_html,
     "op4_decontaminate": op4_decontaminate,
     "op5_language": op5_language,
