@@ -26,6 +26,8 @@ from tidemark.session import written
 
 LENGTH, END_ID = 2048, 1
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+#: Words of one call to the tokenizer.
+TOGETHER = 500
 #: Encoded words a worker remembers; when there are more it starts anew.
 REMEMBERED = 600_000
 
@@ -43,6 +45,7 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_str(definition)
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.end = np.array([END_ID], self.dtype).tobytes()
+        self.ends_word = np.array([(self.tokenizer.id_to_token(i) or "").endswith("</w>") for i in range(self.tokenizer.get_vocab_size())])
         self.known: dict[bytes, bytes] = {}
 
     @staticmethod
@@ -52,14 +55,30 @@ class WordEncoder:
             return bare.lower(), word[-1:]
         return (word.lower() if word.isalnum() else word), b""
 
+    def _encoded(self, words: list[bytes]) -> dict[bytes, bytes]:
+        """Ids of each word. Words of letters alone go many to a call, cut where a token ends a word."""
+        names = {w: w.decode() for w in words}
+        runs = [w for w in words if names[w].isalpha()]
+        groups = [runs[i : i + TOGETHER] for i in range(0, len(runs), TOGETHER)]
+        out: dict[bytes, bytes] = {}
+        for group, found in zip(groups, self.tokenizer.encode_batch_fast([" ".join(names[w] for w in g) for g in groups], add_special_tokens=False), strict=True):
+            ids = np.array(found.ids, self.dtype)
+            cuts = np.flatnonzero(self.ends_word[ids]) + 1
+            if len(cuts) == len(group):  # otherwise some word is more than one run of letters to the tokenizer
+                raw, n = ids.tobytes(), self.dtype.itemsize
+                out.update((w, raw[n * a : n * b]) for w, a, b in zip(group, [0, *cuts[:-1].tolist()], cuts.tolist(), strict=True))
+        rest = [w for w in words if w not in out]
+        alone = self.tokenizer.encode_batch_fast([names[w] for w in rest], add_special_tokens=False)
+        out.update((w, np.array(x.ids, self.dtype).tobytes()) for w, x in zip(rest, alone, strict=True))
+        return out
+
     def learn(self, words: set[bytes]) -> None:
         if len(self.known) > REMEMBERED:
             self.known.clear()
         new = [w for w in words if w not in self.known]
         parts = [self._parts(w) for w in new]
         ask = list({p for pair in parts for p in pair if p and p not in self.known})
-        found = self.tokenizer.encode_batch_fast([w.decode() for w in ask], add_special_tokens=False)
-        self.known.update(zip(ask, (np.array(x.ids, self.dtype).tobytes() for x in found), strict=True))
+        self.known.update(self._encoded(ask))
         self.known[b""] = b""
         self.known.update((w, self.known[a] + self.known[b]) for w, (a, b) in zip(new, parts, strict=True))
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, html_extract, language, near, packing, quality, sanitise
+from tidemark.llm import decontaminate, html_extract, language, near, packing, passages, quality, sanitise
 from tidemark.llm.common import table
 
 
@@ -35,6 +35,10 @@ def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+def op7_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.without_repeats(table(spark, sf_dir, "documents", "doc_id", "text"), with_text=False)
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents", "doc_id", "text"), with_ids=False).drop("ids")
 
@@ -49,6 +53,7 @@ QUERIES = {
     "op3_html": op3_html,
     "op4_decontaminate": op4_decontaminate,
     "op5_language": op5_language,
+    "op7_passages": op7_passages,
     "op9_packing": op9_packing,
     "op10_pii": op10_pii,
 }
