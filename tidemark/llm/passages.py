@@ -274,7 +274,7 @@ def repeated_stretches(docs: DataFrame, id_column: str = "doc_id", text_column:
         "rep.doc_id", "rep.text_hash", F.struct("anchor", "content", "rep.start", "rep.count", (F.col("n") == 1).alias("asked"), (F.col("different") > HOT_STRETCHES).alias("hot")).alias("wanted")
     )
     wanted = wanted.groupBy("doc_id", "text_hash").agg(F.collect_list("wanted").alias("wanted"))
-    spelled = _joined(rows, wanted, "inner").select("text", "wanted").mapInArrow(_spell_out, "route long, anchor long, content long, first int, asked boolean, words binary")
+    spelled = _joined(rows, wanted, "inner").select("text", "wanted").mapInArrow(_spell_out, "route long, anchor long, content long, first long, asked boolean, words binary")
     spelled = spelled.withColumn("shard", F.pmod(F.xxhash64("route"), F.lit(shards)))
     found = spelled.repartition("shard").sortWithinPartitions("shard", "anchor", "content", "first").mapInArrow(_search, "anchor long, content long, mask long")
     copies = groups.filter("n > 1").select("anchor", "content", F.expr("shiftleft(1L, rep.count) - 1").alias("mask"))
