@@ -2,4 +2,86 @@
 
 from __future__ import annotations
 
-SQL: dict[str, str] = {}
+from tidemark.llm import quality
+
+_WORDS = r"list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '')"
+
+
+def _quality() -> str:
+    """Windows of every length, counted and covered word by word."""
+    lengths = list(quality.LENGTHS)
+    longest = max(quality.LENGTHS)
+    covered = "\n".join(
+        f"left join (select r, sum(size) as c, count(*) as n from (select distinct p.r, p.i, p.size from pos p join rep on rep.r = p.r and rep.n = {n} and p.i between rep.i and rep.i + {n - 1}) group by r) d{n} on d{n}.r = t.r"
+        for n in quality.DUPLICATE_LIMITS
+    )
+    tops = "\n".join(f"left join (select r, max(held) as c from rep where n = {n} and times >= {quality.TOP_LEAST} group by r) t{n} on t{n}.r = t.r" for n in quality.TOP_LIMITS)
+    bad = [f"100 * coalesce(t{n}.c, 0) > {x} * word_chars" for n, x in quality.TOP_LIMITS.items()]
+    bad += [f"100 * coalesce(d{n}.c, 0) > {x} * word_chars" for n, x in quality.DUPLICATE_LIMITS.items()]
+    bad += [f"100 * n_dup_lines > {quality.LINE_LIMIT} * n_lines", f"100 * dup_line_chars > {quality.LINE_CHARS_LIMIT} * line_chars"]
+    columns = ["dup_line_chars"] + [f"cast(coalesce(t{n}.c, 0) as bigint) as top_{n}_chars" for n in quality.TOP_LIMITS] + [f"cast(coalesce(d{n}.c, 0) as bigint) as dup_{n}_chars" for n in quality.DUPLICATE_LIMITS]
+    return f"""
+with docs as (select row_number() over () as r, doc_id, coalesce(text, '') as text, {_WORDS} as words,
+        list_filter(string_split(coalesce(text, ''), chr(10)), lambda l: regexp_matches(l, '[^\\x20\\x09-\\x0D]')) as lines from documents),
+pos as (select r, i, words[i] as w, length(words[i]) as size from docs, unnest(range(1, len(words) + 1)) as u(i)),
+run as (select r, i, len(words) as total, words, unnest({lengths}) as n from docs, unnest(range(1, len(words) + 1)) as u(i)),
+wins as (select r, i, n, words[i : i + n - 1] as g from run where i + n - 1 <= total),
+rep as (select r, i, n, g, count(*) over (partition by r, n, g) as times,
+        list_sum(list_transform(g, lambda w: length(w))) * count(*) over (partition by r, n, g) as held from wins qualify times > 1),
+t as (select r, doc_id, len(words) as n_words, coalesce(list_sum(list_transform(words, lambda w: length(w))), 0) as word_chars,
+        length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) as n_symbols,
+        len(lines) as n_lines, len(lines) - len(list_distinct(lines)) as n_dup_lines,
+        coalesce(list_sum(list_transform(lines, lambda l: length(l))), 0) as line_chars,
+        coalesce(list_sum(list_transform(lines, lambda l: length(l))), 0) - coalesce(list_sum(list_transform(list_distinct(lines), lambda l: length(l))), 0) as dup_line_chars from docs),
+m as (select t.*, coalesce(d{quality.BASE_LENGTH}.n, 0) as n_repeat_words, ({" or ".join(bad)}) as bad, {", ".join(columns[1:])}
+    from t {tops} {covered}),
+v as (select *, n_words < {quality.BASE_WORDS} or 100 * n_repeat_words > {quality.BASE_REPEAT} * n_words as base_failed from m)
+select doc_id, {", ".join(f"cast({c} as bigint) as {c}" for c in quality.COLUMNS)}, base_failed, not base_failed and not bad as kept,
+    {", ".join(f"cast({c} as bigint) as {c}" for c in quality.MEASURES)} from v
+"""  # noqa: S608 - longest is fixed by LENGTHS
+
+
+_NO_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+_LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+DECONTAMINATE = f"""
+with docs as (select row_number() over () as r, doc_id, list_filter(regexp_split_to_array({_LOWERED}, '{_NO_WORD}'), lambda w: w <> '') as words from documents),
+items as (select item_id, list_filter(regexp_split_to_array({_LOWERED}, '{_NO_WORD}'), lambda w: w <> '') as words from benchmark where item_id is not null),
+grams as (select distinct item_id, words[i : i + least(len(words), 10) - 1] as g from items, unnest(range(1, len(words) + 1)) as u(i)
+    where i + least(len(words), 10) - 1 <= len(words)),
+lengths as (select distinct len(g) as n from grams),
+wins as (select r, i, n, words[i : i + n - 1] as g from docs, lengths, unnest(range(1, len(words) + 1)) as u(i) where i + n - 1 <= len(words)),
+hits as (select r, i, n, item_id from wins join grams using (g)),
+words_hit as (select r, count(distinct p) as n_hit from hits, unnest(range(i, i + n)) as u(p) group by r),
+items_hit as (select r, count(distinct item_id) as n_items, string_agg(distinct cast(item_id as varchar), ',' order by cast(item_id as varchar)) as ids from hits group by r)
+select doc_id, cast(len(words) as bigint) as n_words, cast(coalesce(n_hit, 0) as bigint) as n_hit, cast(coalesce(n_items, 0) as bigint) as n_items,
+    sha256(coalesce(ids, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from docs left join words_hit using (r) left join items_hit using (r)
+"""
+
+PREFERENCE = """
+with last as (select conv_id, max({'turn': turn, 'text': text}) as l from conversations where role = 'assistant' group by conv_id),
+pair as (select a.conv_id, a.l.turn as turn, b.l.text as other from last a join last b on b.conv_id = xor(a.conv_id, 1)),
+sides as (select c.conv_id, c.turn, c.role, replace(coalesce(c.text, ''), '<|im_', '<| im_') as chosen,
+        replace(coalesce(case when c.turn = p.turn then p.other else c.text end, ''), '<|im_', '<| im_') as rejected
+    from conversations c join pair p using (conv_id) where c.turn <= p.turn),
+marked as (select *, coalesce(bool_and(chosen = rejected) over (partition by conv_id order by turn), true) as shared from sides),
+drawn as (select *, '<|im_start|>' || role || chr(10) as head, '<|im_end|>' || chr(10) as tail from marked),
+placed as (select *, sum(case when shared then 0 else length(head || chosen || tail) end) over w - length(chosen || tail) as c_at,
+        sum(case when shared then 0 else length(head || rejected || tail) end) over w - length(rejected || tail) as r_at
+    from drawn window w as (partition by conv_id order by turn))
+select conv_id, cast(count(*) filter (shared) as int) as n_prompt_turns,
+    coalesce(string_agg(head || chosen || tail, '' order by turn) filter (shared), '') as prompt,
+    coalesce(string_agg(head || chosen || tail, '' order by turn) filter (not shared), '') as chosen,
+    coalesce(string_agg(head || rejected || tail, '' order by turn) filter (not shared), '') as rejected,
+    coalesce(string_agg(c_at || ':' || (c_at + length(chosen) + 10), ',' order by turn) filter (not shared and role = 'assistant'), '') as chosen_spans,
+    coalesce(string_agg(r_at || ':' || (r_at + length(rejected) + 10), ',' order by turn) filter (not shared and role = 'assistant'), '') as rejected_spans,
+    count(*) filter (not shared and role = 'assistant') > 0 as usable
+from placed group by conv_id
+"""
+
+SQL = {
+    "op1_quality": _quality(),
+    "op4_decontaminate": DECONTAMINATE,
+    "op8_preference": PREFERENCE,
+}

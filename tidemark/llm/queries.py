@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, html_extract, language, near, packing, passages, quality, sanitise
+from tidemark.llm import decontaminate, html_extract, language, near, packing, passages, preference, quality, sanitise
 from tidemark.llm.common import table
 
 
@@ -39,6 +39,12 @@ def op7_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passages.without_repeats(table(spark, sf_dir, "documents", "doc_id", "text"), with_text=False)
 
 
+def op8_preference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = preference.replaced_answers(table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"))
+    pairs = preference.preference_pairs(turns).withColumnRenamed("pair_id", "conv_id")
+    return pairs.withColumns({c: preference.spans_text(F.col(c)) for c in ("chosen_spans", "rejected_spans")})
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents", "doc_id", "text"), with_ids=False).drop("ids")
 
@@ -54,6 +60,7 @@ QUERIES = {
     "op4_decontaminate": op4_decontaminate,
     "op5_language": op5_language,
     "op7_passages": op7_passages,
+    "op8_preference": op8_preference,
     "op9_packing": op9_packing,
     "op10_pii": op10_pii,
 }
