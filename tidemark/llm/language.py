@@ -187,6 +187,27 @@ def identify(docs: DataFrame, samples: dict[str, str], id_column: str = "doc_id"
     return source.mapInArrow(run, f"doc_id {kind}, lang_pred string, score double, n_letters long, phrases_per_letter double")
 
 
+def keep_identified(docs: DataFrame, samples: dict[str, str], text_column: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, whose text has a language: null texts and texts without a letter go.
+
+    If no language is known, no row is rejected. No shuffle.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(Parser(samples))
+
+    def run(batches) -> Iterator[pa.RecordBatch]:
+        parser = shared.value
+        known = parser.letter_classes()
+        for batch in batches:
+            texts = [x or "" for x in batch.column(text_column).to_pylist()]
+            kept = [np.zeros(0, bool)]
+            for lo, hi in chunks(texts, CHUNK):
+                counts, letters = parser.phrases(texts[lo:hi], known)
+                kept.append((letters > 0) & (counts.sum(axis=1) > 0))
+            yield batch.filter(pa.array(np.concatenate(kept)))
+
+    return docs.mapInArrow(run, docs.schema) if samples else docs
+
+
 def held_out(key: Column) -> Column:
     """Whether a document is set aside for measuring: crc32 of its id as text, modulo 3, is 1."""
     return F.coalesce(F.crc32(key.cast("string").cast("binary")) % 3 == 1, F.lit(False))

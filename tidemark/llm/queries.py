@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, html_extract, language, near, packing, passages, preference, quality, sanitise
+from tidemark.llm import decontaminate, html_extract, language, lm_score, near, packing, passages, preference, quality, sanitise
 from tidemark.llm.common import table
 
 
@@ -35,6 +35,12 @@ def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+def op6_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    good = table(spark, sf_dir, "labels", "doc_id", "quality").filter("quality = 1").select("doc_id")
+    return lm_score.cross_entropy_difference(docs, good)
+
+
 def op7_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passages.without_repeats(table(spark, sf_dir, "documents", "doc_id", "text"), with_text=False)
 
@@ -59,6 +65,7 @@ QUERIES = {
     "op3_html": op3_html,
     "op4_decontaminate": op4_decontaminate,
     "op5_language": op5_language,
+    "op6_lm_score": op6_lm_score,
     "op7_passages": op7_passages,
     "op8_preference": op8_preference,
     "op9_packing": op9_packing,
