@@ -80,7 +80,9 @@ class Parser:
                 for c, to in row.items():
                     table[state, self.classes[c]] = to + base
             first = np.where(table[0] < 0, base, table[0])
-            tables.append(np.where(table < 0, ~first, table).astype(np.int32))
+            table = np.where(table < 0, ~first, table).astype(np.int32)
+            table[0] = ~first  # whatever is read at the root begins a phrase
+            tables.append(table)
             roots.append(base)
             base += len(moves)
         self.moves = np.concatenate([t.ravel() for t in tables]) if tables else np.zeros(0, np.int32)
@@ -113,7 +115,7 @@ class Parser:
         of, start, length = (np.array(x) for x in zip(*sorted(cuts, key=lambda x: -x[2]), strict=True))
         active = np.searchsorted(-length, -np.arange(length[0]), side="left")  # segments longer than each step
         state = np.tile(self.roots, (len(of), 1))
-        count = np.ones_like(state)
+        count = np.zeros_like(state)
         for step in range(length[0]):
             n = active[step]
             to = self.moves.take(state[:n] * self.width + classes[start[:n] + step][:, None])
