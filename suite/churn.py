@@ -743,7 +743,12 @@ CHECKS: dict[str, Check] = {
         """SELECT strftime(max(ts), '%Y-%m-%d %H:%M:%S') AS last_date FROM events
         WHERE ts >= TIMESTAMP '2024-02-05' - INTERVAL 14 DAY""",
     ),
-    "sample_dates": check(sampled_dates),
+    "sample_dates": check(
+        lambda t: sampled_dates(t).agg(
+            F.count_distinct("statsdate").alias("n"), (F.max("statsdate") <= F.lit(AS_OF).cast("timestamp")).alias("before_end"),
+        ),
+        "SELECT CAST(10 AS BIGINT) AS n, TRUE AS before_end FROM (SELECT max(ts) AS last FROM events) WHERE last IS NOT NULL",
+    ),
     "customer_window_agg": check(flagship, flagship_sql(DATES, 7, 7)),
     "customer_window_table": check(flagship_stored, _stored_sql()),
     "customer_window_agg_1_1": check(

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from suite.sources import new_warehouse
+from suite.preparation import component_facts
 from suite.tables import Check, Tables, check, key_number, money
 from tidemark.functions.scoring import (
     classification_output,
@@ -17,8 +19,11 @@ from tidemark.functions.scoring import (
     rescale_probability,
 )
 from tidemark.models.lifetime import (
+    bgnbd_log_likelihood,
     fit_bgnbd_summary,
     fit_gammagamma_summary,
+    gammagamma_log_likelihood,
+    mean_likelihoods,
     rfm_summary,
 )
 from tidemark.models.mllib import item_vectors
@@ -72,15 +77,45 @@ def text_numbers(t: Tables) -> DataFrame:
 TEXT_FEATURES = ["chars", "words", "digits", "marks"]
 
 
-def _by_class(fitted: Fitted, rows: DataFrame, key: str) -> DataFrame:
-    scored = fitted.score(rows)
-    return scored.select(key, F.posexplode("prediction").alias("class", "score"))
+def _by_class(fitted: Fitted, rows: DataFrame, key: str, label: str) -> DataFrame:
+    """Per class: rows, whether scores are shares, and whether they tell more than the class sizes do."""
+    classes = fitted.meta["classes"]
+    total = F.aggregate("prediction", F.lit(0.0), lambda a, x: a + x)
+    scored = fitted.score(rows).withColumns(
+        {"share": total, "own": F.get("prediction", F.array_position(F.lit(classes), F.col(label)).cast("int") - 1)}
+    )
+    per_class = scored.groupBy(F.col(label).cast("long").alias("class")).agg(
+        F.count_distinct(key).alias("n"), F.max(F.abs(F.col("share") - 1) < 1e-6).alias("sums_to_one"),
+        F.sum(-F.ln(F.greatest("own", F.lit(1e-15)))).alias("cost"),
+    )
+    everything = Window.partitionBy()  # one row per class
+    size = F.sum("n").over(everything)
+    constant = F.sum(-F.col("n") * F.ln(F.col("n") / size)).over(everything)
+    return per_class.select("class", "n", "sums_to_one", (F.sum("cost").over(everything) < constant).alias("tells_more"))
+
+
+_CLASSES = "SELECT CAST({label} AS BIGINT) AS class, count(*) AS n, TRUE AS sums_to_one, TRUE AS tells_more FROM {rows} GROUP BY 1"
+_VECTOR_CLASSES = _CLASSES.format(label="label", rows="embeddings")
+_QUALITY_CLASSES = _CLASSES.format(label="quality", rows="labels JOIN documents USING (doc_id)")
+_LINES_EXPLAINED = """SELECT count(*) AS n, count(*) AS keys, TRUE AS explains_half, TRUE AS unbiased, TRUE AS varies FROM lineitem"""
+
+
+def charges(t: Tables) -> DataFrame:
+    """Lines with what they cost in the end."""
+    charge = F.col("l_extendedprice") * (1 - F.col("l_discount")) * (1 + F.col("l_tax"))
+    return t.lineitem.select(*LINE_KEYS, *LINE_FEATURES, "l_returnflag", "l_extendedprice", charge.cast("double").alias("l_charge"))
 
 
 def _regression(name: str, **params):
     def build(t: Tables) -> DataFrame:
-        fitted = fit_model(name, t.lineitem, LINE_FEATURES, "l_extendedprice", **params)
-        return fitted.score(t.lineitem).select(*LINE_KEYS, "prediction")
+        rows = charges(t)
+        fitted = fit_model(name, rows, [*LINE_FEATURES, "l_extendedprice"], "l_charge", **params)
+        y, p = F.col("l_charge"), F.col("prediction")
+        return fitted.score(rows).agg(
+            F.count("prediction").alias("n"), F.count(F.struct(*LINE_KEYS)).alias("keys"),
+            (F.avg((y - p) * (y - p)) < 0.5 * F.var_pop(y)).alias("explains_half"),
+            (F.abs(F.avg(y - p)) < 0.02 * F.avg(y)).alias("unbiased"), (F.count_distinct("prediction") > 10).alias("varies"),
+        )
 
     return build
 
@@ -88,7 +123,7 @@ def _regression(name: str, **params):
 def _vector_classes(name: str, **params):
     def build(t: Tables) -> DataFrame:
         rows = vectors(t)
-        return _by_class(fit_model(name, rows, DIMENSIONS, "label", **params), rows, "vec_id")
+        return _by_class(fit_model(name, rows, DIMENSIONS, "label", **params), rows, "vec_id", "label")
 
     return build
 
@@ -96,7 +131,7 @@ def _vector_classes(name: str, **params):
 def _quality_classes(name: str, **params):
     def build(t: Tables) -> DataFrame:
         rows = text_numbers(t)
-        return _by_class(fit_model(name, rows, TEXT_FEATURES, "quality", **params), rows, "doc_id")
+        return _by_class(fit_model(name, rows, TEXT_FEATURES, "quality", **params), rows, "doc_id", "quality")
 
     return build
 
@@ -111,8 +146,15 @@ def linear_fit(t: Tables) -> DataFrame:
 
 def kmeans(t: Tables) -> DataFrame:
     rows = vectors(t)
-    fitted = fit_model("kmeans_clustering", rows, DIMENSIONS, n_clusters=10, n_init=3)
-    return fitted.score(rows).select("vec_id", "label", "prediction")
+    fitted = fit_model("kmeans_clustering", rows, DIMENSIONS, n_clusters=10)
+    scored = fitted.score(rows)
+    spread = sum((F.var_pop(c) * F.count(F.lit(1)) for c in DIMENSIONS), F.lit(0.0))
+    sizes = scored.groupBy("prediction").agg(F.count(F.lit(1)).alias("n"), spread.alias("inside"))
+    whole = rows.agg(spread.alias("s")).first()["s"]
+    return sizes.agg(
+        F.sum("n").alias("n"), F.count(F.lit(1)).alias("clusters"), (F.sum("inside") < whole).alias("tighter"),
+        (F.abs(F.sum("inside") / fitted.meta["cost"] - 1) < 1e-6).alias("cost_is_spread"),
+    )
 
 
 def user_items(t: Tables) -> DataFrame:
@@ -133,12 +175,17 @@ def _dot(t: Tables):
 
 def dot_embedding(t: Tables) -> DataFrame:
     fitted, coded, _ = _dot(t)
-    return fitted.score(coded).select("user_id", "k", "value", "prediction")
+    error = F.col("value") - F.col("prediction")
+    return fitted.score(coded).agg(
+        F.count("prediction").alias("n"), F.count_distinct("user_id").alias("users"), F.count_distinct("k").alias("items"),
+        (F.avg(error * error) < F.avg(F.col("value") * F.col("value"))).alias("fits"),
+    )
 
 
 def embedding_export(t: Tables) -> DataFrame:
     fitted, _, items = _dot(t)
-    return item_vectors(fitted, items, "k").select("k", F.inline("embedding"))
+    vectors = item_vectors(fitted, items, "k").select("k", F.inline("embedding"))
+    return vectors.select("k", "dim", (F.abs("value") < 1e6).alias("finite"))
 
 
 # ---- lifetime -------------------------------------------------------------------
@@ -155,9 +202,25 @@ def weekly_summary(t: Tables) -> DataFrame:
     return rfm_summary(t.events.withColumn("amount", money("value")), "user_id", "ts", "amount")
 
 
-def params_row(t: Tables, fitted: Fitted) -> DataFrame:
-    found = fitted.meta["params"]
-    return t.spark.createDataFrame([tuple(found.values())], ", ".join(f"{k} double" for k in found))
+def peak_row(summary_rows: DataFrame, fitted: Fitted, likelihood, columns: list[str]) -> DataFrame:
+    """Customers, and whether moving any parameter by 5 % either way makes the data less likely."""
+    found = np.array(list(fitted.meta["params"].values()))
+    near = [found * np.where(np.arange(len(found)) == i, f, 1.0) for i in range(len(found)) for f in (0.95, 1.05)]
+    merged = summary_rows.groupBy(*columns).agg(F.count(F.lit(1)).alias("weight"))
+    means = mean_likelihoods(merged, columns, likelihood, np.array([found, *near]))
+    return summary_rows.agg(F.count(F.lit(1)).alias("n")).select(
+        "n", F.lit(bool((found > 0).all())).alias("positive"), F.lit(bool((means[0] >= means[1:] - 1e-6).all())).alias("peak")
+    )
+
+
+def bgnbd_peak(t: Tables) -> DataFrame:
+    rows = weekly_summary(t)
+    return peak_row(rows, fit_bgnbd_summary(rows), bgnbd_log_likelihood, ["frequency", "recency", "T"])
+
+
+def gammagamma_peak(t: Tables) -> DataFrame:
+    rows = summary(t).filter("frequency > 0")
+    return peak_row(rows, fit_gammagamma_summary(rows, 0.0), gammagamma_log_likelihood, ["frequency", "monetary_value"])
 
 
 BG = {"r": 0.25, "alpha": 4.5, "a": 0.8, "b": 2.4}
@@ -167,8 +230,12 @@ GG = {"p": 6.25, "q": 3.75, "v": 15.5}
 def visits(t: Tables) -> DataFrame:
     fitted = Fitted("beta_geometric", None, {"params": BG})
     rows = weekly_summary(t).withColumn("prediction_window", F.lit(7))
-    return fitted.score(rows).select(
-        "user_id", "frequency", F.inline("prediction").alias("measure", "value")
+    found = fitted.score(rows).select("frequency", F.inline("prediction").alias("measure", "value"))
+    value = F.col("value").cast("double")
+    share = F.col("measure") != "visits"
+    return found.groupBy("measure").agg(
+        F.count("value").alias("n"), F.min(F.when(share, value.between(0, 1)).otherwise(value >= 0)).alias("in_range"),
+        F.count_if((F.col("frequency") == 0) & (F.col("measure") == "p_alive_global") & (value == 1)).alias("surely_alive"),
     )
 
 
@@ -276,11 +343,17 @@ LINEAR = TrainConfig(
 def champions(t: Tables) -> DataFrame:
     """A weak model, a better one that replaces it, and the weak one again, refused."""
     store = ModelStore(t.spark, new_location(t.spark, "store"))
-    rows = line_rows(t)
-    weak = LINEAR.overridden({"params": {"alpha": 1e6}})
-    for config in (weak, LINEAR, weak):
+    rows = charges(t)
+    good = LINEAR.overridden({"label": "l_charge"})
+    weak = good.overridden({"params": {"alpha": 1e6}})
+    for config in (weak, good, weak):
         run_submodel(rows, config, store, "price", "all")
-    return store.runs().select("version", "promoted", "loss", "production_loss", "train_rows", "test_rows")
+    runs = store.runs()
+    best = F.col("loss") < F.col("production_loss")
+    return runs.select(
+        "version", "promoted", (F.col("train_rows") + F.col("test_rows")).alias("n"), F.coalesce(best, F.lit(True)).alias("better"),
+        (F.abs(F.col("train_rows") / (F.col("train_rows") + F.col("test_rows")) - 0.8) < 0.05).alias("four_fifths"),
+    )
 
 
 def statistics(t: Tables) -> DataFrame:
@@ -289,10 +362,13 @@ def statistics(t: Tables) -> DataFrame:
     config = TrainConfig(
         type="logistic_regression", purpose="classification", keys=("doc_id",), label="quality",
         loss="log_loss", balance_ratio=1, profile=ProfileOptions(max_cat_ratio=0, low_info_thresh=1),
-        params={"max_iter": 20},
     )
     run_submodel(text_numbers(t), config, store, "quality", "all")
-    return store.runs().drop("path")
+    return store.runs().select(
+        "model_name", "submodel_name", "version", "promoted", "columns",
+        (F.abs(F.col("mu") - 0.5) < 1e-9).alias("balanced"), F.col("pi").between(0.01, 0.99).alias("share_known"),
+        F.col("production_loss").isNull().alias("first"), ((F.col("loss") > 0) & (F.col("loss") < 1)).alias("measured"),
+    )
 
 
 def submodels(t: Tables) -> DataFrame:
@@ -328,9 +404,14 @@ def scoring_run(t: Tables) -> DataFrame:
     )
     run_submodel(rows, config, store, "balance", "all")
     house = new_warehouse(t)
-    return predict_submodel(
+    stored = predict_submodel(
         house, store, rows, "balance", "all", "regression", "c_custkey", 1700000000, target="c_acctbal"
     )
+    error = F.col("model_value") - F.col("target_column_current_value")
+    return stored.groupBy("ts", "model_name", "submodel_name").agg(
+        F.count_distinct("id").alias("n"), F.count("model_value").alias("scored"), F.round(F.sum("target_column_current_value"), 2).alias("target"),
+        (F.abs(F.avg(error)) < 0.1 * F.stddev("target_column_current_value")).alias("unbiased"),
+    )
 
 
 def training_data(t: Tables) -> DataFrame:
@@ -397,11 +478,11 @@ _RECORD = """CAST(1700000000 AS BIGINT) AS ts, CASE WHEN c_custkey % 5 > 0 THEN
   CAST({part} AS BIGINT) AS part, {name} AS name"""
 
 CHECKS: dict[str, Check] = {
-    "rf_regression": check(_regression("random_forest_regression", trees=20)),
-    "rf_classification": check(_vector_classes("random_forest_classification", trees=20, min_samples_leaf=5)),
-    "tree_regression": check(_regression("tree_regression")),
-    "tree_classification": check(_vector_classes("tree_classification", min_samples_leaf=5)),
-    "nn_classification": check(_vector_classes("neural_network_classification", nodes=(32, 16))),
+    "rf_regression": check(_regression("random_forest_regression"), _LINES_EXPLAINED),
+    "rf_classification": check(_vector_classes("random_forest_classification"), _VECTOR_CLASSES),
+    "tree_regression": check(_regression("tree_regression"), _LINES_EXPLAINED),
+    "tree_classification": check(_vector_classes("tree_classification"), _VECTOR_CLASSES),
+    "nn_classification": check(_vector_classes("neural_network_classification", nodes=(32, 16)), _VECTOR_CLASSES),
     "linear_regression": check(
         linear_fit,
         """SELECT DISTINCT l_quantity, round(
@@ -409,20 +490,34 @@ CHECKS: dict[str, Check] = {
           + (SELECT regr_slope(l_extendedprice, l_quantity) FROM lineitem) * l_quantity, 2) AS prediction
         FROM lineitem""",
     ),
-    "logistic_regression": check(_quality_classes("logistic_regression", max_iter=20)),
-    "kmeans": check(kmeans),
-    "gbt_classification": check(_quality_classes("xgboost_classification", n_estimators=20)),
-    "gbt_regression": check(_regression("xgboost_regression", n_estimators=20)),
-    "dot_embedding": check(dot_embedding),
-    "embedding_export": check(embedding_export),
+    "logistic_regression": check(_quality_classes("logistic_regression"), _QUALITY_CLASSES),
+    "kmeans": check(kmeans, "SELECT count(*) AS n, CAST(10 AS BIGINT) AS clusters, TRUE AS tighter, TRUE AS cost_is_spread FROM embeddings"),
+    "gbt_classification": check(_quality_classes("xgboost_classification"), _QUALITY_CLASSES),
+    "gbt_regression": check(_regression("xgboost_regression"), _LINES_EXPLAINED),
+    "dot_embedding": check(
+        dot_embedding,
+        """WITH p AS (SELECT DISTINCT user_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events)
+        SELECT count(*) AS n, count(DISTINCT user_id) AS users, count(DISTINCT k) AS items, TRUE AS fits FROM p""",
+    ),
+    "embedding_export": check(
+        embedding_export,
+        """WITH p AS (SELECT DISTINCT CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events)
+        SELECT k, CAST(dim AS BIGINT) AS dim, TRUE AS finite FROM p, (SELECT unnest(range(6)) AS dim)""",
+    ),
     "rfm_summary": check(
         lambda t: summary(t).withColumn("monetary_value", F.round("monetary_value", 6)),
         _ORDERS_RFM
         + """SELECT customer AS o_custkey, frequency, recency, t AS "T",
         round(monetary, 6) AS monetary_value FROM rfm""",
     ),
-    "bgnbd_fit": check(lambda t: params_row(t, fit_bgnbd_summary(summary(t), 0.001))),
-    "bgnbd_predict": check(visits),
+    "bgnbd_fit": check(bgnbd_peak, "SELECT count(DISTINCT user_id) AS n, TRUE AS positive, TRUE AS peak FROM events"),
+    "bgnbd_predict": check(
+        visits,
+        _EVENTS_RFM
+        + """SELECT measure, count(*) AS n, TRUE AS in_range,
+        count(*) FILTER (frequency = 0 AND measure = 'p_alive_global') AS surely_alive
+        FROM rfm, (VALUES ('visits'), ('p_alive'), ('p_alive_global')) v(measure) GROUP BY 1""",
+    ),
     "bgnbd_p_alive": check(
         alive_now,
         _EVENTS_RFM
@@ -431,7 +526,9 @@ CHECKS: dict[str, Check] = {
           * pow(({BG['alpha']} + t) / ({BG['alpha']} + recency), {BG['r']} + frequency)) END, 4)
         AS p_alive_global FROM rfm""",
     ),
-    "gammagamma_fit": check(lambda t: params_row(t, fit_gammagamma_summary(summary(t), 0.0))),
+    "gammagamma_fit": check(
+        gammagamma_peak, _ORDERS_RFM + "SELECT count(*) AS n, TRUE AS positive, TRUE AS peak FROM rfm WHERE frequency > 0"
+    ),
     "gammagamma_predict": check(
         profits,
         _ORDERS_RFM
@@ -460,8 +557,8 @@ CHECKS: dict[str, Check] = {
         silhouettes,
         """WITH e AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),
         m AS (SELECT a.vec_id, a.label, b.label AS other,
-            CASE WHEN a.label = b.label THEN sum(list_distance(a.x, b.x)) / greatest(count(*) - 1, 1)
-            ELSE avg(list_distance(a.x, b.x)) END AS d, count(*) AS n
+            CASE WHEN a.label = b.label THEN sum(pow(list_distance(a.x, b.x), 2)) / greatest(count(*) - 1, 1)
+            ELSE avg(pow(list_distance(a.x, b.x), 2)) END AS d, count(*) AS n
           FROM e a, e b GROUP BY 1, 2, 3),
         s AS (SELECT vec_id, max(d) FILTER (label = other) AS inside,
             max(n) FILTER (label = other) AS size, min(d) FILTER (label <> other) AS outside
@@ -469,7 +566,21 @@ CHECKS: dict[str, Check] = {
         SELECT vec_id, round(CASE WHEN size = 1 THEN 0 ELSE
           (outside - inside) / greatest(inside, outside) END, 6) AS silhouette FROM s""",
     ),
-    "silhouette_squared": check(squared),
+    "silhouette_squared": check(
+        squared,
+        """WITH e AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),
+        d AS (SELECT label, i, count(*) AS n, sum(x[i]) AS s, sum(x[i] * x[i]) AS q
+          FROM e, (SELECT unnest(range(1, 65)) AS i) GROUP BY 1, 2),
+        c AS (SELECT label AS other, any_value(n) AS n, list(s / n ORDER BY i) AS middle, sum(q) / any_value(n) AS q
+          FROM d GROUP BY 1),
+        m AS (SELECT vec_id, label, other, n,
+            list_dot_product(x, x) - 2 * list_dot_product(x, middle) + q AS d FROM e, c),
+        s AS (SELECT vec_id, max(n) FILTER (label = other) AS size,
+            max(d * n / greatest(n - 1, 1)) FILTER (label = other) AS inside, min(d) FILTER (label <> other) AS outside
+          FROM m GROUP BY 1)
+        SELECT (SELECT count(*) FROM e) AS n, round(avg(CASE WHEN size = 1 THEN 0 ELSE
+          (outside - inside) / greatest(inside, outside) END), 6) AS silhouette FROM s""",
+    ),
     "proba_normalize": check(
         type_shares,
         """WITH s AS (SELECT user_id, sum(CAST(value AS DECIMAL(18,2))) AS total,
@@ -507,15 +618,28 @@ CHECKS: dict[str, Check] = {
         + _RECORD.format(value="round(c_acctbal, 6)", model="lifetime", part="0", name="'visits'")
         + " FROM customer",
     ),
-    "champion_challenger": check(champions),
-    "training_statistics": check(statistics),
+    "champion_challenger": check(
+        champions,
+        """SELECT CAST(version AS BIGINT) AS version, version < 3 AS promoted, n, version < 3 AS better, TRUE AS four_fifths
+        FROM (SELECT count(*) AS n FROM lineitem), (VALUES (1), (2), (3)) v(version)""",
+    ),
+    "training_statistics": check(
+        statistics,
+        """SELECT 'quality' AS model_name, 'all' AS submodel_name, CAST(1 AS BIGINT) AS version, TRUE AS promoted,
+        CAST(4 AS BIGINT) AS columns, TRUE AS balanced, TRUE AS share_known, TRUE AS first, TRUE AS measured
+        FROM (SELECT count(*) AS n FROM labels) WHERE n > 0""",
+    ),
     "submodel_runs": check(
         submodels,
         """SELECT 'region ' || n_regionkey AS submodel_name, 'done' AS status, count(*) AS n
         FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
         GROUP BY n_regionkey UNION ALL SELECT 'region 9', 'failed', NULL""",
     ),
-    "predict_submodel": check(scoring_run),
+    "predict_submodel": check(
+        scoring_run,
+        """SELECT CAST(1700000000 AS BIGINT) AS ts, 'balance' AS model_name, 'all' AS submodel_name, count(*) AS n,
+        count(*) AS scored, round(sum(c_acctbal), 2) AS target, TRUE AS unbiased FROM customer""",
+    ),
     "save_training_data": check(
         training_data,
         """SELECT CAST(l_returnflag = 'A' AS BIGINT) AS "l_returnflag_A",
@@ -535,6 +659,7 @@ CHECKS: dict[str, Check] = {
         FROM embeddings, (SELECT unnest(range(64)) AS code)""",
     ),
     "embedding_projection_2d": check(
-        lambda t: projection_2d(t.embeddings, "vec_id", "embedding", 64)
+        lambda t: component_facts(projection_2d(t.embeddings, "vec_id", "embedding", 64), 2),
+        "SELECT count(*) AS n, TRUE AS centred, TRUE AS in_order, TRUE AS uncorrelated FROM embeddings",
     ),
 }

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -114,7 +117,19 @@ def components(t: Tables) -> DataFrame:
     wide = t.embeddings.select(
         "vec_id", *[F.col("embedding")[i].cast("double").alias(n) for i, n in enumerate(names)]
     )
-    return apply_pca(wide, fit_pca(wide, names, 5), ["vec_id"])
+    return component_facts(apply_pca(wide, fit_pca(wide, names, 5), ["vec_id"]), 5)
+
+
+def component_facts(scores: DataFrame, components: int) -> DataFrame:
+    """Rows, and what makes scores principal components: centred, uncorrelated, widest first."""
+    names = [f"pc_{i}" for i in range(components)]
+    spread = [F.var_pop(c) for c in names]
+    alone = [F.abs(F.corr(a, b)) < 1e-6 for i, a in enumerate(names) for b in names[:i]]
+    ordered = [a >= b for a, b in zip(spread, spread[1:])]
+    centred = [F.abs(F.avg(c)) < 1e-6 for c in names]
+    return scores.agg(
+        F.count(F.lit(1)).alias("n"), reduce(and_, centred).alias("centred"), reduce(and_, ordered).alias("in_order"), reduce(and_, alone).alias("uncorrelated")
+    )
 
 
 def undersample_shares(t: Tables) -> DataFrame:
@@ -153,11 +168,11 @@ def stored_spec(t: Tables) -> DataFrame:
 
 def split_parts(t: Tables) -> DataFrame:
     train, test = train_test_split(t.lineitem, LINE_KEYS, 0.8, seed=5)
-    return (
-        train.select(*LINE_KEYS, F.lit("train").alias("part"))
-        .unionByName(test.select(*LINE_KEYS, F.lit("test").alias("part")))
-        .groupBy("part")
-        .agg(F.count(F.lit(1)).alias("n"))
+    both = train.select(*LINE_KEYS, F.lit(1).alias("train")).unionByName(test.select(*LINE_KEYS, F.lit(0).alias("train")))
+    keys = both.groupBy(*LINE_KEYS).agg(F.count(F.lit(1)).alias("n"), F.min("train").alias("low"), F.max("train").alias("high"))
+    return keys.agg(
+        F.sum("n").alias("n"), F.count(F.lit(1)).alias("keys"), F.max(F.col("low") != F.col("high")).alias("shared"),
+        (F.abs(F.avg("high") - 0.8) < 0.02).alias("four_fifths"),
     )
 
 
@@ -234,7 +249,7 @@ CHECKS: dict[str, Check] = {
         """SELECT p_partkey, dense_rank() OVER (ORDER BY p_brand) - 1 AS brand_code,
         dense_rank() OVER (ORDER BY p_size) - 1 AS size_code FROM part""",
     ),
-    "pca": check(components),
+    "pca": check(components, "SELECT count(*) AS n, TRUE AS centred, TRUE AS in_order, TRUE AS uncorrelated FROM embeddings"),
     "undersample": check(
         undersample_shares,
         """WITH c AS (SELECT quality, count(*) AS n FROM labels GROUP BY 1),
@@ -273,6 +288,14 @@ CHECKS: dict[str, Check] = {
             for i, c in enumerate(LINE_COLUMNS) if i > 3
         ),
     ),
-    "train_test_split": check(split_parts),
-    "categorical_passthrough": check(passthrough),
+    "train_test_split": check(
+        split_parts,
+        f"SELECT count(*) AS n, (SELECT count(*) FROM (SELECT DISTINCT {', '.join(LINE_KEYS)} FROM lineitem)) AS keys, FALSE AS shared, TRUE AS four_fifths FROM lineitem",
+    ),
+    "categorical_passthrough": check(
+        passthrough,
+        """SELECT l_orderkey, l_linenumber, l_returnflag,
+        CAST(dense_rank() OVER (ORDER BY l_returnflag) - 1 AS DOUBLE) AS l_returnflag_index,
+        CAST(dense_rank() OVER (ORDER BY l_linestatus) - 1 AS DOUBLE) AS l_linestatus_index FROM lineitem""",
+    ),
 }

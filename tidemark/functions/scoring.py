@@ -40,10 +40,16 @@ def rescale_probability(proba: Column, pi: float | None, mu: float | None) -> Co
 def classification_output(proba: Column) -> Column:
     """``array<struct<class, value>>``, class is the position, value is text."""
     return F.transform(
-        proba, lambda v, i: F.struct(i.alias("class"), v.cast("string").alias("value"))
+        proba, lambda v, i: F.struct(i.alias("class"), plain_text(v).alias("value"))
     )
 
 
+def plain_text(value: Column) -> Column:
+    """A number as text in plain digits: small ones are not written with an exponent."""
+    digits = value.cast("decimal(38,20)").cast("string")
+    return F.coalesce(F.regexp_replace(digits, r"(\.\d+?)0+$", "$1"), value.cast("string"))
+
+
 def mse(truth: Column, predicted: Column) -> Column:
     return F.avg((truth - predicted) * (truth - predicted))
 
@@ -53,9 +59,13 @@ def mae(truth: Column, predicted: Column) -> Column:
 
 
 def log_loss(class_position: Column, proba: Column) -> Column:
-    """Mean negative log of the true class's score, clipped and renormalised."""
+    """Mean negative log of the true class's score, clipped and renormalised.
+
+    A row of a class that has no score (no position) costs as much as one scored 0.
+    """
     clipped = F.transform(proba, lambda p: F.least(F.greatest(p, F.lit(EPSILON)), F.lit(1 - EPSILON)))
-    return F.avg(-F.log(F.get(proba_normalize(clipped), class_position.cast("int"))))
+    score = F.get(proba_normalize(clipped), class_position.cast("int"))
+    return F.avg(-F.log(F.coalesce(score, F.lit(EPSILON))))
 
 
 def loss_value(df: DataFrame, name: str | None, truth: Column, predicted: Column) -> float | None:

@@ -78,15 +78,15 @@ def log_gamma(z: np.ndarray) -> np.ndarray:
 
 
 def hypergeometric(a: np.ndarray, b: np.ndarray, c: np.ndarray, z: np.ndarray) -> np.ndarray:
-    """Gauss series 2F1(a, b; c; z) for 0 <= z < 1."""
+    """Gauss series 2F1(a, b; c; z) for 0 <= z < 1; a series that does not settle is an error."""
     term = np.ones_like(z, dtype=float)
     total = term.copy()
     for n in range(100_000):
         term = term * (a + n) * (b + n) / ((c + n) * (n + 1)) * z
         total += term
         if np.all(np.abs(term) <= 1e-15 * np.abs(total)):
-            break
-    return total
+            return total
+    raise ArithmeticError("the hypergeometric series did not converge")
 
 
 def bgnbd_log_likelihood(params, x, recency, age):

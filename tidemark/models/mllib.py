@@ -15,7 +15,7 @@ from pyspark.ml.classification import (
     RandomForestClassifier,
 )
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import OneHotEncoderModel, SQLTransformer, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.recommendation import ALS
 from pyspark.ml.regression import (
@@ -31,6 +31,7 @@ from tidemark.functions.scoring import proba_normalize
 from tidemark.models.base import FEATURES, PREDICTION, Fitted
 from tidemark.operators.encode import decode
 from tidemark.operators.preparation import label_classes
+from tidemark.operators.profile import is_numeric
 from tidemark.session import new_location
 
 LABEL_INDEX = "_label"
@@ -40,9 +41,35 @@ def assembler(features: Sequence[str]) -> VectorAssembler:
     return VectorAssembler(inputCols=list(features), outputCol=FEATURES)
 
 
-def _head(features: Sequence[str] | Pipeline) -> list:
-    """Pipeline stages that build the feature vector."""
-    return features.getStages() if isinstance(features, Pipeline) else [assembler(features)]
+def _head(df: DataFrame, features: Sequence[str] | Pipeline) -> list:
+    """Pipeline stages that build the feature vector.
+
+    A feature with gaps in the training rows is filled with 0, the mean of a scaled column,
+    and gets a second feature that says where the gaps were; a gap in any other is filled.
+    """
+    if isinstance(features, Pipeline):
+        return features.getStages()
+    numbers = [c for c in features if is_numeric(df.schema[c].dataType)]
+    if not numbers:
+        return [assembler(features)]
+    gap = lambda c: F.col(f"`{c}`").isNull() | F.isnan(F.col(f"`{c}`").cast("double"))
+    found = df.agg(*[F.max(gap(c)).alias(f"g{i}") for i, c in enumerate(numbers)]).first()
+    filled = [f"coalesce(nanvl(double(`{c}`), null), 0d) AS `{c}__filled`" for c in numbers]
+    gaps = [c for i, c in enumerate(numbers) if found[f"g{i}"]]
+    flags = [f"double(`{c}` IS NULL OR isnan(double(`{c}`))) AS `{c}__missing`" for c in gaps]
+    fill = SQLTransformer(statement=f"SELECT *, {', '.join([*filled, *flags])} FROM __THIS__")
+    inputs = [f"{c}__filled" if c in numbers else c for c in features]
+    return [fill, assembler([*inputs, *(f"{c}__missing" for c in gaps)])]
+
+
+def _fit_categories(estimator, head: PipelineModel):
+    """Trees need as many bins as the widest indexed column has categories."""
+    if any(isinstance(s, OneHotEncoderModel) for s in head.stages):
+        return
+    sizes = [len(x) + 1 for s in head.stages if isinstance(s, StringIndexerModel) for x in s.labelsArray]
+    trees = estimator.getClassifier() if isinstance(estimator, OneVsRest) else estimator
+    if sizes and trees.hasParam("maxBins"):
+        trees.set(trees.maxBins, max(trees.getOrDefault("maxBins"), *sizes))
 
 
 def without_summary(model):
@@ -61,7 +88,8 @@ def without_summary(model):
 
 def _fit(name: str, df: DataFrame, features, estimator, meta: dict | None = None) -> Fitted:
     """Build the vector once, keep it while the estimator iterates over it."""
-    head = Pipeline(stages=_head(features)).fit(df)
+    head = Pipeline(stages=_head(df, features)).fit(df)
+    _fit_categories(estimator, head)
     rows = head.transform(df).select(FEATURES, estimator.getLabelCol())
     rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
     try:
@@ -148,11 +176,8 @@ score_value = _value
 
 def class_index(label: str, classes: Sequence) -> Column:
     """Position of the row's class in the sorted class list."""
-    chain = None
-    for i, value in enumerate(classes):
-        hit = F.col(label) == value
-        chain = F.when(hit, float(i)) if chain is None else chain.when(hit, float(i))
-    return chain
+    place = F.array_position(F.lit(list(classes)), F.col(label))
+    return F.when(place > 0, (place - 1).cast("double"))
 
 
 def _fit_classes(name: str, df: DataFrame, features, label: str, build, params: dict) -> Fitted:
@@ -209,7 +234,8 @@ def fit_network(df, features, label, **params) -> Fitted:
     Layers use sigmoid and softmax and are fitted by L-BFGS.
     """
     nodes = list(params.get("nodes", (16, 8)))
-    width = len(features)
+    head = Pipeline(stages=_head(df, features)).fit(df)
+    width = head.transform(df).select(FEATURES).first()[0].size
 
     def build(classes):
         return MultilayerPerceptronClassifier(
@@ -237,8 +263,7 @@ def score_classes(fitted: Fitted, df: DataFrame) -> DataFrame:
     if output == "log_proba":
         value = F.transform(proba, F.ln)
     elif output == "class":
-        names = F.array(*[F.lit(c) for c in fitted.meta["classes"]])
-        value = F.get(names, F.col(PREDICTION).cast("int"))
+        value = F.get(F.lit(list(fitted.meta["classes"])), F.col(PREDICTION).cast("int"))
     else:
         value = proba
     kept = [F.col(f"`{c}`") for c in df.columns]
@@ -251,7 +276,7 @@ def score_classes(fitted: Fitted, df: DataFrame) -> DataFrame:
 def fit_kmeans(df, features, label=None, **params) -> Fitted:
     """Best of several seeded starts by within-cluster cost."""
     restarts, seed = int(params.get("n_init", 10)), int(params.get("random_state", 0))
-    head = Pipeline(stages=_head(features)).fit(df)
+    head = Pipeline(stages=_head(df, features)).fit(df)
     rows = head.transform(df).select(FEATURES).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         runs = [

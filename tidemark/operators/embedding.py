@@ -80,8 +80,10 @@ def embed_cached(
     if added:
         fresh.write.mode("append").parquet(cache_path)
     known = read_cache(spark, cache_path).filter(F.col("model") == model)
+    # a retried append leaves a text twice in the cache
+    known = known.select("text_hash", "embedding").dropDuplicates(["text_hash"])
     return (
-        hashed.join(known.select("text_hash", "embedding"), "text_hash", "left").drop("text_hash"),
+        hashed.join(known, "text_hash", "left").drop("text_hash"),
         added,
     )
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.position import with_position
-from tidemark.operators.profile import is_numeric
+from tidemark.operators.profile import CATEGORIAL, is_numeric, profile_columns
 
 
 def fit_encoder(df: DataFrame, column: str) -> DataFrame:
@@ -49,12 +49,14 @@ def label_encode(df: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, dict
 def categorical_features(
     df: DataFrame, columns: Sequence[str], output: str = "features"
 ) -> Pipeline:
-    """Category columns kept as categories for tree models, numbers untouched.
+    """Category columns kept as categories for tree models, other numbers untouched.
 
-    The pipeline marks indexed columns as nominal, so trees split them by value;
-    unseen values share one extra category.
+    Text columns, and numeric columns that profile as categorial, are indexed and marked as
+    nominal, so trees split them by value; unseen and missing values share one extra category.
     """
-    text = [c for c in columns if not is_numeric(df.schema[c].dataType)]
+    numbers = [c for c in columns if is_numeric(df.schema[c].dataType)]
+    few = {p.column for p in profile_columns(df, numbers) if p.type == CATEGORIAL} if numbers else set()
+    text = [c for c in columns if c not in numbers or c in few]
     indexed = [f"{c}_index" for c in text]
     inputs = [f"{c}_index" if c in text else c for c in columns]
     stages = []

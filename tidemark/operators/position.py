@@ -37,7 +37,7 @@ def _placed(df: DataFrame, keys: Sequence[str], name: str) -> tuple[DataFrame, i
         .select("_file", F.coalesce(F.sum("_count").over(before), F.lit(0)).alias("_start"))
     )
     placed = (
-        rows.join(starts, "_file")
+        rows.join(F.broadcast(starts), "_file")
         .withColumn(name, F.col("_start") + F.col("_row"))
         .drop("_file", "_row", "_start")
     )

@@ -28,7 +28,6 @@ from tidemark.operators.profile import (
 )
 
 ROW_KEY = "row_id"
-MAX_CLASSES = 1000
 
 
 @dataclass(frozen=True)
@@ -85,7 +84,8 @@ def split_roles(
 ) -> tuple[DataFrame, Roles]:
     """Name the key, label and predictor columns; an empty input is an error.
 
-    Without key columns each row gets a ``row_id``. A label column that is not there
+    Without key columns each row gets a ``row_id``, a hash of its values, which a row keeps
+    however often the input is computed; equal rows share it. A label column that is not there
     means there is no label.
     """
     if df.isEmpty():
@@ -96,15 +96,13 @@ def split_roles(
     label = label if label in df.columns else None
     predictors = tuple(c for c in df.columns if c not in keys and c != label)
     if not keys:
-        df, keys = df.withColumn(ROW_KEY, F.monotonically_increasing_id()), [ROW_KEY]
+        df, keys = df.withColumn(ROW_KEY, F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])), [ROW_KEY]
     return df, Roles(tuple(keys), label, predictors)
 
 
 def class_sizes(df: DataFrame, label: str) -> dict:
-    """Rows per class in class order; a label that is no short list of classes is refused."""
-    found = class_counts(df, label).orderBy(label).limit(MAX_CLASSES + 1).collect()
-    if len(found) > MAX_CLASSES:
-        raise ValueError(f"{label} has more than {MAX_CLASSES} classes")
+    """Rows per class in class order; as many as the model has outputs."""
+    found = class_counts(df, label).orderBy(label).collect()
     return {r[label]: r["n"] for r in found}
 
 

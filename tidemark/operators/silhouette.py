@@ -1,4 +1,8 @@
-"""Mean silhouette of a clustering."""
+"""Mean silhouette of a clustering, on squared Euclidean distances.
+
+The mean squared distance of a point to a cluster follows from the cluster's size, sum and
+sum of squares, so the work is linear in the points: no pair of points is looked at.
+"""
 
 from __future__ import annotations
 
@@ -10,67 +14,53 @@ from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# All points go to every task for the Euclidean measure: allowed up to this many.
-MAX_POINTS = 50_000
-BLOCK = 512
-
 
 def squared_silhouette(df: DataFrame, features: str, cluster: str) -> float:
-    """Silhouette on squared Euclidean distances: linear in the rows, for any size.
-
-    ``features`` is a vector column.
-    """
+    """Mean silhouette; ``features`` is a vector column."""
     return ClusteringEvaluator(
         featuresCol=features, predictionCol=cluster, distanceMeasure="squaredEuclidean"
     ).evaluate(df)
 
 
 def point_silhouettes(df: DataFrame, key: str, features: str, cluster: str) -> DataFrame:
-    """``(key, silhouette)`` per point on Euclidean distances.
+    """``(key, silhouette)`` per point; the only point of a cluster has 0.
 
-    The measure needs every pair of points. The point set is checked against a size
-    limit, sent to the tasks once, and each task compares its own points block by
-    block. Larger sets use ``squared_silhouette``.
+    One aggregate gives size and sums per cluster, as many rows as clusters times
+    dimensions; a second scan measures the points against them.
     """
     points = df.select(
-        F.col(features).cast("array<double>").alias("x"), F.col(cluster).cast("long").alias("c")
+        key, F.col(features).cast("array<double>").alias("x"), F.col(cluster).cast("long").alias("c")
+    )
+    sums = points.select("c", F.posexplode("x").alias("dim", "v")).groupBy("c", "dim").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("v").alias("s"), F.sum(F.col("v") * F.col("v")).alias("q")
     )
-    found = points.limit(MAX_POINTS + 1).toPandas()
-    if len(found) > MAX_POINTS:
-        raise ValueError(f"more than {MAX_POINTS} points, use the squared measure")
-    names, member = np.unique(found["c"].to_numpy(), return_inverse=True)
+    found = sums.toPandas().sort_values(["c", "dim"])
+    names = np.unique(found["c"].to_numpy())
     if len(names) < 2:
         raise ValueError("a silhouette needs at least two clusters")
-    shared = df.sparkSession.sparkContext.broadcast(
-        (np.vstack(found["x"].to_numpy()), np.eye(len(names))[member], names)
-    )
+    sizes = found.groupby("c")["n"].first().to_numpy().astype(float)
+    centres = found["s"].to_numpy().reshape(len(names), -1) / sizes[:, None]
+    squares = found.groupby("c")["q"].sum().to_numpy() / sizes
+    shared = df.sparkSession.sparkContext.broadcast((names, sizes, centres, squares))
 
     def measure(blocks: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        everyone, indicator, clusters = shared.value
-        sizes = indicator.sum(axis=0)
-        for block in blocks:
-            for start in range(0, len(block), BLOCK):
-                part = block.iloc[start : start + BLOCK]
-                own = np.vstack(part["x"].to_numpy())
-                gaps = own[:, None, :] - everyone[None, :, :]
-                sums = np.sqrt((gaps * gaps).sum(axis=2)) @ indicator
-                mine = np.searchsorted(clusters, part["c"].to_numpy())
-                rows = np.arange(len(part))
-                alone = sizes[mine] == 1
-                inside = sums[rows, mine] / np.maximum(sizes[mine] - 1, 1)
-                means = sums / sizes
-                means[rows, mine] = np.inf
-                outside = means.min(axis=1)
-                value = np.where(alone, 0.0, (outside - inside) / np.maximum(inside, outside))
-                yield pd.DataFrame({key: part[key].to_numpy(), "silhouette": value})
+        clusters, counts, middle, square = shared.value
+        for part in blocks:
+            x = np.vstack(part["x"].to_numpy())
+            means = (x * x).sum(axis=1)[:, None] - 2 * x @ middle.T + square
+            mine, rows = np.searchsorted(clusters, part["c"].to_numpy()), np.arange(len(part))
+            alone = counts[mine] == 1
+            inside = means[rows, mine] * counts[mine] / np.maximum(counts[mine] - 1, 1)
+            means[rows, mine] = np.inf
+            outside = means.min(axis=1)
+            larger = np.maximum(np.maximum(inside, outside), np.finfo(float).tiny)
+            yield pd.DataFrame({key: part[key].to_numpy(), "silhouette": np.where(alone, 0.0, (outside - inside) / larger)})
 
     kind = df.schema[key].dataType.simpleString()
-    return df.select(
-        key, F.col(features).cast("array<double>").alias("x"), F.col(cluster).cast("long").alias("c")
-    ).mapInPandas(measure, f"`{key}` {kind}, silhouette double")
+    return points.mapInPandas(measure, f"`{key}` {kind}, silhouette double")
 
 
 def silhouette(df: DataFrame, key: str, features: str, cluster: str) -> float:
-    """Mean Euclidean silhouette."""
+    """Mean of the points' silhouettes."""
     points = point_silhouettes(df, key, features, cluster)
     return points.agg(F.avg("silhouette").alias("s")).first()["s"]

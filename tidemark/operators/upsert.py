@@ -18,8 +18,6 @@ from tidemark.sources.warehouse import Warehouse
 
 SLICE = "submodel_name"
 VERSION = "_version"
-# Submodels are named in the view's text; beyond this many it would not stay short.
-MAX_SUBMODELS = 10_000
 
 
 class DuplicateKeys(ValueError):
@@ -40,10 +38,8 @@ def require_unique(source: DataFrame, keys: Sequence[str]) -> None:
 
 
 def _slices(df: DataFrame) -> list[str]:
-    rows = df.select(SLICE).distinct().limit(MAX_SUBMODELS + 1).collect()
-    if len(rows) > MAX_SUBMODELS:
-        raise ValueError(f"more than {MAX_SUBMODELS} submodels in one table")
-    return sorted(row[SLICE] for row in rows)
+    """Names of the submodels: one for each entry of a configuration."""
+    return sorted(row[SLICE] for row in df.select(SLICE).distinct().collect())
 
 
 def _quoted(text: str) -> str:
@@ -122,8 +118,10 @@ class VersionedTable:
         return self.read()
 
     def _store(self, rows: DataFrame, fresh: dict[str, int], others: dict[str, int]) -> None:
-        number = F.create_map(*[F.lit(x) for pair in fresh.items() for x in pair])[F.col(SLICE)]
-        self.house.replace_slices(rows.withColumn(VERSION, number), self.data, [SLICE, VERSION])
+        spark = self.house.spark
+        numbers = spark.createDataFrame(list(fresh.items()), f"{SLICE} string, {VERSION} int")
+        numbered = rows.join(F.broadcast(numbers), SLICE).select(*rows.columns, VERSION)
+        self.house.replace_slices(numbered.hint("rebalance", SLICE, VERSION), self.data, [SLICE, VERSION])
         self._show(rows.columns, {**others, **fresh})
 
     def _drop_older(self, names: Sequence[str], versions: dict[str, int]) -> None:

@@ -2,7 +2,7 @@
 
 A row belongs to every reference date whose window covers it. Rows meet their
 dates through an equality on the calendar day, followed by the exact bound check;
-the day table holds ``dates x days`` rows, a number known before planning.
+the day table has one row per calendar day, with the dates whose window covers it.
 """
 
 from __future__ import annotations
@@ -17,11 +17,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# A day table up to this many rows is broadcast; a larger one is left to the
-# optimizer, which then shuffles both sides on the day.
-MAX_BROADCAST_DAYS = 200_000
-# Beyond this many separate ranges the scan filter is one range from first to last.
-MAX_SCAN_RANGES = 64
 
 
 class Window(NamedTuple):
@@ -58,8 +53,6 @@ def _scan_ranges(dates: Sequence[datetime], window: Window) -> list[tuple[dateti
             merged[-1] = (merged[-1][0], max(high, merged[-1][1]))
         else:
             merged.append((low, high))
-    if len(merged) > MAX_SCAN_RANGES:
-        merged = [(merged[0][0], merged[-1][1])]
     return merged
 
 
@@ -84,8 +77,7 @@ def scan_filter(
 def day_table(
     spark: SparkSession, dates: Sequence[datetime], window: Window
 ) -> DataFrame:
-    """One row ``(statsdate, window_day)`` per reference date and covered day."""
-    rows = len(dates) * (window.days_before + window.days_after + 1)
+    """One row ``(window_day, statsdates)`` per covered day: the calendar bounds it, so it is broadcast."""
     statsdates = F.array(*[moment_literal(d) for d in dates])
     days = (
         spark.range(1)
@@ -100,7 +92,7 @@ def day_table(
             ).alias("window_day"),
         )
     )
-    return F.broadcast(days) if rows <= MAX_BROADCAST_DAYS else days
+    return F.broadcast(days.groupBy("window_day").agg(F.sort_array(F.collect_list("statsdate")).alias("statsdates")))
 
 
 def rows_per_date(
@@ -123,7 +115,8 @@ def rows_per_date(
         scan_filter(df, time_col, moments, window)
         .withColumn("window_day", moment if by_day else F.to_date(moment))
         .join(day_table(df.sparkSession, moments, window), "window_day")
-        .drop("window_day")
+        .withColumn("statsdate", F.explode("statsdates"))
+        .drop("window_day", "statsdates")
     )
     if by_day:
         return joined

@@ -14,12 +14,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.scoring import LOSS_NAMES, loss_value
+from tidemark.functions.scoring import LOSS_NAMES, loss_value, rescale_probability
 from tidemark.models.base import FEATURES, PREDICTION, Fitted, load_fitted
 from tidemark.models.mllib import assembler, class_index
 from tidemark.models.registry import MODELS, fit_model
 from tidemark.operators.encode import categorical_features, fit_encoder, apply_encoder
 from tidemark.operators.preparation import (
+    ROW_KEY,
     DataSpec,
     Roles,
     apply_pca,
@@ -87,29 +88,34 @@ def _labelled(df: DataFrame, config: TrainConfig) -> DataFrame:
     return df.filter(F.col(config.label).isNotNull()) if config.label in df.columns else df
 
 
-def held_out(df: DataFrame, config: TrainConfig) -> tuple[DataFrame, DataFrame]:
-    """Training and test rows; by key hash, so every model is tested on the same rows."""
+def held_out(df: DataFrame, config: TrainConfig, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """Training and test rows; by key hash, so every model is tested on the same rows.
+
+    ``keys`` are the key columns the rows really have: without configured keys, the row id.
+    """
     no_test = config.train_pct >= 1 or not config.label or config.purpose in ("embedding", "clustering")
     if no_test or not MODELS[config.type].supervised:
         return df, df.limit(0)
-    return train_test_split(df, config.keys, config.train_pct, config.seed)
+    return train_test_split(df, keys, config.train_pct, config.seed)
 
 
 def evaluate_loss(
     rows: DataFrame, trained: Trained, config: TrainConfig, classes: Sequence | None = None
 ) -> float | None:
-    """Loss of a model on raw rows."""
+    """Loss of a model on raw rows, measured on the scores that scoring would store."""
     name = config.loss
     if not name:
         return None
     if LOSS_NAMES.get(name) == "silhouette":
-        prepared = _model_rows(rows.drop(*config.keys), trained, ())
+        prepared = _model_rows(rows.drop(*config.keys, ROW_KEY), trained, ())
         vectors = assembler(prepared.columns).transform(trained.fitted.score(prepared))
         return squared_silhouette(vectors, FEATURES, PREDICTION)
     scored = score_rows(rows, trained.fitted, trained.spec, trained.pca, (config.label,))
     truth = F.col(config.label)
     if LOSS_NAMES.get(name) == "log":
         truth = class_index(config.label, trained.fitted.meta["classes"])
+        pi, mu = trained.statistics.get("pi"), trained.statistics.get("mu")
+        scored = scored.withColumn(PREDICTION, rescale_probability(F.col(PREDICTION), pi, mu))
     return loss_value(scored, name, truth, F.col(PREDICTION))
 
 
@@ -127,7 +133,7 @@ def train(df: DataFrame, config: TrainConfig) -> Trained:
     df, roles = split_roles(_labelled(df, config), config.keys, config.label)
     spec, pca, features = _prepare(df, roles, config)
     carried = [*roles.keys, *([roles.label] if roles.label else [])]
-    train_rows, test_rows = held_out(df, config)
+    train_rows, test_rows = held_out(df, config, roles.keys)
     shell = Trained(Fitted(config.type), spec, pca)
     pi = mu = None
     fit_rows = train_rows
@@ -138,7 +144,7 @@ def train(df: DataFrame, config: TrainConfig) -> Trained:
     fitted = fit_model(
         config.type, _model_rows(fit_rows, shell, carried), features, roles.label, **config.params
     )
-    trained = Trained(fitted, spec, pca)
+    trained = Trained(fitted, spec, pca, {"pi": pi, "mu": mu})
     supervised = MODELS[config.type].supervised
     loss = evaluate_loss(test_rows if config.train_pct < 1 and supervised else train_rows, trained, config)
     width = len(features) if isinstance(features, list) else len(roles.predictors)
@@ -192,7 +198,12 @@ def _train_embedding(df: DataFrame, config: TrainConfig) -> Trained:
 # Configuration file names and the settings they spell differently.
 GLOBAL_FILE = "model_config_global.json"
 SUBMODEL_FILE = "submodel_params.json"
-SETTING_NAMES = {"key_list": "keys", "label_column": "label", "loss_function": "loss"}
+SETTING_NAMES = {
+    "key_list": "keys", "label_column": "label", "loss_function": "loss",
+    "subject_input_name": "subject", "item_input_name": "item",
+    "target_column_name": "target", "pred_key": "key", "pred_destination_table": "table",
+    "bq_write_method": "method",
+}
 
 
 def _settings(values: Mapping[str, object]) -> dict:
@@ -328,9 +339,13 @@ def run_submodel(
     )
     old_loss = None
     if comparable:
-        _, test_rows = held_out(_labelled(df, config), config)
+        rows, roles = split_roles(_labelled(df, config), config.keys, config.label)
+        # with nothing held out both are measured on the rows the challenger was trained on
+        test_rows = rows if config.train_pct >= 1 else held_out(rows, config, roles.keys)[1]
         try:
-            old_loss = evaluate_loss(test_rows, store.load(current["path"]), config)
+            champion = store.load(current["path"])
+            champion.statistics = {"pi": current["pi"], "mu": current["mu"]}
+            old_loss = evaluate_loss(test_rows, champion, config)
         except Exception:  # a champion that cannot score today's columns loses
             old_loss = UNKNOWN_LOSS
     promoted = should_promote(trained.statistics["loss"], old_loss, comparable)

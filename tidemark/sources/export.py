@@ -24,13 +24,14 @@ def export_files(
     """Write CSV or JSON lines.
 
     Split output follows the partitions of the result, optionally capped per file.
-    One single file is written by one task, so it is only made when asked for.
+    One single file is written by one task, so it is only made when asked for; the query
+    before it keeps its own tasks.
     """
     if file_format not in FORMATS:
         raise ValueError(f"unsupported format {file_format}, use one of {sorted(FORMATS)}")
     if compression not in COMPRESSIONS:
         raise ValueError(f"unsupported compression {compression}")
-    rows = df if split_files else df.coalesce(1)
+    rows = df if split_files else df.repartition(1)
     writer = rows.write.mode(mode).option("compression", compression.lower())
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", max_records_per_file)

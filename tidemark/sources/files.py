@@ -51,7 +51,8 @@ def read_delimited(
 ) -> DataFrame:
     """Rows of delimited files.
 
-    Without a schema, types are inferred. A limit of 0 lets the first bad record fail
+    Without a schema, types are inferred first; the limit then holds for what was inferred.
+    A limit of 0 lets the first bad record fail
     the job that reads it, at no extra cost; a higher limit counts bad records first
     (stopping one past the limit) and then leaves them out. Missing trailing values
     and surplus values make a record bad unless allowed.
@@ -64,9 +65,9 @@ def read_delimited(
     options = {"sep": delimiter, "quote": quote, "columnPruning": "false"}
     if schema is None:
         reader = spark.read.options(**options).option("inferSchema", "true")
-        return reader.csv(
+        schema = reader.csv(
             path, header=skip_leading_rows == 1, multiLine=allow_quoted_newlines
-        )
+        ).schema
     schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in schema.fields])
     lenient = allow_jagged_rows or ignore_unknown_values
     if bad_record_limit == 0 and not lenient and skip_leading_rows <= 1:
@@ -163,7 +164,7 @@ def text_after_rows(spark: SparkSession, path: str | list[str], rows: int) -> Da
     too_short = F.raise_error(F.lit("a file's first block has fewer lines than are skipped"))
     number = F.col("line") - F.coalesce(F.col("first_line"), too_short.cast("long"))
     return (
-        lines.join(starts, "file", "left")
+        lines.join(F.broadcast(starts), "file", "left")  # one row per file
         .filter(~first_block | (number >= rows))
         .select("value")
     )
@@ -176,13 +177,14 @@ def read_ndjson(
     bad_record_limit: int = 0,
     ignore_unknown_values: bool = True,
 ) -> DataFrame:
-    """Rows of newline-delimited JSON; without a schema, types are inferred.
+    """Rows of newline-delimited JSON; without a schema, types are inferred from the lines that
+    are JSON, and the limit holds for the others.
 
     Unknown fields are ignored, or make a record bad when ``ignore_unknown_values``
     is off.
     """
     if schema is None:
-        return spark.read.json(path)
+        schema = spark.read.option("mode", "DROPMALFORMED").json(path).schema
     schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in schema.fields])
     if ignore_unknown_values and bad_record_limit == 0:
         return spark.read.schema(schema).option("mode", "FAILFAST").json(path)

@@ -87,7 +87,8 @@ class Warehouse:
         self, df: DataFrame, table: str, time_column: str, day: str = "day", **settings
     ) -> DataFrame:
         """Store with one partition per day of ``time_column``."""
-        by_day = df.withColumn(day, F.to_date(time_column))
+        # one or a few even files per day: large days are split, small ones share a task
+        by_day = df.withColumn(day, F.to_date(time_column)).hint("rebalance", day)
         return self.write(by_day, table, partition_by=[day], **settings)
 
     def expire_days(self, table: str, keep_days: int, as_of: date, day: str = "day") -> int:
