@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.functions.scoring import log_loss, loss_value, proba_normalize, rescale_probability
+from tidemark.functions.scoring import classification_output, log_loss, loss_value, proba_normalize, rescale_probability
 from tidemark.models.base import load_fitted
 from tidemark.models.lifetime import (
     expected_visits,
@@ -16,8 +16,11 @@ from tidemark.models.lifetime import (
     log_gamma,
     rfm_summary,
 )
+from tidemark.models.mllib import class_index
 from tidemark.models.registry import MODELS, fit_model
 from tidemark.operators.embedding import embed_cached, hashing_embedder
+from tidemark.operators.encode import categorical_features
+from tidemark.operators.preparation import label_classes
 from tidemark.operators.profile import ProfileOptions
 from tidemark.operators.silhouette import silhouette
 from tidemark.plans.scoring import prediction_records
@@ -381,3 +384,120 @@ def test_configuration_files(tmp_path):
     assert mexico.params == {"max_depth": 2, "country": "MX", "rank": 1}
     assert base.overridden(submodels["es"]).train_pct == 0.5
     assert list(load_configuration(str(tmp_path), only=["es"])[1]) == ["es"]
+
+
+# ---- rows a training run must take ----------------------------------------------
+
+
+def with_text(spark, n=600, values=None):
+    rng = np.random.default_rng(1)
+    rows = [(i, float(rng.normal()), f"t{i % (values or 3)}", "ab"[i % 2], "x,y,z"[: 2 * (i % 3) + 1], float(i % 3 * 10)) for i in range(n)]
+    return spark.createDataFrame(rows, "id int, x double, t string, flag string, tags string, value double")
+
+
+def test_text_columns_of_any_size_train_and_score(spark):
+    rows = with_text(spark, 30_000, 30_000)
+    trained = train(rows, config(params={"reg_type": "Ridge", "alpha": 1e-3}))
+    assert trained.fitted.pipeline.stages[-1].numFeatures > 20_000
+    assert [s.type for s in trained.spec.columns] == ["regular", "text", "text", "labels"]
+    assert trained.statistics["loss"] < 1
+
+
+def test_spec_of_a_training_run_is_stored(spark):
+    store = ModelStore(spark, new_location(spark, "store"))
+    rows = with_text(spark)
+    one = run_submodel(rows, config(), store, "m", "s")
+    again = run_submodel(rows.withColumn("t", F.lit(None).cast("string")), config(), store, "m", "s")
+    assert one["promoted"] and again["production_loss"] is not None and again["production_loss"] >= 0
+
+
+def test_a_label_of_many_classes(spark):
+    rows = spark.range(20_000).select("id", (F.col("id") % 5000).cast("string").alias("value"), (F.col("id") % 5000).cast("double").alias("x"))
+    assert len(label_classes(rows, "value")) == 5000
+    position = class_index("value", label_classes(rows, "value"))
+    assert rows.select(F.count_distinct(position), F.max(position)).first() == (5000, 4999.0)
+
+
+def test_training_without_keys_holds_rows_out(points):
+    rows = points.drop("id")
+    trained = train(rows, config(keys=()))
+    assert 60 < trained.statistics["test_rows"] < 180 and trained.statistics["loss"] is not None
+
+
+def test_keyless_champion_is_compared(spark, points):
+    store = ModelStore(spark, new_location(spark, "store"))
+    run_submodel(points.drop("id"), config(keys=()), store, "m", "s")
+    worse = run_submodel(points.drop("id"), config(keys=(), params={"alpha": 1e9}), store, "m", "s")
+    assert not worse["promoted"] and worse["production_loss"] < worse["loss"]
+
+
+def test_nothing_held_out_compares_on_the_training_rows(spark, points):
+    store = ModelStore(spark, new_location(spark, "store"))
+    run_submodel(points, config(train_pct=1), store, "m", "s")
+    worse = run_submodel(points, config(train_pct=1, params={"alpha": 1e9}), store, "m", "s")
+    assert not worse["promoted"]
+
+
+@pytest.mark.parametrize("name", sorted({**CLASSIFIERS, **REGRESSORS}))
+def test_gaps_in_numbers(points, name):
+    gone = F.when(F.col("id") % 7 > 0, F.col("x"))
+    rows = points.withColumns({"x": gone, "y": F.when(F.col("id") % 11 > 0, F.col("y")).otherwise(F.lit(float("nan")))})
+    label = "group" if name in CLASSIFIERS else "value"
+    scored = fit_model(name, rows, ["x", "y"], label, **{**CLASSIFIERS, **REGRESSORS}[name]).score(rows)
+    assert scored.filter("prediction IS NULL").isEmpty() and scored.columns == [*rows.columns, "prediction"]
+
+
+def test_categories_of_any_number_in_categorical_mode(spark):
+    rows = with_text(spark, 2000, 200)
+    for kind in ("tree_regression", "random_forest_regression", "xgboost_regression"):
+        trained = train(rows, config(type=kind, skip_preprocessing=PREPARE_CATEGORICAL, params={"trees": 5, "n_estimators": 5}))
+        assert trained.statistics["loss"] < 100
+
+
+def test_numbers_with_few_values_are_categories_in_categorical_mode(spark):
+    rows = spark.range(60_000).select("id", (F.col("id") % 4).alias("few"), F.rand(1).alias("many"))
+    fitted = categorical_features(rows, ["few", "many"]).fit(rows)
+    attributes = fitted.transform(rows).schema["features"].metadata["ml_attr"]["attrs"]
+    assert len(attributes["nominal"]) == 1 and len(attributes["numeric"]) == 1
+
+
+def test_network_in_categorical_mode(points):
+    trained = train(
+        points.drop("value"),
+        config(type="neural_network_classification", purpose="classification", label="group", loss="log_loss", skip_preprocessing=PREPARE_CATEGORICAL, params={"nodes": (4, 4)}),
+    )
+    assert trained.statistics["loss"] < 0.5
+
+
+def test_unknown_class_costs_as_much_as_a_score_of_zero(spark):
+    rows = spark.createDataFrame([(0, [1.0, 0.0]), (None, [1.0, 0.0])], "y int, p array<double>")
+    value = rows.agg(log_loss(F.col("y"), F.col("p")).alias("l")).first()["l"]
+    assert value == pytest.approx(-math.log(2.220446049250313e-16) / 2)
+
+
+def test_balanced_models_are_measured_on_rescaled_scores(spark):
+    rows = spark.range(4000).select("id", F.randn(3).alias("x"), F.when(F.col("id") % 20 == 0, "yes").otherwise("no").alias("y"))
+    settings = config(type="logistic_regression", purpose="classification", label="y", loss="log_loss")
+    balanced = train(rows, settings.overridden({"balance_ratio": 1.0}))
+    plain = train(rows, settings)
+    assert balanced.statistics["mu"] == pytest.approx(0.5) and balanced.statistics["loss"] == pytest.approx(plain.statistics["loss"], abs=0.03)
+
+
+def test_scores_are_written_in_plain_digits(spark):
+    row = spark.range(1).select(classification_output(F.array(F.lit(0.0001), F.lit(1.0), F.lit(1e-9), F.lit(0.25))).alias("v")).first()
+    assert [x["value"] for x in row["v"]] == ["0.0001", "1.0", "0.000000001", "0.25"]
+
+
+def test_a_doubled_cache_row_leaves_the_rows_as_they_are(spark):
+    rows = spark.createDataFrame([(1, "a"), (2, "b"), (3, "a"), (4, None)], "id int, t string")
+    cache = new_location(spark, "cache")
+    embed_cached(rows, "t", "m", cache, hashing_embedder(8))
+    spark.read.parquet(cache).write.mode("append").parquet(cache + "-twice")
+    spark.read.parquet(cache).write.mode("append").parquet(cache + "-twice")
+    again, added = embed_cached(rows, "t", "m", cache + "-twice", hashing_embedder(8))
+    assert again.count() == 4 and added == 0
+
+
+def test_series_that_does_not_settle():
+    with pytest.raises(ArithmeticError):
+        hypergeometric(np.array([1.0]), np.array([1.0]), np.array([1.0]), np.array([0.9999999]))

@@ -255,3 +255,20 @@ def test_load_files_by_day_with_expiry(spark, folder, house):
         load_files(house, "j", lines, "AVRO", autodetect=True)
     with pytest.raises(ValueError):
         load_files(house, "j", lines, "CSV")
+
+
+def test_inferred_loads_keep_the_limit(spark, folder):
+    def put(name, text):
+        with open(f"{folder}/{name}", "w") as file:
+            file.write(text)
+
+    put("b.csv", "id,name\n1,a\n2,b\n3\n")
+    with pytest.raises(Exception):
+        read_delimited(spark, f"{folder}/b.csv", skip_leading_rows=1).collect()
+    kept = read_delimited(spark, f"{folder}/b.csv", skip_leading_rows=1, bad_record_limit=1)
+    assert [tuple(r) for r in kept.orderBy("id").collect()] == [(1, "a"), (2, "b")]
+    put("b.json", '{"id": 1}\n{"id": 2}\n{broken\n')
+    with pytest.raises(Exception):
+        read_ndjson(spark, f"{folder}/b.json").collect()
+    kept = read_ndjson(spark, f"{folder}/b.json", bad_record_limit=1)
+    assert kept.columns == ["id"] and sorted(r.id for r in kept.collect()) == [1, 2]

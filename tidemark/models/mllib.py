@@ -15,7 +15,15 @@ from pyspark.ml.classification import (
     RandomForestClassifier,
 )
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import OneHotEncoderModel, SQLTransformer, StringIndexerModel, VectorAssembler
+from pyspark.ml.feature import (
+    CountVectorizer,
+    OneHotEncoder,
+    OneHotEncoderModel,
+    SQLTransformer,
+    StringIndexer,
+    StringIndexerModel,
+    VectorAssembler,
+)
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.recommendation import ALS
 from pyspark.ml.regression import (
@@ -26,6 +34,7 @@ from pyspark.ml.regression import (
 )
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.scoring import proba_normalize
 from tidemark.models.base import FEATURES, PREDICTION, Fitted
@@ -44,22 +53,35 @@ def assembler(features: Sequence[str]) -> VectorAssembler:
 def _head(df: DataFrame, features: Sequence[str] | Pipeline) -> list:
     """Pipeline stages that build the feature vector.
 
+    Values of text columns and labels of list columns become sparse 0/1 features, however many
+    there are.
     A feature with gaps in the training rows is filled with 0, the mean of a scaled column,
     and gets a second feature that says where the gaps were; a gap in any other is filled.
     """
     if isinstance(features, Pipeline):
         return features.getStages()
     numbers = [c for c in features if is_numeric(df.schema[c].dataType)]
+    lists = [c for c in features if isinstance(df.schema[c].dataType, T.ArrayType)]
+    text = [c for c in features if c not in numbers and c not in lists]
+    stages, wide = [], {}
+    if text:
+        wide |= {c: f"{c}__flags" for c in text}
+        indexed = [f"{c}__index" for c in text]
+        stages.append(StringIndexer(inputCols=text, outputCols=indexed, handleInvalid="keep", stringOrderType="alphabetAsc"))
+        stages.append(OneHotEncoder(inputCols=indexed, outputCols=[wide[c] for c in text], dropLast=False, handleInvalid="keep"))
+    for c in lists:
+        wide[c] = f"{c}__flags"
+        stages.append(CountVectorizer(inputCol=c, outputCol=wide[c], binary=True, vocabSize=(1 << 31) - 1))
     if not numbers:
-        return [assembler(features)]
+        return [*stages, assembler([wide[c] for c in features])]
     gap = lambda c: F.col(f"`{c}`").isNull() | F.isnan(F.col(f"`{c}`").cast("double"))
     found = df.agg(*[F.max(gap(c)).alias(f"g{i}") for i, c in enumerate(numbers)]).first()
     filled = [f"coalesce(nanvl(double(`{c}`), null), 0d) AS `{c}__filled`" for c in numbers]
     gaps = [c for i, c in enumerate(numbers) if found[f"g{i}"]]
     flags = [f"double(`{c}` IS NULL OR isnan(double(`{c}`))) AS `{c}__missing`" for c in gaps]
     fill = SQLTransformer(statement=f"SELECT *, {', '.join([*filled, *flags])} FROM __THIS__")
-    inputs = [f"{c}__filled" if c in numbers else c for c in features]
-    return [fill, assembler([*inputs, *(f"{c}__missing" for c in gaps)])]
+    inputs = [f"{c}__filled" if c in numbers else wide[c] for c in features]
+    return [*stages, fill, assembler([*inputs, *(f"{c}__missing" for c in gaps)])]
 
 
 def _fit_categories(estimator, head: PipelineModel):

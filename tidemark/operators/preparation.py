@@ -18,10 +18,14 @@ from pyspark.sql import types as T
 
 from tidemark.operators.profile import (
     CATEGORIAL,
+    LABELS,
     MULTILABEL,
+    NULL_TEXT,
     REGULAR,
+    TEXT,
     ColumnProfile,
     ProfileOptions,
+    is_numeric,
     labels_of,
     profile_columns,
     value_text,
@@ -167,6 +171,30 @@ def fit_spec(
     return DataSpec(tuple(_spec(p, options) for p in profiles))
 
 
+def fit_training_spec(
+    df: DataFrame, predictors: Sequence[str], options: ProfileOptions = ProfileOptions()
+) -> DataSpec:
+    """Numbers as in ``fit_spec``; text columns stay one column each, whatever their values.
+
+    The model's own pipeline turns their values, or their labels where any value holds the
+    separator, into one sparse vector. A ``low_info_thresh`` below 1 leaves values out and
+    bounds how many stay, so those specs list them.
+    """
+    if options.low_info_thresh < 1:
+        return fit_spec(df, predictors, options)
+    text = [c for c in predictors if not is_numeric(df.schema[c].dataType)]
+    numbers = [c for c in predictors if c not in text]
+    specs = {s.column: s for s in fit_spec(df, numbers, options).columns} if numbers else {}
+    if text:
+        many = df.agg(
+            *[F.max(F.contains(F.col(f"`{c}`").cast("string"), F.lit(options.separator))) for c in text]
+        ).first()
+        for column, labels in zip(text, many):
+            kind = LABELS if labels else TEXT
+            specs[column] = ColumnSpec(column, kind, False, expanded=(column,), separator=options.separator)
+    return DataSpec(tuple(specs[c] for c in predictors))
+
+
 # ---- applying -------------------------------------------------------------------
 
 
@@ -180,6 +208,12 @@ def _scaled(spec: ColumnSpec) -> Column:
 
 
 def _model_columns(spec: ColumnSpec, present: bool) -> list[Column]:
+    if spec.type == TEXT:
+        value = value_text(spec.column, False) if present else F.lit(NULL_TEXT)
+        return [value.alias(spec.column)]
+    if spec.type == LABELS:
+        value = labels_of(spec.column, spec.separator) if present else F.array().cast("array<string>")
+        return [value.alias(spec.column)]
     if not present:
         return [F.lit(0).alias(name) for name in spec.expanded]
     if spec.type == REGULAR:

@@ -24,13 +24,9 @@ CATEGORIAL = "categorial"
 MULTILABEL = "multilabel"
 NULL_TEXT = "nan"
 
-# Category values end up as columns of one table; beyond this many a text column is
-# an identifier, not a category: ``sparse_features`` and ``label_encode`` take those.
-MAX_EXPANDED = 20_000
-
-
-class TooManyValues(ValueError):
-    """Category columns that would expand into too many columns."""
+# Kinds that keep their values in the rows: any number of them, no list of them in the spec.
+TEXT = "text"
+LABELS = "labels"
 
 
 class ProfileOptions(NamedTuple):
@@ -131,14 +127,10 @@ def _collected_counts(
 ) -> tuple[dict[str, dict[str, int]], dict[str, int]]:
     """Rows per category text, and exact distinct values, by column.
 
-    The list is refused when it is not a bounded one. Fractions become whole numbers
-    here, after counting.
+    As long as the spec that is made of it: one entry per model column. Fractions become
+    whole numbers here, after counting.
     """
-    found = counts.limit(MAX_EXPANDED + 1).collect()
-    if len(found) > MAX_EXPANDED:
-        widest = counts.groupBy("column").count().orderBy(F.desc("count")).limit(3).collect()
-        names = ", ".join(f"{columns[r['column']]} ({r['count']})" for r in widest)
-        raise TooManyValues(f"more than {MAX_EXPANDED} category values, most in {names}")
+    found = counts.toLocalIterator()
     by_column: dict[str, dict[str, int]] = {name: defaultdict(int) for name in columns}
     distinct: dict[str, int] = defaultdict(int)
     for row in found:

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions.scoring import LOSS_NAMES, loss_value, rescale_probability
 from tidemark.models.base import FEATURES, PREDICTION, Fitted, load_fitted
-from tidemark.models.mllib import assembler, class_index
+from tidemark.models.mllib import class_index
 from tidemark.models.registry import MODELS, fit_model
 from tidemark.operators.encode import categorical_features, fit_encoder, apply_encoder
 from tidemark.operators.preparation import (
@@ -27,6 +27,7 @@ from tidemark.operators.preparation import (
     apply_spec,
     fit_pca,
     fit_spec,
+    fit_training_spec,
     load_spec,
     pca_names,
     save_spec,
@@ -108,7 +109,7 @@ def evaluate_loss(
         return None
     if LOSS_NAMES.get(name) == "silhouette":
         prepared = _model_rows(rows.drop(*config.keys, ROW_KEY), trained, ())
-        vectors = assembler(prepared.columns).transform(trained.fitted.score(prepared))
+        vectors = trained.fitted.pipeline.transform(prepared)
         return squared_silhouette(vectors, FEATURES, PREDICTION)
     scored = score_rows(rows, trained.fitted, trained.spec, trained.pca, (config.label,))
     truth = F.col(config.label)
@@ -158,9 +159,10 @@ def _prepare(df: DataFrame, roles: Roles, config: TrainConfig):
         return None, None, list(roles.predictors)
     if config.skip_preprocessing == PREPARE_CATEGORICAL:
         return None, None, categorical_features(df, roles.predictors)
-    spec = fit_spec(df, roles.predictors, config.profile)
     if not config.primary_components:
+        spec = fit_training_spec(df, roles.predictors, config.profile)
         return spec, None, spec.expanded
+    spec = fit_spec(df, roles.predictors, config.profile)  # components need a column per value
     pca = fit_pca(apply_spec(df, spec), spec.expanded, config.primary_components)
     return spec, pca, pca_names(config.primary_components)
 
