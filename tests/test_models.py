@@ -1,6 +1,7 @@
 """Models, losses, lifetime numerics, lifecycle."""
 
 import math
+import uuid
 
 import numpy as np
 import pytest
@@ -29,12 +30,14 @@ from tidemark.plans.training import (
     PREPARE_NOTHING,
     ModelStore,
     TrainConfig,
+    load_configuration,
     run_submodel,
     run_submodels,
     should_promote,
     train,
 )
 from tidemark.session import new_location
+from tidemark.sources.warehouse import Warehouse
 
 PROFILE = ProfileOptions(max_cat_ratio=0.05, low_info_thresh=1)
 
@@ -311,13 +314,37 @@ def test_clustering_run(points):
 
 def test_embedding_run(spark):
     rows = [(u * 100 + i, f"u{u}", f"i{i}", float(u + i)) for u in range(12) for i in range(9)]
-    df = spark.createDataFrame(rows, "id int, u string, i string, y double")
-    trained = train(
-        df,
-        config(type="dot_embedding", purpose="embedding", label="y",
-               params={"subject": "u", "item": "i", "embedding_size": 3}),
+    df = spark.createDataFrame([*rows, (5000, "only", "once", 1.0)], "id int, u string, i string, y double")
+    store, house = ModelStore(spark, new_location(spark, "store")), Warehouse(spark, f"tm_{uuid.uuid4().hex}", new_location(spark, "warehouse"))
+    settings = config(
+        type="dot_embedding", purpose="embedding", label="y", params={"subject": "u", "item": "i", "embedding_size": 3, "reg": 0.01}
     )
-    assert trained.statistics["loss"] < 5
+    outcome = run_submodel(df, settings, store, "m", "s 1", house)
+    run = store.production("m", "s 1")
+    assert outcome["loss"] < 5 and run["test_rows"] > 5 and run["train_rows"] + run["test_rows"] in (108, 109)
+    stored = house.table("m_s_1_items")
+    assert {r.i for r in stored.collect()} >= {f"i{k}" for k in range(9)}
+    assert {len(r.embedding) for r in stored.collect()} == {3}
+    items = stored.count()
+    run_submodel(df, settings, store, "m", "s 1", house)
+    assert house.table("m_s_1_items").count() == items
+
+
+def test_a_run_stores_the_rows_its_model_was_made_from(spark, points):
+    store = ModelStore(spark, new_location(spark, "store"))
+    outcome = run_submodel(points, config(), store, "m", "s")
+    stored = spark.read.parquet(f"{store.path('m', 's', outcome['version'])}/training_data")
+    assert stored.count() == 600 and set(stored.columns) == {"id", "x", "y", "group", "value"}
+
+
+def test_configuration_names_of_embedding_and_scoring_runs(tmp_path):
+    import json
+
+    settings = {"type": "dot_embedding", "purpose": "embedding", "key_list": ["id"], "label_column": "y", "subject_input_name": "u", "item_input_name": "i", "pred_key": "id", "pred_destination_table": "t", "bq_write_method": "merge", "target_column_name": "y"}
+    (tmp_path / "model_config_global.json").write_text(json.dumps(settings))
+    (tmp_path / "submodel_params.json").write_text(json.dumps({"all": {}}))
+    found, _ = load_configuration(str(tmp_path))
+    assert found.label == "y" and found.params == {"subject": "u", "item": "i", "key": "id", "table": "t", "method": "merge", "target": "y"}
 
 
 def test_submodels_do_not_share_overrides(spark):

@@ -5,6 +5,7 @@ from datetime import date, datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark.session import new_location
 from tidemark.operators.windows import (
     Window,
     backfill_range,
@@ -114,3 +115,17 @@ def test_backfill_range():
     assert backfill_range(None, date_from="2024-01-01", date_to="2024-02-01")[1].month == 2
     with pytest.raises(ValueError):
         backfill_range(None)
+
+
+def test_partitions_outside_the_windows_are_not_read(spark):
+    path = new_location(spark, "by-day")
+    rows = spark.range(2000).select("id", (F.timestamp_seconds(F.col("id") * 3600 + 1704067200)).alias("ts"))
+    rows.withColumn("day", F.to_date("ts")).write.partitionBy("day").parquet(path)
+    stored = spark.read.parquet(path)
+    dates = ["2024-01-08", "2024-02-20"]
+    found = rows_per_date(stored, "ts", dates, Window(3, 2), "day")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    filters = plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert "day" in filters and "2024-01-05" in filters
+    same = rows_per_date(stored, "ts", dates, Window(3, 2))
+    assert found.count() == same.count() > 0 and found.exceptAll(same).isEmpty()

@@ -57,9 +57,13 @@ def _scan_ranges(dates: Sequence[datetime], window: Window) -> list[tuple[dateti
 
 
 def scan_filter(
-    df: DataFrame, time_col: str, dates: Sequence[datetime], window: Window
+    df: DataFrame, time_col: str, dates: Sequence[datetime], window: Window, day_col: str | None = None
 ) -> DataFrame:
-    """Keep rows inside the union of the windows; plain literals reach the file scan."""
+    """Keep rows inside the union of the windows; plain literals reach the file scan.
+
+    ``day_col`` is a partition column with the day of ``time_col``: the same bounds on it leave
+    whole partitions unread.
+    """
     data_type = df.schema[time_col].dataType
     column = F.col(time_col)
     by_day = isinstance(data_type, T.DateType)
@@ -71,7 +75,11 @@ def scan_filter(
             ranges.append(
                 column.between(moment_literal(low, data_type), moment_literal(high, data_type))
             )
-    return df.filter(reduce(or_, ranges))
+    kept = df.filter(reduce(or_, ranges))
+    if day_col is None:
+        return kept
+    days = [F.col(day_col).between(F.lit(low.date()), F.lit(high.date())) for low, high in _scan_ranges(dates, window)]
+    return kept.filter(reduce(or_, days))
 
 
 def day_table(
@@ -100,11 +108,13 @@ def rows_per_date(
     time_col: str,
     dates: Sequence[str | date | datetime],
     window: Window,
+    day_col: str | None = None,
 ) -> DataFrame:
     """``df`` with a ``statsdate`` column, one copy of a row per date that covers it.
 
     ``time_col`` is a timestamp (bounds are exact to the microsecond) or a date
-    (bounds are whole days, both ends in).
+    (bounds are whole days, both ends in). ``day_col`` names the partition column of a table
+    stored by the day of ``time_col``, if it is.
     """
     moments = sorted({as_moment(d) for d in dates})
     if not moments:
@@ -112,7 +122,7 @@ def rows_per_date(
     by_day = isinstance(df.schema[time_col].dataType, T.DateType)
     moment = F.col(time_col)
     joined = (
-        scan_filter(df, time_col, moments, window)
+        scan_filter(df, time_col, moments, window, day_col)
         .withColumn("window_day", moment if by_day else F.to_date(moment))
         .join(day_table(df.sparkSession, moments, window), "window_day")
         .withColumn("statsdate", F.explode("statsdates"))

@@ -65,6 +65,8 @@ class ChurnSources(NamedTuple):
         betAmountBaseCur, ticketTurnoverBaseCur, promo_open, promo_click
     sports: idContacto, statsdate, sportName, isLive, betType, leagueName, turnoverBaseCur
     league_events: LEAGUENAME, DEV_STARTDATE
+    day: partition column of hourly and sports if they are stored by the day of their
+        localStatshour and statsdate; partitions outside all windows are then not read
     """
 
     customers: DataFrame
@@ -72,6 +74,7 @@ class ChurnSources(NamedTuple):
     hourly: DataFrame
     sports: DataFrame
     league_events: DataFrame
+    day: str | None = None
 
 
 def _non_null_sum(column: str | Column) -> Column:
@@ -132,6 +135,7 @@ def hourly_activity(
     days_back: int,
     churn_period: int,
     deposit_measure: str = "depositAmountBaseCur",
+    day: str | None = None,
 ) -> DataFrame:
     """Look-back activity and look-ahead labels from one scan and one shuffle.
 
@@ -139,7 +143,7 @@ def hourly_activity(
     churn_period]``, both on the local clock. Labels stay null without rows.
     Dates without look-back rows are dropped.
     """
-    rows = rows_per_date(hourly, "localStatshour", dates, Window(days_back, churn_period))
+    rows = rows_per_date(hourly, "localStatshour", dates, Window(days_back, churn_period), day)
     local = F.col("localStatshour").cast("timestamp")
     utc = F.col("statshour").cast("timestamp")
     back = local <= F.col("statsdate")
@@ -190,6 +194,7 @@ def sports_totals(
     dates: Dates,
     days_back: int,
     churn_period: int,
+    day: str | None = None,
 ) -> DataFrame:
     """Sports turnover, value lists and the number of played leagues that return soon.
 
@@ -201,7 +206,7 @@ def sports_totals(
     per_league = (
         rows_per_date(
             playing.withColumnRenamed("statsdate", "played_at"),
-            "played_at", dates, Window(days_back, closed="right"),
+            "played_at", dates, Window(days_back, closed="right"), day,
         )
         .groupBy(*GROUP, "leagueName")
         .agg(
@@ -244,9 +249,9 @@ def customer_window_agg(
     warehouse query does.
     """
     measure = "withdrawAmountBaseCur" if as_reference else "depositAmountBaseCur"
-    activity = hourly_activity(sources.hourly, dates, days_back, churn_period, measure)
+    activity = hourly_activity(sources.hourly, dates, days_back, churn_period, measure, sources.day)
     casino = casino_totals(sources.casino, dates, days_back)
-    sports = sports_totals(sources.sports, sources.league_events, dates, days_back, churn_period)
+    sports = sports_totals(sources.sports, sources.league_events, dates, days_back, churn_period, sources.day)
     statsdate = F.col("statsdate")
     table = (
         activity.join(casino, GROUP, "left")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import copy
 import json
+import re
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field, fields, replace
 from datetime import datetime, timezone
@@ -16,8 +17,9 @@ from pyspark.sql import types as T
 
 from tidemark.functions.scoring import LOSS_NAMES, loss_value, rescale_probability
 from tidemark.models.base import FEATURES, PREDICTION, Fitted, load_fitted
-from tidemark.models.mllib import class_index
+from tidemark.models.mllib import class_index, item_vectors
 from tidemark.models.registry import MODELS, fit_model
+from tidemark.operators.joins import seen_values_only
 from tidemark.operators.encode import categorical_features, fit_encoder, apply_encoder
 from tidemark.operators.preparation import (
     ROW_KEY,
@@ -38,6 +40,7 @@ from tidemark.operators.sampling import train_test_split, undersample
 from tidemark.operators.silhouette import squared_silhouette
 from tidemark.plans.scoring import score_rows
 from tidemark.session import opened, written
+from tidemark.sources.warehouse import WRITE_TRUNCATE, Warehouse
 
 # How the predictors reach the model.
 PREPARE_FULL = "False"
@@ -83,6 +86,7 @@ class Trained:
     spec: DataSpec | None
     pca: PipelineModel | None
     statistics: dict = field(default_factory=dict)
+    items: DataFrame | None = None  # vectors of an embedding run
 
 
 def _labelled(df: DataFrame, config: TrainConfig) -> DataFrame:
@@ -181,18 +185,33 @@ def _train_lifetime(df: DataFrame, config: TrainConfig) -> Trained:
 
 
 def _train_embedding(df: DataFrame, config: TrainConfig) -> Trained:
-    """Subject and item are numbered first; the model sees codes only."""
+    """Subject and item are numbered first; the model sees codes only.
+
+    Rows held out count where training knows both their subject and their item.
+    """
     subject, item = config.params["subject"], config.params["item"]
-    coded = df
-    for column in (subject, item):
-        coded = apply_encoder(coded, column, fit_encoder(df, column), f"{column}_code")
+    train_rows, test_rows = df, df.limit(0)
+    if config.train_pct < 1:
+        keys = config.keys or (subject, item)
+        train_rows, test_rows = train_test_split(df, keys, config.train_pct, config.seed)
+        test_rows = seen_values_only(test_rows, train_rows, [subject, item])
+    codes = {column: fit_encoder(train_rows, column) for column in (subject, item)}
+
+    def coded(rows: DataFrame) -> DataFrame:
+        for column, encoder in codes.items():
+            rows = apply_encoder(rows, column, encoder, f"{column}_code")
+        return rows
+
     params = {k: v for k, v in config.params.items() if k not in ("subject", "item")}
-    fitted = fit_model(config.type, coded, (f"{subject}_code", f"{item}_code"), config.label, **params)
+    fitted = fit_model(
+        config.type, coded(train_rows), (f"{subject}_code", f"{item}_code"), config.label, **params
+    )
     loss = None
     if config.loss:
-        scored = fitted.score(coded)
+        scored = fitted.score(coded(test_rows if config.train_pct < 1 else train_rows))
         loss = loss_value(scored, config.loss, F.col(config.label), F.col(PREDICTION))
-    return Trained(fitted, None, None, _statistics(loss, None, None, df.count(), 0, 2))
+    statistics = _statistics(loss, None, None, train_rows.count(), test_rows.count(), 2)
+    return Trained(fitted, None, None, statistics, item_vectors(fitted, codes[item], item))
 
 
 # ---- configuration files --------------------------------------------------------
@@ -278,13 +297,17 @@ class ModelStore:
         """Log row of the version in production, or None."""
         return self._newest(model, submodel, promoted_only=True)
 
+    def path(self, model: str, submodel: str, version: int) -> str:
+        """Folder of one version: model, spec, and what the run stored beside them."""
+        return f"{self.folder}/models/{model}/{submodel}/v{version}"
+
     def save(
         self, trained: Trained, model: str, submodel: str, promoted: bool,
         production_loss: float | None = None,
     ) -> int:
         last = self._newest(model, submodel, promoted_only=False)
         version = last["version"] + 1 if last else 1
-        path = f"{self.folder}/models/{model}/{submodel}/v{version}"
+        path = self.path(model, submodel, version)
         trained.fitted.save(self.spark, f"{path}/model")
         if trained.spec is not None:
             save_spec(self.spark, trained.spec, f"{path}/spec")
@@ -323,12 +346,16 @@ def should_promote(
 
 
 def run_submodel(
-    df: DataFrame, config: TrainConfig, store: ModelStore, model: str, submodel: str
+    df: DataFrame, config: TrainConfig, store: ModelStore, model: str, submodel: str,
+    house: Warehouse | None = None,
 ) -> dict:
     """Train a challenger, test the champion on the same held-out rows, keep the better one.
 
     Preparing, fitting and testing read the input many times, so the result of the
-    input query is written out once first.
+    input query is written out once first. The version's folder also gets the rows the model
+    was made from (``training_data``), or the item vectors of an embedding run
+    (``item_vectors``); with a ``house`` those also replace the table
+    ``<model>_<submodel>_items``.
     """
     df = written(df, "training-input")
     trained = train(df, config)
@@ -352,6 +379,15 @@ def run_submodel(
             old_loss = UNKNOWN_LOSS
     promoted = should_promote(trained.statistics["loss"], old_loss, comparable)
     version = store.save(trained, model, submodel, promoted, old_loss)
+    path = store.path(model, submodel, version)
+    if trained.items is not None:
+        trained.items.write.mode("overwrite").parquet(f"{path}/item_vectors")
+        if house is not None:
+            vectors = df.sparkSession.read.parquet(f"{path}/item_vectors")
+            house.write(vectors, re.sub(r"\W", "_", f"{model}_{submodel}_items"), write=WRITE_TRUNCATE)
+    elif config.label in df.columns:
+        rows, roles = split_roles(_labelled(df, config), config.keys, config.label)
+        save_training_data(rows, trained.spec, roles.keys, config.label, f"{path}/training_data")
     return {
         "version": version, "loss": trained.statistics["loss"],
         "production_loss": old_loss, "promoted": promoted,
