@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.llm import quality
+from tidemark.llm import quality, sanitise
 
 _WORDS = r"list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '')"
 
@@ -10,7 +10,6 @@ _WORDS = r"list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D
 def _quality() -> str:
     """Windows of every length, counted and covered word by word."""
     lengths = list(quality.LENGTHS)
-    longest = max(quality.LENGTHS)
     covered = "\n".join(
         f"left join (select r, sum(size) as c, count(*) as n from (select distinct p.r, p.i, p.size from pos p join rep on rep.r = p.r and rep.n = {n} and p.i between rep.i and rep.i + {n - 1}) group by r) d{n} on d{n}.r = t.r"
         for n in quality.DUPLICATE_LIMITS
@@ -38,7 +37,7 @@ m as (select t.*, coalesce(d{quality.BASE_LENGTH}.n, 0) as n_repeat_words, ({" o
 v as (select *, n_words < {quality.BASE_WORDS} or 100 * n_repeat_words > {quality.BASE_REPEAT} * n_words as base_failed from m)
 select doc_id, {", ".join(f"cast({c} as bigint) as {c}" for c in quality.COLUMNS)}, base_failed, not base_failed and not bad as kept,
     {", ".join(f"cast({c} as bigint) as {c}" for c in quality.MEASURES)} from v
-"""  # noqa: S608 - longest is fixed by LENGTHS
+"""  # noqa: S608
 
 
 _NO_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -80,8 +79,57 @@ select conv_id, cast(count(*) filter (shared) as int) as n_prompt_turns,
 from placed group by conv_id
 """
 
+#: The plain patterns: RE2 reads a text once whatever they are.
+_PATTERNS = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)",
+    "card": r"[0-9](?:[\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+_RUN = r"[\p{L}\p{N}]"
+
+
+def _sanitise() -> str:
+    sizes = "cast(coalesce(list_sum(list_transform({0}, lambda x: length(x))), 0) as bigint)"
+    found = " union all ".join(
+        f"select r, '{k}' as kind, {i} as rank, regexp_extract_all(text, '{p}') as ms, regexp_split_to_array(text, '{p}') as gaps from docs"
+        for i, (k, p) in enumerate(_PATTERNS.items())
+    )
+    counts = ", ".join(f"count(*) filter (kind = '{k}') as n_{k}" for k in _PATTERNS)
+    spell = "string_agg(kind || ':' || s || ':' || e, ',' order by s, rank, e)"
+    return f"""
+with docs as (select row_number() over () as r, doc_id, coalesce(text, '') as text from documents),
+found as ({found}),
+placed as (select r, kind, rank, ms[i] as m, regexp_replace(ms[i], '[^0-9]', '', 'g') as digits,
+        {sizes.format("gaps[1:i]")} + {sizes.format("ms[1:i-1]")} as s from found, unnest(range(1, len(ms) + 1)) as u(i)),
+base as (select r, kind, rank, m, s, s + length(m) as e from placed where case kind
+        when 'ip' then list_bool_and(list_transform(string_split(m, '.'), lambda x: coalesce(try_cast(nullif(ltrim(x, '0'), '') as hugeint), 0) <= 255 and length(ltrim(x, '0')) <= 3))
+        when 'card' then length(digits) between 12 and 19 and list_sum(list_transform(range(0, length(digits)), lambda i:
+            case when i % 2 = 0 then cast(digits[length(digits) - i] as int) else 2 * cast(digits[length(digits) - i] as int) - case when digits[length(digits) - i] > '4' then 9 else 0 end end)) % 10 = 0
+        when 'phone' then length(digits) between 9 and 15 else true end),
+beside as (select r, lower(kind || ':' || m) as entity, substring(text, greatest(s + 1 - {sanitise.NEAR_CHARS}, 1), least(s, {sanitise.NEAR_CHARS})) as b,
+        s > {sanitise.NEAR_CHARS} as far, substring(text, e + 1, {sanitise.NEAR_CHARS}) as a, text from base join docs using (r)),
+near as (select distinct entity, text, unnest(regexp_extract_all(lower(case when far then regexp_replace(b, '^{_RUN}+', '') else b end), '{_RUN}{{3,}}')
+        || regexp_extract_all(lower(case when length(a) = {sanitise.NEAR_CHARS} then regexp_replace(a, '{_RUN}+$', '') else a end), '{_RUN}{{3,}}')) as term from beside),
+close as (select term, max(n) as together from (select term, entity, count(*) as n from near where not regexp_matches(term, '^[0-9]+$') group by all) group by term having max(n) >= {sanitise.MIN_TEXTS}),
+holders as (select distinct text, unnest(regexp_extract_all(lower(text), '{_RUN}{{3,}}')) as term from docs),
+telling as (select term from (select term, count(*) as n, max(together) as together from holders join close using (term) group by term) where log2(n / together) <= {sanitise.MAX_BITS}),
+runs as (select r, regexp_extract_all(text, '{_RUN}+') as ms, regexp_split_to_array(text, '{_RUN}+') as gaps from docs
+        where r in (select r from docs join holders using (text) join telling using (term))),
+words as (select r, lower(ms[i]) as term, length(ms[i]) as size, {sizes.format("gaps[1:i]")} + {sizes.format("ms[1:i-1]")} as s from runs, unnest(range(1, len(ms) + 1)) as u(i)),
+terms as (select r, 'term' as kind, {len(_PATTERNS)} as rank, s, s + size as e from words semi join telling using (term)
+        where not exists (select 1 from base b where b.r = words.r and words.s < b.e and b.s < words.s + size)),
+counted as (select r, {counts}, {spell} as spans from base group by r),
+every as (select r, {spell} as spans, count(*) filter (kind = 'term') as n_terms from (select r, kind, rank, s, e from base union all select * from terms) group by r)
+select doc_id, {", ".join(f"coalesce(n_{k}, 0) as n_{k}" for k in _PATTERNS)}, sha256(coalesce(c.spans, '')) as base_sha256,
+    coalesce(e.spans, '') as spans, coalesce(n_terms, 0) as n_terms
+from docs left join counted c using (r) left join every e using (r)
+"""  # noqa: S608
+
+
 SQL = {
     "op1_quality": _quality(),
     "op4_decontaminate": DECONTAMINATE,
     "op8_preference": PREFERENCE,
+    "op10_pii": _sanitise(),
 }
