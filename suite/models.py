@@ -367,7 +367,7 @@ def statistics(t: Tables) -> DataFrame:
     return store.runs().select(
         "model_name", "submodel_name", "version", "promoted", "columns",
         (F.abs(F.col("mu") - 0.5) < 1e-9).alias("balanced"), F.col("pi").between(0.01, 0.99).alias("share_known"),
-        F.col("production_loss").isNull().alias("first"), ((F.col("loss") > 0) & (F.col("loss") < 1)).alias("measured"),
+        F.col("production_loss").isNull().alias("first"), ((F.col("loss") > 0) & (F.col("loss") < 36)).alias("measured"),
     )
 
 
