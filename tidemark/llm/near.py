@@ -117,17 +117,17 @@ def components(edges: DataFrame) -> DataFrame:
     """The connected component of every node of an edge list ``(u, v)``: ``node``, ``label`` (its least node).
 
     Large and small stars in turn (Kiveris et al. 2014), each written, until nothing changes;
-    minima are combined before they are shuffled, and rows meet minima by a join that a
-    dominant node can be split in.
+    minima are combined before they are shuffled and written, so that rows meet them by a join
+    of two shuffles, in which the rows of a dominant node are split.
     """
     edges = written(edges.filter("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
     seen = None
     while True:
         both = edges.unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        low = written(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
         large = both.join(low, "u").filter("v > u and v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = written(large.distinct(), "large-star")
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        low = written(large.groupBy("u").agg(F.min("v").alias("m")), "least")
         small = large.join(low, "u").filter("v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionAll(low.select("u", F.col("m").alias("v")))
         edges = written(small.distinct(), "small-star")
         state = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("s")).first()
