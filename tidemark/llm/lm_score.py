@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import id_and_text, pieces
 from tidemark.llm.near import word_hashes
+from tidemark.session import written
 
 WORD_BITS, PAIR_BITS = 16, 20
 #: Weight of the unigram model in a bigram's estimate, in tokens.
@@ -99,19 +100,25 @@ def _own_counts(owner: np.ndarray, numbers: np.ndarray) -> np.ndarray:
     return times[at]
 
 
-def _marked(docs: DataFrame, target_ids: DataFrame, id_column: str, text_column: str) -> DataFrame:
+def marked(docs: DataFrame, target_ids: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """Id and text of every document and whether it belongs to the target, stored.
+
+    ``target_ids`` has the ids in its first column; repeated ids count once. The ids grow with
+    the corpus, so both sides are shuffled at every size, once; training and scoring read the
+    stored rows.
+    """
     ids = target_ids.select(F.col(target_ids.columns[0]).alias("target_id")).filter("target_id is not null").distinct()
     rows = id_and_text(docs, id_column, text_column)
-    return rows.join(ids, rows["doc_id"] == ids["target_id"], "left").select("doc_id", "text", F.col("target_id").isNotNull().alias("target"))
+    both = rows.join(ids.hint("merge"), rows["doc_id"] == ids["target_id"], "left")
+    return written(both.select("doc_id", "text", F.col("target_id").isNotNull().alias("target")), "marked")
 
 
-def train(docs: DataFrame, target_ids: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> Models:
-    """Both models. ``target_ids`` has the ids of the target documents in its first column; repeated ids count once.
+def train(rows: DataFrame) -> Models:
+    """Both models of ``marked`` documents.
 
     What reaches the driver has a fixed size: a row for each number at most.
     """
-    rows = _marked(docs, target_ids, id_column, text_column).select("text", "target")
-    counts = rows.mapInArrow(_count, "kind int, number int, all long, target long")
+    counts = rows.select("text", "target").mapInArrow(_count, "kind int, number int, all long, target long")
     return Models(counts.groupBy("kind", "number").agg(F.sum("all").alias("all"), F.sum("target").alias("target")))
 
 
@@ -124,8 +131,8 @@ def cross_entropy_difference(docs: DataFrame, target_ids: DataFrame, id_column:
     counted. Without target documents the target model knows nothing and every loss is that of
     a word at random. Repeated rows give repeated results; further columns are not read.
     """
-    source = _marked(docs, target_ids, id_column, text_column)
-    shared = docs.sparkSession.sparkContext.broadcast(train(docs, target_ids, id_column, text_column))
+    source = marked(docs, target_ids, id_column, text_column)
+    shared = docs.sparkSession.sparkContext.broadcast(train(source))
 
     def run(batches) -> Iterator[pa.RecordBatch]:
         for part, texts in pieces(batches):
