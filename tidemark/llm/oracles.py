@@ -8,7 +8,7 @@ _WORDS = r"list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D
 
 
 def _quality() -> str:
-    """Windows of every length, counted and covered word by word."""
+    """Windows of every length, counted and covered word by word; only where two words are repeated can more be."""
     lengths = list(quality.LENGTHS)
     covered = "\n".join(
         f"left join (select r, sum(size) as c, count(*) as n from (select distinct p.r, p.i, p.size from pos p join rep on rep.r = p.r and rep.n = {n} and p.i between rep.i and rep.i + {n - 1}) group by r) d{n} on d{n}.r = t.r"
@@ -23,7 +23,9 @@ def _quality() -> str:
 with docs as (select row_number() over () as r, doc_id, coalesce(text, '') as text, {_WORDS} as words,
         list_filter(string_split(coalesce(text, ''), chr(10)), lambda l: regexp_matches(l, '[^\\x20\\x09-\\x0D]')) as lines from documents),
 pos as (select r, i, words[i] as w, length(words[i]) as size from docs, unnest(range(1, len(words) + 1)) as u(i)),
-run as (select r, i, len(words) as total, words, unnest({lengths}) as n from docs, unnest(range(1, len(words) + 1)) as u(i)),
+pairs as (select r, i, w || chr(10) || lead(w) over (partition by r order by i) as g from pos),
+cand as (select r, i from pairs where g is not null qualify count(*) over (partition by r, g) > 1),
+run as (select r, i, len(words) as total, words, unnest({lengths}) as n from cand join docs using (r)),
 wins as (select r, i, n, words[i : i + n - 1] as g from run where i + n - 1 <= total),
 rep as (select r, i, n, g, count(*) over (partition by r, n, g) as times,
         list_sum(list_transform(g, lambda w: length(w))) * count(*) over (partition by r, n, g) as held from wins qualify times > 1),
