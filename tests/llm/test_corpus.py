@@ -298,6 +298,34 @@ def test_scores_tell_good_from_bad(spark):
     assert (good[:, None] < bad[None]).mean() > 0.6
 
 
+def test_models_grow_with_the_corpus(spark, monkeypatch):
+    """More words than any fixed number of classes, in many blocks, against counts of the words themselves."""
+    monkeypatch.setattr(lm_score, "BLOCK_BYTES", 50_000)
+    rng = np.random.default_rng(5)
+    texts = [" ".join(["the same start", *(f"w{x}" for x in rng.integers(0, 60_000, 400)), "of the end"]) for _ in range(400)]
+    target = set(range(0, 400, 3))
+    found = lm_score.cross_entropy_difference(
+        spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5), spark.createDataFrame([(i,) for i in target], "i long")
+    ).toPandas().set_index("doc_id")
+    counts = [[Counter(), Counter(), Counter()] for _ in range(2)]
+    rows = [list(zip([None, *t.split()], t.split())) for t in texts]
+    for i, row in enumerate(rows):
+        for model in counts[: 1 + (i in target)]:
+            for table, keys in zip(model, ([b for _, b in row], [a for a, _ in row], row)):
+                table.update(keys)
+    total, vocabulary = [sum(m[0].values()) for m in counts], len(counts[0][0])
+    assert vocabulary > 1 << lm_score.WORD_BITS - 1
+    for i, row in enumerate(rows[:40]):
+        own = [Counter(b for _, b in row), Counter(a for a, _ in row), Counter(row)]
+        want = []
+        for k in range(2):
+            part, weight = int(k == 0 or i in target), min(total) / total[k]
+            word, around, pair = (lambda key, t=t, o=o: (t[key] - part * o[key]) * weight for t, o in zip(counts[k], own))
+            alone = [(word(b) + 1) / ((total[k] - part * len(row)) * weight + vocabulary) for _, b in row]
+            want.append(np.mean([-np.log((pair((a, b)) + lm_score.PRIOR * p) / (around(a) + lm_score.PRIOR)) for (a, b), p in zip(row, alone)]))
+        assert np.allclose([found.background_loss[i], found.target_loss[i]], want, rtol=1e-9)
+
+
 def test_lm_rows(odd, empty, spark):
     ids = spark.createDataFrame([(6,)], "i long")
     assert lm_score.cross_entropy_difference(odd, ids).count() == odd.count()

@@ -1,10 +1,12 @@
 """Cross-entropy difference: how much better a target model predicts a text than the background model.
 
-Two bigram models of one shape, one of the target documents and one of all documents, share a
-vocabulary of ``2**WORD_BITS`` word numbers and ``2**PAIR_BITS`` pair numbers, both hashes, so
-that a model has a known size and every word of every document counts in it. Tasks add up
-their own texts; Spark adds up the tasks. Each document is scored by the mean difference of
-the losses of its tokens.
+Two bigram models, one of the target documents and one of all documents, count real words and
+pairs of words, each known by the 64-bit hashes of its words, so the models grow with the
+corpus and no counts are shared. They are never held in one place: documents are stored in
+blocks of bounded size, each block counts its own texts, Spark adds up the blocks by word and
+pair, and a block gets the sums back of what it shares with other blocks. A word or pair has
+one row a block at most, so frequent ones need no special care. Each document is scored by
+the mean difference of the losses of its tokens.
 """
 
 from __future__ import annotations
@@ -13,113 +15,164 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import id_and_text, pieces
+from tidemark.llm.common import id_and_text, text_bytes
 from tidemark.llm.near import word_hashes
 from tidemark.session import written
 
-WORD_BITS, PAIR_BITS = 16, 20
+#: Words at random are one of ``2**(WORD_BITS - 1)``, or of as many as the corpus has if those are more.
+WORD_BITS = 16
+#: Bytes of text of one block, about (its last text may be longer), and what a row counts besides its text.
+BLOCK_BYTES, ROW_BYTES = 1 << 22, 64
 #: Weight of the unigram model in a bigram's estimate, in tokens.
 PRIOR = 20.0
-_BASE = np.uint64(0x9E3779B97F4A7C15)
+WORD, PAIR = 0, 1
+SUMS = ("all", "target", "last_all", "last_target")
+_NAMES = ["block", "kind", "before", "word", *SUMS]
+_COUNTS = "block long, kind int, before long, word long, all long, target long, last_all long, last_target long"
 
 
-def token_numbers(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Word number, number of the word before (0 at the start of a text), pair number, owner of every token."""
+def token_numbers(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Word hash, hash of the word before (0 at the start of a text), owner of every token."""
     split = [t.split() for t in texts]
-    sizes = np.array([len(x) for x in split], np.int64)
-    owner = np.repeat(np.arange(len(texts)), sizes)
-    hashes = word_hashes([w for x in split for w in x], {})
-    words = (hashes >> np.uint64(64 - WORD_BITS)).astype(np.int64) | 1  # the even half of a number pair is left to the start
-    before = np.zeros(len(hashes), np.uint64)
-    before[1:] = hashes[:-1]
-    first = np.ones(len(hashes), bool)
-    first[1:] = owner[1:] != owner[:-1]
-    before[first] = 0
-    pairs = ((before * _BASE) ^ hashes) * np.uint64(0xBF58476D1CE4E5B9)
-    context = np.where(first, 0, np.concatenate([[0], words[:-1]]))
-    return words, context, (pairs >> np.uint64(64 - PAIR_BITS)).astype(np.int64), owner
+    owner = np.repeat(np.arange(len(texts)), np.array([len(x) for x in split], np.int64))
+    words = word_hashes([w for x in split for w in x], {}).view(np.int64)
+    words = np.where(words == 0, 1, words)  # 0 is left to the start
+    before = np.zeros(len(words), np.int64)
+    before[1:] = np.where(owner[1:] == owner[:-1], words[:-1], 0)
+    return words, before, owner
 
 
-def _count(batches) -> Iterator[pa.RecordBatch]:
-    """Counts of one task's texts by kind (word, context, pair) and number, in all of them and in the target."""
-    kinds = {"word": 1 << WORD_BITS, "context": 1 << WORD_BITS, "pair": 1 << PAIR_BITS}
-    sums = {k: np.zeros((2, n), np.int64) for k, n in kinds.items()}
-    for part, texts in pieces(batches):
-        words, context, pairs, owner = token_numbers(texts)
-        target = np.array(part.column("target").to_pylist(), bool)[owner] if len(texts) else np.zeros(0, bool)
-        for kind, numbers in (("word", words), ("context", context), ("pair", pairs)):
-            sums[kind][0] += np.bincount(numbers, minlength=kinds[kind])
-            sums[kind][1] += np.bincount(numbers[target], minlength=kinds[kind])
-    for i, (_, both) in enumerate(sums.items()):
-        some = np.flatnonzero(both[0])
-        for lo in range(0, len(some), 50_000):
-            at = some[lo : lo + 50_000]
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), i, np.int32)), pa.array(at.astype(np.int32)), pa.array(both[0][at]), pa.array(both[1][at])], ["kind", "number", "all", "target"])
-
-
-class Models:
-    """Counts of both models as arrays; [0] background, [1] target."""
-
-    def __init__(self, counts: DataFrame):
-        found = counts.toArrow()
-        kind, number = found["kind"].to_numpy(), found["number"].to_numpy()
-        both = np.stack([found["all"].to_numpy(), found["target"].to_numpy()]).astype(np.float32)
-        self.word, self.context, self.pair = (np.zeros((2, n), np.float32) for n in (1 << WORD_BITS, 1 << WORD_BITS, 1 << PAIR_BITS))
-        for i, table in enumerate((self.word, self.context, self.pair)):
-            table[:, number[kind == i]] = both[:, kind == i]
-        self.total = self.word.sum(axis=1, dtype=np.float64)
-
-    def losses(self, texts: list[bytes], target: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Loss of every token in nats under both models; the owner of each token.
+class Counts:
+    """Words and pairs of some texts: sorted keys, the place of every token's key, counts ([0] background, [1] target).
+
+    The start of a text is the word 0. A word has been a context as often as it occurs, less
+    its ends of a text.
+    """
+
+    def __init__(self, texts: list[bytes], target: np.ndarray):
+        words, before, self.owner = token_numbers(texts)
+        self.words, both_at = np.unique(np.concatenate([words, before, [0]]), return_inverse=True)
+        n, size = len(words), len(self.words)
+        self.word_at, self.context_at = both_at[:n], both_at[n : 2 * n]
+        self.pairs, self.pair_at = np.unique(self.context_at * size + self.word_at, return_inverse=True)
+        marked = target[self.owner]
+        twice = lambda at, keys: np.stack([np.bincount(at, minlength=keys), np.bincount(at[marked], minlength=keys)])
+        self.word, around, self.pair = twice(self.word_at, size), twice(self.context_at, size), twice(self.pair_at, len(self.pairs))
+        self.word[:, both_at[-1]] = around[:, both_at[-1]]
+        self.last = self.word - around
+
+    def rows(self, block: int) -> Iterator[pa.RecordBatch]:
+        context_at, word_at = np.divmod(self.pairs, len(self.words))
+        none = np.zeros((2, len(self.pairs)), np.int64)
+        for kind, columns in ((WORD, (np.zeros(len(self.words), np.int64), self.words, *self.word, *self.last)), (PAIR, (self.words[context_at], self.words[word_at], *self.pair, *none))):
+            for lo in range(0, len(columns[0]), 50_000):
+                part = [pa.array(c[lo : lo + 50_000]) for c in columns]
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part[0]), block, np.int64)), pa.array(np.full(len(part[0]), kind, np.int32)), *part], _NAMES)
+
+    def take(self, sums: pa.Table) -> None:
+        """Sums over all blocks in the place of this block's own; what is not among them occurs in this block only."""
+        kind, before, word = (sums[c].to_numpy() for c in ("kind", "before", "word"))
+        found = np.stack([sums[c].to_numpy() for c in SUMS])
+        word_at = np.searchsorted(self.words, word)
+        self.word[:, word_at[kind == WORD]] = found[:2, kind == WORD]
+        self.last[:, word_at[kind == WORD]] = found[2:, kind == WORD]
+        pair_at = np.searchsorted(self.pairs, (np.searchsorted(self.words, before) * len(self.words) + word_at)[kind == PAIR])
+        self.pair[:, pair_at] = found[:2, kind == PAIR]
+
+    def losses(self, target: np.ndarray, total: tuple[int, int], vocabulary: int) -> np.ndarray:
+        """Loss of every token in nats under both models.
 
         A text is scored by what all other texts have counted: its own counts are taken out of
         the background, and out of the target if it belongs there.
         """
-        words, context, pairs, owner = token_numbers(texts)
-        own = [_own_counts(owner, x) for x in (words, context, pairs)]
-        size = np.bincount(owner, minlength=len(texts))[owner]
-        out = np.empty((2, len(words)))
+        tables = ((self.word, self.word_at), (self.word - self.last, self.context_at), (self.pair, self.pair_at))
+        own = [_own_counts(self.owner, at, t.shape[1]) for t, at in tables]
+        size = np.bincount(self.owner, minlength=len(target))[self.owner]
+        out = np.empty((2, len(self.owner)))
         # both models get the weight of the smaller one against the prior, so what differs is not their size
-        matched = min(self.total) / np.maximum(self.total, 1.0)
+        matched = min(total) / np.maximum(np.array(total, float), 1.0)
         for i in range(2):
-            part = np.ones(len(words)) if i == 0 else target[owner].astype(float)
-            word, around, pair = (t[i][x] - part * o for t, x, o in zip((self.word, self.context, self.pair), (words, context, pairs), own, strict=True))
-            word, around, pair = word * matched[i], around * matched[i], pair * matched[i]
-            alone = (word + 1.0) / ((self.total[i] - part * size) * matched[i] + (1 << WORD_BITS - 1))
-            # other pairs can share a number: a pair is not seen more often than its words
-            out[i] = -np.log((np.minimum(pair, np.minimum(word, around)) + PRIOR * alone) / (around + PRIOR))
-        return out, owner
+            part = np.ones(len(self.owner)) if i == 0 else target[self.owner].astype(float)
+            word, around, pair = ((t[i][at] - part * o) * matched[i] for (t, at), o in zip(tables, own, strict=True))
+            alone = (word + 1.0) / ((total[i] - part * size) * matched[i] + vocabulary)
+            out[i] = -np.log((pair + PRIOR * alone) / (around + PRIOR))
+        return out
+
+
+def _own_counts(owner: np.ndarray, at: np.ndarray, keys: int) -> np.ndarray:
+    """For each token, how often its text has its key."""
+    _, place, times = np.unique(owner * max(keys, 1) + at, return_inverse=True, return_counts=True)
+    return times[place]
+
+
+def _target(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    return np.array(column.to_pylist(), bool)
+
+
+def _blocked(batches) -> Iterator[pa.RecordBatch]:
+    """Rows with the number of their block: a task's rows are cut every ``BLOCK_BYTES``."""
+    first, done = TaskContext.get().partitionId() << 32, 0
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column("text").cast(pa.large_binary())), 0).to_numpy(zero_copy_only=False).astype(np.int64) + ROW_BYTES
+        ends = done + np.cumsum(sizes)
+        block = first + (ends - sizes) // BLOCK_BYTES
+        done = int(ends[-1]) if len(ends) else done
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(block)], [*batch.schema.names, "block"])
+
+
+def _counts(batches) -> Iterator[tuple[int, Counts]]:
+    """Counts of each run of rows of one block."""
+    held, texts, target = None, [], []
+    for batch in batches:
+        blocks = batch.column("block").to_numpy()
+        edges = [0, *(np.flatnonzero(np.diff(blocks)) + 1).tolist(), len(blocks)]
+        for lo, hi in zip(edges, edges[1:]):
+            if lo == hi:
+                continue
+            if texts and blocks[lo] != held:
+                yield held, Counts(texts, np.array(target, bool))
+                texts, target = [], []
+            held = int(blocks[lo])
+            texts += text_bytes(batch.column("text").slice(lo, hi - lo))
+            target += batch.column("target").slice(lo, hi - lo).to_pylist()
+    if texts:
+        yield held, Counts(texts, np.array(target, bool))
+
+
+def _count(batches) -> Iterator[pa.RecordBatch]:
+    for block, counts in _counts(batches):
+        yield from counts.rows(block)
 
 
-def _own_counts(owner: np.ndarray, numbers: np.ndarray) -> np.ndarray:
-    """For each token, how often its text has its number."""
-    _, at, times = np.unique((owner << PAIR_BITS) + numbers, return_inverse=True, return_counts=True)
-    return times[at]
+def _count_words(batches) -> Iterator[pa.RecordBatch]:
+    for _, counts in _counts(batches):
+        yield pa.RecordBatch.from_arrays([pa.array(counts.words), *(pa.array(x) for x in counts.word)], ["word", "all", "target"])
 
 
 def marked(docs: DataFrame, target_ids: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """Id and text of every document and whether it belongs to the target, stored.
+    """Id and text of every document, whether it belongs to the target, and its block, stored.
 
     ``target_ids`` has the ids in its first column; repeated ids count once. The ids grow with
-    the corpus, so both sides are shuffled at every size, once; training and scoring read the
+    the corpus, so both sides are shuffled at every size, once; counting and scoring read the
     stored rows.
     """
     ids = target_ids.select(F.col(target_ids.columns[0]).alias("target_id")).filter("target_id is not null").distinct()
     rows = id_and_text(docs, id_column, text_column)
-    both = rows.join(ids.hint("merge"), rows["doc_id"] == ids["target_id"], "left")
-    return written(both.select("doc_id", "text", F.col("target_id").isNotNull().alias("target")), "marked")
+    both = rows.join(ids.hint("merge"), rows["doc_id"] == ids["target_id"], "left").select("doc_id", "text", F.col("target_id").isNotNull().alias("target"))
+    kind = both.schema["doc_id"].dataType.simpleString()
+    return written(both.mapInArrow(_blocked, f"doc_id {kind}, text string, target boolean, block long"), "marked")
 
 
-def train(rows: DataFrame) -> Models:
-    """Both models of ``marked`` documents.
-
-    What reaches the driver has a fixed size: a row for each number at most.
-    """
-    counts = rows.select("text", "target").mapInArrow(_count, "kind int, number int, all long, target long")
-    return Models(counts.groupBy("kind", "number").agg(F.sum("all").alias("all"), F.sum("target").alias("target")))
+def shared_sums(counts: DataFrame) -> DataFrame:
+    """For each block its words and pairs that also occur elsewhere, with their sums over all blocks."""
+    same = Window.partitionBy("kind", "before", "word")
+    sums = counts.select("block", "kind", "before", "word", F.col("all").alias("here"), *(F.sum(c).over(same).alias(c) for c in SUMS))
+    return sums.filter(F.col("all") > F.col("here")).drop("here")
 
 
 def cross_entropy_difference(docs: DataFrame, target_ids: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -129,19 +182,26 @@ def cross_entropy_difference(docs: DataFrame, target_ids: DataFrame, id_column:
     low where a text looks like the target. Null and empty texts have no tokens and null losses.
     A text is scored without its own counts, so target documents gain nothing from having been
     counted. Without target documents the target model knows nothing and every loss is that of
-    a word at random. Repeated rows give repeated results; further columns are not read.
+    a word at random. Repeated rows give repeated results; further columns are not read. A task
+    holds one block of texts with its counts; the driver gets three numbers.
     """
     source = marked(docs, target_ids, id_column, text_column)
-    shared = docs.sparkSession.sparkContext.broadcast(train(source))
-
-    def run(batches) -> Iterator[pa.RecordBatch]:
-        for part, texts in pieces(batches):
-            losses, owner = shared.value.losses(texts, np.array(part.column("target").to_pylist(), bool))
-            n = np.bincount(owner, minlength=len(texts))
-            means = [np.bincount(owner, weights=x, minlength=len(texts)) / np.maximum(n, 1) for x in losses]
-            gone = n == 0
-            values = [pa.array(x, mask=gone) for x in (means[1], means[0], means[1] - means[0])]
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(n), *values], ["doc_id", "n_tokens", "target_loss", "background_loss", "score"])
+    texts = source.select("block", "text", "target")
+    words = texts.mapInArrow(_count_words, "word long, all long, target long").filter("word != 0")
+    words = words.groupBy("word").agg(F.sum("all").alias("all"), F.sum("target").alias("target"))
+    n = words.agg(F.count("*").alias("words"), F.sum("all").alias("all"), F.sum("target").alias("target")).first()
+    total, vocabulary = (n["all"] or 0, n["target"] or 0), max(n["words"], 1 << WORD_BITS - 1)
+
+    def score(texts: pa.Table, sums: pa.Table) -> pa.Table:
+        target = _target(texts["target"])
+        here = Counts(text_bytes(texts["text"]), target)
+        here.take(sums)
+        size = np.bincount(here.owner, minlength=len(target))
+        means = [np.bincount(here.owner, weights=x, minlength=len(target)) / np.maximum(size, 1) for x in here.losses(target, total, vocabulary)]
+        gone = size == 0
+        values = [pa.array(x, mask=gone) for x in (means[1], means[0], means[1] - means[0])]
+        return pa.Table.from_arrays([texts["doc_id"], pa.array(size), *values], ["doc_id", "n_tokens", "target_loss", "background_loss", "score"])
 
     kind = source.schema["doc_id"].dataType.simpleString()
-    return source.mapInArrow(run, f"doc_id {kind}, n_tokens long, target_loss double, background_loss double, score double")
+    both = source.groupBy("block").cogroup(shared_sums(texts.mapInArrow(_count, _COUNTS)).groupBy("block"))
+    return both.applyInArrow(score, f"doc_id {kind}, n_tokens long, target_loss double, background_loss double, score double")
