@@ -179,6 +179,30 @@ def test_passages(spark, monkeypatch, hot, shard):
     assert [(r.n_words, r.n_removed, r.kept_sha256) for r in found] == brute_passages(texts)
 
 
+def test_a_window_in_many_surroundings_is_searched_twice(spark, monkeypatch):
+    """What a shard gets of one window does not grow with the texts that hold it."""
+    monkeypatch.setattr(passages, "HOT_STRETCHES", 5)
+    search = passages._search
+
+    def counted(batches):
+        seen = Counter()
+
+        def told():
+            for batch in batches:
+                seen.update(batch.column("route").to_pylist())
+                assert max(seen.values(), default=0) <= 5, "places of one window in one shard"
+                yield batch
+
+        yield from search(told())
+
+    monkeypatch.setattr(passages, "_search", counted)
+    shared = " ".join(f"s{i}" for i in range(45))
+    texts = [" ".join([*(f"a{i}x{j}" for j in range(40)), shared, *(f"b{i}x{j}" for j in range(40))]) for i in range(150)]
+    texts += [texts[0], shared, shared + " " + shared, "z " * 40, None]
+    found = sorted(passages.without_repeats(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect())
+    assert [(r.n_words, r.n_removed, r.kept_sha256) for r in found] == brute_passages(texts)
+
+
 def test_fm_index_counts_matches():
     draw = np.random.default_rng(2)
     words = np.concatenate([draw.integers(1, 5, 300), [0]])

@@ -5,8 +5,9 @@ equal windows share it wherever they stand; a run of windows with one anchor is
 Stretches whose anchor occurs once can't repeat and are never moved. Equal stretches become
 one with a count. The different stretches of an anchor go to one shard, an FM-index over a
 wavelet tree of word numbers, and are streamed through it: backward search gives the longest
-match that ends at a word, and matches of a whole window found twice are reported. An anchor
-with very many stretches is dealt out window by window.
+match that ends at a word, and matches of a whole window found twice are reported. Windows of
+an anchor with very many stretches are first counted by their hash; of each window found twice
+two places go to a shard, and the answer is joined back to all others.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from tidemark.llm.near import word_hashes
 from tidemark.session import written
 
 WINDOW, ANCHOR_WORDS = 35, 4
-#: Words of one shard, about; stretches of an anchor beyond which its windows are dealt singly.
+#: Words of one shard, about; stretches of an anchor beyond which its windows are counted first.
 SHARD_WORDS, HOT_STRETCHES = 200_000, 1000
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -209,22 +210,36 @@ def _stretch_rows(batches) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*arrays, pa.array(start.astype(np.int32)), pa.array(count.astype(np.int32))], ["anchor", "content", "doc_id", "text_hash", "start", "count"])
 
 
+def _hot_windows(batches) -> Iterator[pa.RecordBatch]:
+    """Hash and place of every window of the wanted stretches, without words."""
+    names = ["anchor", "window", "content", "first", "asked", "doc_id", "text_hash", "at"]
+    for part, texts in pieces(batches):
+        spelled = Spelling(texts)
+        wanted = [(i, w) for i, ws in enumerate(part.column("wanted").to_pylist()) for w in ws]
+        for lo in range(0, len(wanted), 2000):
+            some = wanted[lo : lo + 2000]
+            count = np.array([w["count"] for _, w in some], np.int64)
+            of = np.repeat(np.arange(len(some)), count)
+            first = np.arange(len(of)) - np.repeat(np.cumsum(count) - count, count)
+            owner, start, anchor, content = (np.array(x, np.int64)[of] for x in zip(*((i, w["start"], w["anchor"], w["content"]) for i, w in some), strict=True))
+            at = start + first
+            window = spelled.run_hash(spelled.starts[owner] + at, np.full(len(at), WINDOW)).view(np.int64)
+            asked = np.array([w["asked"] for _, w in some], bool)[of]
+            arrays = [*(pa.array(x) for x in (anchor, window, content, first, asked)), part.column("doc_id").take(pa.array(owner)), part.column("text_hash").take(pa.array(owner)), pa.array(at.astype(np.int32))]
+            yield pa.RecordBatch.from_arrays(arrays, names)
+
+
 def _spell_out(batches) -> Iterator[pa.RecordBatch]:
-    """The words of wanted stretches, those of a hot anchor window by window."""
-    names = ["route", "anchor", "content", "first", "asked", "words"]
+    """The words of wanted stretches and windows."""
+    names = ["route", "anchor", "content", "first", "asked", "hot", "words"]
     for part, texts in pieces(batches):
         out = []
         spelled = Spelling(texts)
         for i, wanted in enumerate(part.column("wanted").to_pylist()):
             base = int(spelled.starts[i])
             for w in wanted:
-                if w["hot"]:
-                    at = base + w["start"] + np.arange(w["count"])
-                    for k, route in enumerate(spelled.run_hash(at, np.full(len(at), WINDOW)).view(np.int64)):
-                        out.append((int(route), w["anchor"], w["content"], k, w["asked"], spelled.hashes[at[k] : at[k] + WINDOW].tobytes()))
-                else:
-                    lo = base + w["start"]
-                    out.append((w["anchor"], w["anchor"], w["content"], 0, w["asked"], spelled.hashes[lo : lo + w["count"] + WINDOW - 1].tobytes()))
+                lo = base + w["start"]
+                out.append((w["route"], w["anchor"], w["content"], w["first"], w["asked"], w["hot"], spelled.hashes[lo : lo + w["count"] + WINDOW - 1].tobytes()))
                 if len(out) >= 20_000:
                     yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*out, strict=True)], names)
                     out = []
@@ -240,13 +255,13 @@ def _search(batches) -> Iterator[pa.RecordBatch]:
         asked = np.array([r[4] for r in rows])
         found = repeated_windows(sequences, asked) if asked.any() else []
         masks = [sum(1 << (r[2] + int(k)) for k in np.flatnonzero(hits)) for r, hits in zip([r for r in rows if r[4]], found, strict=True)]
-        keep = [(r[0], r[1], m) for r, m in zip([r for r in rows if r[4]], masks, strict=True) if m]
-        columns = list(zip(*keep, strict=True)) or [[]] * 3
-        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["anchor", "content", "mask"])
+        keep = [(r[0], r[1], m, r[5]) for r, m in zip([r for r in rows if r[4]], masks, strict=True) if m]
+        columns = list(zip(*keep, strict=True)) or [[]] * 4
+        return pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in columns[:3]), pa.array(columns[3], pa.bool_())], ["anchor", "content", "mask", "hot"])
 
     shard, held = None, []
     for batch in batches:
-        for row in zip(*(batch.column(c).to_pylist() for c in ("shard", "anchor", "content", "first", "words", "asked")), strict=True):
+        for row in zip(*(batch.column(c).to_pylist() for c in ("shard", "anchor", "content", "first", "words", "asked", "hot")), strict=True):
             if row[0] != shard and held:
                 yield answer(held)
                 held = []
@@ -257,6 +272,28 @@ def _search(batches) -> Iterator[pa.RecordBatch]:
         yield answer(held)
 
 
+def _window_pairs(rows: DataFrame, wanted: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """All windows of wanted stretches, and two places of each window that has two: what goes on does not grow with the places."""
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    listed = wanted.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("anchor", "content", "start", "count", "asked")).alias("wanted"))
+    windows = _joined(rows, listed, "inner").select("doc_id", "text_hash", "text", "wanted")
+    windows = written(windows.mapInArrow(_hot_windows, f"anchor long, window long, content long, first long, asked boolean, doc_id {kind}, text_hash long, at int"), "windows")
+    place = F.struct("content", "first", "doc_id", "text_hash", "at")
+    pairs = windows.groupBy("anchor", "window").agg(F.min(place).alias("one"), F.max(place).alias("other"))
+    return windows, written(pairs.filter("one.content != other.content or one.first != other.first"), "pairs")
+
+
+def _both_places(pairs: DataFrame) -> DataFrame:
+    """Rows that spell both places of a window, the first to be answered under the window's hash."""
+    places = F.explode(F.array(*(F.struct(F.lit(i).cast("long").alias("first"), F.col(c).alias("place")) for i, c in enumerate(("one", "other")))))
+    each = pairs.select("anchor", "window", places.alias("p"))
+    asked = F.struct(
+        F.col("window").alias("route"), "anchor", F.col("window").alias("content"), F.col("p.first").alias("first"), F.col("p.place.at").alias("start"), F.lit(1).alias("count"),
+        (F.col("p.first") == 0).alias("asked"), F.lit(True).alias("hot"),
+    )
+    return each.select("p.place.doc_id", "p.place.text_hash", asked.alias("wanted"))
+
+
 def repeated_stretches(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """``doc_id``, ``text_hash`` and ``found`` (start, mask of repeated windows from there) of every text with a repeat."""
     rows = _keyed(docs, id_column, text_column)
@@ -269,14 +306,28 @@ def repeated_stretches(docs: DataFrame, id_column: str = "doc_id", text_column:
     groups = written(groups, "groups")
     several = groups.groupBy("anchor").agg(F.count("*").alias("different"), F.sum(F.col("rep.count") + WINDOW - 1).alias("words")).filter("different > 1")
     several = written(several, "several")
-    shards = max(1, -(-(several.agg(F.sum("words")).first()[0] or 0) // SHARD_WORDS))
-    wanted = groups.join(several, "anchor").select(
-        "rep.doc_id", "rep.text_hash", F.struct("anchor", "content", "rep.start", "rep.count", (F.col("n") == 1).alias("asked"), (F.col("different") > HOT_STRETCHES).alias("hot")).alias("wanted")
-    )
-    wanted = wanted.groupBy("doc_id", "text_hash").agg(F.collect_list("wanted").alias("wanted"))
-    spelled = _joined(rows, wanted, "inner").select("text", "wanted").mapInArrow(_spell_out, "route long, anchor long, content long, first long, asked boolean, words binary")
+    several = several.withColumn("hot", F.col("different") > HOT_STRETCHES)
+    known = {r["hot"]: r["words"] for r in several.groupBy("hot").agg(F.sum("words").alias("words")).collect()}
+    words = known.get(False) or 0
+    wanted = groups.join(several, "anchor").select("rep.doc_id", "rep.text_hash", "anchor", "content", "rep.start", "rep.count", (F.col("n") == 1).alias("asked"), "hot")
+    whole = F.struct(F.col("anchor").alias("route"), "anchor", "content", F.lit(0).cast("long").alias("first"), "start", "count", "asked", "hot")
+    sent = wanted.filter(~F.col("hot")).select("doc_id", "text_hash", whole.alias("wanted"))
+    if True in known:
+        windows, pairs = _window_pairs(rows, wanted.filter("hot"))
+        words += 2 * WINDOW * pairs.count()
+        sent = sent.unionAll(_both_places(pairs))
+    shards = max(1, -(-words // SHARD_WORDS))
+    sent = sent.groupBy("doc_id", "text_hash").agg(F.collect_list("wanted").alias("wanted"))
+    spelled = _joined(rows, sent, "inner").select("text", "wanted").mapInArrow(_spell_out, "route long, anchor long, content long, first long, asked boolean, hot boolean, words binary")
     spelled = spelled.withColumn("shard", F.pmod(F.xxhash64("route"), F.lit(shards)))
-    found = spelled.repartition("shard").sortWithinPartitions("shard", "anchor", "content", "first").mapInArrow(_search, "anchor long, content long, mask long")
+    found = spelled.repartition("shard").sortWithinPartitions("shard", "anchor", "content", "first").mapInArrow(_search, "anchor long, content long, mask long, hot boolean")
+    if True in known:
+        found = written(found, "found")
+        twice = found.filter("hot").select("anchor", F.col("content").alias("window"))
+        others = windows.filter("asked").join(twice, ["anchor", "window"]).select("anchor", "content", F.expr("shiftleft(1L, cast(first as int))").alias("mask"))
+        found = found.filter("not hot").drop("hot").unionAll(others)
+    else:
+        found = found.drop("hot")
     copies = groups.filter("n > 1").select("anchor", "content", F.expr("shiftleft(1L, rep.count) - 1").alias("mask"))
     masks = written(found.unionAll(copies).groupBy("anchor", "content").agg(F.bit_or("mask").alias("mask")), "masks")
     hits = every.join(masks, ["anchor", "content"]).select("doc_id", "text_hash", F.struct("start", "mask").alias("hit"))
