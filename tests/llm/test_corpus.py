@@ -231,6 +231,16 @@ def test_blocks_of_a_page():
     assert html_extract.read_blocks("<div title='x>y' class=ad>t</div>")[0].names == {"ad"}
 
 
+def test_nothing_behind_an_element_is_lost():
+    texts = lambda page: [b.text for b in html_extract.read_blocks(page)]
+    assert texts('<p>a<svg viewBox="0 0 1 1"/>b<p>c<math/>d<object data=x />e<p>f<svg width=3/>g') == ["ab", "cde", "fg"]
+    assert texts("<p>x <math><mi>y</mi></math> z<object><p>inside</object><p>behind") == ["x y z", "inside", "behind"]
+    assert texts("<svg><style/><path d='m'/><title/>t</svg><p>u<script>no</script><p>v") == ["t", "u", "v"]
+    deep = html_extract.read_blocks("<div class=ad>" + "<i>" * 600 + "<nav><p>n</p></nav><footer>f</footer><div>x</div>y</div>z")
+    assert [b.text for b in deep] == ["n", "f", "x", "y", "z"]
+    assert [("nav" in b.tags, "footer" in b.tags, "ad" in b.names) for b in deep] == [(True, False, True), (False, True, True), (False, False, True), (False, False, True), (False, False, False)]
+
+
 def test_field_on_other_pages():
     field = html_extract.default_field()
     pages = labelled_pages.pages()

@@ -18,7 +18,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style template title textarea noscript iframe svg math object".split())
+RAW = frozenset("script style template title textarea noscript iframe".split())
+#: In these, and for these themselves, a tag that ends in a slash is an empty element.
+FOREIGN = ("svg", "math")
 BLOCK = frozenset(
     "address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset figcaption figure footer form "
     "h1 h2 h3 h4 h5 h6 head header hgroup hr html label legend li main menu nav ol optgroup option p pre search section select summary "
@@ -37,7 +39,8 @@ _SUBWORD = re.compile(r"[a-z]{2,}")
 @dataclass
 class Block:
     text: str
-    tags: list[str]
+    tags: frozenset[str]
+    block: str  # the innermost block element
     names: frozenset[str]
     linked: int  # characters inside links
     main: bool  # an ancestor carries ``data-main``: the label of a training page
@@ -45,7 +48,14 @@ class Block:
 
 @dataclass
 class _Reader:
+    """Open elements at any depth, with their places by tag and counts of their names, so that a tag costs the elements it closes."""
+
+    known: frozenset[str] | None = None  # features to keep, all by default
     stack: list[tuple[str, tuple[str, ...], bool]] = field(default_factory=list)
+    places: dict[str, list[int]] = field(default_factory=dict)
+    names: dict[str, int] = field(default_factory=dict)
+    open_blocks: list[str] = field(default_factory=list)
+    mains: int = 0
     parts: list[tuple[str, bool]] = field(default_factory=list)
     blocks: list[Block] = field(default_factory=list)
 
@@ -53,26 +63,59 @@ class _Reader:
         text = " ".join("".join(p for p, _ in self.parts).split())
         if text:
             linked = sum(len(p) for p, link in self.parts if link)
-            names = frozenset(n for _, names, _ in self.stack for n in names)
-            self.blocks.append(Block(text, [t for t, _, _ in self.stack], names, min(linked, len(text)), any(m for _, _, m in self.stack)))
+            tags = frozenset(self.places if self.known is None else [t for t in self.places if f"in:{t}" in self.known])
+            block = self.open_blocks[-1] if self.open_blocks else "none"
+            self.blocks.append(Block(text, tags, block, frozenset(self.names), min(linked, len(text)), self.mains > 0))
         self.parts.clear()
 
+    def open(self, tag: str, names: tuple[str, ...], main: bool) -> None:
+        if self.known is not None:
+            names = tuple(n for n in names if f"name:{n}" in self.known)
+        self.places.setdefault(tag, []).append(len(self.stack))
+        self.stack.append((tag, names, main))
+        for n in names:
+            self.names[n] = self.names.get(n, 0) + 1
+        if tag in BLOCK:
+            self.open_blocks.append(tag)
+        self.mains += main
+
     def close(self, tag: str, stop: frozenset[str] = frozenset()) -> None:
-        for i in range(len(self.stack) - 1, -1, -1):
-            if self.stack[i][0] == tag:
-                del self.stack[i:]
-                return
-            if self.stack[i][0] in stop:
-                return
+        if tag not in self.places:
+            return
+        place = self.places[tag][-1]
+        if any(self.places[t][-1] > place for t in stop if t in self.places):
+            return
+        while len(self.stack) > place:
+            last, names, main = self.stack.pop()
+            self.places[last].pop()
+            if not self.places[last]:
+                del self.places[last]
+            for n in names:
+                self.names[n] -= 1
+                if not self.names[n]:
+                    del self.names[n]
+            if last in BLOCK:
+                self.open_blocks.pop()
+            self.mains -= main
 
     def text(self, raw: str) -> None:
         if raw:
-            self.parts.append((html.unescape(raw) if "&" in raw else raw, any(t == "a" for t, _, _ in self.stack)))
+            self.parts.append((html.unescape(raw) if "&" in raw else raw, "a" in self.places))
+
 
+def _is_empty(attributes: str) -> bool:
+    """Whether a tag ends in a slash that does not belong to a value without quotes."""
+    return attributes.endswith("/") and (attributes[-2:-1] in "\"'" or "=" not in attributes.split()[-1])
 
-def read_blocks(page: str) -> list[Block]:
-    """Leaf blocks in page order; comments, scripts, styles and other raw elements have no text."""
-    reader, at = _Reader(), 0
+
+def read_blocks(page: str, known: frozenset[str] | None = None) -> list[Block]:
+    """Leaf blocks in page order; comments, scripts, styles and other raw elements have no text.
+
+    A raw element without an end tag reaches to the end of the page, as in a browser; ``svg``,
+    ``math`` and ``object`` are elements like others. Of ``tags`` and ``names`` only those in
+    ``known`` are kept, if given.
+    """
+    reader, at = _Reader(known), 0
     lowered: str | None = None
     while found := _TAG.search(page, at):
         reader.text(page[at : found.start()])
@@ -85,6 +128,8 @@ def read_blocks(page: str) -> list[Block]:
         if found[1]:
             reader.close(tag)
             continue
+        if (tag in FOREIGN or any(t in reader.places for t in FOREIGN)) and _is_empty(found[3]):
+            continue
         if tag in RAW:
             lowered = page.lower() if lowered is None or len(lowered) != len(page) else lowered
             end = (lowered if len(lowered) == len(page) else page).find(f"</{tag}", at)
@@ -96,9 +141,9 @@ def read_blocks(page: str) -> list[Block]:
                 reader.close(tag, frozenset(["dl"]))
         if tag == "br":
             reader.parts.append((" ", False))
-        if tag not in VOID and len(reader.stack) < 500:
+        if tag not in VOID:
             names = tuple(w for m in _NAMES.finditer(found[3]) for w in _SUBWORD.findall((m[1] or m[2] or m[3] or "").lower())) if "=" in found[3] else ()
-            reader.stack.append((tag, names, bool(_MARK.search(found[3]))))
+            reader.open(tag, names, bool(_MARK.search(found[3])))
     reader.text(page[at:])
     reader.flush()
     return reader.blocks
@@ -110,13 +155,12 @@ def features(blocks: list[Block]) -> list[list[str]]:
     for i, b in enumerate(blocks):
         words = b.text.split()
         n = len(words)
-        rows = [f"in:{t}" for t in set(b.tags) - {"html", "body"}] + [f"name:{w}" for w in b.names]
-        block = next((t for t in reversed(b.tags) if t in BLOCK), "none")
-        rows += ["bias", f"block:{block}", f"words:{min(6, n.bit_length())}", f"links:{min(4, 4 * b.linked // len(b.text))}"]
+        rows = [f"in:{t}" for t in b.tags - {"html", "body"}] + [f"name:{w}" for w in b.names]
+        rows += ["bias", f"block:{b.block}", f"words:{min(6, n.bit_length())}", f"links:{min(4, 4 * b.linked // len(b.text))}"]
         rows.append("ends" if b.text[-1] in ".!?:;。！？…\"”»" else "open")
         rows += ["first"] if i == 0 else []
         rows += ["last"] if i == len(blocks) - 1 else []
-        rows += [f"block:{block}+words:{min(6, n.bit_length())}"]
+        rows += [f"block:{b.block}+words:{min(6, n.bit_length())}"]
         out.append(rows)
     return out
 
@@ -125,6 +169,7 @@ class Field:
     """Weights of the two labels (0 other, 1 main) and of each step between neighbours."""
 
     def __init__(self, emit: dict[str, float], start: np.ndarray, step: np.ndarray):
+        self.known = frozenset(emit)
         self.emit, self.start, self.step = emit, [float(x) for x in start], [[float(x) for x in row] for row in step]
 
     def decode(self, rows: list[list[str]]) -> list[bool]:
@@ -195,7 +240,7 @@ def train(pages: list[str], rounds: int = 300, decay: float = 2e-3, rate: float
 
 def main_text(page: str, field_: Field) -> str:
     """Blocks labelled main, joined by a line break."""
-    blocks = read_blocks(page)
+    blocks = read_blocks(page, field_.known)
     return "\n".join(b.text for b, keep in zip(blocks, field_.decode(features(blocks)), strict=True) if keep)
 
 
@@ -224,7 +269,7 @@ def extract(pages: DataFrame, model: Field | None = None, html_column: str = "ht
                 part = batch.slice(lo, 500)
                 texts, sizes = [], []
                 for page in part.column(html_column).to_pylist():
-                    blocks = read_blocks(page or "")
+                    blocks = read_blocks(page or "", model.known)
                     sizes.append(len(blocks))
                     texts.append("\n".join(b.text for b, keep in zip(blocks, model.decode(features(blocks)), strict=True) if keep))
                 arrays = [pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64()), pa.array(sizes, pa.int64())]
