@@ -106,6 +106,16 @@ def test_language_rows(odd, empty):
     assert kept.columns == odd.columns and {r.doc_id for r in kept.collect()} == set(range(12)) - {0, 1, 2, 8} | {None}
 
 
+def test_samples_of_copies_and_long_texts(spark):
+    """Copies count once, and a language of long texts only has a sample."""
+    rows = [("the copied text " * 40, "en")] * 3000 + [(f"another text of its own {'abcdefghij'[i % 10] * (i % 17 + 2)} {'klmnopqrst'[i // 10 % 10]}", "en") for i in range(100)]
+    rows += [("1 " * 15_000 + "lange wörter hier " * 2000, "de"), ("1 " * 15_000, "xx")]
+    found = language.sample_texts(spark.createDataFrame(rows, "text string, lang string"))
+    assert set(found) == {"en", "de"} and len(found["de"]) <= language.SAMPLE_TEXT_CHARS and found["de"].startswith("lange wörter hier lange")
+    assert found["en"].count("the copied text") == 40 and found["en"].count("another text of its own") == 100
+
+
+
 def brute_base(text):
     """The four kinds by the plain patterns."""
     def luhn(d):

@@ -126,24 +126,31 @@ class Parser:
         return out, letters
 
 
-def sample_texts(docs: DataFrame, text: str = "text", lang: str = "lang", key: Column | None = None) -> dict[str, str]:
-    """A bounded labelled sample of each language, drawn by a hash of the text and its key.
+def sample_texts(docs: DataFrame, text: str = "text", lang: str = "lang") -> dict[str, str]:
+    """A bounded labelled sample of each language, drawn by a hash of the text.
 
-    Rows of a language pass a hash threshold set from its counted rows; the driver gets at
-    most about ``2 * SAMPLE_TEXTS`` short texts of each.
+    Different texts of a language, each once, pass a hash threshold set from their count; the
+    driver gets about ``2 * SAMPLE_TEXTS`` short texts of each. A language that has only longer
+    texts is drawn from their pieces of ``SAMPLE_TEXT_CHARS`` from the first letter on. Copies
+    are told by a 64-bit hash.
     """
-    rows = docs.filter(F.col(text).isNotNull() & F.col(lang).isNotNull() & (F.length(text) <= SAMPLE_TEXT_CHARS))
-    draw = F.pmod(F.xxhash64(*([key] if key is not None else []), F.col(text)), F.lit(1 << 30))
-    rows = rows.select(F.col(text).alias("text"), F.col(lang).alias("lang"), draw.alias("draw"))
-    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    rows = docs.filter(F.col(text).isNotNull() & F.col(lang).isNotNull())
+    rows = rows.select(F.col(text).alias("text"), F.col(lang).alias("lang"), F.xxhash64(text).alias("hash"), (F.length(text) > SAMPLE_TEXT_CHARS).alias("long"))
+    counts: dict[str, dict[bool, int]] = {}
+    for r in rows.select("lang", "long", "hash").distinct().groupBy("lang", "long").agg(F.count("*").alias("n")).collect():
+        counts.setdefault(r["lang"], {})[r["long"]] = r["n"]
     if not counts:
         return {}
     share = F.lit(0)
     for language, n in sorted(counts.items()):
-        share = F.when(F.col("lang") == language, int(min(1.0, 2 * SAMPLE_TEXTS / n) * (1 << 30))).otherwise(share)
+        only_long = False not in n
+        share = F.when((F.col("lang") == language) & (F.col("long") == only_long), int(min(1.0, 2 * SAMPLE_TEXTS / n[only_long]) * (1 << 30))).otherwise(share)
+    piece = F.when(F.col("long"), F.regexp_extract("text", rf"(?s)\p{{L}}.{{0,{SAMPLE_TEXT_CHARS - 1}}}", 0)).otherwise(F.col("text"))
+    drawn = rows.withColumn("draw", F.pmod("hash", F.lit(1 << 30))).filter(F.col("draw") < share)
+    drawn = drawn.groupBy("lang", "hash", "draw").agg(F.min(piece).alias("text"))
     letters = min(SAMPLE_LETTERS, ALL_LETTERS // len(counts))
     samples: dict[str, list[str]] = {}
-    for row in rows.filter(F.col("draw") < share).orderBy("draw", "text").toLocalIterator():
+    for row in drawn.orderBy("draw", "text").toLocalIterator():
         samples.setdefault(row["lang"], []).append(plain(row["text"]))
     joined = {x: " ".join(some)[:letters] for x, some in samples.items()}
     return {x: s for x, s in joined.items() if s.strip()}
