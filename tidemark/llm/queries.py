@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, html_extract, language, lm_score, near, packing, passages, preference, quality, sanitise
+from tidemark.llm import decontaminate, html_extract, language, lm_score, near, packing, passages, preference, quality, sanitise, whitening
 from tidemark.llm.common import table
 
 
@@ -59,6 +59,11 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sanitise.digest(sanitise.findings(table(spark, sf_dir, "documents", "doc_id", "text")))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = whitening.whiten(table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+    return found.withColumn("deviation", F.col("deviation").cast("long"))
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_near": op2_near,
@@ -70,4 +75,5 @@ QUERIES = {
     "op8_preference": op8_preference,
     "op9_packing": op9_packing,
     "op10_pii": op10_pii,
+    "op11_whitening": op11_whitening,
 }
