@@ -128,10 +128,30 @@ select doc_id, {", ".join(f"coalesce(n_{k}, 0) as n_{k}" for k in _PATTERNS)}, s
 from docs left join counted c using (r) left join every e using (r)
 """  # noqa: S608
 
+#: Every window is one row; the counts of all its prefixes come from it.
+PHRASES = r"""
+with docs as (select coalesce(lang, 'und') as lang, """ + _LOWERED + r""" as text from documents),
+pieces as (select lang, unnest(regexp_split_to_array(text, '[.,;:!?\x0A-\x0D]')) as piece from docs),
+words as (select lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda w: w <> '') as ws from pieces),
+runs as (select lang, k, ws[i : i + k - 1] as g from words, unnest(range(1, len(ws) + 1)) as u(i), (values (1), (2), (3)) as s(k) where i + k - 1 <= len(ws)),
+counts as (select lang, k, array_to_string(g, ' ') as phrase, count(*) as f from runs group by all),
+sizes as (select lang, cast(sum(f) as bigint) as n from counts where k = 1 group by lang),
+phrases as (select lang, k, phrase, f as a, string_split(phrase, ' ') as ws from counts where k > 1 and f >= 10),
+inside as (select distinct s.lang, s.phrase from phrases s join phrases b on b.lang = s.lang and b.k > s.k and 100 * b.a >= 50 * s.a
+    and (array_to_string(b.ws[1 : 2], ' ') = s.phrase or array_to_string(b.ws[2 : 3], ' ') = s.phrase)),
+cuts as (select p.lang, p.phrase, p.a, c, array_to_string(ws[1 : c], ' ') as head, array_to_string(ws[c + 1 : k], ' ') as rest
+    from phrases p anti join inside using (lang, phrase), (values (1), (2)) as t(c) where c < k),
+scored as (select cuts.lang, cuts.phrase, a, c, x.f as l, y.f as r, cast((1000000::hugeint * a * a) // (x.f::hugeint * y.f) as bigint) as score
+    from cuts join counts x on x.lang = cuts.lang and x.phrase = head join counts y on y.lang = cuts.lang and y.phrase = rest),
+least as (select * from scored qualify row_number() over (partition by lang, phrase order by score, c) = 1)
+select lang, row_number() over (partition by lang order by score desc, a desc, encode(phrase)) as rank, phrase, a, l, r, n, score
+from least join sizes using (lang) qualify rank <= 2000
+"""
 
 SQL = {
     "op1_quality": _quality(),
     "op4_decontaminate": DECONTAMINATE,
     "op8_preference": PREFERENCE,
     "op10_pii": _sanitise(),
+    "op12_phrases": PHRASES,
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, html_extract, language, lm_score, near, packing, passages, preference, quality, sanitise, whitening
+from tidemark.llm import collocations, decontaminate, html_extract, language, lm_score, near, packing, passages, preference, quality, sanitise, whitening
 from tidemark.llm.common import table
 
 
@@ -64,6 +64,10 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("deviation", F.col("deviation").cast("long"))
 
 
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents", "text", "lang"))
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_near": op2_near,
@@ -76,4 +80,5 @@ QUERIES = {
     "op9_packing": op9_packing,
     "op10_pii": op10_pii,
     "op11_whitening": op11_whitening,
+    "op12_phrases": op12_phrases,
 }
