@@ -82,7 +82,7 @@ def test_scores_beyond_64_bits(spark):
 def test_transducers(monkeypatch):
     draw = random.Random(1)
     shard = Shard()
-    texts = [" ".join(draw.choice("abcdefg") for _ in range(draw.randint(0, 30))) for _ in range(60)]
+    texts = [" ".join(draw.choice("abcdefghijklmnopqrst") for _ in range(draw.randint(0, 30))) for _ in range(60)]
     for t in texts:
         shard.add(t.encode())
     words, hashes, windows, counts = shard.counted()
