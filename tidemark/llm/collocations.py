@@ -30,7 +30,7 @@ from tidemark.session import written
 WORDS, LEAST, TOP, COVERED = 3, 10, 2000, 50
 UNDETERMINED = "und"
 #: Bytes of text of one shard, about, and of a text that are split at once.
-BLOCK_BYTES, PART_BYTES = 32 << 20, 4 << 20
+BLOCK_BYTES, PART_BYTES = 12 << 20, 2 << 20
 #: Windows of one range, about, and how many samples of a range tell where it ends.
 RANGE_WINDOWS, SAMPLES = 4_000_000, 64
 #: Phrases of one composition, about.
@@ -81,8 +81,12 @@ def _sorted_sums(columns: list[np.ndarray], counts: np.ndarray | None, size: int
 
 def _runs(*columns: np.ndarray) -> np.ndarray:
     """Where rows of sorted columns change."""
-    new = np.any([c[1:] != c[:-1] for c in columns], axis=0)
-    return np.flatnonzero(np.concatenate([[True], new])) if len(columns[0]) else np.zeros(0, np.int64)
+    if not len(columns[0]):
+        return np.zeros(0, np.int64)
+    new = columns[0][1:] != columns[0][:-1]
+    for c in columns[1:]:
+        new |= c[1:] != c[:-1]
+    return np.flatnonzero(np.concatenate([[True], new]))
 
 
 def _small(x: np.ndarray) -> np.ndarray:
@@ -114,15 +118,16 @@ class Transducer(NamedTuple):
         arcs = np.diff(np.append(pair, len(a)))
         head = _runs(a[pair])
         single = arcs == 1
-        known = np.stack([c[pair[single]], counts[pair[single]]], axis=1)
-        register, target_of = np.unique(known, axis=0, return_inverse=True) if len(known) else (known, np.zeros(0, np.int64))
+        labels, of_label = np.unique(c[pair[single]], return_inverse=True)
+        weights, of_weight = np.unique(counts[pair[single]], return_inverse=True)
+        register, target_of = np.unique(of_label * np.int64(max(1, len(weights))) + of_weight, return_inverse=True)
         target = np.empty(len(pair), np.int64)
-        target[single] = target_of.ravel()
+        target[single] = target_of
         target[~single] = len(register) + np.arange((~single).sum())
         own = np.repeat(~single, arcs)
         return cls(
             a[pair][head], np.diff(np.append(head, len(pair))), b[pair], target, np.concatenate([np.ones(len(register), np.int64), arcs[~single]]),
-            np.concatenate([register[:, 0], c[own]]), np.concatenate([register[:, 1], counts[own]]),
+            np.concatenate([labels[register // max(1, len(weights))], c[own]]), np.concatenate([weights[register % max(1, len(weights))], counts[own]]),
         )
 
     def windows(self) -> tuple[list[np.ndarray], np.ndarray]:
@@ -208,14 +213,13 @@ class Shard:
         order = np.argsort(hashes, kind="stable")
         if len(order) and (np.diff(hashes[order]) == 0).any():
             order = np.array(sorted(range(len(words)), key=lambda i: (int(hashes[i]), words[i])))
-        rank = np.zeros(len(words) + 1, np.int64)
+        rank = np.zeros(len(words) + 1, np.int32)
         rank[order + 1] = np.arange(1, len(words) + 1)
-        one = rank[numbers]
-        two = np.append(one[1:], 0)
-        three = np.append(two[1:], 0)
+        one = np.concatenate([rank[numbers], np.zeros(2, np.int32)])  # padded: every window has three places
+        at = np.flatnonzero(one)
+        two, three = one[at + 1], one[at + 2]
         three[two == 0] = 0
-        some = one > 0
-        windows, counts = _sorted_sums([one[some], two[some], three[some]], None, len(words) + 1)
+        windows, counts = _sorted_sums([one[at], two, three], None, len(words) + 1)
         return [b"", *(words[i] for i in order)], np.concatenate([[np.uint64(0)], hashes[order]]), windows, counts
 
 
@@ -318,14 +322,23 @@ def frequent_phrases(shards: DataFrame, least: int) -> DataFrame:
                 words = [b"", *raw.split(b"\n")]
                 windows, counts = Transducer.unpacked(arcs).windows()
                 place = _places(windows, np.concatenate([[np.uint64(0)], _hashes(words[1:])]), known.get(lang, none))
+                mark = np.zeros(len(words), bool)
                 order = np.argsort(place, kind="stable")
                 bounds = _runs(place[order])
                 for lo, hi in zip(bounds, [*bounds[1:], len(order)], strict=True):
                     at = order[lo:hi]
-                    some, inverse = np.unique(np.concatenate([w[at] for w in windows]), return_inverse=True)
-                    if some[0]:
-                        some, inverse = np.concatenate([[0], some]), inverse + 1
-                    piece = Transducer.of(inverse.reshape(3, -1), counts[at])
+                    held = [w[at] for w in windows]
+                    if len(at) * 8 < len(words):
+                        some = np.union1d([0], np.concatenate(held))
+                        numbered = [np.searchsorted(some, w) for w in held]
+                    else:
+                        mark[:] = False
+                        mark[0] = True
+                        for w in held:
+                            mark[w] = True
+                        some, to = np.flatnonzero(mark), np.cumsum(mark) - 1
+                        numbered = [to[w] for w in held]
+                    piece = Transducer.of(numbered, counts[at])
                     arrays = [pa.array([offset.get(lang, 0) + int(place[at[0]])]), pa.array([lang]), pa.array([b"\n".join(words[i] for i in some[1:])], pa.binary()), pa.array([piece.packed()], pa.binary())]
                     yield pa.RecordBatch.from_arrays(arrays, ["place", "lang", "words", "arcs"])
 
@@ -347,16 +360,14 @@ def frequent_phrases(shards: DataFrame, least: int) -> DataFrame:
             k = place - offset.get(lang, 0)
             # where this range begins and ends: the prefixes of these windows have more in other ranges
             edges = edges[max(0, k - 1) : k + 1]
-            by_hash: dict[int, list[int]] = {}
-            for w, h in zip(words[1:], _hashes(words[1:]).tolist(), strict=True):
-                by_hash.setdefault(h, []).append(numbers[w])
+            hashes = np.concatenate([[np.uint64(0)], _hashes(words[1:])]) if len(edges) else none
             found: list[tuple[int, str, int]] = []
             for size in range(1, WORDS + 1):
                 start = _runs(*windows[:size])
                 n = np.add.reduceat(weight, start)
                 keep = n >= least
-                for edge in edges[:, :size].tolist() if size < WORDS else ():
-                    keep |= np.all([np.isin(w[start], by_hash.get(h, [])) for w, h in zip(windows, edge)], axis=0)
+                for edge in edges[:, :size] if size < WORDS else ():
+                    keep |= np.all([hashes[w[start]] == h for w, h in zip(windows, edge)], axis=0)
                 keep &= windows[size - 1][start] > 0
                 rows = np.stack([w[start[keep]] for w in windows[:size]], axis=1).tolist()
                 found += [(size, b" ".join([words[i] for i in row]).decode(), c) for row, c in zip(rows, n[keep].tolist(), strict=True)]
@@ -445,7 +456,7 @@ def collocations(docs: DataFrame, text_column: str = "text", lang_column: str =
     longer one that has ``covered`` percent of its count goes. Ties: score, then ``a``, then the
     phrase by its bytes. A null language is ``und``; null and empty texts have no words; a
     repeated row counts again; an empty table, or one without frequent phrases, gives no rows;
-    further columns are not read. Shards hold about 32 MB of text, whole texts of any length;
+    further columns are not read. Shards hold about 12 MB of text, whole texts of any length;
     a range holds about four million different windows, each once per shard at most.
     """
     rows = docs.select(F.coalesce(docs[lang_column].cast("string"), F.lit(UNDETERMINED)).alias("lang"), docs[text_column].cast("string").alias("text"))
