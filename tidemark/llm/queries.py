@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import collocations, decontaminate, html_extract, language, lm_score, near, packing, passages, preference, quality, sanitise, whitening
+from tidemark.llm import collocations, decontaminate, html_extract, language, lm_score, near, packing, passages, preference, quality, sanitise, toxicity, whitening
 from tidemark.llm.common import table
 
 
@@ -68,6 +68,13 @@ def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents", "text", "lang"))
 
 
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "labels", "doc_id", "toxic")
+    model = toxicity.train(docs.filter(~toxicity.held_out(F.col("doc_id"))), labels)
+    found = toxicity.score(docs, model)
+    return found.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_near": op2_near,
@@ -81,4 +88,5 @@ QUERIES = {
     "op10_pii": op10_pii,
     "op11_whitening": op11_whitening,
     "op12_phrases": op12_phrases,
+    "op13_toxicity": op13_toxicity,
 }

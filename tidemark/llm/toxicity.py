@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 from typing import NamedTuple
 
 import numpy as np
@@ -19,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import id_and_text
+from tidemark.llm.common import chunks, id_and_text
 from tidemark.session import written
 
 #: Texts that trees and calibration are fitted on, of each label at most about; the lexicon counts all texts.
@@ -40,6 +41,9 @@ FEATURES = (
 SECOND_PERSON = frozenset("you your yours yourself u ur ya du dich dir dein deine deiner deinem deinen euch euer tu te toi ton ta tes vous votre vos tú ti tus usted ustedes vosotros".split())
 _LETTERS = str.maketrans("013457@$!", "oieastasi")
 
+_SIGNS = "#*$%&|<>@^~"
+#: Characters of text described at once, about, and tokens a worker remembers.
+PART, REMEMBERED = 1 << 20, 300_000
 _TOKEN = re.compile(r"[^\W_](?:[\w@$!*#'’+.-]*[\w])?", re.UNICODE)
 _STRETCH = re.compile(r"(.)\1{2,}")
 _INNER = re.compile(r"[^\W\d_][\d@$!*#+.\-_]+[^\W\d_]|[^\W\d_][@$!*#0-9]+$")
@@ -56,71 +60,165 @@ def plain(token: str) -> str:
     return _STRETCH.sub(r"\1", "".join(c for c in out if c.isalpha()))
 
 
-def entries(text: str) -> set[str]:
-    """Words and word beginnings of a text, as the lexicon counts them; beginnings end in ``*``."""
-    out = set()
-    for t in set(_TOKEN.findall(text.lower())):
-        out.add(t)
-        w = t if t.isalpha() else plain(t)
-        if w:
-            out.add(w)
-            out.update(w[:k] + "*" for k in STEMS if len(w) > k)
+def forms(token: str) -> set[str]:
+    """What the lexicon counts of a lower-case token: itself, how it reads, beginnings of that (they end in ``*``)."""
+    w = token if token.isalpha() else plain(token)
+    return {token, w, *(w[:k] + "*" for k in STEMS if len(w) > k)} - {""}
+
+
+class Tokens:
+    """Numbered tokens of texts, with a row of numbers for each; forgotten when there are too many."""
+
+    def __init__(self, width: int, fact, fold: bool = False):
+        self.width, self.fact, self.fold = width, fact, fold
+        self.forget()
+
+    def forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.facts = np.zeros((1 << 12, self.width))
+
+    def of(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Number of every token, and how many tokens each text has."""
+        out, sizes = [np.zeros(0, np.int64)], np.zeros(len(texts), np.int64)
+        for i, text in enumerate(texts):
+            for part in _parts(text):
+                tokens = _TOKEN.findall(part.lower() if self.fold else part)
+                new = list(set(tokens).difference(self.known))
+                if new:
+                    lo = len(self.known)
+                    self.known.update(zip(new, range(lo, lo + len(new)), strict=True))
+                    while len(self.facts) < len(self.known):
+                        self.facts = np.concatenate([self.facts, np.zeros_like(self.facts)])
+                    self.facts[lo : lo + len(new)] = [self.fact(t) for t in new]
+                out.append(np.fromiter(map(self.known.__getitem__, tokens), np.int64, len(tokens)))
+                sizes[i] += len(tokens)
+        return np.concatenate(out), sizes
+
+
+class FormCounter:
+    """In how many texts of each cell (twice the fold, plus the label) every form occurs."""
+
+    def __init__(self) -> None:
+        self.forget()
+
+    def forget(self) -> None:
+        self.forms: dict[str, int] = {}
+        self.tokens = Tokens(2 + len(STEMS), self._row, fold=True)
+        self.counts = np.zeros((1 << 12, 2 * FOLDS), np.int64)
+
+    def _row(self, token: str) -> list[int]:
+        row = [self.forms.setdefault(f, len(self.forms)) for f in forms(token)]
+        return row + [-1] * (2 + len(STEMS) - len(row))
+
+    def add(self, texts: list[str], cells: np.ndarray) -> None:
+        at, sizes = self.tokens.of(texts)
+        owner = np.repeat(np.arange(len(texts)), sizes)
+        owner, token = np.divmod(np.unique(owner * (len(self.tokens.known) + 1) + at), len(self.tokens.known) + 1)
+        form = self.tokens.facts[token].astype(np.int64)
+        pairs = np.unique((owner[:, None] * (len(self.forms) + 1) + form)[form >= 0])
+        owner, form = np.divmod(pairs, len(self.forms) + 1)
+        while len(self.counts) < len(self.forms):
+            self.counts = np.concatenate([self.counts, np.zeros_like(self.counts)])
+        np.add.at(self.counts, (form, cells[owner]), 1)
+
+    def rows(self) -> pa.RecordBatch:
+        names = list(self.forms)
+        form, cell = np.nonzero(self.counts[: len(names)])
+        return pa.RecordBatch.from_arrays([pa.array(names, pa.string()).take(pa.array(form)), pa.array(cell.astype(np.int32)), pa.array(self.counts[form, cell])], ["entry", "cell", "n"])
+
+
+def _parts(text: str) -> Iterator[str]:
+    """A text in parts of bounded length, cut at spaces."""
+    at = 0
+    while len(text) - at > PART:
+        cut = text.rfind(" ", at, at + PART)
+        cut = cut if cut > at else text.find(" ", at + PART)
+        if cut < 0:
+            break
+        yield text[at:cut]
+        at = cut
+    yield text[at:]
+
+
+@lru_cache(maxsize=1)
+def _kinds() -> np.ndarray:
+    """For every code point what it is: bits for letter, capital, mark, sign, exclamation and question mark."""
+    out = np.zeros(0x110000, np.uint8)
+    for i in range(0x110000):
+        c = chr(i)
+        letter = c.isalpha()
+        out[i] = letter + 2 * c.isupper() + 4 * (not letter and not c.isspace() and not c.isdigit())
+    for c in _SIGNS:
+        out[ord(c)] |= 8
+    out[ord("!")] |= 16
+    out[ord("?")] |= 32
     return out
 
 
-def features(text: str, lexicon: dict[str, float]) -> list[float]:
-    """The dense features of a text, in the order of ``FEATURES``."""
-    raw = _TOKEN.findall(text)
-    n = max(1, len(raw))
-    weight = strongest = 0.0
-    hits = stems = near = second = capital_words = obfuscated = obfuscated_hits = stretched = 0
-    different: set[str] = set()
-    last_second, open_hits = -NEAR - 1, 0
-    hit_at = -NEAR - 1
-    for i, token in enumerate(raw):
+class Describer:
+    """Features of texts under a lexicon; what it finds out about a token it remembers, up to a bound."""
+
+    def __init__(self, lexicon: dict[str, float]):
+        self.lexicon = lexicon
+        self.keys = {e: i for i, e in enumerate(lexicon)}
+        self.tokens = Tokens(7, self._fact)
+
+    def _fact(self, token: str) -> tuple[float, ...]:
+        """Weight, place in the lexicon, found by its beginning, second person, all capitals, obfuscated, stretched."""
         t = token.lower()
-        capital_words += len(token) > 1 and token.isupper()
-        if t in SECOND_PERSON:
-            second += 1
-            if i - hit_at <= NEAR:
-                near += open_hits
-                open_hits = 0
-            last_second = i
         bare = t.isalpha()
         w = t if bare else plain(t)
-        hidden = not bare and _INNER.search(t) is not None
-        obfuscated += hidden
-        stretched += bare and _STRETCH.search(t) is not None
-        found = lexicon.get(t) or lexicon.get(w)
-        key = w
-        if not found:
+        known = self.lexicon.get
+        weight, key, stem = known(t, 0.0), t, False
+        if not bare and known(w, 0.0) > weight:
+            weight, key = known(w, 0.0), w
+        if not weight:
             for k in STEMS:
-                if len(w) > k and (s := lexicon.get(w[:k] + "*")) and s > (found or 0.0):
-                    found, key = s, w[:k] + "*"
-            stems += bool(found)
-        if found:
-            hits += 1
-            weight += found
-            strongest = max(strongest, found)
-            different.add(key)
-            obfuscated_hits += hidden
-            if i - last_second <= NEAR:
-                near += 1
-            else:
-                open_hits = open_hits + 1 if i - hit_at <= NEAR else 1
-                hit_at = i
-    size, letters = max(1, len(text)), sum(map(str.isalpha, text))
-    upper = sum(map(str.isupper, text))
-    marks = len(text) - letters - sum(map(str.isspace, text)) - sum(map(str.isdigit, text))
-    signs = sum(map(text.count, "#*$%&|<>@^~"))
-    return [
-        weight / n, strongest, hits / n, float(len(different)), stems / n, second / n, near / n, upper / max(1, letters), capital_words / n, text.count("!") / n,
-        text.count("?") / n, marks / size, signs / size, obfuscated / n, obfuscated_hits / n, stretched / n, float(np.log1p(len(raw))), letters / n,
-    ]
-
-
-def matrix(texts: list[str | None], lexicon: dict[str, float]) -> np.ndarray:
-    return np.array([features(t or "", lexicon) for t in texts], float).reshape(-1, len(FEATURES))
+                if len(w) > k and known(w[:k] + "*", 0.0) > weight:
+                    key = w[:k] + "*"
+                    weight, stem = known(key, 0.0), True
+        hidden = not bare and _INNER.search(t) is not None
+        return (weight, self.keys.get(key, -1), stem, t in SECOND_PERSON, len(token) > 1 and token.isupper(), hidden, bare and _STRETCH.search(t) is not None)
+
+    def __call__(self, texts: list[str | None]) -> np.ndarray:
+        """One row of ``FEATURES`` per text."""
+        out = [np.zeros((0, len(FEATURES)))]
+        some = [t or "" for t in texts]
+        for lo, hi in chunks(some, PART):
+            if len(self.tokens.known) > REMEMBERED:
+                self.tokens.forget()
+            out.append(self._rows(some[lo:hi]))
+        return np.concatenate(out)
+
+    def _rows(self, texts: list[str]) -> np.ndarray:
+        n = len(texts)
+        at, size = self.tokens.of(texts)
+        owner = np.repeat(np.arange(n), size)
+        weight, key, stem, second, capital, hidden, stretched = self.tokens.facts[at].T
+        total = lambda x, of=owner: np.bincount(of, x, n)
+        place = np.arange(len(at)) + owner * (NEAR + 1)  # texts apart
+        hit = weight > 0
+        persons = np.concatenate([[-NEAR - 1], place[second > 0], [len(at) + (n + 1) * (NEAR + 1)]])
+        after = np.searchsorted(persons, place[hit])
+        near = np.minimum(persons[after] - place[hit], place[hit] - persons[after - 1]) <= NEAR
+        strongest = np.zeros(n)
+        np.maximum.at(strongest, owner[hit], weight[hit])
+        different = np.unique(owner[hit] * (len(self.keys) + 1) + key[hit].astype(np.int64)) // (len(self.keys) + 1)
+        codes = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
+        kinds = _kinds()[codes]
+        ends = np.cumsum([len(t) for t in texts])
+        starts = ends - [len(t) for t in texts]
+
+        def held(bit: int) -> np.ndarray:
+            sums = np.concatenate([[0], np.cumsum(kinds & bit > 0)])
+            return (sums[ends] - sums[starts]).astype(float)
+
+        words, length, letters = np.maximum(size, 1), np.maximum(ends - starts, 1), held(1)
+        return np.stack([
+            total(weight) / words, strongest, total(hit) / words, np.bincount(different, minlength=n).astype(float), total(stem) / words, total(second) / words,
+            np.bincount(owner[hit][near], minlength=n) / words, held(2) / np.maximum(letters, 1), total(capital) / words, held(16) / words, held(32) / words, held(4) / length,
+            held(8) / length, total(hidden) / words, total(hidden * hit) / words, total(stretched) / words, np.log1p(size), letters / words,
+        ], axis=1)
 
 
 class Tree(NamedTuple):
@@ -230,8 +328,8 @@ class Model(NamedTuple):
     trees: Trees
     steps: Steps
 
-    def scores(self, texts: list[str | None]) -> np.ndarray:
-        return np.clip(self.steps(self.trees.margins(matrix(texts, self.lexicon))), 0.0, 1.0)
+    def scores(self, described: np.ndarray) -> np.ndarray:
+        return np.clip(self.steps(self.trees.margins(described)), 0.0, 1.0)
 
 
 def _weights(counts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -269,23 +367,16 @@ def _entry_counts(texts: DataFrame) -> DataFrame:
     """``entry``, ``cell`` (twice the fold, plus the label), ``n`` texts that hold it, for entries of toxic texts."""
 
     def run(batches) -> Iterator[pa.RecordBatch]:
-        counts: dict[tuple[str, int], int] = {}
-
-        def flushed() -> pa.RecordBatch:
-            keys = list(counts)
-            out = [pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.int32()), pa.array(list(counts.values()), pa.int64())]
-            counts.clear()
-            return pa.RecordBatch.from_arrays(out, ["entry", "cell", "n"])
-
+        counter = FormCounter()
         for batch in batches:
-            for text, toxic, fold in zip(*(batch.column(c).to_pylist() for c in ("text", "toxic", "fold")), strict=True):
-                for e in entries(text):
-                    key = (e, 2 * fold + toxic)
-                    counts[key] = counts.get(key, 0) + 1
-                if len(counts) > 500_000:
-                    yield flushed()
-        if counts:
-            yield flushed()
+            some = batch.column("text").to_pylist()
+            cells = 2 * batch.column("fold").to_numpy().astype(np.int64) + batch.column("toxic").to_numpy()
+            for lo, hi in chunks(some, PART):
+                counter.add(some[lo:hi], cells[lo:hi])
+                if len(counter.forms) > REMEMBERED:
+                    yield counter.rows()
+                    counter.forget()
+        yield counter.rows()
 
     return texts.select("text", "toxic", "fold").mapInArrow(run, "entry string, cell int, n long").groupBy("entry", "cell").agg(F.sum("n").alias("n"))
 
@@ -315,10 +406,13 @@ def train(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_co
     drawn = F.pmod(F.xxhash64("hash", F.lit(1)), F.lit(1 << 30)) < F.when(F.col("toxic") == 1, int(shares[1] * (1 << 30))).otherwise(int(shares[0] * (1 << 30)))
 
     def described(batches) -> Iterator[pa.RecordBatch]:
+        by_fold = [Describer(x) for x in shared.value]
         for batch in batches:
-            rows = zip(batch.column("text").to_pylist(), batch.column("fold").to_pylist(), strict=True)
-            x = [features(t, shared.value[k]) for t, k in rows]
-            yield pa.RecordBatch.from_arrays([batch.column("hash"), batch.column("toxic"), batch.column("fold"), pa.array(x, pa.list_(pa.float64()))], ["hash", "toxic", "fold", "x"])
+            fold = batch.column("fold").to_numpy()
+            for k in range(FOLDS):
+                some = batch.filter(pa.array(fold == k))
+                x = by_fold[k](some.column("text").to_pylist())
+                yield pa.RecordBatch.from_arrays([some.column("hash"), some.column("toxic"), some.column("fold"), pa.array(list(x), pa.list_(pa.float64()))], ["hash", "toxic", "fold", "x"])
 
     sample = texts.filter(drawn).mapInArrow(described, "hash long, toxic int, fold int, x array<double>").collect()
     sample.sort(key=lambda r: r["hash"])
@@ -343,10 +437,11 @@ def score(docs: DataFrame, model: Model, id_column: str = "doc_id", text_column:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches) -> Iterator[pa.RecordBatch]:
+        describe = Describer(shared.value.lexicon)
         for batch in batches:
             for lo in range(0, batch.num_rows, 500):
                 part = batch.slice(lo, 500)
-                found = shared.value.scores(part.column("text").to_pylist())
+                found = shared.value.scores(describe(part.column("text").to_pylist()))
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(found), pa.array((found >= decide).astype(np.int32))], ["doc_id", "score", "predicted"])
 
     kind = source.schema["doc_id"].dataType.simpleString()
