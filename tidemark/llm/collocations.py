@@ -299,7 +299,9 @@ def _range_ends(shards: DataFrame) -> dict[str, np.ndarray]:
     columns = ["lang", "a", "b", "c"]
     schema = "lang string, a long, b long, c long"
     samples = shards.select("lang", "sample").mapInArrow(rows, schema)
-    picked = samples.repartitionByRange(*columns).sortWithinPartitions(*columns).mapInArrow(every, schema)
+    # so few partitions that what is left over in each, less than SAMPLES rows, does not count
+    partitions = max(1, shards.agg(F.sum(F.length("sample"))).first()[0] or 0) // (24 * 1000 * SAMPLES) + 1
+    picked = samples.repartitionByRange(partitions, *columns).sortWithinPartitions(*columns).mapInArrow(every, schema)
     ends: dict[str, list] = {}
     for r in picked.distinct().toLocalIterator():
         ends.setdefault(r["lang"], []).append((r["a"], r["b"], r["c"]))
@@ -310,8 +312,8 @@ def frequent_phrases(shards: DataFrame, least: int) -> DataFrame:
     """All phrases of one to three words found ``least`` times or more: ``lang``, ``words``, ``phrase``, ``n``."""
     ends = _range_ends(shards)
     offsets, total = {}, 0
-    for lang in sorted(ends):
-        offsets[lang], total = total, total + len(ends[lang]) + 1
+    for r in sorted(shards.select("lang").distinct().collect()):
+        offsets[r["lang"]], total = total, total + len(ends.get(r["lang"], ())) + 1
     shared = shards.sparkSession.sparkContext.broadcast((ends, offsets))
     none = np.zeros((0, 3), np.uint64)
 
@@ -339,7 +341,7 @@ def frequent_phrases(shards: DataFrame, least: int) -> DataFrame:
                         some, to = np.flatnonzero(mark), np.cumsum(mark) - 1
                         numbered = [to[w] for w in held]
                     piece = Transducer.of(numbered, counts[at])
-                    arrays = [pa.array([offset.get(lang, 0) + int(place[at[0]])]), pa.array([lang]), pa.array([b"\n".join(words[i] for i in some[1:])], pa.binary()), pa.array([piece.packed()], pa.binary())]
+                    arrays = [pa.array([offset[lang] + int(place[at[0]])], pa.int32()), pa.array([lang]), pa.array([b"\n".join(words[i] for i in some[1:])], pa.binary()), pa.array([piece.packed()], pa.binary())]
                     yield pa.RecordBatch.from_arrays(arrays, ["place", "lang", "words", "arcs"])
 
     def unite(batches) -> Iterator[pa.RecordBatch]:
@@ -357,7 +359,7 @@ def frequent_phrases(shards: DataFrame, least: int) -> DataFrame:
             windows, weight = _sorted_sums(list(np.concatenate(columns, axis=1)), np.concatenate(counts), len(numbers))
             words = list(numbers)
             edges = known.get(lang, none)
-            k = place - offset.get(lang, 0)
+            k = place - offset[lang]
             # where this range begins and ends: the prefixes of these windows have more in other ranges
             edges = edges[max(0, k - 1) : k + 1]
             hashes = np.concatenate([[np.uint64(0)], _hashes(words[1:])]) if len(edges) else none
@@ -386,8 +388,8 @@ def frequent_phrases(shards: DataFrame, least: int) -> DataFrame:
         if held:
             yield from answer(*at, held)
 
-    pieces = shards.select("lang", "words", "arcs").mapInArrow(cut, "place long, lang string, words binary, arcs binary")
-    parted = pieces.repartition(max(1, total), "place", "lang").sortWithinPartitions("place", "lang")
+    pieces = shards.select("lang", "words", "arcs").mapInArrow(cut, "place int, lang string, words binary, arcs binary")
+    parted = pieces.repartitionById(max(1, total), "place").sortWithinPartitions("place", "lang")
     sums = parted.mapInArrow(unite, "lang string, words int, phrase string, n long")
     return sums.groupBy("lang", "words", "phrase").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
 
