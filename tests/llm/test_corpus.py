@@ -1,15 +1,19 @@
 """Operators over whole corpora against brute force."""
 
 import random
+import time
 from collections import Counter, defaultdict
 from hashlib import sha256
 
+import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tests.llm.conftest import TEXTS
+from tests.llm.test_registered import same
 from tests.llm.test_texts import rows_of
-from tidemark.llm import decontaminate, html_extract, labelled_pages, lm_score, near, packing, passages, preference, queries
+from tidemark.llm import decontaminate, html_extract, labelled_pages, lm_score, near, oracles, packing, passages, preference, queries
 
 
 def shingles(text):
@@ -241,6 +245,18 @@ def test_nothing_behind_an_element_is_lost():
     assert [("nav" in b.tags, "footer" in b.tags, "ad" in b.names) for b in deep] == [(True, False, True), (False, True, True), (False, False, True), (False, False, True), (False, False, False)]
 
 
+def test_pages_that_do_not_end_well():
+    texts = lambda page: [b.text for b in html_extract.read_blocks(page)]
+    assert texts("<p>İ</p><SCRIPT>x</SCRIPT><p>after</p>") == ["İ", "after"] and texts("<p>ſ<Style>x</STYLE>k<p>K") == ["ſk", "K"]
+    assert texts("<p>a<!-- x") == ["a"] and texts("<p>a</p><!-- x <p>b</p>") == ["a"] and texts("<p>a <!-- c --> b > c <!-- d") == ["a b > c"]
+    assert texts("a < b <c") == ["a < b <c"] and texts("<p title='x>y'>z</p>") == ["z"] and texts("<p title='x>y</p><p>q</p>") == ["y", "q"]
+    for odd in ("<a ", "<p a='", "<p a=\"", "<a '>", "<!-- ", "<![", "</a"):
+        for end in ("", ">", "'"):
+            start = time.monotonic()
+            texts(odd * (1_000_000 // len(odd)) + end)
+            assert time.monotonic() - start < 10
+
+
 def test_field_on_other_pages():
     field = html_extract.default_field()
     pages = labelled_pages.pages()
@@ -382,12 +398,31 @@ def test_preference_pairs(spark):
 
 
 def test_replaced_answers(spark):
-    rows = spark.createDataFrame([(0, 0, "user", "q"), (0, 1, "assistant", "x"), (0, 2, "user", "end"), (1, 0, "assistant", "y"), (2, 0, "assistant", "alone"), (None, 0, "user", "n")], "conv_id long, turn long, role string, text string")
-    found = preference.preference_pairs(preference.replaced_answers(rows)).orderBy("pair_id").collect()
-    assert [(r.pair_id, r.n_prompt_turns) for r in found] == [(0, 1), (1, 0)] and "y" in found[0].rejected and "x" in found[0].chosen
+    turns = [
+        (0, 0, "user", "q"), (0, 1, "assistant", "x"), (0, 2, "user", "later"), (0, None, "system", "first"), (1, 0, "assistant", "y"),
+        (2, 0, "assistant", "alone"), (3, 0, "user", "no answer"), (4, 1, "user", "u"), (4, 2, "assistant", None), (5, 0, "user", "only"),
+        (None, 0, "user", "n"), (None, 1, "assistant", "a"), (-2, None, "assistant", "m"), (-1, 0, None, "r"), (-1, 1, "assistant", "m2"),
+    ]
+    rows = spark.createDataFrame([(*t, "pick", 1) for t in turns], "conv_id long, turn long, role string, text string, side string, last_turn int")
+    found = {r.pair_id: r for r in preference.preference_pairs(preference.replaced_answers(rows)).collect()}
+    assert set(found) == {0, 1, 2, 3, 4, 5, None, -1, -2}  # every conversation has a row
+    assert [(i, found[i].n_prompt_turns, found[i].usable) for i in (0, 1, 2, 3, 4, 5, None, -1, -2)] == [
+        (0, 2, True), (1, 0, True), (2, 0, False), (3, 1, False), (4, 1, False), (5, 1, False), (None, 1, False), (-1, 1, True), (-2, 0, True),
+    ]
+    assert "y" in found[0].rejected and "x" in found[0].chosen and found[0].prompt.startswith("<|im_start|>system\nfirst") and "later" not in found[0].chosen
+    assert "alone" in found[2].chosen and found[2].rejected == "" and found[3].chosen == found[3].rejected == "" and "no answer" in found[3].prompt
+    con = duckdb.connect()
+    con.register("conversations", rows.toPandas().astype({"conv_id": "Int64", "turn": "Int64"}))
+    pairs = preference.preference_pairs(preference.replaced_answers(rows)).withColumnRenamed("pair_id", "conv_id")
+    same(pairs.withColumns({c: preference.spans_text(F.col(c)) for c in ("chosen_spans", "rejected_spans")}), con, oracles.SQL["op8_preference"])
     assert preference.preference_pairs(preference.replaced_answers(rows.filter("false"))).count() == 0
 
 
+def test_every_conversation_has_a_row(spark):
+    folder = "/root/testdata/sf0.1"
+    assert queries.QUERIES["op8_preference"](spark, folder).count() == spark.read.parquet(f"{folder}/conversations.parquet").select("conv_id").distinct().count()
+
+
 def test_native_operators_run_no_python(spark, sf_dir, capsys):
     for name in ("op4_decontaminate", "op8_preference", "op10_pii"):
         queries.QUERIES[name](spark, sf_dir).explain()

@@ -30,7 +30,10 @@ BLOCK = frozenset(
 ENDS = {t: ("p", frozenset("td th button dialog".split())) for t in BLOCK - {"button", "label", "option", "optgroup", "select", "body", "html", "head", "tbody", "thead", "tfoot", "tr", "td", "th", "caption"}}
 ENDS |= {"li": ("li", frozenset("ul ol menu".split())), "option": ("option", frozenset(["select"])), "tr": ("tr", frozenset(["table"])), "td": ("td", frozenset("tr table".split())), "th": ("th", frozenset("tr table".split()))}
 ENDS |= {"dt": ("dd", frozenset(["dl"])), "dd": ("dt", frozenset(["dl"]))}
-_TAG = re.compile(r"<(?:!--.*?(?:-->|\Z)|[!?][^>]*+>|(/?)([A-Za-z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+|[^>]*+)>)", re.S)
+_TAG = re.compile(r"<(?:!--.*?(?:-->|\Z)|[!?][^>]*+>|(/?)([A-Za-z][^\s/>]*+)(?:((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)|([^>]*+))>)", re.S)
+#: The same where quotes have no meaning.
+_BARE_TAG = re.compile(r"<(?:!--.*?(?:-->|\Z)|[!?][^>]*+>|(/?)([A-Za-z][^\s/>]*+)([^>]*+)()>)", re.S)
+_RAW_END = {t: re.compile(f"</{t}", re.I | re.A) for t in RAW}
 _NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _MARK = re.compile(r"\bdata-main\b", re.I)
 _SUBWORD = re.compile(r"[a-z]{2,}")
@@ -112,14 +115,21 @@ def read_blocks(page: str, known: frozenset[str] | None = None) -> list[Block]:
     """Leaf blocks in page order; comments, scripts, styles and other raw elements have no text.
 
     A raw element without an end tag reaches to the end of the page, as in a browser; ``svg``,
-    ``math`` and ``object`` are elements like others. Of ``tags`` and ``names`` only those in
+    ``math`` and ``object`` are elements like others. After a tag whose quotes leave no end of
+    it, quotes mean nothing any more; a ``<`` behind the last ``>`` begins no tag. Both keep the
+    reading of a page proportional to its length. Of ``tags`` and ``names`` only those in
     ``known`` are kept, if given.
     """
-    reader, at = _Reader(known), 0
-    lowered: str | None = None
-    while found := _TAG.search(page, at):
+    reader, at, pattern, stop = _Reader(known), 0, _TAG, page.rfind(">") + 1
+    while found := pattern.search(page, at, stop):
         reader.text(page[at : found.start()])
         at = found.end()
+        if found[0].startswith("<!--") and not found[0].endswith("-->"):
+            at = stop = len(page)
+            break
+        attributes = found[3] if found[3] is not None else found[4]
+        if found[4] is not None:
+            pattern = _BARE_TAG
         if not found[2]:
             continue
         tag = found[2].lower()
@@ -128,12 +138,11 @@ def read_blocks(page: str, known: frozenset[str] | None = None) -> list[Block]:
         if found[1]:
             reader.close(tag)
             continue
-        if (tag in FOREIGN or any(t in reader.places for t in FOREIGN)) and _is_empty(found[3]):
+        if (tag in FOREIGN or any(t in reader.places for t in FOREIGN)) and _is_empty(attributes):
             continue
         if tag in RAW:
-            lowered = page.lower() if lowered is None or len(lowered) != len(page) else lowered
-            end = (lowered if len(lowered) == len(page) else page).find(f"</{tag}", at)
-            at = len(page) if end < 0 else end
+            end = _RAW_END[tag].search(page, at)
+            at = len(page) if end is None else end.start()
             continue
         if ended := ENDS.get(tag):
             reader.close(*ended)
@@ -142,9 +151,10 @@ def read_blocks(page: str, known: frozenset[str] | None = None) -> list[Block]:
         if tag == "br":
             reader.parts.append((" ", False))
         if tag not in VOID:
-            names = tuple(w for m in _NAMES.finditer(found[3]) for w in _SUBWORD.findall((m[1] or m[2] or m[3] or "").lower())) if "=" in found[3] else ()
-            reader.open(tag, names, bool(_MARK.search(found[3])))
-    reader.text(page[at:])
+            names = tuple(w for m in _NAMES.finditer(attributes) for w in _SUBWORD.findall((m[1] or m[2] or m[3] or "").lower())) if "=" in attributes else ()
+            reader.open(tag, names, bool(_MARK.search(attributes)))
+    open_comment = page.find("<!--", at)
+    reader.text(page[at:] if open_comment < 0 else page[at:open_comment])
     reader.flush()
     return reader.blocks
 

@@ -61,23 +61,24 @@ from docs left join words_hit using (r) left join items_hit using (r)
 """
 
 PREFERENCE = """
-with last as (select conv_id, max({'turn': turn, 'text': text}) as l from conversations where role = 'assistant' group by conv_id),
-pair as (select a.conv_id, a.l.turn as turn, b.l.text as other from last a join last b on b.conv_id = xor(a.conv_id, 1)),
-sides as (select c.conv_id, c.turn, c.role, replace(coalesce(c.text, ''), '<|im_', '<| im_') as chosen,
-        replace(coalesce(case when c.turn = p.turn then p.other else c.text end, ''), '<|im_', '<| im_') as rejected
-    from conversations c join pair p using (conv_id) where c.turn <= p.turn),
-marked as (select *, coalesce(bool_and(chosen = rejected) over (partition by conv_id order by turn), true) as shared from sides),
+with last as (select conv_id, max({'turn': coalesce(turn, -9223372036854775808), 'text': text}) as l from conversations where role = 'assistant' group by conv_id),
+pair as (select c.*, a.l is null as whole, b.l is null as lonely, b.l.text as other, coalesce(turn, -9223372036854775808) as t, a.l.turn as end_turn,
+        coalesce(role, '') = 'assistant' and coalesce(turn, -9223372036854775808) is not distinct from a.l.turn and c.text is not distinct from a.l.text as final
+    from conversations c left join last a on a.conv_id is not distinct from c.conv_id left join last b on b.conv_id = xor(c.conv_id, 1)),
+sides as (select conv_id, t as turn, coalesce(role, '') as role, final and lonely as gone, replace(coalesce(text, ''), '<|im_', '<| im_') as chosen,
+        replace(coalesce(case when final then other else text end, ''), '<|im_', '<| im_') as rejected from pair where whole or t <= end_turn),
+marked as (select *, coalesce(bool_and(chosen = rejected and not gone) over (partition by conv_id order by turn, role), true) as shared from sides),
 drawn as (select *, '<|im_start|>' || role || chr(10) as head, '<|im_end|>' || chr(10) as tail from marked),
 placed as (select *, sum(case when shared then 0 else length(head || chosen || tail) end) over w - length(chosen || tail) as c_at,
-        sum(case when shared then 0 else length(head || rejected || tail) end) over w - length(rejected || tail) as r_at
-    from drawn window w as (partition by conv_id order by turn))
+        sum(case when shared or gone then 0 else length(head || rejected || tail) end) over w - length(rejected || tail) as r_at
+    from drawn window w as (partition by conv_id order by turn, role))
 select conv_id, cast(count(*) filter (shared) as int) as n_prompt_turns,
-    coalesce(string_agg(head || chosen || tail, '' order by turn) filter (shared), '') as prompt,
-    coalesce(string_agg(head || chosen || tail, '' order by turn) filter (not shared), '') as chosen,
-    coalesce(string_agg(head || rejected || tail, '' order by turn) filter (not shared), '') as rejected,
-    coalesce(string_agg(c_at || ':' || (c_at + length(chosen) + 10), ',' order by turn) filter (not shared and role = 'assistant'), '') as chosen_spans,
-    coalesce(string_agg(r_at || ':' || (r_at + length(rejected) + 10), ',' order by turn) filter (not shared and role = 'assistant'), '') as rejected_spans,
-    count(*) filter (not shared and role = 'assistant') > 0 as usable
+    coalesce(string_agg(head || chosen || tail, '' order by turn, role) filter (shared), '') as prompt,
+    coalesce(string_agg(head || chosen || tail, '' order by turn, role) filter (not shared), '') as chosen,
+    coalesce(string_agg(head || rejected || tail, '' order by turn, role) filter (not shared and not gone), '') as rejected,
+    coalesce(string_agg(c_at || ':' || (c_at + length(chosen) + 10), ',' order by turn, role) filter (not shared and role = 'assistant'), '') as chosen_spans,
+    coalesce(string_agg(r_at || ':' || (r_at + length(rejected) + 10), ',' order by turn, role) filter (not shared and not gone and role = 'assistant'), '') as rejected_spans,
+    count(*) filter (not shared and role = 'assistant') > 0 and count(*) filter (not shared and not gone and role = 'assistant') > 0 as usable
 from placed group by conv_id
 """
 

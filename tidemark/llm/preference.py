@@ -72,20 +72,28 @@ def preference_pairs(turns: DataFrame, pair_column: str = "pair_id") -> DataFram
 
 
 def replaced_answers(conversations: DataFrame, id_column: str = "conv_id") -> DataFrame:
-    """Turns of preference pairs made from plain conversations.
+    """Turns of preference pairs made from plain conversations: ``pair_id``, ``side``, ``turn``, ``role``, ``text``.
 
     Chosen is a conversation up to its last assistant turn; rejected is the same with that
-    turn's text taken from the conversation whose id differs in the last bit. Conversations
-    without an answer, or whose partner has none, make no pair.
+    turn's text taken from the conversation whose id differs in the last bit. Where the partner
+    is absent or has no answer, rejected ends before the answer; a conversation without an
+    answer is whole on both sides. So every conversation, one with a null id too, has a pair,
+    usable or not. A turn with a null number comes before all others; of answers with one
+    number the greatest text is the last; repeated rows are repeated turns, and a repeated
+    answer is replaced each time. Empty and null texts are answers like others; further columns
+    are not read; an empty table has no pairs.
     """
-    turns = conversations.select(F.col(id_column).alias("pair_id"), "turn", "role", "text").filter("pair_id is not null")
+    turns = conversations.select(conversations[id_column].alias("pair_id"), *(conversations[c].alias(c) for c in ("turn", "role", "text")))
     last = turns.filter(F.col("role") == LEARNED).groupBy("pair_id").agg(F.max(F.struct("turn", "text")).alias("last"))
-    last = last.select("pair_id", F.col("last.turn").alias("last_turn"), F.col("last.text").alias("own"))
-    other = last.select(F.col("pair_id").bitwiseXOR(1).alias("pair_id"), F.col("own").alias("other"))
-    both = turns.join(last.join(other, "pair_id"), "pair_id").filter("turn <= last_turn")
-    final = (F.col("turn") == F.col("last_turn")) & (F.col("role") == LEARNED) & F.col("text").eqNullSafe(F.col("own"))
-    sides = F.explode(F.array(F.struct(F.lit("chosen").alias("side"), F.col("text").alias("said")), F.struct(F.lit("rejected").alias("side"), F.when(final, F.col("other")).otherwise(F.col("text")).alias("said"))))
-    return both.select("pair_id", "turn", "role", sides.alias("s")).select("pair_id", "s.side", "turn", "role", F.col("s.said").alias("text"))
+    own = last.select(F.col("pair_id").alias("own_id"), F.col("last").alias("own"))
+    other = last.filter("pair_id is not null").select(F.col("pair_id").bitwiseXOR(1).alias("other_id"), F.col("last").alias("other"))
+    both = turns.join(own, turns["pair_id"].eqNullSafe(own["own_id"]), "left").join(other, turns["pair_id"] == other["other_id"], "left")
+    said = both.filter(F.col("own").isNull() | F.col("turn").isNull() | F.coalesce(F.col("turn") <= F.col("own.turn"), F.lit(False)))
+    final = F.col("own").isNotNull() & F.col("role").eqNullSafe(LEARNED) & F.col("turn").eqNullSafe(F.col("own.turn")) & F.col("text").eqNullSafe(F.col("own.text"))
+    chosen = F.struct(F.lit("chosen").alias("side"), F.col("text").alias("said"))
+    rejected = F.struct(F.lit("rejected").alias("side"), F.when(final, F.col("other.text")).otherwise(F.col("text")).alias("said"))
+    sides = F.when(final & F.col("other").isNull(), F.array(chosen)).otherwise(F.array(chosen, rejected))
+    return said.select("pair_id", "turn", "role", F.explode(sides).alias("s")).select("pair_id", "s.side", "turn", "role", F.col("s.said").alias("text"))
 
 
 def spans_text(spans: Column) -> Column:
