@@ -307,7 +307,7 @@ def test_losses_by_hand(spark):
     docs = spark.createDataFrame([(1, "a b a b c"), (2, "a b"), (3, "d e f a"), (4, None), (5, " "), (1, "a b a b c")], "doc_id long, text string")
     found = lm_score.cross_entropy_difference(docs, spark.createDataFrame([(1,), (1,), (None,)], "i long")).collect()
     texts, target = [["a", "b", "a", "b", "c"], ["a", "b"], ["d", "e", "f", "a"], [], [], ["a", "b", "a", "b", "c"]], {0, 5}
-    number = lambda w: int(lm_score.token_numbers([w.encode()])[0][0])
+    number = lambda w: int(lm_score.word_keys([w.encode()])[0])
     vocabulary = 1 << lm_score.WORD_BITS - 1
 
     def model(rows):

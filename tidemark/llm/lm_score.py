@@ -1,12 +1,13 @@
 """Cross-entropy difference: how much better a target model predicts a text than the background model.
 
 Two bigram models, one of the target documents and one of all documents, count real words and
-pairs of words, each known by the 64-bit hashes of its words, so the models grow with the
-corpus and no counts are shared. They are never held in one place: documents are stored in
-blocks of bounded size, each block counts its own texts, Spark adds up the blocks by word and
-pair, and a block gets the sums back of what it shares with other blocks. A word or pair has
-one row a block at most, so frequent ones need no special care. Each document is scored by
-the mean difference of the losses of its tokens.
+pairs of words, each known by a 63-bit hash, so the models grow with the corpus and no counts
+are shared. They are never held in one place: documents are dealt to blocks of bounded size by
+a hash of the row, and each block counts its own texts. It sends its sorted keys and small
+counts, packed, in one row per range of keys; a range adds up its keys over all blocks and
+answers each block in the order of that block's own keys. So a frequent word or pair is one
+entry of a block whatever its count, and no key travels back. Each document is scored by the
+mean difference of the losses of its tokens.
 """
 
 from __future__ import annotations
@@ -16,73 +17,103 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+import xxhash
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import id_and_text, text_bytes
-from tidemark.llm.near import word_hashes
-from tidemark.session import written
 
 #: Words at random are one of ``2**(WORD_BITS - 1)``, or of as many as the corpus has if those are more.
 WORD_BITS = 16
-#: Bytes of text of one block, about (its last text may be longer), and what a row counts besides its text.
-BLOCK_BYTES, ROW_BYTES = 1 << 22, 64
+#: Bytes of text of one block, about (a longer text is a block), and tokens of one range of keys.
+BLOCK_BYTES, RANGE_TOKENS = 16 << 20, 1 << 20
+#: Different words that a task of the first pass holds before it sends them on.
+HELD_WORDS = 1 << 20
 #: Weight of the unigram model in a bigram's estimate, in tokens.
 PRIOR = 20.0
-WORD, PAIR = 0, 1
-SUMS = ("all", "target", "last_all", "last_target")
-_NAMES = ["block", "kind", "before", "word", *SUMS]
-_COUNTS = "block long, kind int, before long, word long, all long, target long, last_all long, last_target long"
+_SPREAD = np.uint64(0x9E3779B97F4A7C15)
+_PAIR = np.uint64(1)  # the last bit tells pairs from words
 
 
-def token_numbers(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Word hash, hash of the word before (0 at the start of a text), owner of every token."""
-    split = [t.split() for t in texts]
-    owner = np.repeat(np.arange(len(texts)), np.array([len(x) for x in split], np.int64))
-    words = word_hashes([w for x in split for w in x], {}).view(np.int64)
-    words = np.where(words == 0, 1, words)  # 0 is left to the start
-    before = np.zeros(len(words), np.int64)
-    before[1:] = np.where(owner[1:] == owner[:-1], words[:-1], 0)
-    return words, before, owner
+class _Numbers(dict):
+    def __missing__(self, word: bytes) -> int:
+        self[word] = n = len(self)
+        return n
+
+
+def word_keys(words: list[bytes]) -> np.ndarray:
+    """Key of each word: even and never 0, which is the start of a text."""
+    keys = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in words), np.uint64, len(words)) & ~_PAIR
+    return np.where(keys == 0, np.uint64(2), keys)
+
+
+def pair_keys(before: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """Key of each pair of words, given by their keys: odd."""
+    x = (before ^ (before >> np.uint64(31))) * _SPREAD + word
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return (x ^ (x >> np.uint64(31))) | _PAIR
+
+
+def _packed(arrays: list[np.ndarray]) -> bytes:
+    """Whole numbers of one length, each array in as few bytes a number as its largest needs."""
+    out = [np.array([len(arrays[0])], np.int64).tobytes()]
+    for x in arrays:
+        width = max(1, -(-int(x.max(initial=0)).bit_length() // 8))
+        out += [bytes([width]), x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].tobytes()]
+    return b"".join(out)
+
+
+def _unpacked(raw: bytes, count: int) -> list[np.ndarray]:
+    n, at, out = int(np.frombuffer(raw, np.int64, 1)[0]), 8, []
+    for _ in range(count):
+        width = raw[at]
+        x = np.zeros((n, 8), np.uint8)
+        x[:, :width] = np.frombuffer(raw, np.uint8, n * width, at + 1).reshape(n, width)
+        out.append(x.view("<u8").ravel())
+        at += 1 + n * width
+    return out
+
+
+def range_starts(bits: int) -> np.ndarray:
+    return np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits) if bits else np.zeros(1, np.uint64)
 
 
 class Counts:
-    """Words and pairs of some texts: sorted keys, the place of every token's key, counts ([0] background, [1] target).
+    """Words and pairs of some texts: sorted keys, the place of every token's key, counts.
 
-    The start of a text is the word 0. A word has been a context as often as it occurs, less
-    its ends of a text.
+    Rows of ``counts`` are occurrences in all texts and in the target, and of these the ends of
+    a text: a word has been a context as often as it occurs, less its ends. The start of a text
+    has the key 0.
     """
 
     def __init__(self, texts: list[bytes], target: np.ndarray):
-        words, before, self.owner = token_numbers(texts)
-        self.words, both_at = np.unique(np.concatenate([words, before, [0]]), return_inverse=True)
-        n, size = len(words), len(self.words)
-        self.word_at, self.context_at = both_at[:n], both_at[n : 2 * n]
-        self.pairs, self.pair_at = np.unique(self.context_at * size + self.word_at, return_inverse=True)
+        numbers = _Numbers()
+        parts = [np.fromiter(map(numbers.__getitem__, words), np.int32, len(words)) for words in (t.split() for t in texts)]
+        sizes = np.array([len(x) for x in parts], np.int64)
+        self.owner = np.repeat(np.arange(len(texts)), sizes)
+        word = np.concatenate(parts) + 1 if parts else np.zeros(0, np.int32)
+        before = np.zeros(len(word), np.int64)
+        before[1:] = np.where(self.owner[1:] == self.owner[:-1], word[:-1], 0)
+        ends = word[(np.cumsum(sizes) - 1)[sizes > 0]]
+        names = np.concatenate([[np.uint64(0)], word_keys(list(numbers))])
+        pairs, pair = np.unique(before * len(names) + word, return_inverse=True)
+        keys = np.concatenate([names, pair_keys(*(names[x] for x in np.divmod(pairs, len(names))))])
+        self.keys, place = np.unique(keys, return_inverse=True)
+        self.word_at, self.context_at, self.pair_at = place[word], place[before], place[len(names) + pair]
         marked = target[self.owner]
-        twice = lambda at, keys: np.stack([np.bincount(at, minlength=keys), np.bincount(at[marked], minlength=keys)])
-        self.word, around, self.pair = twice(self.word_at, size), twice(self.context_at, size), twice(self.pair_at, len(self.pairs))
-        self.word[:, both_at[-1]] = around[:, both_at[-1]]
-        self.last = self.word - around
-
-    def rows(self, block: int) -> Iterator[pa.RecordBatch]:
-        context_at, word_at = np.divmod(self.pairs, len(self.words))
-        none = np.zeros((2, len(self.pairs)), np.int64)
-        for kind, columns in ((WORD, (np.zeros(len(self.words), np.int64), self.words, *self.word, *self.last)), (PAIR, (self.words[context_at], self.words[word_at], *self.pair, *none))):
-            for lo in range(0, len(columns[0]), 50_000):
-                part = [pa.array(c[lo : lo + 50_000]) for c in columns]
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part[0]), block, np.int64)), pa.array(np.full(len(part[0]), kind, np.int32)), *part], _NAMES)
-
-    def take(self, sums: pa.Table) -> None:
-        """Sums over all blocks in the place of this block's own; what is not among them occurs in this block only."""
-        kind, before, word = (sums[c].to_numpy() for c in ("kind", "before", "word"))
-        found = np.stack([sums[c].to_numpy() for c in SUMS])
-        word_at = np.searchsorted(self.words, word)
-        self.word[:, word_at[kind == WORD]] = found[:2, kind == WORD]
-        self.last[:, word_at[kind == WORD]] = found[2:, kind == WORD]
-        pair_at = np.searchsorted(self.pairs, (np.searchsorted(self.words, before) * len(self.words) + word_at)[kind == PAIR])
-        self.pair[:, pair_at] = found[:2, kind == PAIR]
+        size = len(self.keys)
+        self.counts = np.zeros((4, size), np.int64)
+        for i, some in enumerate((slice(None), marked)):
+            starts = np.flatnonzero(sizes > 0) if i == 0 else np.flatnonzero((sizes > 0) & target)
+            self.counts[i] = np.bincount(self.word_at[some], minlength=size) + np.bincount(self.pair_at[some], minlength=size)
+            self.counts[i, place[0]] += len(starts)
+            last = ends if i == 0 else ends[target[sizes > 0]]
+            self.counts[2 + i] = np.bincount(place[last], minlength=size)
+
+    def ranges(self, bits: int) -> np.ndarray:
+        """Where the keys of each of ``2**bits`` ranges begin, and the end."""
+        return np.append(np.searchsorted(self.keys, range_starts(bits)), len(self.keys))
 
     def losses(self, target: np.ndarray, total: tuple[int, int], vocabulary: int) -> np.ndarray:
         """Loss of every token in nats under both models.
@@ -90,15 +121,15 @@ class Counts:
         A text is scored by what all other texts have counted: its own counts are taken out of
         the background, and out of the target if it belongs there.
         """
-        tables = ((self.word, self.word_at), (self.word - self.last, self.context_at), (self.pair, self.pair_at))
-        own = [_own_counts(self.owner, at, t.shape[1]) for t, at in tables]
+        own = [_own_counts(self.owner, at, len(self.keys)) for at in (self.word_at, self.context_at, self.pair_at)]
         size = np.bincount(self.owner, minlength=len(target))[self.owner]
         out = np.empty((2, len(self.owner)))
         # both models get the weight of the smaller one against the prior, so what differs is not their size
         matched = min(total) / np.maximum(np.array(total, float), 1.0)
         for i in range(2):
             part = np.ones(len(self.owner)) if i == 0 else target[self.owner].astype(float)
-            word, around, pair = ((t[i][at] - part * o) * matched[i] for (t, at), o in zip(tables, own, strict=True))
+            tables = (self.counts[i][self.word_at], (self.counts[i] - self.counts[2 + i])[self.context_at], self.counts[i][self.pair_at])
+            word, around, pair = ((t - part * o) * matched[i] for t, o in zip(tables, own, strict=True))
             alone = (word + 1.0) / ((total[i] - part * size) * matched[i] + vocabulary)
             out[i] = -np.log((pair + PRIOR * alone) / (around + PRIOR))
         return out
@@ -114,65 +145,61 @@ def _target(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
     return np.array(column.to_pylist(), bool)
 
 
-def _blocked(batches) -> Iterator[pa.RecordBatch]:
-    """Rows with the number of their block: a task's rows are cut every ``BLOCK_BYTES``."""
-    first, done = TaskContext.get().partitionId() << 32, 0
-    for batch in batches:
-        sizes = pc.fill_null(pc.binary_length(batch.column("text").cast(pa.large_binary())), 0).to_numpy(zero_copy_only=False).astype(np.int64) + ROW_BYTES
-        ends = done + np.cumsum(sizes)
-        block = first + (ends - sizes) // BLOCK_BYTES
-        done = int(ends[-1]) if len(ends) else done
-        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(block)], [*batch.schema.names, "block"])
-
-
-def _counts(batches) -> Iterator[tuple[int, Counts]]:
-    """Counts of each run of rows of one block."""
-    held, texts, target = None, [], []
-    for batch in batches:
-        blocks = batch.column("block").to_numpy()
-        edges = [0, *(np.flatnonzero(np.diff(blocks)) + 1).tolist(), len(blocks)]
-        for lo, hi in zip(edges, edges[1:]):
-            if lo == hi:
-                continue
-            if texts and blocks[lo] != held:
-                yield held, Counts(texts, np.array(target, bool))
-                texts, target = [], []
-            held = int(blocks[lo])
-            texts += text_bytes(batch.column("text").slice(lo, hi - lo))
-            target += batch.column("target").slice(lo, hi - lo).to_pylist()
-    if texts:
-        yield held, Counts(texts, np.array(target, bool))
-
-
-def _count(batches) -> Iterator[pa.RecordBatch]:
-    for block, counts in _counts(batches):
-        yield from counts.rows(block)
-
-
-def _count_words(batches) -> Iterator[pa.RecordBatch]:
-    for _, counts in _counts(batches):
-        yield pa.RecordBatch.from_arrays([pa.array(counts.words), *(pa.array(x) for x in counts.word)], ["word", "all", "target"])
-
-
 def marked(docs: DataFrame, target_ids: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """Id and text of every document, whether it belongs to the target, and its block, stored.
+    """Id and text of every document, and whether it belongs to the target.
 
-    ``target_ids`` has the ids in its first column; repeated ids count once. The ids grow with
-    the corpus, so both sides are shuffled at every size, once; counting and scoring read the
-    stored rows.
+    ``target_ids`` has the ids in its first column; repeated ids count once. Spark broadcasts
+    the ids where their size is known to be small and shuffles both sides otherwise.
     """
     ids = target_ids.select(F.col(target_ids.columns[0]).alias("target_id")).filter("target_id is not null").distinct()
     rows = id_and_text(docs, id_column, text_column)
-    both = rows.join(ids.hint("merge"), rows["doc_id"] == ids["target_id"], "left").select("doc_id", "text", F.col("target_id").isNotNull().alias("target"))
-    kind = both.schema["doc_id"].dataType.simpleString()
-    return written(both.mapInArrow(_blocked, f"doc_id {kind}, text string, target boolean, block long"), "marked")
-
-
-def shared_sums(counts: DataFrame) -> DataFrame:
-    """For each block its words and pairs that also occur elsewhere, with their sums over all blocks."""
-    same = Window.partitionBy("kind", "before", "word")
-    sums = counts.select("block", "kind", "before", "word", F.col("all").alias("here"), *(F.sum(c).over(same).alias(c) for c in SUMS))
-    return sums.filter(F.col("all") > F.col("here")).drop("here")
+    return rows.join(ids, rows["doc_id"] == ids["target_id"], "left").select("doc_id", "text", F.col("target_id").isNotNull().alias("target"))
+
+
+def corpus_facts(source: DataFrame) -> tuple[int, tuple[int, int], int]:
+    """Bytes of text, tokens of all and of target documents, and different words."""
+    span = 12
+
+    def words(batches) -> Iterator[pa.RecordBatch]:
+        names = ["range", "keys", "bytes", "tokens", "target"]
+        totals, held = [0, 0, 0], _Numbers()
+
+        def flushed() -> pa.RecordBatch:
+            keys = np.unique(word_keys(list(held)))
+            held.clear()
+            place = (keys >> np.uint64(64 - span)).astype(np.int64)
+            edges = np.searchsorted(place, np.arange((1 << span) + 1))
+            some = np.flatnonzero(np.diff(edges))
+            blobs = [_packed([np.diff(keys[edges[i] : edges[i + 1]], prepend=np.uint64(i) << np.uint64(64 - span))]) for i in some]
+            facts = [[x, *[0] * (len(blobs))] for x in totals]
+            totals[:] = [0, 0, 0]
+            return pa.RecordBatch.from_arrays([pa.array([-1, *some.tolist()], pa.int32()), pa.array([None, *blobs], pa.binary()), *(pa.array(x, pa.int64()) for x in facts)], names)
+
+        for batch in batches:
+            texts, target = text_bytes(batch.column("text")), _target(batch.column("target"))
+            for text, good in zip(texts, target.tolist(), strict=True):
+                split = text.split()
+                held.update(dict.fromkeys(split, 0))
+                totals[0] += len(text)
+                totals[1] += len(split)
+                totals[2] += good * len(split)
+                if len(held) > HELD_WORDS:
+                    yield flushed()
+        yield flushed()
+
+    def distinct(table: pa.Table) -> pa.Table:
+        keys: np.ndarray = np.zeros(0, np.uint64)
+        # keys from the start of their range, which is the same for all
+        parts = [np.cumsum(_unpacked(raw, 1)[0], dtype=np.uint64) for raw in table["keys"].to_pylist() if raw]
+        for lo in range(0, len(parts), 64):
+            keys = np.unique(np.concatenate([keys, *parts[lo : lo + 64]]))
+        sums = [pa.array([pc.sum(table[c]).as_py()], pa.int64()) for c in ("bytes", "tokens", "target")]
+        return pa.Table.from_arrays([pa.array([len(keys)], pa.int64()), *sums], ["words", "bytes", "tokens", "target"])
+
+    found = source.select("text", "target").mapInArrow(words, "range int, keys binary, bytes long, tokens long, target long")
+    found = found.groupBy("range").applyInArrow(distinct, "words long, bytes long, tokens long, target long")
+    n = found.agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("words", "bytes", "tokens", "target"))).first()
+    return n["bytes"], (n["tokens"], n["target"]), n["words"]
 
 
 def cross_entropy_difference(docs: DataFrame, target_ids: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -182,26 +209,57 @@ def cross_entropy_difference(docs: DataFrame, target_ids: DataFrame, id_column:
     low where a text looks like the target. Null and empty texts have no tokens and null losses.
     A text is scored without its own counts, so target documents gain nothing from having been
     counted. Without target documents the target model knows nothing and every loss is that of
-    a word at random. Repeated rows give repeated results; further columns are not read. A task
-    holds one block of texts with its counts; the driver gets three numbers.
+    a word at random. Repeated rows give repeated results; an empty table gives an empty
+    result; further columns are not read. A task holds one block of texts with its counts, or
+    one range of keys; the driver gets four numbers. Texts are shuffled once, to their blocks;
+    counting and scoring read the same shuffle.
     """
     source = marked(docs, target_ids, id_column, text_column)
-    texts = source.select("block", "text", "target")
-    words = texts.mapInArrow(_count_words, "word long, all long, target long").filter("word != 0")
-    words = words.groupBy("word").agg(F.sum("all").alias("all"), F.sum("target").alias("target"))
-    n = words.agg(F.count("*").alias("words"), F.sum("all").alias("all"), F.sum("target").alias("target")).first()
-    total, vocabulary = (n["all"] or 0, n["target"] or 0), max(n["words"], 1 << WORD_BITS - 1)
+    size, total, words = corpus_facts(source)
+    vocabulary = max(words, 1 << WORD_BITS - 1)
+    blocks, bits = -(-size // BLOCK_BYTES) or 1, max(0, (total[0] // RANGE_TOKENS).bit_length())
+    source = source.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)))
+
+    def counted(texts: pa.Table) -> Counts:
+        return Counts(text_bytes(texts["text"]), _target(texts["target"]))
+
+    def count(texts: pa.Table) -> pa.Table:
+        here = counted(texts)
+        edges, starts = here.ranges(bits), range_starts(bits)
+        some = np.flatnonzero(np.diff(edges))
+        blobs = []
+        for i in some:
+            part = slice(edges[i], edges[i + 1])
+            blobs.append(_packed([np.diff(here.keys[part], prepend=starts[i]), *here.counts[:, part].view(np.uint64)]))
+        block = pa.array([texts["block"][0].as_py()] * len(some), pa.int64())
+        return pa.Table.from_arrays([pa.array(some.astype(np.int64)), block, pa.array(blobs, pa.binary())], ["range", "block", "counts"])
+
+    def add(rows: pa.Table) -> pa.Table:
+        blocks_, blobs = rows["block"].to_pylist(), [_unpacked(raw, 5) for raw in rows["counts"].to_pylist()]
+        # keys from the start of their range, which is the same for all
+        keys, place = np.unique(np.concatenate([np.cumsum(b[0], dtype=np.uint64) for b in blobs]), return_inverse=True)
+        sums = np.zeros((4, len(keys)), np.int64)
+        for i in range(4):
+            np.add.at(sums[i], place, np.concatenate([b[1 + i] for b in blobs]).view(np.int64))
+        out, at = [], 0
+        for b in blobs:
+            out.append(_packed(list(sums[:, place[at : at + len(b[0])]].view(np.uint64))))
+            at += len(b[0])
+        return pa.Table.from_arrays([rows["range"].combine_chunks(), pa.array(blocks_, pa.int64()), pa.array(out, pa.binary())], ["range", "block", "counts"])
 
     def score(texts: pa.Table, sums: pa.Table) -> pa.Table:
-        target = _target(texts["target"])
-        here = Counts(text_bytes(texts["text"]), target)
-        here.take(sums)
+        here, target = counted(texts), _target(texts["target"])
+        edges = here.ranges(bits)
+        for i, raw in zip(sums["range"].to_pylist(), sums["counts"].to_pylist(), strict=True):
+            here.counts[:, edges[i] : edges[i + 1]] = np.stack(_unpacked(raw, 4)).view(np.int64)
         size = np.bincount(here.owner, minlength=len(target))
         means = [np.bincount(here.owner, weights=x, minlength=len(target)) / np.maximum(size, 1) for x in here.losses(target, total, vocabulary)]
         gone = size == 0
         values = [pa.array(x, mask=gone) for x in (means[1], means[0], means[1] - means[0])]
         return pa.Table.from_arrays([texts["doc_id"], pa.array(size), *values], ["doc_id", "n_tokens", "target_loss", "background_loss", "score"])
 
+    counts = source.groupBy("block").applyInArrow(count, "range long, block long, counts binary")
+    sums = counts.groupBy("range").applyInArrow(add, "range long, block long, counts binary")
     kind = source.schema["doc_id"].dataType.simpleString()
-    both = source.groupBy("block").cogroup(shared_sums(texts.mapInArrow(_count, _COUNTS)).groupBy("block"))
+    both = source.groupBy("block").cogroup(sums.groupBy("block"))
     return both.applyInArrow(score, f"doc_id {kind}, n_tokens long, target_loss double, background_loss double, score double")
