@@ -108,6 +108,7 @@ def test_learns_words_and_beginnings(spark, monkeypatch):
     wrong = sum(found[i].predicted != y for i, _, y in rows if i % 3 == 0)
     assert wrong <= 6 and all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.3) for r in found.values())
     monkeypatch.setattr(toxicity, "SAMPLE_TEXTS", 60)
+    monkeypatch.setattr(toxicity, "LABELLED_ROWS", 70)
     smaller = toxicity.train(docs, labels)
     assert smaller.lexicon.keys() >= {"idiot"} and sum(r.predicted for r in toxicity.score(docs, smaller).collect()) > 40
 

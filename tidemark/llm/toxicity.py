@@ -1,7 +1,7 @@
 """Toxicity by gradient-boosted trees over dense features, with isotonic calibration.
 
-A lexicon of words and word beginnings that mark toxic texts is learned from counts over all
-labelled texts. Features of a text are densities of the lexicon's hits, how near they stand to
+A lexicon of words and word beginnings that mark toxic texts is learned from counts over a
+bounded sample of labelled texts. Features of a text are densities of the lexicon's hits, how near they stand to
 a second person, and rates of capitals, punctuation and obfuscation. Trees are boosted on a
 bounded sample; every sampled text is described by the lexicon of the other folds and scored
 by the trees of the other folds, and those scores are calibrated to shares by isotonic
@@ -23,8 +23,9 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import chunks, id_and_text
 from tidemark.session import written
 
-#: Texts that trees and calibration are fitted on, of each label at most about; the lexicon counts all texts.
-SAMPLE_TEXTS = 12_000
+#: Labelled rows of each label that a model is fitted on, at most about: the lexicon counts all
+#: of them, trees and calibration take at most about so many of their texts of each label.
+LABELLED_ROWS, SAMPLE_TEXTS = 20_000, 12_000
 #: Entries of the lexicon at most, toxic texts an entry occurs in at least, log odds it has at least.
 LEXICON, LEAST_TEXTS, LEAST_ODDS = 5_000, 3, 2.0
 #: Letters of the word beginnings that are counted besides whole words.
@@ -349,18 +350,23 @@ def _lexicon(words: list[str], counts: np.ndarray, sizes: np.ndarray) -> dict[st
     return {words[i]: float(weights[i]) for i in best}
 
 
-def labelled_texts(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """Different texts with a label, stored: ``text``, ``hash``, ``toxic``, ``fold``.
+def labelled_texts(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> tuple[DataFrame, tuple[float, float]]:
+    """Different texts of a sample of the labels, stored: ``text``, ``hash``, ``toxic``, ``fold``; and the share of each label drawn.
 
-    Labels other than 0 and 1 are not read; a text with several labels has that of most, toxic
-    in a tie. Copies share their hash and with it their fold.
+    Labels are drawn by a hash of their id; the ids of about ``2 * LABELLED_ROWS`` at most are
+    broadcast, so only their texts move. Labels other than 0 and 1 are not read; a text with
+    several labels has that of most, toxic in a tie. Copies share their hash and with it their
+    fold.
     """
     rows = id_and_text(docs, id_column, text_column).filter("text is not null")
-    marks = labels.select(labels["doc_id"].alias("marked_id"), labels["toxic"].cast("int").alias("toxic")).filter("toxic in (0, 1)")
-    both = rows.join(marks, rows["doc_id"] == marks["marked_id"]).withColumn("hash", F.xxhash64("text"))
+    marks = labels.select(labels["doc_id"].alias("marked_id"), labels["toxic"].cast("int").alias("toxic")).filter("marked_id is not null and toxic in (0, 1)")
+    counts = {r["toxic"]: r["n"] for r in marks.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    shares = tuple(min(1.0, LABELLED_ROWS / counts.get(y, 1)) for y in (0, 1))
+    drawn = marks.filter(F.pmod(F.xxhash64("marked_id", F.lit(2)), F.lit(1 << 30)) < F.when(F.col("toxic") == 1, int(shares[1] * (1 << 30))).otherwise(int(shares[0] * (1 << 30))))
+    both = rows.join(F.broadcast(drawn), rows["doc_id"] == drawn["marked_id"]).withColumn("hash", F.xxhash64("text"))
     texts = both.groupBy("hash").agg(F.first("text").alias("text"), F.avg("toxic").alias("share"))
     fold = F.pmod(F.xxhash64("hash"), F.lit(FOLDS)).cast("int")
-    return written(texts.select("text", "hash", (F.col("share") >= 0.5).cast("int").alias("toxic"), fold.alias("fold")), "labelled")
+    return written(texts.select("text", "hash", (F.col("share") >= 0.5).cast("int").alias("toxic"), fold.alias("fold")), "labelled"), shares
 
 
 def _entry_counts(texts: DataFrame) -> DataFrame:
@@ -385,9 +391,9 @@ def train(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_co
     """The model of the labelled rows of ``docs``; without both labels every score is the share of toxic ones.
 
     The driver gets at most ``2 * LEXICON`` entries, and features of about ``2 * SAMPLE_TEXTS``
-    sampled texts. Trees and steps weigh a sampled text by how many of its label it stands for.
+    sampled texts. Trees and steps weigh a text by how many labels it stands for.
     """
-    texts = labelled_texts(docs, labels, id_column, text_column)
+    texts, part = labelled_texts(docs, labels, id_column, text_column)
     sizes = np.zeros((FOLDS, 2), np.int64)
     for r in texts.groupBy("fold", "toxic").agg(F.count("*").alias("n")).collect():
         sizes[r["fold"], r["toxic"]] = r["n"]
@@ -418,7 +424,7 @@ def train(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_co
     sample.sort(key=lambda r: r["hash"])
     x = np.array([r["x"] for r in sample], float).reshape(-1, len(FEATURES))
     y, fold = (np.array([r[c] for r in sample], float) for c in ("toxic", "fold"))
-    weight = np.where(y == 1, 1 / shares[1], 1 / shares[0])
+    weight = np.where(y == 1, 1 / (shares[1] * part[1]), 1 / (shares[0] * part[0]))
     margin = np.zeros(len(x))
     for k in range(FOLDS):
         here = fold == k
