@@ -3,7 +3,7 @@
 Two bigram models, one of the target documents and one of all documents, count real words and
 pairs of words, each known by a 63-bit hash, so the models grow with the corpus and no counts
 are shared. They are never held in one place: documents are dealt to blocks of bounded size by
-a hash of the row, and each block counts its own texts. It sends its sorted keys and small
+a hash of the id, and each block counts its own texts. It sends its sorted keys and small
 counts, packed, in one row per range of keys; a range adds up its keys over all blocks and
 answers each block in the order of that block's own keys. So a frequent word or pair is one
 entry of a block whatever its count, and no key travels back. Each document is scored by the
@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import id_and_text, text_bytes
+from tidemark.llm.common import id_and_text, native_words, text_bytes
 
 #: Words at random are one of ``2**(WORD_BITS - 1)``, or of as many as the corpus has if those are more.
 WORD_BITS = 16
@@ -79,6 +79,34 @@ def range_starts(bits: int) -> np.ndarray:
     return np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits) if bits else np.zeros(1, np.uint64)
 
 
+def _packed_counts(counts: np.ndarray) -> bytes:
+    """The four counts of each key in one byte if they are small, as most are; apart otherwise."""
+    small = (counts[:2] < 8).all(axis=0) & (counts[2:] < 2).all(axis=0) & (counts[0] > 0)
+    code = np.where(small, counts[0] | counts[1] << 3 | counts[2] << 6 | counts[3] << 7, 0).astype(np.uint8)
+    return np.int64(len(code)).tobytes() + code.tobytes() + _packed(list(counts[:, ~small].view(np.uint64)))
+
+
+def _unpacked_counts(raw: bytes) -> np.ndarray:
+    n = int(np.frombuffer(raw, np.int64, 1)[0])
+    code = np.frombuffer(raw, np.uint8, n, 8).astype(np.int64)
+    counts = np.stack([code & 7, code >> 3 & 7, code >> 6 & 1, code >> 7])
+    counts[:, code == 0] = np.stack(_unpacked(raw[8 + n :], 4)).view(np.int64)
+    return counts
+
+
+def _numbered(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted distinct numbers, the place of each number among them, how often each occurs."""
+    if not len(x):
+        return x, np.zeros(0, np.int64), np.zeros(0, np.int64)
+    order = np.argsort(x)
+    x = x[order]
+    new = np.concatenate([[True], x[1:] != x[:-1]])
+    place = np.empty(len(x), np.int64)
+    place[order] = np.cumsum(new) - 1
+    first = np.flatnonzero(new)
+    return x[first], place, np.diff(np.append(first, len(x)))
+
+
 class Counts:
     """Words and pairs of some texts: sorted keys, the place of every token's key, counts.
 
@@ -97,9 +125,9 @@ class Counts:
         before[1:] = np.where(self.owner[1:] == self.owner[:-1], word[:-1], 0)
         ends = word[(np.cumsum(sizes) - 1)[sizes > 0]]
         names = np.concatenate([[np.uint64(0)], word_keys(list(numbers))])
-        pairs, pair = np.unique(before * len(names) + word, return_inverse=True)
+        pairs, pair, _ = _numbered(before * len(names) + word)
         keys = np.concatenate([names, pair_keys(*(names[x] for x in np.divmod(pairs, len(names))))])
-        self.keys, place = np.unique(keys, return_inverse=True)
+        self.keys, place, _ = _numbered(keys)
         self.word_at, self.context_at, self.pair_at = place[word], place[before], place[len(names) + pair]
         marked = target[self.owner]
         size = len(self.keys)
@@ -137,52 +165,34 @@ class Counts:
 
 def _own_counts(owner: np.ndarray, at: np.ndarray, keys: int) -> np.ndarray:
     """For each token, how often its text has its key."""
-    _, place, times = np.unique(owner * max(keys, 1) + at, return_inverse=True, return_counts=True)
+    _, place, times = _numbered(owner * max(keys, 1) + at)
     return times[place]
 
 
-def _target(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
-    return np.array(column.to_pylist(), bool)
-
-
-def marked(docs: DataFrame, target_ids: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """Id and text of every document, and whether it belongs to the target.
-
-    ``target_ids`` has the ids in its first column; repeated ids count once. Spark broadcasts
-    the ids where their size is known to be small and shuffles both sides otherwise.
-    """
-    ids = target_ids.select(F.col(target_ids.columns[0]).alias("target_id")).filter("target_id is not null").distinct()
-    rows = id_and_text(docs, id_column, text_column)
-    return rows.join(ids, rows["doc_id"] == ids["target_id"], "left").select("doc_id", "text", F.col("target_id").isNotNull().alias("target"))
-
-
-def corpus_facts(source: DataFrame) -> tuple[int, tuple[int, int], int]:
-    """Bytes of text, tokens of all and of target documents, and different words."""
+def corpus_facts(source: DataFrame) -> tuple[int, int, int]:
+    """Bytes of text, tokens, and different words of the column ``text``."""
     span = 12
 
     def words(batches) -> Iterator[pa.RecordBatch]:
-        names = ["range", "keys", "bytes", "tokens", "target"]
-        totals, held = [0, 0, 0], _Numbers()
+        names = ["range", "keys", "bytes", "tokens"]
+        totals, held = [0, 0], _Numbers()
 
         def flushed() -> pa.RecordBatch:
             keys = np.unique(word_keys(list(held)))
             held.clear()
-            place = (keys >> np.uint64(64 - span)).astype(np.int64)
-            edges = np.searchsorted(place, np.arange((1 << span) + 1))
+            edges = np.append(np.searchsorted(keys, range_starts(span)), len(keys))
             some = np.flatnonzero(np.diff(edges))
-            blobs = [_packed([np.diff(keys[edges[i] : edges[i + 1]], prepend=np.uint64(i) << np.uint64(64 - span))]) for i in some]
+            blobs = [_packed([np.diff(keys[edges[i] : edges[i + 1]], prepend=range_starts(span)[i])]) for i in some]
             facts = [[x, *[0] * (len(blobs))] for x in totals]
-            totals[:] = [0, 0, 0]
+            totals[:] = [0, 0]
             return pa.RecordBatch.from_arrays([pa.array([-1, *some.tolist()], pa.int32()), pa.array([None, *blobs], pa.binary()), *(pa.array(x, pa.int64()) for x in facts)], names)
 
         for batch in batches:
-            texts, target = text_bytes(batch.column("text")), _target(batch.column("target"))
-            for text, good in zip(texts, target.tolist(), strict=True):
+            for text in text_bytes(batch.column("text")):
                 split = text.split()
                 held.update(dict.fromkeys(split, 0))
                 totals[0] += len(text)
                 totals[1] += len(split)
-                totals[2] += good * len(split)
                 if len(held) > HELD_WORDS:
                     yield flushed()
         yield flushed()
@@ -193,13 +203,13 @@ def corpus_facts(source: DataFrame) -> tuple[int, tuple[int, int], int]:
         parts = [np.cumsum(_unpacked(raw, 1)[0], dtype=np.uint64) for raw in table["keys"].to_pylist() if raw]
         for lo in range(0, len(parts), 64):
             keys = np.unique(np.concatenate([keys, *parts[lo : lo + 64]]))
-        sums = [pa.array([pc.sum(table[c]).as_py()], pa.int64()) for c in ("bytes", "tokens", "target")]
-        return pa.Table.from_arrays([pa.array([len(keys)], pa.int64()), *sums], ["words", "bytes", "tokens", "target"])
+        sums = [pa.array([pc.sum(table[c]).as_py()], pa.int64()) for c in ("bytes", "tokens")]
+        return pa.Table.from_arrays([pa.array([len(keys)], pa.int64()), *sums], ["words", "bytes", "tokens"])
 
-    found = source.select("text", "target").mapInArrow(words, "range int, keys binary, bytes long, tokens long, target long")
-    found = found.groupBy("range").applyInArrow(distinct, "words long, bytes long, tokens long, target long")
-    n = found.agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("words", "bytes", "tokens", "target"))).first()
-    return n["bytes"], (n["tokens"], n["target"]), n["words"]
+    found = source.select("text").mapInArrow(words, "range int, keys binary, bytes long, tokens long")
+    found = found.groupBy("range").applyInArrow(distinct, "words long, bytes long, tokens long")
+    n = found.agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("words", "bytes", "tokens"))).first()
+    return n["bytes"], n["tokens"], n["words"]
 
 
 def cross_entropy_difference(docs: DataFrame, target_ids: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -211,55 +221,62 @@ def cross_entropy_difference(docs: DataFrame, target_ids: DataFrame, id_column:
     counted. Without target documents the target model knows nothing and every loss is that of
     a word at random. Repeated rows give repeated results; an empty table gives an empty
     result; further columns are not read. A task holds one block of texts with its counts, or
-    one range of keys; the driver gets four numbers. Texts are shuffled once, to their blocks;
-    counting and scoring read the same shuffle.
+    one range of keys; the driver gets four numbers. Texts are shuffled once, to the block
+    of their id; counting and scoring read the same shuffle.
     """
-    source = marked(docs, target_ids, id_column, text_column)
-    size, total, words = corpus_facts(source)
+    rows = id_and_text(docs, id_column, text_column)
+    kind = rows.schema["doc_id"].dataType
+    ids = target_ids.select(F.col(target_ids.columns[0]).cast(kind).alias("doc_id")).filter("doc_id is not null").distinct()
+    size, tokens, words = corpus_facts(rows)
+    in_target = rows.select("doc_id", F.size(native_words(F.col("text"))).alias("n")).join(ids, "doc_id", "left_semi")
+    total = (tokens, in_target.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
     vocabulary = max(words, 1 << WORD_BITS - 1)
-    blocks, bits = -(-size // BLOCK_BYTES) or 1, max(0, (total[0] // RANGE_TOKENS).bit_length())
-    source = source.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)))
-
-    def counted(texts: pa.Table) -> Counts:
-        return Counts(text_bytes(texts["text"]), _target(texts["target"]))
+    blocks, bits = -(-size // BLOCK_BYTES) or 1, max(0, (tokens // RANGE_TOKENS).bit_length())
+    # target ids go to the blocks of their documents, so no text is moved to be marked
+    both = rows.withColumn("is_id", F.lit(False)).unionByName(ids.select("doc_id", F.lit(None).cast("string").alias("text"), F.lit(True).alias("is_id")))
+    source = both.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.lit(blocks)))
+
+    def opened(block: pa.Table) -> tuple[pa.Table, np.ndarray, Counts]:
+        """The documents of a block, which of them belong to the target, their counts."""
+        texts = block.filter(pc.invert(block["is_id"]))
+        wanted = block.filter(block["is_id"])["doc_id"]
+        target = pc.is_in(texts["doc_id"], value_set=wanted.combine_chunks()).to_numpy()
+        return texts, target, Counts(text_bytes(texts["text"]), target)
 
     def count(texts: pa.Table) -> pa.Table:
-        here = counted(texts)
+        _, _, here = opened(texts)
         edges, starts = here.ranges(bits), range_starts(bits)
         some = np.flatnonzero(np.diff(edges))
         blobs = []
         for i in some:
             part = slice(edges[i], edges[i + 1])
-            blobs.append(_packed([np.diff(here.keys[part], prepend=starts[i]), *here.counts[:, part].view(np.uint64)]))
+            blobs.append((_packed([np.diff(here.keys[part], prepend=starts[i])]), _packed_counts(here.counts[:, part])))
         block = pa.array([texts["block"][0].as_py()] * len(some), pa.int64())
-        return pa.Table.from_arrays([pa.array(some.astype(np.int64)), block, pa.array(blobs, pa.binary())], ["range", "block", "counts"])
+        keys, counts = (pa.array([b[k] for b in blobs], pa.binary()) for k in (0, 1))
+        return pa.Table.from_arrays([pa.array(some.astype(np.int64)), block, keys, counts], ["range", "block", "keys", "counts"])
 
     def add(rows: pa.Table) -> pa.Table:
-        blocks_, blobs = rows["block"].to_pylist(), [_unpacked(raw, 5) for raw in rows["counts"].to_pylist()]
         # keys from the start of their range, which is the same for all
-        keys, place = np.unique(np.concatenate([np.cumsum(b[0], dtype=np.uint64) for b in blobs]), return_inverse=True)
-        sums = np.zeros((4, len(keys)), np.int64)
-        for i in range(4):
-            np.add.at(sums[i], place, np.concatenate([b[1 + i] for b in blobs]).view(np.int64))
-        out, at = [], 0
-        for b in blobs:
-            out.append(_packed(list(sums[:, place[at : at + len(b[0])]].view(np.uint64))))
-            at += len(b[0])
-        return pa.Table.from_arrays([rows["range"].combine_chunks(), pa.array(blocks_, pa.int64()), pa.array(out, pa.binary())], ["range", "block", "counts"])
+        deltas = [_unpacked(raw, 1)[0] for raw in rows["keys"].to_pylist()]
+        keys, place, _ = _numbered(np.concatenate([np.cumsum(d, dtype=np.uint64) for d in deltas]))
+        counts = np.concatenate([_unpacked_counts(raw) for raw in rows["counts"].to_pylist()], axis=1)
+        sums = np.stack([np.bincount(place, c, len(keys)) for c in counts]).astype(np.int64)  # exact below 2**53
+        ends = np.cumsum([len(d) for d in deltas])
+        out = [_packed_counts(sums[:, place[e - len(d) : e]]) for d, e in zip(deltas, ends, strict=True)]
+        return pa.Table.from_arrays([rows["range"].combine_chunks(), rows["block"].combine_chunks(), pa.array(out, pa.binary())], ["range", "block", "counts"])
 
     def score(texts: pa.Table, sums: pa.Table) -> pa.Table:
-        here, target = counted(texts), _target(texts["target"])
+        texts, target, here = opened(texts)
         edges = here.ranges(bits)
         for i, raw in zip(sums["range"].to_pylist(), sums["counts"].to_pylist(), strict=True):
-            here.counts[:, edges[i] : edges[i + 1]] = np.stack(_unpacked(raw, 4)).view(np.int64)
+            here.counts[:, edges[i] : edges[i + 1]] = _unpacked_counts(raw)
         size = np.bincount(here.owner, minlength=len(target))
         means = [np.bincount(here.owner, weights=x, minlength=len(target)) / np.maximum(size, 1) for x in here.losses(target, total, vocabulary)]
         gone = size == 0
         values = [pa.array(x, mask=gone) for x in (means[1], means[0], means[1] - means[0])]
         return pa.Table.from_arrays([texts["doc_id"], pa.array(size), *values], ["doc_id", "n_tokens", "target_loss", "background_loss", "score"])
 
-    counts = source.groupBy("block").applyInArrow(count, "range long, block long, counts binary")
+    counts = source.groupBy("block").applyInArrow(count, "range long, block long, keys binary, counts binary")
     sums = counts.groupBy("range").applyInArrow(add, "range long, block long, counts binary")
-    kind = source.schema["doc_id"].dataType.simpleString()
     both = source.groupBy("block").cogroup(sums.groupBy("block"))
-    return both.applyInArrow(score, f"doc_id {kind}, n_tokens long, target_loss double, background_loss double, score double")
+    return both.applyInArrow(score, f"doc_id {kind.simpleString()}, n_tokens long, target_loss double, background_loss double, score double")
