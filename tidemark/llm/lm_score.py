@@ -26,7 +26,7 @@ from tidemark.llm.common import id_and_text, native_words, text_bytes
 #: Words at random are one of ``2**(WORD_BITS - 1)``, or of as many as the corpus has if those are more.
 WORD_BITS = 16
 #: Bytes of text of one block, about (a longer text is a block), and tokens of one range of keys.
-BLOCK_BYTES, RANGE_TOKENS = 16 << 20, 1 << 20
+BLOCK_BYTES, RANGE_TOKENS = 8 << 20, 1 << 20
 #: Different words that a task of the first pass holds before it sends them on.
 HELD_WORDS = 1 << 20
 #: Weight of the unigram model in a bigram's estimate, in tokens.
