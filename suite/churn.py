@@ -20,10 +20,13 @@ from tidemark.operators.joins import count_matches
 from tidemark.operators.windows import (
     Window,
     backfill_range,
+    PANE,
+    dates_of_panes,
     distinct_count,
     distinct_list,
     last_date,
     rows_per_date,
+    with_panes,
     sample_dates,
 )
 from tidemark.plans.churn import (
@@ -478,11 +481,10 @@ def promo_flags(t: Tables) -> DataFrame:
 
 
 def multi_date_range(t: Tables) -> DataFrame:
-    return (
-        rows_per_date(t.events, "ts", TWENTY_DATES, Window(7))
-        .groupBy("statsdate", "user_id")
-        .agg(F.count(F.lit(1)).alias("n"), F.sum(money("value")).alias("total"))
-    )
+    panes = with_panes(t.events, "ts", TWENTY_DATES, Window(7)).groupBy("user_id", *PANE)
+    panes = panes.agg(F.count(F.lit(1)).alias("n"), F.sum(money("value")).alias("total"))
+    dated = dates_of_panes(panes, TWENTY_DATES, Window(7)).groupBy("statsdate", "user_id")
+    return dated.agg(F.sum("n").alias("n"), F.sum("total").alias("total"))
 
 
 def daily_category_agg(t: Tables) -> DataFrame:

@@ -134,3 +134,26 @@ def test_rerun_replaces_only_its_slice(spark, sources):
 def test_plan_has_no_nested_loop(sources):
     text = customer_window_agg(sources, [DATE], 7, 7)._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in text and "Cartesian" not in text
+
+
+def test_rows_are_combined_before_they_are_copied_and_dealt_by_customer_once(spark, sources):
+    dates = [DATE, datetime(2024, 1, 9), datetime(2024, 1, 20)]
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = customer_window_agg(sources, dates, 7, 7)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    exchanges = [line.split("Exchange ")[1] for line in text.splitlines() if "Exchange hashpartitioning" in line]
+    assert not any("statsdate" in e for e in exchanges)  # joins and dates need no partitioning of their own
+    by_customer = [e for e in exchanges if e.split("(")[1].split("#")[0] == "idContacto" and e.split("(")[1].count("#") == 1]
+    assert len(by_customer) == 4  # hourly, casino, sports, customers
+    for part in text.split("Generate explode(__dates")[1:]:  # below a copy to dates: rows of a pane, combined and dealt
+        assert "HashAggregate" in part.split("Scan")[0] and "Exchange" in part.split("Scan")[0]
+
+
+def test_dates_of_one_customer_with_times_of_day(sources):
+    dates = [datetime(2024, 1, 15, 13, 30), datetime(2024, 1, 15), datetime(2024, 1, 14, 23)]
+    together = {tuple(r) for r in customer_window_agg(sources, dates, 3, 2).collect()}
+    assert together == {tuple(r) for d in dates for r in customer_window_agg(sources, [d], 3, 2).collect()}

@@ -7,12 +7,15 @@ from pyspark.sql import functions as F
 
 from tidemark.session import new_location
 from tidemark.operators.windows import (
+    PANE,
     Window,
     backfill_range,
     distinct_count,
     distinct_list,
+    dates_of_panes,
     rows_per_date,
     sample_dates,
+    with_panes,
 )
 
 D = datetime(2024, 1, 15)
@@ -129,3 +132,41 @@ def test_partitions_outside_the_windows_are_not_read(spark):
     assert "day" in filters and "2024-01-05" in filters
     same = rows_per_date(stored, "ts", dates, Window(3, 2))
     assert found.count() == same.count() > 0 and found.exceptAll(same).isEmpty()
+
+
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz"])
+@pytest.mark.parametrize(
+    "window", [Window(7), Window(7, closed="right"), Window(7, closed="left"), Window(0, 3), Window(7, 3), Window(0), Window(2, 1)]
+)
+def test_panes_hold_the_rows_of_their_dates(spark, kind, window):
+    """Rows combined by pane and then dealt to dates are the rows each date has on its own."""
+    tick = timedelta(microseconds=1)
+    dates = [D, datetime(2024, 1, 16), datetime(2024, 1, 16, 13, 30), datetime(2024, 1, 16, 13, 30, 0, 1), datetime(2024, 1, 19), D]
+    ends = {d + timedelta(days=k) + t for d in dates for k in (-7, -2, 0, 1, 3) for t in (-tick, 0 * tick, tick)}
+    moments_ = sorted(ends) + [D + timedelta(hours=7 * k) for k in range(-40, 40)] + [D, D]
+    rows = spark.createDataFrame([(i, m.strftime("%Y-%m-%d %H:%M:%S.%f")) for i, m in enumerate(moments_)] + [(-1, None)], "id int, text string")
+    rows = rows.select("id", F.col("text").cast(kind).alias("at"))
+    panes = with_panes(rows, "at", dates, window)
+    assert panes.select("id").distinct().count() == panes.count() and panes.columns == ["id", "at", *PANE]
+    sums = panes.groupBy(*PANE).agg(F.collect_list("id").alias("ids"))
+    found = sorted((r["statsdate"], i) for r in dates_of_panes(sums, dates, window).collect() for i in r["ids"])
+    alone = sorted((r["statsdate"], r["id"]) for r in rows_per_date(rows, "at", dates, window).collect())
+    assert found == alone and len(found) > 3
+    for r in dates_of_panes(sums, dates, window).collect():
+        assert all((moments_[i] <= r["statsdate"]) == r["is_back"] for i in r["ids"])
+
+
+def test_panes_of_whole_days(spark):
+    days = spark.createDataFrame([(date(2024, 1, d),) for d in range(1, 31)], "day date")
+    dates, window = ["2024-01-15", "2024-01-17 12:00:00"], Window(7, 1)
+    sums = with_panes(days, "day", dates, window).groupBy(*PANE).agg(F.collect_list("day").alias("days"))
+    found = sorted((r["statsdate"], d) for r in dates_of_panes(sums, dates, window, by_day=True).collect() for d in r["days"])
+    assert found == sorted((r["statsdate"], r["day"]) for r in rows_per_date(days, "day", dates, window).collect())
+    with pytest.raises(ValueError):
+        with_panes(days, "day", [], window)
+
+
+def test_panes_push_their_bounds(spark, sf_dir):
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    text = plan(with_panes(events, "ts", [D, D + timedelta(days=1)], Window(7)))
+    assert "GreaterThanOrEqual(ts" in text and "Generate" not in text and "NestedLoop" not in text

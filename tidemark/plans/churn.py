@@ -22,7 +22,7 @@ from tidemark.functions.clean import (
     whole_units,
 )
 from tidemark.functions.rules import channel_bucket, game_bucket, sport_bucket, when_channel
-from tidemark.operators.windows import Window, distinct_count, distinct_list, rows_per_date
+from tidemark.operators.windows import PANE, Window, dates_of_panes, listed, union_of, with_panes
 from tidemark.sources.export import counted_write
 from tidemark.sources.warehouse import Warehouse
 
@@ -113,16 +113,27 @@ def customer_features(customers: DataFrame) -> DataFrame:
     )
 
 
+def _by_customer(panes: DataFrame) -> DataFrame:
+    """Rows combined by pane, dealt by customer: all that follows (dates, joins) keeps this partitioning."""
+    return panes.repartition("idContacto")
+
+
 def casino_totals(casino: DataFrame, dates: Dates, days_back: int) -> DataFrame:
     """Casino bets, wins and game types over whole days, both ends in."""
+    window = Window(days_back)
     playing = casino.filter(F.col("betAmountBaseCur") + F.col("winAmountBaseCur") > 0)
+    panes = with_panes(playing, "localDt", dates, window).groupBy("idContacto", *PANE).agg(
+        F.sum("betAmountBaseCur").alias("bets"),
+        F.sum("winAmountBaseCur").alias("wins"),
+        F.collect_set(game_bucket(F.col("gameCategory"))).alias("games"),
+    )
     totals = (
-        rows_per_date(playing, "localDt", dates, Window(days_back))
+        dates_of_panes(_by_customer(panes), dates, window, by_day=True)
         .groupBy(*GROUP)
         .agg(
-            F.sum("betAmountBaseCur").alias("casino_bets"),
-            F.sum("winAmountBaseCur").alias("casino_wins"),
-            distinct_list(game_bucket(F.col("gameCategory"))).alias("casino_game_list"),
+            F.sum("bets").alias("casino_bets"),
+            F.sum("wins").alias("casino_wins"),
+            listed(union_of("games")).alias("casino_game_list"),
         )
         .withColumn("casino_gw", F.col("casino_bets") - F.col("casino_wins"))
     )
@@ -137,55 +148,74 @@ def hourly_activity(
     deposit_measure: str = "depositAmountBaseCur",
     day: str | None = None,
 ) -> DataFrame:
-    """Look-back activity and look-ahead labels from one scan and one shuffle.
+    """Look-back activity and look-ahead labels from one scan.
 
     Look-back covers ``[date - days_back, date]`` and labels ``(date, date +
     churn_period]``, both on the local clock. Labels stay null without rows.
-    Dates without look-back rows are dropped.
+    Dates without look-back rows are dropped. Rows are combined by customer and pane before
+    they are shuffled; only combined rows are copied to dates.
     """
-    rows = rows_per_date(hourly, "localStatshour", dates, Window(days_back, churn_period), day)
-    local = F.col("localStatshour").cast("timestamp")
+    window = Window(days_back, churn_period)
+    rows = with_panes(hourly, "localStatshour", dates, window, day)
     utc = F.col("statshour").cast("timestamp")
-    back = local <= F.col("statsdate")
+    active = F.col("betAmountBaseCur") + F.col("ticketTurnoverBaseCur") > 0
+    channel = F.col("channel")
+    panes = rows.groupBy("idContacto", *PANE).agg(
+        F.sum("casinoNGRbaseCur").alias("ngr_casino"),
+        F.sum("sportsbookNGRbaseCur").alias("ngr_sports"),
+        F.sum("depositAmountBaseCur").alias("deposit"),
+        F.sum("withdrawAmountBaseCur").alias("withdraw"),
+        F.sum("betAmountBaseCur").alias("bets"),
+        F.sum("ticketTurnoverBaseCur").alias("turnover"),
+        F.collect_set(F.when(active, utc)).alias("active"),
+        F.collect_set(F.when(F.col(deposit_measure) > 0, utc)).alias("deposits"),
+        F.collect_set(channel_bucket(channel)).alias("channels"),
+        F.max(F.col("localStatshour").cast("timestamp")).alias("last"),
+        F.sum(when_channel(channel, "EMAIL", F.col("promo_open"))).alias("opened"),
+        F.sum(when_channel(channel, "SMS", F.col("promo_click"))).alias("sms"),
+        F.sum(when_channel(channel, "EMAIL", F.col("promo_click"))).alias("clicked"),
+    )
+    statsdate = F.col("statsdate")
 
-    def before(value: Column | str) -> Column:
-        return F.when(back, F.col(value) if isinstance(value, str) else value)
+    def back(name: str) -> Column:
+        return F.when(F.col("is_back"), F.col(name))
 
     def ahead(name: str) -> Column:
-        return F.sum(F.when(~back, F.col(name)))
-
-    active = F.col("betAmountBaseCur") + F.col("ticketTurnoverBaseCur") > 0
-    this_hour = whole_units("HOUR", utc, F.col("statsdate")) == 0
-    channel = F.col("channel")
-    grouped = rows.groupBy(*GROUP).agg(
-        F.max(before(F.lit(1))).alias("has_activity"),
-        _non_null_sum(before("casinoNGRbaseCur")).alias("ngr_casino"),
-        _non_null_sum(before("sportsbookNGRbaseCur")).alias("ngr_sports"),
-        _non_null_sum(before("depositAmountBaseCur")).alias("deposit"),
-        _non_null_sum(before("withdrawAmountBaseCur")).alias("withdraw"),
-        distinct_count(F.when(back & active, utc)).alias("active_hours"),
-        distinct_count(F.when(back & (F.col(deposit_measure) > 0), utc)).alias("deposit_hours"),
-        distinct_list(before(channel_bucket(channel))).alias("channelList"),
-        F.max(F.when(back & active & this_hour, 1).otherwise(0)).alias("activeLastHour"),
-        F.hour(F.max(before(local))).alias("lastLocalHour"),
-        F.sum(before(when_channel(channel, "EMAIL", F.col("promo_open")))).alias("promo_emails_opened"),
-        F.sum(before(when_channel(channel, "SMS", F.col("promo_click")))).alias("promo_sms_clicked"),
-        F.sum(before(when_channel(channel, "EMAIL", F.col("promo_click")))).alias("promo_emails_clicked"),
-        ahead("depositAmountBaseCur").alias("pred_deposit_base_cur"),
-        ahead("betAmountBaseCur").alias("pred_casino_bet"),
-        ahead("ticketTurnoverBaseCur").alias("pred_sports_bet"),
+        return F.sum(F.when(~F.col("is_back"), F.col(name)))
+
+    this_hour = F.exists("active", lambda hour: whole_units("HOUR", hour, statsdate) == 0)
+    grouped = dates_of_panes(_by_customer(panes), dates, window).groupBy(*GROUP).agg(
+        F.max(F.col("is_back")).alias("has_activity"),
+        _non_null_sum(back("ngr_casino")).alias("ngr_casino"),
+        _non_null_sum(back("ngr_sports")).alias("ngr_sports"),
+        _non_null_sum(back("deposit")).alias("deposit"),
+        _non_null_sum(back("withdraw")).alias("withdraw"),
+        F.size(union_of(back("active"))).cast("long").alias("active_hours"),
+        F.size(union_of(back("deposits"))).cast("long").alias("deposit_hours"),
+        listed(union_of(back("channels"))).alias("channelList"),
+        F.max(F.when(F.col("is_back") & this_hour, 1).otherwise(0)).alias("activeLastHour"),
+        F.hour(F.max(back("last"))).alias("lastLocalHour"),
+        F.sum(back("opened")).alias("promo_emails_opened"),
+        F.sum(back("sms")).alias("promo_sms_clicked"),
+        F.sum(back("clicked")).alias("promo_emails_clicked"),
+        ahead("deposit").alias("pred_deposit_base_cur"),
+        ahead("bets").alias("pred_casino_bet"),
+        ahead("turnover").alias("pred_sports_bet"),
     )
-    seen = grouped.filter(F.col("has_activity") == 1).drop("has_activity")
+    seen = grouped.filter("has_activity").drop("has_activity")
     return null_defaults(seen, ACTIVITY_DEFAULTS)
 
 
+def _league_dates(league_events: DataFrame, dates: Dates, churn_period: int) -> DataFrame:
+    """Leagues with the dates that an event of theirs follows within ``[date, date + churn_period]``."""
+    window = Window(0, churn_period)
+    panes = with_panes(league_events, "DEV_STARTDATE", dates, window).select(F.col("LEAGUENAME").alias("leagueName"), *PANE).distinct()
+    return dates_of_panes(panes, dates, window).select("statsdate", "leagueName")
+
+
 def upcoming_leagues(league_events: DataFrame, dates: Dates, churn_period: int) -> DataFrame:
     """Distinct leagues with an event starting in ``[date, date + churn_period]``."""
-    return (
-        rows_per_date(league_events, "DEV_STARTDATE", dates, Window(0, churn_period))
-        .select("statsdate", F.col("LEAGUENAME").alias("leagueName"))
-        .distinct()
-    )
+    return _league_dates(league_events, dates, churn_period).distinct()
 
 
 def sports_totals(
@@ -198,39 +228,29 @@ def sports_totals(
 ) -> DataFrame:
     """Sports turnover, value lists and the number of played leagues that return soon.
 
-    Rows are first reduced to one per (date, customer, league): that shuffle spreads
-    a dominant customer over its leagues, and the league lookup then runs on distinct
-    pairs only.
+    Rows are combined by customer, league and pane: that shuffle spreads a dominant customer
+    over its leagues and days. A league brings the dates it returns on, once, as an array.
     """
-    playing = sports.filter(F.col("turnoverBaseCur") > 0)
-    per_league = (
-        rows_per_date(
-            playing.withColumnRenamed("statsdate", "played_at"),
-            "played_at", dates, Window(days_back, closed="right"), day,
-        )
-        .groupBy(*GROUP, "leagueName")
-        .agg(
-            F.sum("turnoverBaseCur").alias("turnover"),
-            F.collect_set(sport_bucket(F.col("sportName"))).alias("sports"),
-            F.collect_set("isLive").alias("live"),
-            F.collect_set("betType").alias("bets"),
-        )
+    window = Window(days_back, closed="right")
+    playing = sports.filter(F.col("turnoverBaseCur") > 0).withColumnRenamed("statsdate", "played_at")
+    panes = with_panes(playing, "played_at", dates, window, day).groupBy("idContacto", "leagueName", *PANE).agg(
+        F.sum("turnoverBaseCur").alias("turnover"),
+        F.collect_set(sport_bucket(F.col("sportName"))).alias("sports"),
+        F.collect_set("isLive").alias("live"),
+        F.collect_set("betType").alias("bets"),
     )
-    upcoming = upcoming_leagues(league_events, dates, churn_period).withColumn("returns", F.lit(1))
-
-    def merged(sets: str) -> Column:
-        values = F.array_distinct(F.flatten(F.collect_list(sets)))
-        return F.when(F.size(values) > 0, F.array_join(F.sort_array(values), ","))
-
+    returns = _league_dates(league_events, dates, churn_period).groupBy("leagueName").agg(F.collect_set("statsdate").alias("returns"))
+    panes = panes.join(returns, "leagueName", "left")
+    returning = F.when(F.array_contains("returns", F.col("statsdate")), F.col("leagueName"))
     totals = (
-        per_league.join(upcoming, ["statsdate", "leagueName"], "left")
+        dates_of_panes(_by_customer(panes), dates, window)
         .groupBy(*GROUP)
         .agg(
             F.sum("turnover").alias("sports_turnover"),
-            merged("sports").alias("sportsList"),
-            merged("live").alias("isLiveList"),
-            merged("bets").alias("betTypeList"),
-            F.count("returns").alias("futureLeaguesCnt"),
+            listed(union_of("sports")).alias("sportsList"),
+            listed(union_of("live")).alias("isLiveList"),
+            listed(union_of("bets")).alias("betTypeList"),
+            F.size(F.collect_set(returning)).cast("long").alias("futureLeaguesCnt"),
         )
     )
     return null_defaults(totals, SPORTS_DEFAULTS)

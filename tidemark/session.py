@@ -17,6 +17,8 @@ SQL_SETTINGS = {
     # Split a dominant join key even where that costs one more shuffle afterwards.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Tables dealt by one of their join keys (the customer) meet without another shuffle.
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     # collect_set keeps a few short values per (date, customer) group: stay on the
     # hash path for far more groups than the default of 128 before sorting.
