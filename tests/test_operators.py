@@ -108,7 +108,50 @@ def test_merge(spark, house):
         assert {(r["id"], r["submodel_name"], r["model_value"]) for r in table.collect()} == expected
     # Replaced versions are gone, untouched submodels were not rewritten.
     kept = {r["partition"] for r in spark.sql(f"SHOW PARTITIONS {house.name('p__data')}").collect()}
-    assert kept == {"submodel_name=a/_version=3", "submodel_name=it%27s/_version=1", "submodel_name=new/_version=2"}
+    assert kept == {"submodel_name=a/_bucket=0/_version=3", "submodel_name=it%27s/_bucket=0/_version=1", "submodel_name=new/_bucket=0/_version=3"}
+
+
+def stored_files(house, table):
+    return {r["file"] for r in house.table(f"{table}__data").select(F.col("_metadata.file_path").alias("file")).distinct().collect()}
+
+
+def test_a_row_rewrites_its_bucket_only(spark, house):
+    table = VersionedTable(house, "p", bucket_rows=100)
+    rows = spark.range(2000).select("id", F.lit("big").alias("submodel_name"), F.col("id").cast("double").alias("model_value"))
+    table.merge(rows.unionByName(predictions(spark, [(1, "small", 0.5)])))
+    before = stored_files(house, "p")
+    assert len({f.rsplit("/", 1)[0] for f in before}) == 21  # twenty buckets and one
+    table.merge(predictions(spark, [(77, "big", -1.0)]))
+    after = stored_files(house, "p")
+    gone, new = before - after, after - before
+    assert len({f.rsplit("/", 1)[0] for f in gone}) == len({f.rsplit("/", 1)[0] for f in new}) == 1
+    found = {r["id"]: r["model_value"] for r in table.read().filter("submodel_name = 'big'").collect()}
+    assert len(found) == 2000 and found[77] == -1.0 and found[78] == 78.0 and table.read().columns == rows.columns
+
+
+def test_a_submodel_that_grows_gets_more_buckets(spark, house):
+    table = VersionedTable(house, "p", bucket_rows=10)
+    rows = lambda lo, hi: spark.range(lo, hi).select("id", F.lit("m").alias("submodel_name"), F.lit(1.0).alias("model_value"))
+    table.merge(rows(0, 5))
+    assert [tuple(r) for r in table.current().collect()] == [("m", 1, 0, 1)]
+    table.merge(rows(3, 30))
+    assert {r["_buckets"] for r in table.current().collect()} == {1} and table.read().count() == 30
+    table.merge(rows(20, 200))
+    assert {r["_buckets"] for r in table.current().collect()} == {21} and table.read().count() == 200
+    assert {f.split("/")[-2] for f in stored_files(house, "p")} == {"_version=3"}
+
+
+def test_many_submodels_merge_in_one_statement(spark, house):
+    rows = spark.range(600).select("id", F.concat(F.lit("it's "), F.col("id").cast("string")).alias("submodel_name"), F.lit(1.0).alias("model_value"))
+    table = VersionedTable(house, "p")
+    table.merge(rows)
+    table.merge(rows.filter("id % 3 = 0").withColumn("model_value", F.lit(2.0)))
+    assert {(r["model_value"], r["n"]) for r in table.read().groupBy("model_value").agg(F.count("*").alias("n")).collect()} == {(1.0, 400), (2.0, 200)}
+    assert spark.sql(f"SHOW PARTITIONS {house.name('p__data')}").count() == 600
+    assert spark.sql(f"SHOW PARTITIONS {house.name('p__versions')}").count() == 1
+    assert len(spark.sql(f"SHOW CREATE TABLE {house.name('p')}").first()[0]) < 1500  # the view does not list submodels
+    with pytest.raises(ValueError):
+        table.merge(predictions(spark, [(1, None, 1.0)]))
 
 
 def test_merge_refuses_duplicate_keys(spark, house):
