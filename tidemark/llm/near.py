@@ -57,7 +57,7 @@ def shingle_sets(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     hashes = word_hashes([w for x in split for w in x], {})
     rolled = np.zeros(max(0, len(hashes) - SHINGLE + 1), np.uint64)
     for j in range(SHINGLE):
-        rolled = rolled * _BASE + hashes[j : len(hashes) - SHINGLE + 1 + j]
+        rolled = rolled * _BASE + hashes[j : j + len(rolled)]
     starts = np.cumsum(sizes) - sizes
     owner = np.repeat(np.arange(len(texts)), np.maximum(sizes - SHINGLE + 1, 0))
     within = np.arange(len(owner)) - np.repeat(np.cumsum(np.maximum(sizes - SHINGLE + 1, 0)) - np.maximum(sizes - SHINGLE + 1, 0), np.maximum(sizes - SHINGLE + 1, 0))

@@ -9,6 +9,7 @@ moved: the only rows shuffled are one total per partition.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterator
 from pathlib import Path
@@ -28,16 +29,21 @@ LENGTH, END_ID = 2048, 1
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 #: Words of one call to the tokenizer.
 TOGETHER = 500
-#: Encoded words a worker remembers; when there are more it starts anew.
+#: Encoded words a worker remembers; when there are more it keeps those of the texts at hand.
 REMEMBERED = 600_000
+#: A full stop or comma that ends a word and follows an ASCII letter or digit.
+_STOP = re.compile(rb"(?<=[a-z0-9])([.,])(?![^\x20\x09-\x0D])")
 
 
 class WordEncoder:
     """Ids of texts, encoded word by word with a memory.
 
     White space ends every token of this tokenizer and leaves none, so the ids of a text are
-    those of its words in turn; and a full stop or comma after an ASCII letter or digit is a
-    token apart. Ids are little-endian, two bytes each if the vocabulary allows.
+    those of its words in turn; a full stop or comma after an ASCII letter or digit is a token
+    apart, and capitals are read as small letters. So texts are lowered and such stops set
+    apart first, which leaves fewer different words to encode. A text that may hold one of the
+    tokenizer's own marks is left as it is. Ids are little-endian, two bytes each if the
+    vocabulary allows.
     """
 
     def __init__(self, definition: str):
@@ -48,45 +54,34 @@ class WordEncoder:
         self.ends_word = np.array([(self.tokenizer.id_to_token(i) or "").endswith("</w>") for i in range(self.tokenizer.get_vocab_size())])
         self.known: dict[bytes, bytes] = {}
 
-    @staticmethod
-    def _parts(word: bytes) -> tuple[bytes, bytes]:
-        bare = word[:-1]
-        if word[-1:] in (b".", b",") and bare.isalnum():  # bytes.isalnum is ASCII only
-            return bare.lower(), word[-1:]
-        return (word.lower() if word.isalnum() else word), b""
-
-    def _encoded(self, words: list[bytes]) -> dict[bytes, bytes]:
-        """Ids of each word. Words of letters alone go many to a call, cut where a token ends a word."""
-        names = {w: w.decode() for w in words}
-        runs = [w for w in words if names[w].isalpha()]
-        groups = [runs[i : i + TOGETHER] for i in range(0, len(runs), TOGETHER)]
-        out: dict[bytes, bytes] = {}
-        for group, found in zip(groups, self.tokenizer.encode_batch_fast([" ".join(names[w] for w in g) for g in groups], add_special_tokens=False), strict=True):
+    def _learn_runs(self, words: list[bytes]) -> list[bytes]:
+        """Encode words of letters alone, many to a call, cut where a token ends a word; the words of a call that cut otherwise are left."""
+        left: list[bytes] = []
+        groups = [words[i : i + TOGETHER] for i in range(0, len(words), TOGETHER)]
+        for group, found in zip(groups, self.tokenizer.encode_batch_fast([b" ".join(g).decode() for g in groups], add_special_tokens=False), strict=True):
             ids = np.array(found.ids, self.dtype)
-            cuts = np.flatnonzero(self.ends_word[ids]) + 1
+            cuts = (np.flatnonzero(self.ends_word[ids]) + 1) * self.dtype.itemsize
             if len(cuts) == len(group):  # otherwise some word is more than one run of letters to the tokenizer
-                raw, n = ids.tobytes(), self.dtype.itemsize
-                out.update((w, raw[n * a : n * b]) for w, a, b in zip(group, [0, *cuts[:-1].tolist()], cuts.tolist(), strict=True))
-        rest = [w for w in words if w not in out]
-        alone = self.tokenizer.encode_batch_fast([names[w] for w in rest], add_special_tokens=False)
-        out.update((w, np.array(x.ids, self.dtype).tobytes()) for w, x in zip(rest, alone, strict=True))
-        return out
+                raw, ends = ids.tobytes(), cuts.tolist()
+                self.known.update(zip(group, map(raw.__getitem__, map(slice, [0, *ends[:-1]], ends)), strict=True))
+            else:
+                left += group
+        return left
 
     def learn(self, words: set[bytes]) -> None:
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        new = [w for w in words if w not in self.known]
-        parts = [self._parts(w) for w in new]
-        ask = list({p for pair in parts for p in pair if p and p not in self.known})
-        self.known.update(self._encoded(ask))
-        self.known[b""] = b""
-        self.known.update((w, self.known[a] + self.known[b]) for w, (a, b) in zip(new, parts, strict=True))
+        new = list(words.difference(self.known))
+        if len(self.known) + len(new) > REMEMBERED:  # the words of the texts at hand stay, the frequent ones among them
+            self.known = {w: self.known[w] for w in words if w in self.known}
+        letters = [w for w in new if w.isalpha() or not w.isascii() and w.decode().isalpha()]
+        rest = self._learn_runs(letters) + list(set(new).difference(letters))
+        alone = self.tokenizer.encode_batch_fast([w.decode() for w in rest], add_special_tokens=False)
+        self.known.update((w, np.array(x.ids, self.dtype).tobytes()) for w, x in zip(rest, alone, strict=True))
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Ids of each text and the end id."""
-        split = [t.split() for t in texts]
+        split = [(t if b"<|" in t else _STOP.sub(rb" \1 ", t.lower())).split() for t in texts]
         self.learn(set().union(*split))
-        return [b"".join([self.known[w] for w in x]) + self.end for x in split]
+        return [b"".join(map(self.known.__getitem__, x)) + self.end for x in split]
 
 
 _ENCODERS: dict[str, WordEncoder] = {}  # one for each Python worker: its memory serves later tasks too
