@@ -130,9 +130,10 @@ DOCS = [
 ]
 
 
-@pytest.mark.parametrize("block", [500_000, 3])
-def test_contamination(spark, monkeypatch, block):
-    monkeypatch.setattr(decontaminate, "BLOCK_WINDOWS", block)
+@pytest.mark.parametrize("marks", [1 << 16, 1])
+def test_contamination(spark, monkeypatch, marks):
+    monkeypatch.setattr(decontaminate, "LEAST_MARKS", marks)
+    monkeypatch.setattr(decontaminate, "MOST_MARKS", marks)
     docs, items = spark.createDataFrame(DOCS, "doc_id long, text string"), spark.createDataFrame(ITEMS, "item_id long, text string")
     found = {r.doc_id: (r.n_words, r.n_hit, r.items) for r in decontaminate.contamination(docs, items).collect()}
     assert found == brute_contamination(DOCS, ITEMS)
