@@ -16,8 +16,11 @@ def odd(spark):
         [T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()), T.StructField("lang", T.StringType()), T.StructField("spans", T.LongType()),
          T.StructField("n_words", T.StringType()), T.StructField("node", T.StringType()), T.StructField("score", T.StringType()), T.StructField("items", T.StringType())]
     )
-    rows = [(i, t, "en" if i % 2 else None, 7, "n", "k", None, "i") for i, t in enumerate(TEXTS)]
-    return spark.createDataFrame([*rows, rows[7], (None, "a null id", None, None, None, None, None, None)], schema)
+    inner = ["t_terms", "t_id", "t_hash", "hit_id", "hit_hash", "hit_spans", "__hash", "kept_id", "kept_hash", "f_id", "f_hash", "row", "row_id", "text_hash", "likely", "block", "is_id", "base"]
+    for name in inner:  # names that operators join by
+        schema.add(name, T.LongType())
+    rows = [(i, t, "en" if i % 2 else None, 7, "n", "k", None, "i", *range(len(inner))) for i, t in enumerate(TEXTS)]
+    return spark.createDataFrame([*rows, rows[7], (None, "a null id", *[None] * (6 + len(inner)))], schema)
 
 
 @pytest.fixture(scope="session")

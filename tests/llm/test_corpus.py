@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tests.llm.conftest import TEXTS
 from tests.llm.test_registered import same
 from tests.llm.test_texts import rows_of
-from tidemark.llm import decontaminate, html_extract, labelled_pages, lm_score, near, oracles, packing, passages, preference, queries
+from tidemark.llm import common, decontaminate, html_extract, labelled_pages, lm_score, near, oracles, packing, passages, preference, queries
 
 
 def shingles(text):
@@ -90,6 +90,30 @@ def test_near_rows(odd, empty):
     assert near.one_of_each(empty).count() == 0
 
 
+def test_texts_of_few_words(spark):
+    texts = [" ".join("abcdef"[:n]) for n in range(7)]
+    for some in (*([t] for t in texts), [texts[1], texts[2]], [texts[2], texts[1]], texts, texts[::-1], [texts[3], "", texts[3]]):
+        values, sizes = near.shingle_sets([t.encode() for t in some])
+        assert sizes.tolist() == [len(shingles(t)) for t in some] and len(values) == sum(sizes)
+        ends = np.cumsum(sizes)
+        sets = [frozenset(values[e - n : e].tolist()) for e, n in zip(ends, sizes, strict=True)]
+        assert all((sets[i] == sets[j]) == (shingles(a) == shingles(b)) for i, a in enumerate(some) for j, b in enumerate(some))
+    one = near.jaccard_join(spark.createDataFrame([(5, "a b c")], "doc_id long, text string")).collect()
+    assert [(r.doc_id, r.class_id, r.n_links) for r in one] == [(5, 5, 0)]
+    check_near(spark, dict(enumerate(texts)))
+
+
+def test_word_hashes(monkeypatch):
+    draw = random.Random(3)
+    monkeypatch.setattr(common, "CHUNK_BYTES", 64)
+    texts = [b"", b" ", b"a", b"\x0b\x0c", b" lead", b"trail ", b"x" * 500] + [bytes(draw.choice(b"ab \t\n\x1f\x00\xc3\xa9") for _ in range(draw.randint(0, 90))) for _ in range(2000)]
+    hashes, sizes = common.word_hashes(texts)
+    assert sizes.tolist() == [len(t.split()) for t in texts]
+    pairs = set(zip([w for t in texts for w in t.split()], hashes.tolist(), strict=True))
+    assert len(pairs) == len({w for w, _ in pairs}) == len({h for _, h in pairs})
+    assert [len(x) for x in common.word_hashes([])] == [0, 0]
+
+
 def test_prefix_depth_follows_the_target():
     depths = [near.depth_for(t) for t in (0.5, 0.99, 0.999, 1 - 1e-9)]
     assert depths == sorted(depths, reverse=True) and 1 - (1 - 0.8 ** near.depth_for()) ** near.TREES >= near.TARGET_RECALL

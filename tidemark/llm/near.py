@@ -1,11 +1,11 @@
 """N-gram Jaccard join: pairs of texts whose sets of five-word shingles have a similarity of 0.8 or more.
 
-Candidates come from a MinHash LSH forest. Every tree holds the texts by a label of ``DEPTH``
-minimum hashes; texts below one trie node share a prefix of their label. Prefixes are shortened
-from the full label until the recall expected at the threshold, ``1 - (1 - s^depth)^trees``,
-reaches the target, and nodes with company at that depth join their texts to candidate
-clusters. Clusters are then verified exactly, in blocks: a block counts links and keeps a
-spanning forest of them, so what leaves it grows with its texts, not with their pairs.
+Candidates come from MinHash LSH: ``TREES`` prefix labels of minimum hashes, all cut at one
+depth, the longest whose expected recall at the threshold, ``1 - (1 - s^depth)^trees``,
+reaches the target (no trie is kept, and no prefix depends on the data). Texts that share a
+label join to candidate clusters. Clusters are then verified exactly, in blocks: a block
+counts links and keeps a spanning forest of them, so what leaves it grows with its texts, not
+with their pairs.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import pieces
+from tidemark.llm.common import pieces, word_hashes
 from tidemark.session import written
 
 SHINGLE, THRESHOLD, TARGET_RECALL = 5, (4, 5), 0.999  # the threshold as a fraction: tests stay whole numbers
@@ -38,23 +38,13 @@ def depth_for(target: float = TARGET_RECALL, threshold: float = THRESHOLD[0] / T
     return depth
 
 
-def word_hashes(words: list[bytes], known: dict[bytes, int]) -> np.ndarray:
-    """64-bit hash of each word."""
-    for w in set(words):
-        if w not in known:
-            known[w] = xxhash.xxh3_64_intdigest(w)
-    return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
-
-
 def shingle_sets(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Sorted distinct shingle hashes of all texts in a row, and how many each text has.
 
     Words are runs of everything but ASCII white space. A text of fewer than five words, but
     not none, is one shingle.
     """
-    split = [t.split() for t in texts]
-    sizes = np.array([len(x) for x in split], np.int64)
-    hashes = word_hashes([w for x in split for w in x], {})
+    hashes, sizes = word_hashes(texts)
     rolled = np.zeros(max(0, len(hashes) - SHINGLE + 1), np.uint64)
     for j in range(SHINGLE):
         rolled = rolled * _BASE + hashes[j : j + len(rolled)]
@@ -64,7 +54,10 @@ def shingle_sets(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     values = rolled[starts[owner] + within] if len(owner) else np.zeros(0, np.uint64)
     short = np.flatnonzero((sizes > 0) & (sizes < SHINGLE))
     if len(short):
-        single = np.array([xxhash.xxh3_64_intdigest(b" ".join(split[i])) for i in short], np.uint64)
+        single = sizes[short].astype(np.uint64)
+        for j in range(SHINGLE - 1):
+            there = sizes[short] > j
+            single[there] = single[there] * _BASE + hashes[starts[short[there]] + j]
         owner, values = np.concatenate([owner, short]), np.concatenate([values, single])
     values ^= values >> np.uint64(29)
     values *= np.uint64(0xBF58476D1CE4E5B9)
@@ -261,9 +254,15 @@ def jaccard_join(docs: DataFrame, id_column: str = "doc_id", text_column: str =
 
 
 def one_of_each(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """The rows of ``docs``, all columns, that carry the least id of their class; of repeated rows one."""
+    """The rows of ``docs``, all columns, that carry the least id of their class; of repeated rows one.
+
+    Null and empty texts are classes of their own and stay; of several texts with the least id
+    all stay that are of the class; columns of any name pass through; an empty table gives an
+    empty result.
+    """
     kept = jaccard_join(docs, id_column, text_column).filter(F.col("doc_id").eqNullSafe(F.col("class_id")))
     kept = kept.select(F.col("doc_id").alias("kept_id"), F.col("text_hash").alias("kept_hash")).distinct()
-    names = docs.columns
-    rows = docs.withColumn("__hash", F.xxhash64(docs[text_column].cast("string"))).dropDuplicates([id_column, "__hash"])
-    return rows.join(kept, rows[id_column].eqNullSafe(kept["kept_id"]) & (rows["__hash"] == kept["kept_hash"]), "left_semi").select(*names)
+    # the row as a whole under one name: no column of the input can clash
+    rows = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"), docs[id_column].alias("row_id"), F.xxhash64(docs[text_column].cast("string")).alias("row_hash"))
+    rows = rows.dropDuplicates(["row_id", "row_hash"])
+    return rows.join(kept, rows["row_id"].eqNullSafe(kept["kept_id"]) & (rows["row_hash"] == kept["kept_hash"]), "left_semi").select("row.*")

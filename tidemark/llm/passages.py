@@ -19,8 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import pieces
-from tidemark.llm.near import word_hashes
+from tidemark.llm.common import pieces, word_hashes
 from tidemark.session import written
 
 WINDOW, ANCHOR_WORDS = 35, 4
@@ -41,10 +40,8 @@ class Spelling:
     """Word hashes of some texts in a row, and a hash of any run of them."""
 
     def __init__(self, texts: list[bytes]):
-        split = [t.split() for t in texts]
-        self.sizes = np.array([len(x) for x in split], np.int64)
+        self.hashes, self.sizes = word_hashes(texts)
         self.starts = np.cumsum(self.sizes) - self.sizes
-        self.hashes = word_hashes([w for x in split for w in x], {})
         n = len(self.hashes)
         self.power = np.cumprod(np.concatenate([[np.uint64(1)], np.full(n, _BASE)]))
         inverse = np.cumprod(np.full(n, _INVERSE))
