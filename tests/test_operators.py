@@ -200,6 +200,31 @@ def test_profile(raw):
     assert found["empty"].counts == {"nan": 1000}
 
 
+def test_values_are_chosen_before_they_leave_spark(spark, monkeypatch):
+    """A text column with a value for nearly every row: the driver gets the values that become model columns."""
+    from tidemark.operators import profile
+
+    rows = 400_000
+    df = spark.range(rows).select(
+        F.when(F.col("id") % 4 == 0, "often").when(F.col("id") % 5 == 0, F.lit(None)).otherwise(F.concat(F.lit("v"), "id")).alias("word"),
+        F.concat_ws(",", F.lit("all"), F.when(F.col("id") % 3 == 0, "third"), F.concat(F.lit("t"), "id")).alias("tags"),
+        F.concat(F.lit("few"), F.col("id") % 7).alias("few"),
+    )
+    seen = []
+    real = profile._collected_counts
+    monkeypatch.setattr(profile, "_collected_counts", lambda counts, *rest: seen.append(counts.count()) or real(counts, *rest))
+    options = ProfileOptions(low_info_thresh=0.9)
+    found = {p.column: p for p in profile_columns(df, df.columns, options)}
+    assert seen == [2 + 1 + 7]
+    assert found["word"].counts == {"often": rows / 4, "nan": rows * 3 / 20} and found["word"].distinct == rows * 3 / 5 + 2
+    assert set(found["tags"].counts) == {"third"} and found["tags"].distinct == rows + 2 and found["few"].distinct == len(found["few"].counts) == 7
+    spec = fit_spec(df, df.columns, options)
+    assert spec.expanded == ["word_nan", "word_often", "tags_third", *(f"few_few{i}" for i in range(7))]
+    listed = profile.dictionary(df, df.columns, options)
+    assert listed.filter("column = 'word'").count() == found["word"].distinct and listed.filter("column = 'tags' and value = 'all'").first()["n"] == rows
+    assert listed.filter("value = 'nan'").first()["n"] == rows * 3 / 20
+
+
 def test_profile_limits_are_exact(spark):
     df = spark.range(100_000).select(
         (F.col("id") % 100).alias("hundred"), (F.col("id") % 101).alias("more"),

@@ -1,7 +1,9 @@
 """Column types decided from the data, and the numbers each type needs.
 
 Two passes over the input, whatever the number of columns: one aggregate for sizes,
-means and deviations, one count of the values of the category-like columns.
+means and deviations, one count of the values of the category-like columns. The counts
+stay a table, the dictionary; of a column with many values only those come to the
+driver that ``low_info_thresh`` leaves as model columns.
 """
 
 from __future__ import annotations
@@ -18,6 +20,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.session import written
+
 # Column type names and the text that stands for null.
 REGULAR = "regular"
 CATEGORIAL = "categorial"
@@ -43,7 +47,10 @@ class ColumnProfile(NamedTuple):
     rows: int
     mean: float | None
     std: float | None
-    counts: dict[str, int]  # rows per value or label, of category-like columns
+    #: Rows per value or label of a category-like column: of all values while they are at most
+    #: ``max_cat_val``, else of those that are neither too rare nor too common to tell rows apart.
+    counts: dict[str, int]
+    distinct: int = 0  # values or labels there are
 
 
 def is_numeric(data_type: T.DataType) -> bool:
@@ -98,6 +105,8 @@ def _item(df: DataFrame, columns: Sequence[str], name: str, label: Column | None
         number = value
     else:
         text = value.cast("string")
+    if label is None and text is not None and not is_numeric(kind):
+        text = F.coalesce(text, F.lit(NULL_TEXT))
     place = F.lit(list(columns).index(name))
     return F.struct(place, whole, number, text).cast(ITEM)
 
@@ -122,18 +131,24 @@ def value_counts(
     )
 
 
-def _collected_counts(
-    counts: DataFrame, columns: Sequence[str], numeric: set[str]
-) -> tuple[dict[str, dict[str, int]], dict[str, int]]:
-    """Rows per category text, and exact distinct values, by column.
+def _informative(listed: DataFrame, rows: int, options: ProfileOptions) -> DataFrame:
+    """Counts of the columns with few values, and of others those that pass ``low_info_thresh``; with ``distinct`` of each column.
 
-    As long as the spec that is made of it: one entry per model column. Fractions become
-    whole numbers here, after counting.
+    A value passes if it and its absence both have a share of the rows of ``1 - low_info_thresh``
+    or more, so at most ``1 / (1 - low_info_thresh)`` values of a column do. With a threshold of
+    1 every value is a model column, and all are listed.
     """
-    found = counts.toLocalIterator()
+    distinct = listed.groupBy("column").agg(F.count(F.lit(1)).alias("distinct"))
+    passes = F.greatest(F.col("n"), rows - F.col("n")) / rows <= options.low_info_thresh
+    return listed.join(F.broadcast(distinct), "column").filter((F.col("distinct") <= options.max_cat_val) | passes)
+
+
+def _collected_counts(
+    counts: DataFrame, columns: Sequence[str], numeric: set[str]
+) -> dict[str, dict[str, int]]:
+    """Rows per category text, by column. Fractions become whole numbers here, after counting."""
     by_column: dict[str, dict[str, int]] = {name: defaultdict(int) for name in columns}
-    distinct: dict[str, int] = defaultdict(int)
-    for row in found:
+    for row in counts.toLocalIterator():
         name = columns[row["column"]]
         whole = row["whole"]
         if row["number"] is not None and math.isfinite(row["number"]):
@@ -142,8 +157,21 @@ def _collected_counts(
         if name in numeric and text is not None and whole is None:
             text = str(int(Decimal(text)))
         by_column[name][NULL_TEXT if text is None else text] += row["n"]
-        distinct[name] += 1
-    return {name: dict(values) for name, values in by_column.items()}, distinct
+    return {name: dict(values) for name, values in by_column.items()}
+
+
+def dictionary(df: DataFrame, columns: Sequence[str], options: ProfileOptions = ProfileOptions()) -> DataFrame:
+    """Every value of text columns and every label of those that hold the separator: ``column``, ``value``, ``n``.
+
+    A table, however many values there are; null is ``nan``.
+    """
+    first = _first_pass(df, columns, options.separator)
+    multi = [c for i, c in enumerate(columns) if first.get(f"many_{i}")]
+    single = [c for c in columns if c not in multi]
+    names = F.array(*[F.lit(c) for c in [*single, *multi]])
+    counts = value_counts(df, single, multi, options.separator)
+    value = F.coalesce("text", F.col("whole").cast("string"), F.col("number").cast("string"), F.lit(NULL_TEXT))
+    return counts.select(names[F.col("column")].alias("column"), value.alias("value"), "n")
 
 
 def profile_columns(
@@ -171,26 +199,28 @@ def profile_columns(
     single = [c for c in columns if c in maybe or not (numeric[c] or c in multi)]
     counts, distinct = {}, {}
     if single or multi:
-        listed = value_counts(df, single, multi, options.separator)
-        counts, distinct = _collected_counts(
-            listed, [*single, *multi], {name for name in single if numeric[name]}
-        )
+        columns_ = [*single, *multi]
+        listed = written(value_counts(df, single, multi, options.separator), "dictionary")
+        sizes = listed.groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect()
+        distinct = {columns_[r["column"]]: r["n"] for r in sizes}
+        counts = _collected_counts(_informative(listed, rows, options), columns_, {name for name in single if numeric[name]})
 
     def type_of(name: str) -> str:
         if name in multi:
             return MULTILABEL
         if not numeric[name]:
             return CATEGORIAL
-        few = name in maybe and distinct[name] <= options.max_cat_val
-        return CATEGORIAL if few and distinct[name] / rows < options.max_cat_ratio else REGULAR
+        few = name in maybe and distinct.get(name, 0) <= options.max_cat_val
+        return CATEGORIAL if few and distinct.get(name, 0) / rows < options.max_cat_ratio else REGULAR
 
     profiles = []
     for i, name in enumerate(columns):
         kind = type_of(name)
-        values = {} if kind == REGULAR else counts[name]
+        values = {} if kind == REGULAR else counts.get(name, {})
         profiles.append(
             ColumnProfile(
-                name, kind, numeric[name], rows, first.get(f"mean_{i}"), first.get(f"std_{i}"), values
+                name, kind, numeric[name], rows, first.get(f"mean_{i}"), first.get(f"std_{i}"), values,
+                0 if kind == REGULAR else distinct.get(name, 0),
             )
         )
     return profiles
