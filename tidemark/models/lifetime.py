@@ -13,6 +13,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.scoring import plain_text
 from tidemark.models.base import PREDICTION, Fitted
 from tidemark.session import written
 
@@ -174,7 +175,7 @@ def maximise(
     """Damped Newton ascent where each round costs two passes over the data.
 
     One pass yields value, gradient and curvature, the second tries several damped
-    steps at once and keeps the best.
+    steps at once and keeps the best. A search that still gains after ``max_rounds`` raises.
     """
     at = np.asarray(start, dtype=float)
     for _ in range(max_rounds):
@@ -194,6 +195,8 @@ def maximise(
         at = candidates[best]
         if tried[best] - values[0] < tolerance:
             break
+    else:
+        raise ArithmeticError(f"no maximum found in {max_rounds} rounds")
     return at
 
 
@@ -280,7 +283,7 @@ def score_bgnbd(fitted: Fitted, df: DataFrame) -> DataFrame:
     )
 
     def text(value: Column) -> Column:
-        return F.round(value, 4).cast("string")
+        return plain_text(F.round(value, 4))
 
     measures = F.array(
         _measure("visits", text(F.col("_visits"))),

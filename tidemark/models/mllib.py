@@ -130,12 +130,16 @@ def _value(fitted: Fitted, df: DataFrame) -> DataFrame:
 # ---- regression -----------------------------------------------------------------
 
 
+#: Trees without a depth of their own grow as deep as MLlib lets them; the rows a leaf needs end them.
+DEEPEST = 30
+
+
 def _forest(params: dict) -> dict:
     return {
         "numTrees": int(params.get("trees", 100)),
         "minInstancesPerNode": int(params.get("min_samples_leaf", 30)),
         "seed": int(params.get("random_state", 0)),
-        "maxDepth": int(params.get("max_depth", 10)),
+        "maxDepth": int(params.get("max_depth") or DEEPEST),
         "maxBins": int(params.get("max_bins", 64)),
         "subsamplingRate": 1.0,
         "bootstrap": bool(params.get("bootstrap", False)),
@@ -146,7 +150,7 @@ def _tree(params: dict) -> dict:
     return {
         "minInstancesPerNode": int(params.get("min_samples_leaf", 30)),
         "seed": int(params.get("random_state", 0)),
-        "maxDepth": int(params.get("max_depth", 10)),
+        "maxDepth": int(params.get("max_depth") or DEEPEST),
         "maxBins": int(params.get("max_bins", 64)),
     }
 

@@ -10,6 +10,7 @@ from dataclasses import dataclass, field, fields, replace
 from datetime import datetime, timezone
 from pathlib import Path
 
+from pyspark.errors import AnalysisException, IllegalArgumentException
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -375,7 +376,7 @@ def run_submodel(
             champion = store.load(current["path"])
             champion.statistics = {"pi": current["pi"], "mu": current["mu"]}
             old_loss = evaluate_loss(test_rows, champion, config)
-        except Exception:  # a champion that cannot score today's columns loses
+        except (AnalysisException, IllegalArgumentException, KeyError):  # a champion that cannot score today's columns loses
             old_loss = UNKNOWN_LOSS
     promoted = should_promote(trained.statistics["loss"], old_loss, comparable)
     version = store.save(trained, model, submodel, promoted, old_loss)
