@@ -178,12 +178,14 @@ def _replaced(text: Column, spans: Column) -> Column:
 def sanitised(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """The rows of ``docs``, all columns, with every finding replaced by the name of its kind.
 
-    Null texts stay null.
+    Null texts stay null, empty ones empty; repeated rows are replaced each; where findings
+    overlap the first by start, then kind, names them all; columns of any name pass through; an
+    empty table gives an empty result.
     """
     terms = held_terms(keyed(docs, id_column, text_column)).select(F.col("doc_id").alias("t_id"), F.col("text_hash").alias("t_hash"), F.col("terms").alias("t_terms"))
     text = docs[text_column].cast("string")
     both = docs.join(terms, docs[id_column].eqNullSafe(terms["t_id"]) & (F.xxhash64(text) == terms["t_hash"]), "left")
-    marked = F.when(F.col("t_terms").isNull(), F.array().cast(_SPAN)).otherwise(_marked(text, F.col("t_terms")))
+    marked = F.when(terms["t_terms"].isNull(), F.array().cast(_SPAN)).otherwise(_marked(text, terms["t_terms"]))
     spans = ordered(F.concat(base_spans(text), marked))
     new = F.when(F.size(spans) > 0, _replaced(text, spans)).otherwise(text)
     return both.select(*(new.alias(c) if c == text_column else docs[c] for c in docs.columns))
