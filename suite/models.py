@@ -39,7 +39,7 @@ from tidemark.operators.embedding import (
 from tidemark.operators.encode import apply_encoder, fit_encoder
 from tidemark.operators.preparation import fit_spec
 from tidemark.operators.profile import ProfileOptions
-from tidemark.operators.silhouette import point_silhouettes, squared_silhouette
+from tidemark.operators.silhouette import euclidean_point_silhouettes, point_silhouettes, squared_silhouette
 from tidemark.plans.scoring import predict_submodel, prediction_records
 from tidemark.plans.training import (
     ModelStore,
@@ -272,6 +272,12 @@ def silhouettes(t: Tables) -> DataFrame:
     return points.select("vec_id", F.round("silhouette", 6).alias("silhouette"))
 
 
+def euclidean_silhouettes(t: Tables) -> DataFrame:
+    """On a sample of 10,000 points at most; of smaller tables on all."""
+    points = euclidean_point_silhouettes(t.embeddings, "vec_id", "embedding", "label")
+    return points.select("vec_id", F.round("silhouette", 6).alias("silhouette"))
+
+
 def type_shares(t: Tables) -> DataFrame:
     kinds = ["click", "error", "purchase", "signup", "view"]
     sums = t.events.groupBy("user_id").agg(
@@ -566,6 +572,17 @@ CHECKS: dict[str, Check] = {
         SELECT vec_id, round(CASE WHEN size = 1 THEN 0 ELSE
           (outside - inside) / greatest(inside, outside) END, 6) AS silhouette FROM s""",
     ),
+    "silhouette_euclidean": check(
+        euclidean_silhouettes,
+        """WITH e AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),
+        m AS (SELECT a.vec_id, a.label, b.label AS other, sum(list_distance(a.x, b.x)) AS d, count(*) AS n
+          FROM e a, e b GROUP BY 1, 2, 3),
+        s AS (SELECT vec_id, max(d / greatest(n - 1, 1)) FILTER (label = other) AS inside,
+            max(n) FILTER (label = other) AS size, min(d / n) FILTER (label <> other) AS outside
+          FROM m GROUP BY 1)
+        SELECT vec_id, round(CASE WHEN size = 1 THEN 0 ELSE
+          (outside - inside) / greatest(inside, outside) END, 6) AS silhouette FROM s""",
+    ),
     "silhouette_squared": check(
         squared,
         """WITH e AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),

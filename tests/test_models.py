@@ -488,6 +488,30 @@ def test_numbers_with_few_values_are_categories_in_categorical_mode(spark):
     assert len(attributes["nominal"]) == 1 and len(attributes["numeric"]) == 1
 
 
+def test_network_stops_by_held_out_rows(spark):
+    """Labels that no feature tells: training gains for ever, the held-out loss does not."""
+    rows = spark.range(300).select(*[F.rand(i).alias(f"x{i}") for i in range(6)], (F.rand(99) > 0.5).cast("int").alias("y"))
+    fitted = fit_model("neural_network_classification", rows, [f"x{i}" for i in range(6)], "y", nodes=[24, 24], epochs=400)
+    losses = fitted.meta["held_out_losses"]
+    assert 1 < len(losses) < 40 and losses[-1] > min(losses) - 1e-4
+    held = F.pmod(F.xxhash64(F.array(*[F.col(f"x{i}") for i in range(6)]), F.lit(0)), F.lit(5)) == 0
+    scored = fitted.score(rows.filter(held))
+    loss = scored.agg(F.avg(-F.ln(F.greatest(F.get("prediction", F.col("y")), F.lit(1e-15)))).alias("l")).first()["l"]
+    assert loss == pytest.approx(min(losses), rel=1e-6)  # the best weights are the ones kept
+
+
+def test_euclidean_silhouette_of_a_sample(spark, points):
+    from tidemark.operators.silhouette import euclidean_silhouette
+
+    rows = points.select(F.array("x", "y").alias("v"), F.when(F.col("group") == "a", 0).when(F.col("group") == "b", 1).otherwise(2).alias("c"))
+    whole, some = euclidean_silhouette(rows, "v", "c"), euclidean_silhouette(rows, "v", "c", sample=150, seed=3)
+    assert whole.points == rows.count() and 90 < some.points < 220
+    assert abs(whole.value - some.value) < 5 * some.error + 0.02 and some.error > whole.error > 0
+    assert euclidean_silhouette(rows, "v", "c", sample=150, seed=3) == some
+    with pytest.raises(ValueError):
+        euclidean_silhouette(rows.filter("c = 0"), "v", "c")
+
+
 def test_network_in_categorical_mode(points):
     trained = train(
         points.drop("value"),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark import StorageLevel
@@ -254,25 +255,56 @@ def fit_logistic(df, features, label, **params) -> Fitted:
     return _fit_classes("logistic_regression", df, features, label, build, params)
 
 
+#: Share of the rows that a network is stopped by, in fifths of the hash range.
+_FIFTHS = 5
+
+
+def _log_loss(model, rows: DataFrame) -> float:
+    """Mean log loss of a fitted classifier on rows with features and the index of their class."""
+    share = F.get(vector_to_array("probability"), F.col(LABEL_INDEX).cast("int"))
+    found = model.transform(rows).agg(F.avg(-F.ln(F.greatest(share, F.lit(1e-15)))).alias("loss")).first()["loss"]
+    return math.inf if found is None else found
+
+
 def fit_network(df, features, label, **params) -> Fitted:
     """A network of the first and last hidden layer; row scores sum to 1.
 
-    Layers use sigmoid and softmax and are fitted by L-BFGS.
+    Layers use sigmoid and softmax and are fitted by L-BFGS. A fifth of the rows, drawn by a
+    hash of their features, is held out: the fit goes on from its own weights,
+    ``early_stopping_patience`` iterations at a time, until their log loss improves by less
+    than ``early_stopping_delta``, or after ``epochs``; the weights with the least held-out
+    loss are kept. ``meta`` has the losses in order.
     """
-    nodes = list(params.get("nodes", (16, 8)))
-    head = Pipeline(stages=_head(df, features)).fit(df)
-    width = head.transform(df).select(FEATURES).first()[0].size
-
-    def build(classes):
-        return MultilayerPerceptronClassifier(
-            labelCol=LABEL_INDEX,
-            layers=[width, nodes[0], nodes[-1], classes],
-            maxIter=int(params.get("epochs", 100)),
-            tol=float(params.get("early_stopping_delta", 1e-4)),
-            seed=int(params.get("random_state", 0)),
+    nodes, classes = list(params.get("nodes", (16, 8))), label_classes(df, label)
+    epochs, look = int(params.get("epochs", 100)), max(1, int(params.get("early_stopping_patience", 10)))
+    delta = float(params.get("early_stopping_delta", 1e-4))
+    rows = df.filter(F.col(label).isNotNull()).withColumn(LABEL_INDEX, class_index(label, classes))
+    head = Pipeline(stages=_head(rows, features)).fit(rows)
+    draw = F.pmod(F.xxhash64(vector_to_array(FEATURES), F.lit(int(params.get("random_state", 0)))), F.lit(_FIFTHS)) == 0
+    made = head.transform(rows).select(FEATURES, LABEL_INDEX, draw.alias("held")).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        fitted, held = made.filter("not held"), made.filter("held")
+        if held.isEmpty() or fitted.isEmpty():  # too few rows to hold any out
+            fitted = held = made
+        width = made.first()[FEATURES].size
+        network = MultilayerPerceptronClassifier(
+            labelCol=LABEL_INDEX, layers=[width, nodes[0], nodes[-1], len(classes)], tol=1e-9, seed=int(params.get("random_state", 0))
         )
-
-    return _fit_classes("neural_network_classification", df, features, label, build, params)
+        best, losses, done = None, [], 0
+        while done < epochs:
+            model = network.setMaxIter(min(look, epochs - done)).fit(fitted)
+            done += look
+            losses.append(_log_loss(model, held))
+            better = losses[-1] < min(losses[:-1], default=math.inf)
+            gained = len(losses) == 1 or losses[-1] < min(losses[:-1]) - delta
+            best = model if better or best is None else best
+            if not gained:
+                break
+            network.setInitialWeights(model.weights)
+    finally:
+        made.unpersist()
+    meta = {"classes": classes, "output": params.get("output", "proba"), "held_out_losses": losses}
+    return Fitted("neural_network_classification", PipelineModel(stages=[*head.stages, without_summary(best)]), meta)
 
 
 def score_classes(fitted: Fitted, df: DataFrame) -> DataFrame:

@@ -38,7 +38,7 @@ from tidemark.operators.preparation import (
 )
 from tidemark.operators.profile import ProfileOptions
 from tidemark.operators.sampling import train_test_split, undersample
-from tidemark.operators.silhouette import squared_silhouette
+from tidemark.operators.silhouette import euclidean_silhouette
 from tidemark.plans.scoring import score_rows
 from tidemark.session import opened, written
 from tidemark.sources.warehouse import WRITE_TRUNCATE, Warehouse
@@ -115,7 +115,7 @@ def evaluate_loss(
     if LOSS_NAMES.get(name) == "silhouette":
         prepared = _model_rows(rows.drop(*config.keys, ROW_KEY), trained, ())
         vectors = trained.fitted.pipeline.transform(prepared)
-        return squared_silhouette(vectors, FEATURES, PREDICTION)
+        return euclidean_silhouette(vectors, FEATURES, PREDICTION).value
     scored = score_rows(rows, trained.fitted, trained.spec, trained.pca, (config.label,))
     truth = F.col(config.label)
     if LOSS_NAMES.get(name) == "log":
