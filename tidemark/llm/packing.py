@@ -32,7 +32,7 @@ TOGETHER = 500
 #: Encoded words a worker remembers; when there are more it keeps those of the texts at hand.
 REMEMBERED = 600_000
 #: A full stop or comma that ends a word and follows an ASCII letter or digit.
-_STOP = re.compile(rb"(?<=[a-z0-9])([.,])(?![^\x20\x09-\x0D])")
+_STOP = re.compile(rb"([.,])(?<=[a-z0-9][.,])(?![^\x20\x09-\x0D])")
 
 
 class WordEncoder:
