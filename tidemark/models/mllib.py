@@ -270,13 +270,14 @@ def fit_network(df, features, label, **params) -> Fitted:
     """A network of the first and last hidden layer; row scores sum to 1.
 
     Layers use sigmoid and softmax and are fitted by L-BFGS. A fifth of the rows, drawn by a
-    hash of their features, is held out: the fit goes on from its own weights,
-    ``early_stopping_patience`` iterations at a time, until their log loss improves by less
-    than ``early_stopping_delta``, or after ``epochs``; the weights with the least held-out
-    loss are kept. ``meta`` has the losses in order.
+    hash of their features, is held out and looked at twice in ``early_stopping_patience``
+    iterations, after which the fit goes on from its own weights. It ends when their log loss
+    has not improved by ``early_stopping_delta`` in that many iterations, or after ``epochs``;
+    the weights with the least held-out loss are kept. ``meta`` has the losses in order.
     """
     nodes, classes = list(params.get("nodes", (16, 8))), label_classes(df, label)
-    epochs, look = int(params.get("epochs", 100)), max(1, int(params.get("early_stopping_patience", 10)))
+    epochs, patience = int(params.get("epochs", 100)), int(params.get("early_stopping_patience", 10))
+    look = max(1, patience // 2)
     delta = float(params.get("early_stopping_delta", 1e-4))
     rows = df.filter(F.col(label).isNotNull()).withColumn(LABEL_INDEX, class_index(label, classes))
     head = Pipeline(stages=_head(rows, features)).fit(rows)
@@ -290,16 +291,15 @@ def fit_network(df, features, label, **params) -> Fitted:
         network = MultilayerPerceptronClassifier(
             labelCol=LABEL_INDEX, layers=[width, nodes[0], nodes[-1], len(classes)], tol=1e-9, seed=int(params.get("random_state", 0))
         )
-        best, losses, done = None, [], 0
-        while done < epochs:
+        best, least, losses, done, gained_at = None, math.inf, [], 0, 0
+        while done < epochs and (not losses or done - gained_at < patience):
             model = network.setMaxIter(min(look, epochs - done)).fit(fitted)
             done += look
             losses.append(_log_loss(model, held))
-            better = losses[-1] < min(losses[:-1], default=math.inf)
-            gained = len(losses) == 1 or losses[-1] < min(losses[:-1]) - delta
-            best = model if better or best is None else best
-            if not gained:
-                break
+            if losses[-1] < least - delta:
+                gained_at = done
+            if best is None or losses[-1] < least:
+                best, least = model, losses[-1]
             network.setInitialWeights(model.weights)
     finally:
         made.unpersist()
