@@ -9,10 +9,8 @@ from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
-    GBTClassifier,
     LogisticRegression,
     MultilayerPerceptronClassifier,
-    OneVsRest,
     RandomForestClassifier,
 )
 from pyspark.ml.clustering import KMeans
@@ -29,7 +27,6 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.recommendation import ALS
 from pyspark.ml.regression import (
     DecisionTreeRegressor,
-    GBTRegressor,
     LinearRegression,
     RandomForestRegressor,
 )
@@ -38,6 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.scoring import proba_normalize
+from tidemark.models import boosting
 from tidemark.models.base import FEATURES, PREDICTION, Fitted
 from tidemark.operators.encode import decode
 from tidemark.operators.preparation import label_classes
@@ -47,17 +45,18 @@ from tidemark.session import new_location
 LABEL_INDEX = "_label"
 
 
-def assembler(features: Sequence[str]) -> VectorAssembler:
-    return VectorAssembler(inputCols=list(features), outputCol=FEATURES)
+def assembler(features: Sequence[str], invalid: str = "error") -> VectorAssembler:
+    return VectorAssembler(inputCols=list(features), outputCol=FEATURES, handleInvalid=invalid)
 
 
-def _head(df: DataFrame, features: Sequence[str] | Pipeline) -> list:
+def _head(df: DataFrame, features: Sequence[str] | Pipeline, keep_gaps: bool = False) -> list:
     """Pipeline stages that build the feature vector.
 
     Values of text columns and labels of list columns become sparse 0/1 features, however many
     there are.
     A feature with gaps in the training rows is filled with 0, the mean of a scaled column,
     and gets a second feature that says where the gaps were; a gap in any other is filled.
+    With ``keep_gaps`` gaps stay what they are: not a number.
     """
     if isinstance(features, Pipeline):
         return features.getStages()
@@ -75,6 +74,8 @@ def _head(df: DataFrame, features: Sequence[str] | Pipeline) -> list:
         stages.append(CountVectorizer(inputCol=c, outputCol=wide[c], binary=True, vocabSize=(1 << 31) - 1))
     if not numbers:
         return [*stages, assembler([wide[c] for c in features])]
+    if keep_gaps:
+        return [*stages, assembler([wide.get(c, c) for c in features], "keep")]
     gap = lambda c: F.col(f"`{c}`").isNull() | F.isnan(F.col(f"`{c}`").cast("double"))
     found = df.agg(*[F.max(gap(c)).alias(f"g{i}") for i, c in enumerate(numbers)]).first()
     filled = [f"coalesce(nanvl(double(`{c}`), null), 0d) AS `{c}__filled`" for c in numbers]
@@ -90,9 +91,8 @@ def _fit_categories(estimator, head: PipelineModel):
     if any(isinstance(s, OneHotEncoderModel) for s in head.stages):
         return
     sizes = [len(x) + 1 for s in head.stages if isinstance(s, StringIndexerModel) for x in s.labelsArray]
-    trees = estimator.getClassifier() if isinstance(estimator, OneVsRest) else estimator
-    if sizes and trees.hasParam("maxBins"):
-        trees.set(trees.maxBins, max(trees.getOrDefault("maxBins"), *sizes))
+    if sizes and estimator.hasParam("maxBins"):
+        estimator.set(estimator.maxBins, max(estimator.getOrDefault("maxBins"), *sizes))
 
 
 def without_summary(model):
@@ -156,16 +156,6 @@ def _tree(params: dict) -> dict:
     }
 
 
-def _boosted(params: dict) -> dict:
-    return {
-        "maxIter": int(params.get("n_estimators", 100)),
-        "maxDepth": int(params.get("max_depth", 3)),
-        "stepSize": float(params.get("learning_rate", 0.1)),
-        "seed": int(params.get("random_state", 0)),
-        "maxBins": int(params.get("max_bins", 64)),
-    }
-
-
 def fit_forest_regression(df, features, label, **params) -> Fitted:
     settings = _forest(params)
     return _fit("random_forest_regression", df, features, RandomForestRegressor(labelCol=label, **settings))
@@ -175,8 +165,20 @@ def fit_tree_regression(df, features, label, **params) -> Fitted:
     return _fit("tree_regression", df, features, DecisionTreeRegressor(labelCol=label, **_tree(params)))
 
 
+def _fit_boosted(name: str, df: DataFrame, features, label: str, classes: list | None, params: dict) -> Fitted:
+    head, trees = boosting.fit_trees(Pipeline(stages=_head(df, features, keep_gaps=True)), df, label, len(classes or ()), params)
+    meta = {"classes": classes, "output": params.get("output", "proba")} if classes else {}
+    return Fitted(name, head, {**meta, **trees})
+
+
 def fit_boosted_regression(df, features, label, **params) -> Fitted:
-    return _fit("xgboost_regression", df, features, GBTRegressor(labelCol=label, **_boosted(params)))
+    """Boosted trees for squared error; a missing number goes to the side of each cut that gains more."""
+    return _fit_boosted("xgboost_regression", df.filter(F.col(label).isNotNull()), features, label, None, params)
+
+
+def score_boosted_value(fitted: Fitted, df: DataFrame) -> DataFrame:
+    scored = boosting.with_margins(fitted.pipeline, fitted.meta, df, "_margin")
+    return scored.select(*[F.col(f"`{c}`") for c in df.columns], F.get("_margin", F.lit(0)).alias(PREDICTION))
 
 
 def fit_linear(df, features, label, **params) -> Fitted:
@@ -231,15 +233,23 @@ def fit_tree_classification(df, features, label, **params) -> Fitted:
 
 
 def fit_boosted_classification(df, features, label, **params) -> Fitted:
-    """Boosted trees; more than two classes are fitted one against the rest."""
+    """Boosted trees: one tree a round for two classes, one per class on shared softmax gradients for more."""
+    classes = label_classes(df, label)
+    rows = df.filter(F.col(label).isNotNull()).withColumn(LABEL_INDEX, class_index(label, classes))
+    return _fit_boosted("xgboost_classification", rows, features, LABEL_INDEX, classes, params)
 
-    def build(classes):
-        trees = GBTClassifier(labelCol=LABEL_INDEX, **_boosted(params))
-        if classes <= 2:
-            return trees
-        return OneVsRest(classifier=trees, labelCol=LABEL_INDEX, parallelism=4)
 
-    return _fit_classes("xgboost_classification", df, features, label, build, params)
+def score_boosted_classes(fitted: Fitted, df: DataFrame) -> DataFrame:
+    scored = boosting.with_margins(fitted.pipeline, fitted.meta, df, "_margin")
+    if len(fitted.meta["classes"]) == 2:
+        one = F.get("_margin", F.lit(0))
+        proba = F.array(1 / (1 + F.exp(one)), 1 / (1 + F.exp(-one)))
+    else:
+        powers = F.transform("_margin", lambda m: F.exp(m - F.array_max("_margin")))
+        proba = F.transform(powers, lambda e: e / F.aggregate(powers, F.lit(0.0), lambda a, x: a + x))
+    likeliest = F.array_position(proba, F.array_max(proba)) - 1
+    value = _output(fitted, proba, likeliest)
+    return scored.select(*[F.col(f"`{c}`") for c in df.columns], value.alias(PREDICTION))
 
 
 def fit_logistic(df, features, label, **params) -> Fitted:
@@ -307,23 +317,20 @@ def fit_network(df, features, label, **params) -> Fitted:
     return Fitted("neural_network_classification", PipelineModel(stages=[*head.stages, without_summary(best)]), meta)
 
 
+def _output(fitted: Fitted, proba: Column, likeliest: Column) -> Column:
+    """What the model was asked to say: shares, their logarithms, or the class."""
+    output = fitted.meta["output"]
+    if output == "log_proba":
+        return F.transform(proba, F.ln)
+    if output == "class":
+        return F.get(F.lit(list(fitted.meta["classes"])), likeliest.cast("int"))
+    return proba
+
+
 def score_classes(fitted: Fitted, df: DataFrame) -> DataFrame:
     """Class probabilities (default), their logarithms, or the class itself."""
-    last = fitted.pipeline.stages[-1]
     scored = fitted.pipeline.transform(df)
-    if last.hasParam("probabilityCol"):
-        proba = vector_to_array("probability")
-    else:
-        # One-against-rest margins of boosted trees on the log-odds / 2 scale.
-        proba = F.transform(vector_to_array("rawPrediction"), lambda m: 1 / (1 + F.exp(-2 * m)))
-    proba = proba_normalize(proba)
-    output = fitted.meta["output"]
-    if output == "log_proba":
-        value = F.transform(proba, F.ln)
-    elif output == "class":
-        value = F.get(F.lit(list(fitted.meta["classes"])), F.col(PREDICTION).cast("int"))
-    else:
-        value = proba
+    value = _output(fitted, proba_normalize(vector_to_array("probability")), F.col(PREDICTION))
     kept = [F.col(f"`{c}`") for c in df.columns]
     return scored.select(*kept, value.alias(PREDICTION))
 

@@ -18,8 +18,8 @@ MODELS: dict[str, ModelType] = {
     "linear_regression": ModelType(True, mllib.fit_linear, mllib.score_value),
     "logistic_regression": ModelType(True, mllib.fit_logistic, mllib.score_classes),
     "kmeans_clustering": ModelType(False, mllib.fit_kmeans, mllib.score_value),
-    "xgboost_classification": ModelType(True, mllib.fit_boosted_classification, mllib.score_classes),
-    "xgboost_regression": ModelType(True, mllib.fit_boosted_regression, mllib.score_value),
+    "xgboost_classification": ModelType(True, mllib.fit_boosted_classification, mllib.score_boosted_classes),
+    "xgboost_regression": ModelType(True, mllib.fit_boosted_regression, mllib.score_boosted_value),
     "dot_embedding": ModelType(True, mllib.fit_dot_embedding, mllib.score_dot),
     "beta_geometric": ModelType(False, lifetime.fit_bgnbd, lifetime.score_bgnbd),
     "gamma_gamma": ModelType(False, lifetime.fit_gammagamma, lifetime.score_gammagamma),
