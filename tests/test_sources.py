@@ -222,6 +222,22 @@ def test_message_batches(spark, folder):
     assert send_rows(df.limit(5), open_sender, batch=False)["received"] == 5
 
 
+def test_equal_rows_are_different_messages_and_a_repeat_is_the_same(spark, folder):
+    def open_sender():
+        def send(entries):
+            with open(f"{folder}/sent.txt", "a") as out:
+                out.writelines(f"{e['DeduplicationId']}\n" for e in entries)
+            return []
+
+        return send
+
+    outcome = send_batches(spark.createDataFrame([(1,), (1,), (2,)], "x int").coalesce(1), open_sender)
+    for _ in range(2):  # as a retried task would
+        assert outcome.agg(F.sum("received").alias("n")).first()["n"] == 3
+    keys = open(f"{folder}/sent.txt").read().split()
+    assert len(keys) == 6 and len(set(keys)) == 3
+
+
 def test_positions(spark):
     df = spark.range(1000).select((F.col("id") * 7 % 1000).alias("k")).repartition(7)
     placed = with_position(df, ["k"])

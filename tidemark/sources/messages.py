@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.session import written
 from tidemark.sources.rows import rows_to_json
 
 # A sender takes the entries of one batch and returns the ids of those that failed.
@@ -23,15 +24,15 @@ class NotAllSent(RuntimeError):
     """Some messages did not arrive."""
 
 
-def _entries(bodies: list[str]) -> list[Entry]:
-    """Entries numbered within their batch; the key is the same on every retry."""
+def _entries(rows: list[tuple[str, str]]) -> list[Entry]:
+    """Entries numbered within their batch; the key hangs on the row's place and is the same on every retry."""
     return [
         {
             "Id": str(number),
             "MessageBody": body,
-            "DeduplicationId": hashlib.sha256(body.encode()).hexdigest(),
+            "DeduplicationId": hashlib.sha256(f"{place}\n{body}".encode()).hexdigest(),
         }
-        for number, body in enumerate(bodies)
+        for number, (body, place) in enumerate(rows)
     ]
 
 
@@ -40,16 +41,17 @@ def send_batches(
 ) -> DataFrame:
     """Send each row as JSON; one outcome row per batch.
 
-    Each task opens one sender and fills its batches across Arrow blocks. A retried
-    task sends again: receivers drop repeats by ``DeduplicationId``. Write or
-    aggregate the outcome once, every evaluation sends.
+    The rows are written first, so each has a fixed place. Each task opens one sender and
+    fills its batches across Arrow blocks. A retried task sends again: receivers drop repeats
+    by ``DeduplicationId``, which equal rows do not share. Write or aggregate the outcome
+    once, every evaluation sends.
     """
 
     def send(blocks: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sender, waiting, number = open_sender(), [], 0
 
-        def flush(bodies: list[str]) -> pd.DataFrame:
-            entries = _entries(bodies)
+        def flush(rows: list[tuple[str, str]]) -> pd.DataFrame:
+            entries = _entries(rows)
             failed = len(set(sender(entries)))
             return pd.DataFrame(
                 [[number, len(entries), len(entries) - failed, failed]],
@@ -57,15 +59,16 @@ def send_batches(
             )
 
         for block in blocks:
-            waiting.extend(block["row"])
+            waiting.extend(zip(block["row"], block["place"], strict=True))
             while len(waiting) >= batch_size:
-                bodies, waiting = waiting[:batch_size], waiting[batch_size:]
-                yield flush(bodies)
+                rows, waiting = waiting[:batch_size], waiting[batch_size:]
+                yield flush(rows)
                 number += 1
         if waiting:
             yield flush(waiting)
 
-    return rows_to_json(df, "row").mapInPandas(send, OUTCOME)
+    place = F.concat_ws(":", "_metadata.file_name", "_metadata.row_index").alias("place")
+    return written(rows_to_json(df, "row"), "messages").select("row", place).mapInPandas(send, OUTCOME)
 
 
 def delivery_totals(outcome: DataFrame) -> DataFrame:
