@@ -86,7 +86,7 @@ def overlapping(spark):
 
 
 def test_joint_classes_beat_one_against_the_rest(spark):
-    """At steps of 0.3; with few steps of 0.1 the joint trees, whose second derivatives are larger, are not yet fitted."""
+    """At 10 steps of 0.3; at 15 steps of 0.1 they do not (0.621 against 0.563)."""
     rows = overlapping(spark)
     train, test = rows.filter("id % 3 > 0"), rows.filter("id % 3 = 0")
     fitted = fit_model("xgboost_classification", train, ["a", "b"], "c", n_estimators=10, learning_rate=0.3)
