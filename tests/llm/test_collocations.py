@@ -2,6 +2,7 @@
 
 import random
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -106,3 +107,42 @@ def test_transducers(monkeypatch):
     assert collocations._places(windows, hashes, ends).tolist() == places.tolist()
     again = shard.counted()
     assert [w.tolist() for w in again[2]] == [w.tolist() for w in windows] and again[3].tolist() == counts.tolist()
+
+
+def test_memory_of_a_range_follows_its_different_windows(monkeypatch):
+    shard = Shard()
+    draw = random.Random(4)
+    shard.add(" ".join(f"w{draw.randrange(3000)}" for _ in range(20_000)).encode())
+    words, _, windows, counts = shard.counted()
+    piece = (b"\n".join(words[1:]), Transducer.of(windows, counts).packed())
+    monkeypatch.setattr(collocations, "WAITING", 1000)
+
+    def peak(pieces):
+        tracemalloc.start()
+        united = collocations._united(piece for _ in range(pieces))
+        most = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        return most, united
+
+    few, _ = peak(3)
+    many, (names, found, weight) = peak(60)
+    assert many < 1.5 * few
+    assert names == words and weight.tolist() == (60 * counts).tolist() and [f.tolist() for f in found] == [w.tolist() for w in windows]
+    assert len(collocations._united(iter(()))[2]) == 0
+    assert collocations.RANGE_WINDOWS <= 1 << 20
+
+
+def test_alike_shards_tell_of_different_windows(monkeypatch):
+    monkeypatch.setattr(collocations, "RANGE_WINDOWS", 6400)
+    monkeypatch.setattr(collocations, "SAMPLES", 64)
+    draw = random.Random(6)
+    text = " ".join(f"w{draw.randrange(500)}" for _ in range(3000)).encode()
+    samples = set()
+    for i in range(200):
+        shard = Shard()
+        shard.add(text)
+        rows = [r for batch in collocations._shard_rows("en", shard, (0, i)) for r in batch.to_pylist()]
+        found = np.frombuffer(rows[0]["sample"], "<u8").reshape(-1, 3)
+        assert 28 <= len(found) <= 31
+        samples |= {tuple(w) for w in found.tolist()}
+    assert len(samples) > 1500  # of 3,000 windows; shards that begin alike would tell of 30

@@ -14,13 +14,15 @@ Words are ordered by a 64-bit hash, then by their bytes; the hash only places th
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator, Sequence
+from itertools import groupby
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,7 +34,9 @@ UNDETERMINED = "und"
 #: Bytes of text of one shard, about, and of a text that are split at once.
 BLOCK_BYTES, PART_BYTES = 12 << 20, 2 << 20
 #: Windows of one range, about, and how many samples of a range tell where it ends.
-RANGE_WINDOWS, SAMPLES = 4_000_000, 64
+RANGE_WINDOWS, SAMPLES = 1_000_000, 64
+#: Windows of a range that wait to be added up, at least.
+WAITING = 250_000
 #: Phrases of one composition, about.
 BUCKET = 200_000
 _END = b"\xff"  # no byte of UTF-8: the end of a piece
@@ -243,15 +247,38 @@ def _places(windows: list[np.ndarray], hashes: np.ndarray, ends: np.ndarray) ->
     return out[len(at) :]
 
 
+def _united(pieces: Iterable[tuple[bytes, bytes]]) -> tuple[list[bytes], list[np.ndarray], np.ndarray]:
+    """Words (an empty one in front), sorted windows and summed weights of the pieces of a range.
+
+    Windows that came are added up whenever as many wait as are different, so memory follows the
+    different windows of the range, however many pieces it has.
+    """
+    numbers = _Numbers()
+    numbers[b""] = 0
+    columns, counts, waiting, different = [np.zeros((WORDS, 0), np.int32)], [np.zeros(0, np.int64)], 0, 0
+    for raw, arcs in pieces:
+        to = np.array([numbers[w] for w in (b"", *raw.split(b"\n"))], np.int32)
+        windows, weight = Transducer.unpacked(arcs).windows()
+        columns.append(np.stack([to[w] for w in windows]))
+        counts.append(weight)
+        waiting += len(weight)
+        if waiting >= max(WAITING, different):
+            windows, weight = _sorted_sums(list(np.concatenate(columns, axis=1)), np.concatenate(counts), len(numbers))
+            columns, counts, waiting, different = [np.stack(windows).astype(np.int32)], [weight], 0, len(weight)
+    windows, weight = _sorted_sums(list(np.concatenate(columns, axis=1)), np.concatenate(counts), len(numbers))
+    return list(numbers), windows, weight
+
+
 _SHARD = ["lang", "n", "words", "arcs", "sample"]
 
 
-def _shard_rows(lang: str, shard: Shard) -> Iterator[pa.RecordBatch]:
+def _shard_rows(lang: str, shard: Shard, seed: Sequence[int]) -> Iterator[pa.RecordBatch]:
+    """A shard, and every so many of its windows; where these begin is drawn, as alike shards would all have the same ones."""
     words, hashes, windows, counts = shard.counted()
     if not len(counts):
         return
     step = RANGE_WINDOWS // SAMPLES
-    drawn = slice(step // 2 if len(counts) > step // 2 else 0, None, step)
+    drawn = slice(int(np.random.default_rng(seed).integers(step)), None, step)
     sample = np.stack([hashes[w[drawn]] for w in windows], axis=1)
     arrays = [pa.array([lang]), pa.array([int(counts.sum())]), pa.array([b"\n".join(words[1:])], pa.large_binary()), pa.array([Transducer.of(windows, counts).packed()], pa.large_binary()), pa.array([sample.tobytes()], pa.binary())]
     yield pa.RecordBatch.from_arrays(arrays, _SHARD)
@@ -259,7 +286,12 @@ def _shard_rows(lang: str, shard: Shard) -> Iterator[pa.RecordBatch]:
 
 def _shards(batches) -> Iterator[pa.RecordBatch]:
     held: dict[str, Shard] = {}
-    size = 0
+    size, made, task = 0, 0, TaskContext.get().partitionId()
+
+    def rows() -> Iterator[pa.RecordBatch]:
+        for place, (name, shard) in enumerate(held.items(), made):
+            yield from _shard_rows(name, shard, (task, place))
+
     for batch in batches:
         for at in range(0, batch.num_rows, 500):
             part = batch.slice(at, 500)
@@ -269,11 +301,9 @@ def _shards(batches) -> Iterator[pa.RecordBatch]:
                 held.setdefault(lang, Shard()).add(text)
                 size += len(text)
                 if size >= BLOCK_BYTES:
-                    for name, shard in held.items():
-                        yield from _shard_rows(name, shard)
-                    held, size = {}, 0
-    for name, shard in held.items():
-        yield from _shard_rows(name, shard)
+                    yield from rows()
+                    held, size, made = {}, 0, made + len(held)
+    yield from rows()
 
 
 def _range_ends(shards: DataFrame) -> dict[str, np.ndarray]:
@@ -347,17 +377,8 @@ def frequent_phrases(shards: DataFrame, least: int) -> DataFrame:
     def unite(batches) -> Iterator[pa.RecordBatch]:
         known, offset = shared.value
 
-        def answer(lang: str, place: int, pieces: list[tuple[bytes, bytes]]) -> Iterator[pa.RecordBatch]:
-            numbers = _Numbers()
-            numbers[b""] = 0
-            columns, counts = [], []
-            for raw, arcs in pieces:
-                to = np.array([numbers[w] for w in (b"", *raw.split(b"\n"))], np.int32)
-                windows, weight = Transducer.unpacked(arcs).windows()
-                columns.append(np.stack([to[w] for w in windows]))
-                counts.append(weight)
-            windows, weight = _sorted_sums(list(np.concatenate(columns, axis=1)), np.concatenate(counts), len(numbers))
-            words = list(numbers)
+        def answer(lang: str, place: int, pieces: Iterable[tuple[bytes, bytes]]) -> Iterator[pa.RecordBatch]:
+            words, windows, weight = _united(pieces)
             edges = known.get(lang, none)
             k = place - offset[lang]
             # where this range begins and ends: the prefixes of these windows have more in other ranges
@@ -377,16 +398,9 @@ def frequent_phrases(shards: DataFrame, least: int) -> DataFrame:
                 sizes, phrases, n = zip(*found[lo : lo + 50_000], strict=True)
                 yield pa.RecordBatch.from_arrays([pa.array([lang] * len(n)), pa.array(sizes, pa.int32()), pa.array(phrases), pa.array(n, pa.int64())], ["lang", "words", "phrase", "n"])
 
-        at, held = None, []
-        for batch in batches:
-            for place, lang, raw, arcs in zip(*(batch.column(c).to_pylist() for c in ("place", "lang", "words", "arcs")), strict=True):
-                if (lang, place) != at and held:
-                    yield from answer(*at, held)
-                    held = []
-                at = (lang, place)
-                held.append((raw, arcs))
-        if held:
-            yield from answer(*at, held)
+        rows = ([batch.column(c)[i].as_py() for c in ("lang", "place", "words", "arcs")] for batch in batches for i in range(batch.num_rows))
+        for at, own in groupby(rows, lambda r: (r[0], r[1])):
+            yield from answer(*at, ((raw, arcs) for _, _, raw, arcs in own))
 
     pieces = shards.select("lang", "words", "arcs").mapInArrow(cut, "place int, lang string, words binary, arcs binary")
     parted = pieces.repartitionById(max(1, total), "place").sortWithinPartitions("place", "lang")
@@ -459,7 +473,7 @@ def collocations(docs: DataFrame, text_column: str = "text", lang_column: str =
     phrase by its bytes. A null language is ``und``; null and empty texts have no words; a
     repeated row counts again; an empty table, or one without frequent phrases, gives no rows;
     further columns are not read. Shards hold about 12 MB of text, whole texts of any length;
-    a range holds about four million different windows, each once per shard at most.
+    a range holds about a million windows, each once per shard at most, and adds them up as they come.
     """
     rows = docs.select(F.coalesce(docs[lang_column].cast("string"), F.lit(UNDETERMINED)).alias("lang"), docs[text_column].cast("string").alias("text"))
     shards = written(rows.mapInArrow(_shards, "lang string, n long, words binary, arcs binary, sample binary"), "shards")
