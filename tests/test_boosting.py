@@ -112,3 +112,20 @@ def test_edges(spark):
     assert constant.score(rows.limit(0)).count() == 0
     with pytest.raises(ValueError, match="no rows"):
         fit_model("xgboost_regression", rows.limit(0), ["x"], "y")
+
+
+@pytest.mark.parametrize("classes", [0, 3])
+def test_rows_of_equal_bins_are_one_with_a_weight(spark, monkeypatch, classes):
+    """What the rounds read does not grow with the table; the trees are those of all rows."""
+    rows = spark.range(900).selectExpr("double(id % 4) AS a", "IF(id % 3 = 0, NULL, double(id % 3)) AS b", f"double({'pmod(hash(id % 12, id % 7), 3)' if classes else 'hash(id % 12) % 97 + (id % 10) / 7'}) AS y")
+    head = Pipeline(stages=[assembler(["a", "b"], "keep")])
+    sizes, written = [], boosting.written
+    monkeypatch.setattr(boosting, "written", lambda df, label: (kept := written(df, label), sizes.append(kept.count()))[0])
+    params = {"n_estimators": 4, "max_depth": 2}
+    _, made = boosting.fit_trees(head, rows, "y", classes, params)
+    assert max(sizes) <= 12 * max(1, classes)
+    monkeypatch.setattr(boosting, "_weighted", lambda binned, classes, base: binned.withColumns({"weight": F.lit(1.0), "margin": F.array(*[F.lit(float(b)) for b in base])}))
+    _, plain = boosting.fit_trees(head, rows, "y", classes, params)
+    assert 900 in sizes and [t[:2] for t in made["trees"]] == [t[:2] for t in plain["trees"]]
+    for one, two in zip(made["trees"], plain["trees"], strict=True):
+        assert one[2] == pytest.approx(two[2])
