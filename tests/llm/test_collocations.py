@@ -146,3 +146,9 @@ def test_alike_shards_tell_of_different_windows(monkeypatch):
         assert 28 <= len(found) <= 31
         samples |= {tuple(w) for w in found.tolist()}
     assert len(samples) > 1500  # of 3,000 windows; shards that begin alike would tell of 30
+
+
+def test_a_small_shard_beside_others(spark):
+    """A shard may be too small for a sample of its windows."""
+    rows = [("one two three " * 12, lang) for lang in ("en", "de", None)]
+    assert found(spark, rows) == brute(rows)

@@ -317,7 +317,7 @@ def _range_ends(shards: DataFrame) -> dict[str, np.ndarray]:
                 sample = np.frombuffer(raw, "<u8").reshape(-1, 3)
                 # as signed numbers in the same order
                 signed = (sample ^ np.uint64(1 << 63)).view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(sample)), *(pa.array(signed[:, i]) for i in range(3))], ["lang", "a", "b", "c"])
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(sample), pa.string()), *(pa.array(signed[:, i]) for i in range(3))], ["lang", "a", "b", "c"])
 
     def every(batches) -> Iterator[pa.RecordBatch]:
         seen = 0
