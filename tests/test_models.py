@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions.scoring import classification_output, log_loss, loss_value, proba_normalize, rescale_probability
+from tidemark.models import mllib
 from tidemark.models.base import load_fitted
 from tidemark.models.lifetime import (
     expected_visits,
@@ -552,3 +553,33 @@ def test_a_doubled_cache_row_leaves_the_rows_as_they_are(spark):
 def test_series_that_does_not_settle():
     with pytest.raises(ArithmeticError):
         hypergeometric(np.array([1.0]), np.array([1.0]), np.array([1.0]), np.array([0.9999999]))
+
+
+@pytest.mark.parametrize("kind", ["tree_regression", "random_forest_regression", "tree_classification", "random_forest_classification"])
+def test_trees_fit_rows_of_equal_bins_once(spark, monkeypatch, kind):
+    """The rows an estimator sees do not grow with the table, and the model is the one of all rows."""
+    rows = spark.range(4000).selectExpr("id % 7 AS a", "IF(id % 5 = 0, NULL, double(id % 5)) AS b", "(id % 7) * 3 + (id % 5) + (id % 11) / 100D AS y", "int(id % 7 > 3) AS kind")
+    label, params = ("kind" if "class" in kind else "y"), {"trees": 3, "min_samples_leaf": 40, "max_depth": 6}
+    seen = []
+    for estimator in (mllib.DecisionTreeRegressor, mllib.RandomForestRegressor, mllib.DecisionTreeClassifier, mllib.RandomForestClassifier):
+        monkeypatch.setattr(estimator, "_fit", lambda self, data, fit=estimator._fit: (seen.append(data.count()), fit(self, data))[1])
+    made = fit_model(kind, rows, ["a", "b"], label, **params)
+    assert seen == [35]
+    monkeypatch.setattr(mllib, "_fit_trees", mllib._fit)
+    plain = mllib._fit_classes if label == "kind" else None
+    if plain:
+        monkeypatch.setattr(mllib, "_fit_classes", lambda *args: plain(*args[:6]))
+    whole = fit_model(kind, rows, ["a", "b"], label, **params)
+    assert seen == [35, 4000]
+    one, two = (sorted(f.score(rows).select("a", "b", "prediction").distinct().toPandas().itertuples(index=False), key=repr) for f in (made, whole))
+    assert len(one) == len(two) == 35
+    for r, s in zip(one, two, strict=True):  # forests draw the places of their nodes: equal gains may be told apart by rounding
+        assert np.allclose(r.prediction, s.prediction, **({} if kind.startswith("tree") else {"rtol": 0.1, "atol": 0.5}))
+
+
+def test_tree_on_bins_keeps_leaves_of_enough_rows(spark):
+    rows = spark.range(30_000).selectExpr("double(hash(id) % 100000) AS x", "double(hash(id) % 100000) * 2 AS y")
+    fitted = fit_model("tree_regression", rows, ["x"], "y", min_samples_leaf=100)
+    leaves = fitted.score(rows).groupBy("prediction").agg(F.count("y").alias("n"), F.avg("y").alias("mean")).collect()
+    assert 30 < len(leaves) <= 64 and min(r["n"] for r in leaves) >= 100
+    assert all(abs(r["mean"] - r["prediction"]) < 1e-6 * max(1, abs(r["mean"])) for r in leaves)
