@@ -5,7 +5,12 @@ from __future__ import annotations
 import json
 import uuid
 from datetime import date
+from itertools import groupby
+from operator import itemgetter
 
+import pyarrow as pa
+from pyarrow.fs import FileSystem
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -205,11 +210,38 @@ def message_batches(t: Tables) -> DataFrame:
     return delivery_totals(send_batches(t.customer, open_checking_sender))
 
 
+def write_texts(texts: DataFrame, path: str) -> int:
+    """One file per ``doc_id``, its texts as lines, written by the tasks; the number of files.
+
+    Spark's own writer makes a folder per file, each of which its reader then lists by itself.
+    A file is moved to its name when it is whole, so a task that runs twice leaves it whole.
+    """
+
+    def write(batches):
+        files, root = FileSystem.from_uri(path)
+        task = TaskContext.get()
+        folder, mark = f"{root}/batch={task.partitionId()}", task.taskAttemptId()
+        files.create_dir(folder)
+        rows = (row for b in batches for row in zip(b["doc_id"].to_pylist(), b["text"].to_pylist(), strict=True))
+        made = 0
+        for key, lines in groupby(rows, itemgetter(0)):
+            with files.open_output_stream(f"{folder}/_{mark}") as out:
+                for _, text in lines:
+                    out.write((text or "").encode() + b"\n")
+            files.move(f"{folder}/_{mark}", f"{folder}/doc_id={key}.txt")
+            made += 1
+        yield pa.RecordBatch.from_pydict({"files": [made]})
+
+    files, root = FileSystem.from_uri(path)
+    files.create_dir(root)  # there even without texts
+    dealt = texts.select("doc_id", "text").repartition("doc_id").sortWithinPartitions("doc_id")
+    return dealt.mapInArrow(write, "files long").agg(F.sum("files")).first()[0]
+
+
 def text_files(t: Tables) -> DataFrame:
     """One file per document, whole text, read back as rows."""
     path = new_location(t.spark, "texts")
-    named = t.documents.select(F.col("doc_id"), F.translate("text", "\r", "").alias("text"))
-    named.repartition("doc_id").write.partitionBy("doc_id").text(path)
+    write_texts(t.documents.select("doc_id", F.translate("text", "\r", "").alias("text")), path)
     return read_text_files(t.spark, path).select(
         F.regexp_extract("path", "doc_id=([0-9]+)", 1).cast("long").alias("doc_id"),
         F.md5(F.regexp_replace("text", r"\n+\z", "")).alias("text_md5"),

@@ -1,5 +1,6 @@
 """Readers, writers, catalog tables and messages on edge rows."""
 
+import hashlib
 import json
 import os
 import tempfile
@@ -10,6 +11,8 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from suite import sources
+from suite.tables import Tables
 from tidemark.operators.position import chunk_rows, kfold, with_position
 from tidemark.session import new_location
 from tidemark.sources.export import export_files
@@ -288,3 +291,20 @@ def test_inferred_loads_keep_the_limit(spark, folder):
         read_ndjson(spark, f"{folder}/b.json").collect()
     kept = read_ndjson(spark, f"{folder}/b.json", bad_record_limit=1)
     assert kept.columns == ["id"] and sorted(r.id for r in kept.collect()) == [1, 2]
+
+
+def test_a_file_per_document_needs_no_folder_per_document(spark, folder, monkeypatch):
+    """Spark's reader lists folder by folder: 10,000 took it half a minute."""
+    path = f"file:{folder}/texts"
+    monkeypatch.setattr(sources, "new_location", lambda *_: path)
+    rows = [(i, f"text {i}\r\n\nend\n\n") for i in range(400)] + [(1000, None), (1001, ""), (1002, "a"), (1002, "a")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{folder}/documents.parquet")
+    found = sources.text_files(Tables(spark, folder)).collect()
+    wanted = {i: f"text {i}\n\nend" for i in range(400)} | {1000: "", 1001: "", 1002: "a\na"}
+    assert sorted(tuple(r) for r in found) == [(i, hashlib.md5(x.encode()).hexdigest()) for i, x in sorted(wanted.items())]
+    assert sum(1 for _ in os.walk(f"{folder}/texts")) < 50
+
+
+def test_no_documents_no_files(spark, folder):
+    spark.createDataFrame([], "doc_id long, text string").write.parquet(f"{folder}/documents.parquet")
+    assert sources.text_files(Tables(spark, folder)).isEmpty()
