@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions.scoring import classification_output, log_loss, loss_value, proba_normalize, rescale_probability
-from tidemark.models import mllib
+from tidemark.models import forest, mllib
 from tidemark.models.base import load_fitted
 from tidemark.models.lifetime import (
     expected_visits,
@@ -414,6 +414,46 @@ def test_configuration_files(tmp_path):
     assert list(load_configuration(str(tmp_path), only=["es"])[1]) == ["es"]
 
 
+def grid_rows(spark):
+    return spark.range(20_000).selectExpr("id % 50 AS a", "IF(id % 40 = 3, NULL, double(hash(id) % 1000)) AS b", "1.5 AS c", "(id % 50) * 3 + hash(id, 1) % 10 + (hash(id) % 1000) / 100D AS y")
+
+
+def test_a_tree_of_the_grid_is_the_tree_of_all_rows(spark, monkeypatch):
+    rows = grid_rows(spark)
+    tree = fit_model("tree_regression", rows, ["a", "b", "c"], "y", max_bins=16 * 4)
+    monkeypatch.setattr(mllib, "MOST_LEAVES", 0)
+    one = fit_model("random_forest_regression", rows, ["a", "b", "c"], "y", trees=1)
+    assert len(one.meta["cells"]) <= 50 * 64 * 2
+    both = one.score(tree.score(rows).withColumnRenamed("prediction", "p"))
+    assert both.filter("p IS NULL OR prediction IS NULL").isEmpty() and both.count() == 20_000
+    off = both.agg(F.avg(F.abs(F.col("p") - F.col("prediction"))).alias("o"), F.stddev("p").alias("s")).first()
+    assert off["o"] < 0.02 * off["s"]
+
+
+def test_a_large_forest_is_grown_in_tasks(spark, monkeypatch):
+    """100 trees of 30 levels are too much for the driver."""
+    def refuse(*_):
+        raise AssertionError("the driver would hold all leaves")
+
+    monkeypatch.setattr(mllib.RandomForestRegressor, "_fit", refuse)
+    rows = grid_rows(spark)
+    fitted = fit_model("random_forest_regression", rows, ["a", "b"], "y", trees=300, min_samples_leaf=5)
+    path = new_location(spark, "forest")
+    fitted.save(spark, path)
+    scored = load_fitted(spark, path).score(rows)
+    assert scored.columns == [*rows.columns, "prediction"]
+    row = scored.agg(F.count("prediction").alias("n"), F.avg((F.col("y") - F.col("prediction")) ** 2).alias("e"), F.var_pop("y").alias("v"), F.avg("y").alias("y"), F.avg("prediction").alias("p")).first()
+    assert row["n"] == 20_000 and row["e"] < 0.3 * row["v"] and row["p"] == pytest.approx(row["y"], rel=1e-9)
+    with pytest.raises(ValueError, match="without a number"):
+        fit_model("random_forest_regression", rows.withColumn("y", F.when(F.col("a") > 0, F.col("y"))), ["a", "b"], "y", trees=300, min_samples_leaf=5)
+
+
+def test_leaves_of_the_grid_have_enough_rows():
+    weight, total = np.array([5.0, 0, 30, 4, 9, 40]), np.array([50.0, 0, 0, 4, 9, 400])
+    said = forest.grow([2, 3], weight, total, leaf=10, depth=30, features=2, seed=0)
+    assert np.allclose(said, [50 / 35, 50 / 35, 50 / 35, 1, 1, 10])
+
+
 # ---- rows a training run must take ----------------------------------------------
 
 
