@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions.scoring import classification_output, log_loss, loss_value, proba_normalize, rescale_probability
-from tidemark.models import forest, mllib
+from tidemark.models import clusters, forest, mllib
 from tidemark.models.base import load_fitted
 from tidemark.models.lifetime import (
     expected_visits,
@@ -191,6 +191,36 @@ def test_kmeans_and_silhouette(points):
     assert silhouette(with_array, "id", "v", "prediction") > 0.7
 
 
+def test_kmeans_starts_share_their_passes(spark, monkeypatch):
+    """Ten starts one after another took ten chains of jobs."""
+    def refuse(*_):
+        raise AssertionError("a chain of jobs for each start")
+
+    monkeypatch.setattr(mllib.KMeans, "_fit", refuse)
+    passes = []
+    means = clusters._Rows.means
+    monkeypatch.setattr(clusters._Rows, "means", lambda self, starts: (passes.append(len(starts)), means(self, starts))[1])
+    rows = spark.range(9000).selectExpr("id", "1e6 + (id % 3) * 40 + hash(id) % 1000 / 500D AS x", "(id % 3) * (id % 3) * 15 + hash(id, 7) % 1000 / 500D AS y").repartition(5)
+    fitted = fit_model("kmeans_clustering", rows, ["x", "y"], n_clusters=3)
+    assert passes[0] == 10 and len(passes) < 50
+    path = new_location(spark, "clusters")
+    fitted.save(spark, path)
+    scored = load_fitted(spark, path).score(rows)
+    assert scored.columns == ["id", "x", "y", "prediction"] and scored.schema["prediction"].dataType.simpleString() == "int"
+    found = scored.groupBy("prediction").agg(F.count_distinct(F.col("id") % 3).alias("groups"), (F.var_pop("x") + F.var_pop("y")).alias("v"), F.count("id").alias("n"), F.avg("x").alias("x"), F.avg("y").alias("y")).collect()
+    assert len(found) == 3 and all(r["groups"] == 1 and r["n"] == 3000 for r in found)
+    assert sum(r["v"] * r["n"] for r in found) == pytest.approx(fitted.meta["cost"], rel=1e-6)
+    assert all(fitted.meta["centers"][r["prediction"]] == pytest.approx([r["x"], r["y"]], rel=1e-9) for r in found)
+
+
+def test_kmeans_of_few_different_rows(spark):
+    rows = spark.range(50).selectExpr("double(id % 3) AS x", "1D AS y")
+    fitted = fit_model("kmeans_clustering", rows, ["x", "y"], n_clusters=5)
+    assert fitted.meta["clusters"] == 3 and fitted.meta["cost"] < 1e-20
+    assert fitted.score(rows).select("x", "prediction").distinct().count() == 3
+    assert fitted.score(rows.limit(0)).isEmpty()
+
+
 def test_dot_embedding_fits_better_than_the_mean(spark):
     rows = [(u, i, float((u % 3 + 1) * (i % 4 + 1))) for u in range(30) for i in range(20)]
     df = spark.createDataFrame(rows, "u int, i int, y double")
