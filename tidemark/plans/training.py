@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions.scoring import LOSS_NAMES, loss_value, rescale_probability
 from tidemark.models.base import FEATURES, PREDICTION, Fitted, load_fitted
-from tidemark.models.mllib import class_index, item_vectors
+from tidemark.models.mllib import class_index, clustered, item_vectors
 from tidemark.models.registry import MODELS, fit_model
 from tidemark.operators.joins import seen_values_only
 from tidemark.operators.encode import categorical_features, fit_encoder, apply_encoder
@@ -114,7 +114,7 @@ def evaluate_loss(
         return None
     if LOSS_NAMES.get(name) == "silhouette":
         prepared = _model_rows(rows.drop(*config.keys, ROW_KEY), trained, ())
-        vectors = trained.fitted.pipeline.transform(prepared)
+        vectors = clustered(trained.fitted, prepared)
         return euclidean_silhouette(vectors, FEATURES, PREDICTION).value
     scored = score_rows(rows, trained.fitted, trained.spec, trained.pca, (config.label,))
     truth = F.col(config.label)
