@@ -3,10 +3,13 @@
 import random
 import re
 import tracemalloc
+import weakref
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.llm import collocations
 from tidemark.llm.collocations import Shard, Transducer
@@ -152,3 +155,59 @@ def test_a_small_shard_beside_others(spark):
     """A shard may be too small for a sample of its windows."""
     rows = [("one two three " * 12, lang) for lang in ("en", "de", None)]
     assert found(spark, rows) == brute(rows)
+
+
+@pytest.mark.parametrize("before", [None, "12345678"])
+def test_batches_of_texts_are_limited_by_their_bytes(spark, monkeypatch, before):
+    """10,000 texts of any length are not held at once by an executor and by Python."""
+    key, rows, batches = "spark.sql.execution.arrow.maxBytesPerBatch", 4000, []
+
+    class Seen(Exception):
+        pass
+
+    def probe(found):
+        for b in found:
+            none = pa.array([b""], pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array([str(b.num_rows)]), pa.array([b.nbytes]), none, none, none], collocations._SHARD)
+
+    def look(frame, label):
+        batches.extend((int(r.lang), r.n) for r in frame.collect())
+        raise Seen
+
+    monkeypatch.setattr(collocations, "_shards", probe)
+    monkeypatch.setattr(collocations, "written", look)
+    texts = spark.range(0, rows, 1, 1).select(F.repeat(F.lit("word "), 1000).alias("text"), F.lit("en").alias("lang"))
+    if before:
+        spark.conf.set(key, before)
+    try:
+        with pytest.raises(Seen):
+            collocations.collocations(texts)
+        assert sum(n for n, _ in batches) == rows
+        assert max(size for _, size in batches) < 1.1 * collocations.BATCH_BYTES + 5000
+        assert spark.conf.get(key, None) == before  # other queries keep their own
+    finally:
+        spark.conf.unset(key)
+
+
+def test_languages_of_a_block_are_let_go_one_by_one(monkeypatch):
+    """While a language is counted, those counted before it are no longer held."""
+    alive, made = weakref.WeakSet(), []
+
+    class Watched(Shard):
+        def __init__(self):
+            super().__init__()
+            alive.add(self)
+
+        def counted(self):
+            made.append(len(alive))
+            return super().counted()
+
+    class Task:
+        get = classmethod(lambda cls: cls)
+        partitionId = classmethod(lambda cls: 0)
+
+    monkeypatch.setattr(collocations, "Shard", Watched)
+    monkeypatch.setattr(collocations, "TaskContext", Task)
+    batch = pa.RecordBatch.from_pydict({"lang": ["en", "de", "fr", "en"], "text": ["one two three"] * 4})
+    assert [r["n"] for b in collocations._shards(iter([batch])) for r in b.to_pylist()] == [6, 3, 3]
+    assert made == [3, 2, 1]

@@ -27,12 +27,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import text_bytes
-from tidemark.session import written
+from tidemark.session import arrow_batches, written
 
 WORDS, LEAST, TOP, COVERED = 3, 10, 2000, 50
 UNDETERMINED = "und"
 #: Bytes of text of one shard, about, and of a text that are split at once.
 BLOCK_BYTES, PART_BYTES = 12 << 20, 2 << 20
+#: Bytes of rows (texts, shards, pieces of ranges) that Spark hands to a task at once, about.
+BATCH_BYTES = 2 << 20
 #: Windows of one range, about, and how many samples of a range tell where it ends.
 RANGE_WINDOWS, SAMPLES = 1_000_000, 64
 #: Windows of a range that wait to be added up, at least.
@@ -275,6 +277,7 @@ _SHARD = ["lang", "n", "words", "arcs", "sample"]
 def _shard_rows(lang: str, shard: Shard, seed: Sequence[int]) -> Iterator[pa.RecordBatch]:
     """A shard, and every so many of its windows; where these begin is drawn, as alike shards would all have the same ones."""
     words, hashes, windows, counts = shard.counted()
+    del shard  # counted, and nobody else's
     if not len(counts):
         return
     step = RANGE_WINDOWS // SAMPLES
@@ -289,8 +292,11 @@ def _shards(batches) -> Iterator[pa.RecordBatch]:
     size, made, task = 0, 0, TaskContext.get().partitionId()
 
     def rows() -> Iterator[pa.RecordBatch]:
-        for place, (name, shard) in enumerate(held.items(), made):
-            yield from _shard_rows(name, shard, (task, place))
+        nonlocal made
+        while held:
+            name = next(iter(held))
+            yield from _shard_rows(name, held.pop(name), (task, made))
+            made += 1
 
     for batch in batches:
         for at in range(0, batch.num_rows, 500):
@@ -302,7 +308,7 @@ def _shards(batches) -> Iterator[pa.RecordBatch]:
                 size += len(text)
                 if size >= BLOCK_BYTES:
                     yield from rows()
-                    held, size, made = {}, 0, made + len(held)
+                    size = 0
     yield from rows()
 
 
@@ -474,10 +480,12 @@ def collocations(docs: DataFrame, text_column: str = "text", lang_column: str =
     repeated row counts again; an empty table, or one without frequent phrases, gives no rows;
     further columns are not read. Shards hold about 12 MB of text, whole texts of any length;
     a range holds about a million windows, each once per shard at most, and adds them up as they come.
+    Texts, shards and pieces reach Python about 2 MB at a time, however many rows that is.
     """
     rows = docs.select(F.coalesce(docs[lang_column].cast("string"), F.lit(UNDETERMINED)).alias("lang"), docs[text_column].cast("string").alias("text"))
-    shards = written(rows.mapInArrow(_shards, "lang string, n long, words binary, arcs binary, sample binary"), "shards")
-    frequent = written(frequent_phrases(shards, least), "phrases")
+    with arrow_batches(docs.sparkSession, BATCH_BYTES):
+        shards = written(rows.mapInArrow(_shards, "lang string, n long, words binary, arcs binary, sample binary"), "shards")
+        frequent = written(frequent_phrases(shards, least), "phrases")
     phrases = frequent.filter("words > 1").withColumnRenamed("n", "a")
     longer = phrases.filter(F.col("words") == WORDS).select("lang", "a", F.explode(F.flatten(F.transform(_cuts(), lambda c: F.array(c["first"], c["rest"])))).alias("phrase"))
     held = longer.groupBy("lang", "phrase").agg(F.max("a").alias("longer"))
