@@ -11,6 +11,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark import session
 from tidemark.llm import collocations
 from tidemark.llm.collocations import Shard, Transducer
 
@@ -170,7 +171,7 @@ def test_batches_of_texts_are_limited_by_their_bytes(spark, monkeypatch, before)
             none = pa.array([b""], pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array([str(b.num_rows)]), pa.array([b.nbytes]), none, none, none], collocations._SHARD)
 
-    def look(frame, label):
+    def look(frame, label, **options):
         batches.extend((int(r.lang), r.n) for r in frame.collect())
         raise Seen
 
@@ -211,3 +212,34 @@ def test_languages_of_a_block_are_let_go_one_by_one(monkeypatch):
     batch = pa.RecordBatch.from_pydict({"lang": ["en", "de", "fr", "en"], "text": ["one two three"] * 4})
     assert [r["n"] for b in collocations._shards(iter([batch])) for r in b.to_pylist()] == [6, 3, 3]
     assert made == [3, 2, 1]
+
+
+def test_shards_fill_a_page_each(spark, monkeypatch):
+    """Codecs hold a whole page in memory beside the heap, so pages do not hold all shards of a task."""
+    size, rows = 2 << 20, 6
+
+    class Seen(Exception):
+        pass
+
+    def probe(found):
+        for _ in found:
+            for _ in range(rows):
+                yield pa.RecordBatch.from_arrays([pa.array(["en"]), pa.array([1]), *(pa.array([x], pa.binary()) for x in (b"", random.randbytes(size), b""))], collocations._SHARD)
+
+    def look(frame, label, **options):
+        files.extend(session.written(frame, label, **options).inputFiles())
+        raise Seen
+
+    files = []
+    monkeypatch.setattr(collocations, "_shards", probe)
+    monkeypatch.setattr(collocations, "written", look)
+    with pytest.raises(Seen):
+        collocations.collocations(spark.range(0, 10, 1, 1).select(F.lit("one").alias("text"), F.lit("en").alias("lang")))
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    file = jvm.org.apache.parquet.hadoop.util.HadoopInputFile.fromPath(jvm.org.apache.hadoop.fs.Path(files[0]), conf)
+    reader = jvm.org.apache.parquet.hadoop.ParquetFileReader.open(file)
+    try:
+        columns = {c.getPath().toDotString(): c for c in reader.getFooter().getBlocks()[0].getColumns()}
+        assert reader.readOffsetIndex(columns["arcs"]).getPageCount() == rows
+    finally:
+        reader.close()

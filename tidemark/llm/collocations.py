@@ -39,6 +39,8 @@ BATCH_BYTES = 2 << 20
 RANGE_WINDOWS, SAMPLES = 1_000_000, 64
 #: Windows of a range that wait to be added up, at least.
 WAITING = 250_000
+#: Parquet closes a page when a row has filled it, not after a hundred rows: a page is one shard, and so are its codec's buffers.
+LARGE_ROWS = {"parquet.page.size.row.check.min": "1"}
 #: Phrases of one composition, about.
 BUCKET = 200_000
 _END = b"\xff"  # no byte of UTF-8: the end of a piece
@@ -484,7 +486,7 @@ def collocations(docs: DataFrame, text_column: str = "text", lang_column: str =
     """
     rows = docs.select(F.coalesce(docs[lang_column].cast("string"), F.lit(UNDETERMINED)).alias("lang"), docs[text_column].cast("string").alias("text"))
     with arrow_batches(docs.sparkSession, BATCH_BYTES):
-        shards = written(rows.mapInArrow(_shards, "lang string, n long, words binary, arcs binary, sample binary"), "shards")
+        shards = written(rows.mapInArrow(_shards, "lang string, n long, words binary, arcs binary, sample binary"), "shards", **LARGE_ROWS)
         frequent = written(frequent_phrases(shards, least), "phrases")
     phrases = frequent.filter("words > 1").withColumnRenamed("n", "a")
     longer = phrases.filter(F.col("words") == WORDS).select("lang", "a", F.explode(F.flatten(F.transform(_cuts(), lambda c: F.array(c["first"], c["rest"])))).alias("phrase"))
