@@ -184,7 +184,7 @@ def test_batches_of_texts_are_limited_by_their_bytes(spark, monkeypatch, before)
         with pytest.raises(Seen):
             collocations.collocations(texts)
         assert sum(n for n, _ in batches) == rows
-        assert max(size for _, size in batches) < 1.1 * collocations.BATCH_BYTES + 5000
+        assert max(size for _, size in batches) < 3 << 20
         assert spark.conf.get(key, None) == before  # other queries keep their own
     finally:
         spark.conf.unset(key)
