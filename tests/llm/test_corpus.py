@@ -125,6 +125,41 @@ def test_components(spark):
     assert {bytes(v) for v in found.values()} == {b"100", b"7"} and len(found) == 64
 
 
+def test_components_of_any_shape(spark):
+    draw, labels = random.Random(8), list(range(1000, 1400))
+    draw.shuffle(labels)
+    pairs = [(labels[i], labels[draw.randrange(max(0, i - 9), i + 1)]) for i in range(1, 200)]  # long, with loops on itself
+    pairs += [(labels[200], x) for x in labels[201:280]] + [(x, labels[300]) for x in labels[301:380]]  # a node with many ends
+    pairs += [(a, b) for a in labels[380:390] for b in labels[380:390]] + pairs[:40]  # all pairs, repeats, both ways
+    pairs += [(a, b) for a, b in zip(labels[390:399:2], labels[391:400:2], strict=True)]
+    links = defaultdict(set)
+    for a, b in pairs:
+        links[a].add(b)
+        links[b].add(a)
+    links = {a: x - {a} for a, x in links.items() if x - {a}}
+    rows = [(str(a).encode(), str(b).encode()) for a, b in pairs]
+    found = near.components(spark.createDataFrame([*rows, (None, b"1"), (b"2", None)], "u binary, v binary")).collect()
+    assert len(found) == len(links) and {int(n): int(x) for n, x in found} == brute_classes(links)
+
+
+def test_components_that_are_found_take_no_step(spark, monkeypatch):
+    tables, write = [], near.written
+    monkeypatch.setattr(near, "written", lambda df, label: tables.append(label) or write(df, label))
+    stars = [(f"{i}", f"0{i % 7}") for i in range(10, 90)]
+    for rows, steps in (([], 0), (stars, 0), ([*stars, ("95", "15")], 1), ([*stars, ("06", "05"), ("05", "04")], 2)):
+        tables.clear()
+        found = dict(near.components(spark.createDataFrame(rows, "u string, v string")).collect())
+        assert all(found[u] == found[v] <= v for u, v in rows) and len(tables) == 2 + 2 * steps
+
+
+def test_near_writes_few_tables(spark, monkeypatch):
+    """Each table costs a task for every shuffle partition, however few its rows."""
+    tables, write = [], near.written
+    monkeypatch.setattr(near, "written", lambda df, label: tables.append(label) or write(df, label))
+    check_near(spark, near_texts())
+    assert len(tables) <= 17
+
+
 def brute_contamination(texts, items):
     import re
 

@@ -109,24 +109,26 @@ def sketches(docs: DataFrame, depth: int, id_column: str, text_column: str) -> D
 def components(edges: DataFrame) -> DataFrame:
     """The connected component of every node of an edge list ``(u, v)``: ``node``, ``label`` (its least node).
 
-    Large and small stars in turn (Kiveris et al. 2014), each written, until nothing changes;
-    minima are combined before they are shuffled and written, so that rows meet them by a join
-    of two shuffles, in which the rows of a dominant node are split.
+    Edges lead from a node to a lesser one. Until they are stars, one step jumps from each node
+    past its least end to that one's least end, and moves each further edge down to the least
+    ends of both its nodes; an edge that is not part of a star always gets lesser. A step starts
+    from a written table of the nodes that are not done (more than one lesser end, or ends both
+    ways); edges join to it by two shuffles, in which the rows of a dominant node are split, and
+    when it is empty the work is done, so that edges that are stars already take no step.
     """
     edges = written(edges.filter("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
-    seen = None
     while True:
-        both = edges.unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = written(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
-        large = both.join(low, "u").filter("v > u and v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = written(large.distinct(), "large-star")
-        low = written(large.groupBy("u").agg(F.min("v").alias("m")), "least")
-        small = large.join(low, "u").filter("v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionAll(low.select("u", F.col("m").alias("v")))
-        edges = written(small.distinct(), "small-star")
-        state = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("s")).first()
-        if state == seen:
+        ends = edges.select(F.col("u").alias("node"), F.col("v").alias("end"), F.lit(False).alias("held"))
+        ends = ends.unionAll(edges.select(F.col("v").alias("node"), F.lit(None).alias("end"), F.lit(True).alias("held")))
+        undone = ends.groupBy("node").agg(F.min("end").alias("least"), (F.count("end") > 1).alias("many"), F.bool_or("held").alias("held"))
+        undone = written(undone.filter("least is not null and (many or held)"), "undone")
+        if undone.isEmpty():
             break
-        seen = state
+        upper = undone.filter("many").select(F.col("node").alias("u"), F.col("least").alias("of_u"))
+        lower = undone.filter("held").select(F.col("node").alias("v"), F.col("least").alias("of_v"))
+        ends = edges.join(upper, "u", "left").join(lower, "v", "left").select("u", "v", F.coalesce("of_u", "v").alias("of_u"), F.coalesce("of_v", "v").alias("of_v"))
+        ends = ends.select(F.when(F.col("of_u") == F.col("v"), F.col("u")).otherwise(F.col("of_u")).alias("u"), F.col("of_v").alias("v"))
+        edges = written(ends.filter("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "star")
     found = edges.select(F.col("u").alias("node"), F.col("v").alias("label"))
     return found.unionAll(found.select(F.col("label").alias("node"), "label").distinct())
 
