@@ -110,27 +110,33 @@ def components(edges: DataFrame) -> DataFrame:
     """The connected component of every node of an edge list ``(u, v)``: ``node``, ``label`` (its least node).
 
     Edges lead from a node to a lesser one. Until they are stars, one step jumps from each node
-    past its least end to that one's least end, and moves each further edge down to the least
-    ends of both its nodes; an edge that is not part of a star always gets lesser. A step starts
-    from a written table of the nodes that are not done (more than one lesser end, or ends both
-    ways); edges join to it by two shuffles, in which the rows of a dominant node are split, and
-    when it is empty the work is done, so that edges that are stars already take no step.
+    past its least end to the least end of that one's least end, and moves each further edge
+    down to the least ends of both its nodes; an edge that is not part of a star always gets
+    lesser. A step starts from a written table of the nodes that are not done (more than one
+    lesser end, or ends both ways); edges join to it by two shuffles, in which the rows of a
+    dominant node are split, and when it is empty the work is done. Edges that are stars already
+    take no step. The edges given may repeat; they are read several times and should be a
+    written table.
     """
-    edges = written(edges.filter("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
+    edges = edges.filter("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     while True:
         ends = edges.select(F.col("u").alias("node"), F.col("v").alias("end"), F.lit(False).alias("held"))
         ends = ends.unionAll(edges.select(F.col("v").alias("node"), F.lit(None).alias("end"), F.lit(True).alias("held")))
-        undone = ends.groupBy("node").agg(F.min("end").alias("least"), (F.count("end") > 1).alias("many"), F.bool_or("held").alias("held"))
-        undone = written(undone.filter("least is not null and (many or held)"), "undone")
-        if undone.isEmpty():
+        undone = ends.groupBy("node").agg(F.min("end").alias("least"), F.max("end").alias("most"), F.bool_or("held").alias("held"))
+        undone = undone.filter("least is not null and (least != most or held)").select("node", "least", F.expr("least != most").alias("many"), "held")
+        undone = written(undone, "undone")
+        many = undone.agg(F.bool_or("many")).first()[0]
+        if many is None:
             break
         upper = undone.filter("many").select(F.col("node").alias("u"), F.col("least").alias("of_u"))
-        lower = undone.filter("held").select(F.col("node").alias("v"), F.col("least").alias("of_v"))
+        lower = undone.filter("held").select(F.col("node").alias("v"), F.col("least").alias("end"))
+        lower = lower.join(lower.select(F.col("v").alias("end"), F.col("end").alias("next")), "end", "left").select("v", F.coalesce("next", "end").alias("of_v"))
         ends = edges.join(upper, "u", "left").join(lower, "v", "left").select("u", "v", F.coalesce("of_u", "v").alias("of_u"), F.coalesce("of_v", "v").alias("of_v"))
         ends = ends.select(F.when(F.col("of_u") == F.col("v"), F.col("u")).otherwise(F.col("of_u")).alias("u"), F.col("of_v").alias("v"))
-        edges = written(ends.filter("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "star")
+        ends = ends.filter("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
+        edges = written(ends.distinct() if many else ends, "star")  # where every node has one end already, nothing meets
     found = edges.select(F.col("u").alias("node"), F.col("v").alias("label"))
-    return found.unionAll(found.select(F.col("label").alias("node"), "label").distinct())
+    return found.unionAll(found.select(F.col("label").alias("node"), "label")).distinct()
 
 
 def _links(values: np.ndarray, sizes: np.ndarray, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -238,7 +244,7 @@ def jaccard_join(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     sets = written(sets.select("set_key", F.col("rep.doc_id").alias("rep_id"), F.col("rep.text_hash").alias("rep_hash"), "copies", "n_shingles", "nodes"), "sets")
     below = sets.select("set_key", F.explode("nodes").alias("node"))
     company = below.groupBy("node").agg(F.min("set_key").alias("low"), F.max("set_key").alias("high")).filter("low != high").select("node", "low")
-    clusters = components(below.join(company, "node").select(F.col("set_key").alias("u"), F.col("low").alias("v")))
+    clusters = components(written(below.join(company, "node").filter("set_key != low").select(F.col("set_key").alias("u"), F.col("low").alias("v")).distinct(), "edges"))
     facts = sets.select("set_key", "rep_id", "rep_hash", "copies", "n_shingles")
     members = written(clusters.withColumnsRenamed({"node": "set_key", "label": "cluster"}).join(facts, "set_key"), "members")
     sizes = members.groupBy("cluster").agg(F.greatest(F.ceil(F.count("*") / BLOCK_TEXTS), F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES)).alias("blocks"))
