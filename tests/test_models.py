@@ -484,6 +484,57 @@ def test_leaves_of_the_grid_have_enough_rows():
     assert np.allclose(said, [50 / 35, 50 / 35, 50 / 35, 1, 1, 10])
 
 
+def class_rows(spark):
+    return spark.range(6000).selectExpr("id", "id % 50 AS a", "IF(id % 40 = 3, NULL, double(hash(id) % 20)) AS b", "double(hash(id, 5) % 30) AS c").selectExpr(
+        "*", "array('x', 'y', 'z')[IF(hash(id, 2) % 5 = 0, pmod(hash(id, 3), 3), pmod(hash(int(a / 10), int(c / 10)), 3))] AS kind"
+    )
+
+
+def test_a_class_forest_is_grown_in_tasks(spark, monkeypatch):
+    """MLlib passes over all rows for some thousand nodes at a time, and the driver holds them all."""
+    def refuse(*_):
+        raise AssertionError("level by level over all rows")
+
+    monkeypatch.setattr(mllib.RandomForestClassifier, "_fit", refuse)
+    rows = class_rows(spark)
+    fitted = fit_model("random_forest_classification", rows, ["a", "b", "c"], "kind", trees=20)
+    path = new_location(spark, "forest")
+    fitted.save(spark, path)
+    again = load_fitted(spark, path)
+    scored = again.score(rows)
+    assert scored.columns == [*rows.columns, "prediction"] and len(again.parts) == 20
+    assert sorted(scored.collect()) == sorted(fitted.score(rows).collect())
+    best = F.array_position("prediction", F.array_max("prediction")) == F.array_position(F.lit(["x", "y", "z"]), F.col("kind"))
+    total = F.aggregate("prediction", F.lit(0.0), lambda a, b: a + b)
+    row = scored.agg(F.count("prediction").alias("n"), F.avg(best.cast("int")).alias("hit"), F.max(F.abs(total - 1)).alias("off")).first()
+    assert row["n"] == 6000 and row["hit"] > 0.8 and row["off"] < 1e-9
+    assert again.score(rows.limit(0)).isEmpty()
+    named = fit_model("random_forest_classification", rows, ["a", "b", "c"], "kind", trees=3, output="class")
+    assert named.score(rows).filter("prediction = kind").count() > 4800
+
+
+def test_a_class_tree_of_a_task_is_the_tree_of_mllib(spark, monkeypatch):
+    rows = class_rows(spark)
+    made = fit_model("random_forest_classification", rows, ["a", "b", "c"], "kind", trees=1)
+    assert made.parts is not None
+    monkeypatch.setattr(forest, "MOST_BYTES", 0)
+    plain = fit_model("random_forest_classification", rows, ["a", "b", "c"], "kind", trees=1)
+    assert plain.parts is None  # too large for a task
+    one, two = (sorted(f.score(rows).select("id", "prediction").collect()) for f in (made, plain))
+    assert len({tuple(r["prediction"]) for r in one}) > 6
+    assert sum(np.allclose(r["prediction"], s["prediction"]) for r, s in zip(one, two, strict=True)) > 5900  # equal gains apart
+
+
+def test_leaves_of_class_trees():
+    codes, y = np.repeat(np.arange(4, dtype=np.uint8), 10)[:, None], np.repeat([0, 1, 1], [10, 10, 20])
+    y[25] = 0
+    tree = forest.grow_classes(codes, y, 4, 2, leaf=10, depth=30, features=1, seed=0)
+    assert tree.counts.tolist() == [[10, 0], [1, 29]]  # leaves that name the same class are one
+    assert forest.class_counts(tree, np.array([[0], [1], [3]], np.uint8)).tolist() == [[10, 0], [1, 29], [1, 29]]
+    assert forest.grow_classes(codes, y, 4, 2, leaf=21, depth=30, features=1, seed=0).counts.tolist() == [[11, 29]]
+    assert forest.grow_classes(codes, y, 4, 2, leaf=1, depth=0, features=1, seed=0).counts.tolist() == [[11, 29]]
+
+
 # ---- rows a training run must take ----------------------------------------------
 
 
