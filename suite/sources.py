@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import uuid
 from datetime import date
+from functools import partial
 from itertools import groupby
 from operator import itemgetter
 
@@ -17,7 +18,7 @@ from pyspark.sql import types as T
 
 from suite.tables import Check, Tables, check, money
 from tidemark.operators.position import chunk_rows, kfold
-from tidemark.session import new_location
+from tidemark.session import new_location, written
 from tidemark.sources.export import export_files, query_to_csv
 from tidemark.sources.files import csv_to_ndjson, read_delimited, read_ndjson, read_text_files
 from tidemark.sources.load import load_files
@@ -210,6 +211,10 @@ def message_batches(t: Tables) -> DataFrame:
     return delivery_totals(send_batches(t.customer, open_checking_sender))
 
 
+#: Ids of several texts that are sent to all tasks; with more of them all texts meet by id.
+FEW_IDS = 1 << 16
+
+
 def write_texts(texts: DataFrame, path: str) -> int:
     """One file per ``doc_id``, its texts as lines, written by the tasks; the number of files.
 
@@ -217,10 +222,10 @@ def write_texts(texts: DataFrame, path: str) -> int:
     A file is moved to its name when it is whole, so a task that runs twice leaves it whole.
     """
 
-    def write(batches):
+    def write(kind, batches):
         files, root = FileSystem.from_uri(path)
         task = TaskContext.get()
-        folder, mark = f"{root}/batch={task.partitionId()}", task.taskAttemptId()
+        folder, mark = f"{root}/batch={kind}-{task.partitionId()}", task.taskAttemptId()
         files.create_dir(folder)
         rows = (row for b in batches for row in zip(b["doc_id"].to_pylist(), b["text"].to_pylist(), strict=True))
         made = 0
@@ -234,8 +239,15 @@ def write_texts(texts: DataFrame, path: str) -> int:
 
     files, root = FileSystem.from_uri(path)
     files.create_dir(root)  # there even without texts
-    dealt = texts.select("doc_id", "text").repartition("doc_id").sortWithinPartitions("doc_id")
-    return dealt.mapInArrow(write, "files long").agg(F.sum("files")).first()[0]
+    texts = texts.select("doc_id", "text")
+    # only texts whose ids come again must meet; the others are written where they are read
+    again = written(texts.groupBy(F.col("doc_id").alias("again")).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("again"), "ids")
+    once, met = texts.limit(0), texts
+    if again.count() <= FEW_IDS:
+        same = F.col("doc_id").eqNullSafe(F.col("again"))
+        once, met = (texts.join(F.broadcast(again), same, kind) for kind in ("left_anti", "left_semi"))
+    met = met.repartition("doc_id").sortWithinPartitions("doc_id")
+    return sum(part.mapInArrow(partial(write, kind), "files long").agg(F.sum("files")).first()[0] or 0 for kind, part in (("once", once), ("met", met)))
 
 
 def text_files(t: Tables) -> DataFrame:

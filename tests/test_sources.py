@@ -1,5 +1,6 @@
 """Readers, writers, catalog tables and messages on edge rows."""
 
+import gzip
 import hashlib
 import json
 import os
@@ -15,6 +16,7 @@ from suite import sources
 from suite.tables import Tables
 from tidemark.operators.position import chunk_rows, kfold, with_position
 from tidemark.session import new_location
+from tidemark.sources import files
 from tidemark.sources.export import export_files
 from tidemark.sources.files import BadRecords, read_delimited, read_ndjson, text_after_rows
 from tidemark.sources.jdbc import jdbc_options
@@ -293,6 +295,16 @@ def test_inferred_loads_keep_the_limit(spark, folder):
     assert kept.columns == ["id"] and sorted(r.id for r in kept.collect()) == [1, 2]
 
 
+@pytest.mark.parametrize("few", [0, 10])
+def test_texts_of_one_id_are_one_file(spark, folder, monkeypatch, few):
+    monkeypatch.setattr(sources, "FEW_IDS", few)
+    rows = [(i % 90 if i < 100 else None, f"text {i}") for i in range(102)]
+    n = sources.write_texts(spark.createDataFrame(rows, "doc_id long, text string").repartition(5), f"file:{folder}/texts")
+    found = {r["file_name"]: sorted(r["text"].splitlines()) for r in files.read_text_files(spark, f"{folder}/texts").collect()}
+    wanted = {f"doc_id={i}.txt": sorted(t for k, t in rows if k == i) for i in {k for k, _ in rows}}
+    assert found == wanted and n == len(wanted) == 91
+
+
 def test_a_file_per_document_needs_no_folder_per_document(spark, folder, monkeypatch):
     """Spark's reader lists folder by folder: 10,000 took it half a minute."""
     path = f"file:{folder}/texts"
@@ -305,6 +317,53 @@ def test_a_file_per_document_needs_no_folder_per_document(spark, folder, monkeyp
     assert sum(1 for _ in os.walk(f"{folder}/texts")) < 50
 
 
+def spark_reads(spark, path):
+    columns = [F.col("_metadata.file_name").alias("file_name"), F.col("_metadata.file_path").alias("path"), F.col("value").alias("text")]
+    return spark.read.text(path, wholetext=True).select(columns)
+
+
+def test_no_list_of_files_in_the_driver(spark, folder, monkeypatch):
+    """Spark's reader keeps the status of every file there."""
+    for name in ("a.txt", "b c%.txt", "é#[1].txt", "_hidden", ".hidden", "z._COPYING_", "_k=v", "empty.txt"):
+        with open(f"{folder}/{name}", "wb") as file:
+            file.write(b"" if name == "empty.txt" else f"{name}\r\n".encode() + b"\xff")
+    for i in range(30):
+        os.makedirs(f"{folder}/../{os.path.basename(folder)}-parts/k={i}")
+        with open(f"{folder}/../{os.path.basename(folder)}-parts/k={i}/a.txt", "w") as file:
+            file.write(f"{i}\n")
+    by_bytes = lambda rows: sorted((r["file_name"], r["path"], r["b"]) for r in rows.select("file_name", "path", F.hex("text").alias("b")).collect())
+    paths = [folder, f"file:{folder}", f"{folder}-parts"]
+    wanted = [by_bytes(spark_reads(spark, p)) for p in paths]
+    monkeypatch.setattr(files, "BATCH_NAMES", 3)
+    monkeypatch.setattr(files, "BATCH_BYTES", 20)
+    monkeypatch.setattr(files, "TASK_BYTES", 5 * files.OPEN_BYTES)
+
+    def refuse(*_, **__):
+        raise AssertionError("listed by the driver")
+
+    monkeypatch.setattr(type(spark.read), "text", refuse)
+    assert [by_bytes(files.read_text_files(spark, p)) for p in paths] == wanted
+    assert [len(w) for w in wanted] == [4, 4, 30]
+
+
+def test_other_folders_of_texts_are_read_by_spark(spark, folder):
+    def put(name, data):
+        os.makedirs(os.path.dirname(f"{folder}/{name}"), exist_ok=True)
+        with open(f"{folder}/{name}", "wb") as file:
+            file.write(data)
+
+    put("packed/a.txt", b"a")
+    put("packed/b.txt.gz", gzip.compress(b"b"))
+    put("below/a.txt", b"a")
+    put("below/sub/b.txt", b"b")
+    put("mixed/a.txt", b"a")
+    put("mixed/k=1/b.txt", b"b")
+    put("deep/k=1/j=2/b.txt", b"b")
+    for path, n in (("packed", 2), ("below", 1), ("mixed", 1), ("deep", 1), ("packed/a.txt", 1), ("deep/k=*/*", 1)):
+        found = files.read_text_files(spark, f"{folder}/{path}")
+        assert sorted(found.collect()) == sorted(spark_reads(spark, f"{folder}/{path}").collect()) and found.count() == n
+
+
 def test_no_documents_no_files(spark, folder):
     spark.createDataFrame([], "doc_id long, text string").write.parquet(f"{folder}/documents.parquet")
     assert sources.text_files(Tables(spark, folder)).isEmpty()

@@ -2,14 +2,25 @@
 
 from __future__ import annotations
 
+import os
 import re
+from collections.abc import Iterator
+from urllib.parse import quote
 
+import pyarrow as pa
+from pyarrow.fs import FileSelector, FileSystem, FileType, LocalFileSystem
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.session import written
+
 CORRUPT = "_corrupt_record"
 SMALLEST_LONG = -(2**63)
+#: Bytes of text files that a task reads, about, and those that opening a file counts as.
+TASK_BYTES, OPEN_BYTES = 128 << 20, 16 << 10
+#: Bytes of text that a task hands on at once, and names that it lists at once.
+BATCH_BYTES, BATCH_NAMES = 4 << 20, 10_000
 
 
 class BadRecords(ValueError):
@@ -213,9 +224,115 @@ def csv_to_ndjson(spark: SparkSession, source: str, target: str) -> None:
 
 
 def read_text_files(spark: SparkSession, folder: str) -> DataFrame:
-    """One row ``(file_name, path, text)`` per file, text whole."""
-    return spark.read.text(folder, wholetext=True).select(
-        F.col("_metadata.file_name").alias("file_name"),
-        F.col("_metadata.file_path").alias("path"),
-        F.col("value").alias("text"),
+    """One row ``(file_name, path, text)`` per file that is not empty, text whole.
+
+    Tasks list and read the files, of a folder or of its ``key=value`` folders, so that no list of
+    them lies in the driver, as it does with Spark's reader. That one reads any other layout, compressed
+    files, and what pyarrow does not open.
+    """
+    found = _listed(spark, folder)
+    if found is None:
+        return spark.read.text(folder, wholetext=True).select(
+            F.col("_metadata.file_name").alias("file_name"),
+            F.col("_metadata.file_path").alias("path"),
+            F.col("value").alias("text"),
+        )
+    names, uri = found
+    size = names.agg(F.sum(F.col("size") + OPEN_BYTES)).first()[0] or 0
+    tasks = max(spark.sparkContext.defaultParallelism, -(-size // TASK_BYTES))
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        files, root = FileSystem.from_uri(uri)
+        for batch in batches:
+            done, texts, held = [], [], 0
+            for name in batch.column("name").to_pylist():
+                with files.open_input_file(f"{root}/{name}") as file:
+                    texts.append(file.read())
+                done.append(_in_uri(name))
+                held += len(texts[-1])
+                if held >= BATCH_BYTES:
+                    yield pa.RecordBatch.from_arrays([pa.array(done), pa.array(texts, pa.binary())], ["name", "text"])
+                    done, texts, held = [], [], 0
+            if done:
+                yield pa.RecordBatch.from_arrays([pa.array(done), pa.array(texts, pa.binary())], ["name", "text"])
+
+    rows = names.repartition(tasks, "name").mapInArrow(read, "name string, text binary")
+    return rows.select(
+        F.substring_index("name", "/", -1).alias("file_name"),
+        F.concat(F.lit(f"{uri}/"), "name").alias("path"),
+        F.col("text").cast("string").alias("text"),
     )
+
+
+def _in_uri(name: str) -> str:
+    """A path as it stands in a URI of Java's: only what is not allowed there is quoted."""
+    return re.sub(r"""[\x00-\x20"#%<>?\[\\\]^`{|}\x7f-\xa0]|[^\S ]""", lambda m: quote(m[0], safe=""), name)
+
+
+def _entries(files: FileSystem, folder: str) -> Iterator[tuple[str, bool, int]]:
+    """Name, whether it is a folder, and size of what Spark's readers see in a folder."""
+    if isinstance(files, LocalFileSystem):
+        with os.scandir(folder) as found:
+            every = ((e.name, e.is_dir(), e.stat().st_size) for e in found if _seen(e.name))
+            yield from every
+    else:
+        for info in files.get_file_info(FileSelector(folder)):
+            if _seen(info.base_name):
+                yield info.base_name, info.type == FileType.Directory, info.size or 0
+
+
+def _seen(name: str) -> bool:
+    return not (name.startswith(".") or name.startswith("_") and "=" not in name or name.endswith("._COPYING_"))
+
+
+def _listed(spark: SparkSession, folder: str) -> tuple[DataFrame, str] | None:
+    """Names and sizes of the files in a folder, or in its ``key=value`` folders, listed by tasks, and its URI.
+
+    None for what only Spark's reader can read.
+    """
+    if re.search(r"[{}\[\]*?\\]", folder):  # a pattern
+        return None
+    conf = spark._jsparkSession.sessionState().newHadoopConf()
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    uri = re.sub("^file:///", "file:/", path.getFileSystem(conf).makeQualified(path).toUri().toString())
+    try:
+        files, root = FileSystem.from_uri(uri)
+        if files.get_file_info(root).type != FileType.Directory:
+            return None
+    except (pa.ArrowException, OSError):
+        return None
+    codecs = spark._jvm.org.apache.hadoop.io.compress.CompressionCodecFactory.getCodecClasses(conf)
+    packed = tuple(spark._jvm.org.apache.hadoop.util.ReflectionUtils.newInstance(c, conf).getDefaultExtension() for c in codecs)
+
+    def below(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        files, root = FileSystem.from_uri(uri)
+        for batch in batches:
+            for parent in batch.column("name").to_pylist():
+                held = []
+                for name, is_folder, size in _entries(files, f"{root}/{parent}"):
+                    held.append((f"{parent}/{name}".lstrip("/"), is_folder, size, name.endswith(packed)))
+                    if len(held) == BATCH_NAMES:
+                        yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*held, strict=True)], kinds.names)
+                        held = []
+                if held:
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*held, strict=True)], kinds.names)
+
+    kinds = T.StructType().add("name", "string").add("is_folder", "boolean").add("size", "long").add("packed", "boolean")
+
+    def listed(folders: DataFrame) -> tuple[DataFrame, int, int, list]:
+        found = written(folders.mapInArrow(below, kinds), "files")
+        key = F.regexp_extract("name", r"^([^/=]+)=[^/]+$", 1)  # empty for a folder without one
+        some = found.agg(F.count_if("is_folder"), F.count_if(~F.col("is_folder")), F.collect_set(F.when(F.col("is_folder"), key)), F.max("packed")).first()
+        return found, *some
+
+    names, folders, n, keys, any_packed = listed(spark.createDataFrame([("",)], "name string"))
+    if folders:
+        if n or len(keys) > 1 or not keys[0]:
+            return None
+        dealt = names.select("name").repartition(min(folders, 4 * spark.sparkContext.defaultParallelism))
+        names, folders, n, keys, any_packed = listed(dealt)
+        if folders:
+            return None
+    if any_packed:
+        return None
+    return names.filter("size > 0").select("name", "size"), uri
