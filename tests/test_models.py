@@ -5,6 +5,7 @@ import uuid
 
 import numpy as np
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from tidemark.functions.scoring import classification_output, log_loss, loss_value, proba_normalize, rescale_probability
@@ -698,6 +699,14 @@ def test_trees_fit_rows_of_equal_bins_once(spark, monkeypatch, kind):
         assert np.allclose(r.prediction, s.prediction, **({} if kind.startswith("tree") else {"rtol": 0.1, "atol": 0.5}))
 
 
+def test_a_forest_on_combinations_scores_after_an_observed_query(spark):
+    """The summary of its training holds the session, which tasks cannot take once it has observed a query."""
+    spark.range(5).observe(Observation("rows"), F.count(F.lit(1)).alias("n")).collect()
+    rows = spark.range(2000).selectExpr("id % 7 AS a", "id % 5 AS b", "int(id % 7 > 3) AS kind")
+    fitted = fit_model("random_forest_classification", rows, ["a", "b"], "kind", trees=3)
+    assert fitted.parts is None and fitted.score(rows).select("a", "prediction").distinct().count() >= 7
+
+
 def test_tree_on_bins_keeps_leaves_of_enough_rows(spark):
     rows = spark.range(30_000).selectExpr("double(hash(id) % 100000) AS x", "double(hash(id) % 100000) * 2 AS y")
     fitted = fit_model("tree_regression", rows, ["x"], "y", min_samples_leaf=100)
